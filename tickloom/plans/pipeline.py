@@ -1,0 +1,50 @@
+"""The two batch flows, composed from the operators."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+
+from tickloom import schema as S
+from tickloom.operators.calendar import calendar_features
+from tickloom.operators.clean import clean_bars
+from tickloom.operators.dataset import prepare_dataset, write_bundle
+from tickloom.operators.profile import price_report
+from tickloom.operators.target import target_levels
+from tickloom.operators.technical import TECHNICAL_BACK, technical_levels
+from tickloom.operators.validate import require_valid, validate_bars
+from tickloom.plans.series import Lane, Series, over_series
+from tickloom.plans.stages import add_levels
+from tickloom.session import materialise
+from tickloom.sources.readers import require_non_empty
+
+
+def feature_table(bars: DataFrame, series: Series = Series()) -> DataFrame:
+    """Bars widened by technical, calendar and target columns; one pass over each series."""
+
+    def build(df: DataFrame, lane: Lane) -> DataFrame:
+        return add_levels(df, *technical_levels(lane), target_levels(lane))
+
+    made = over_series(bars, series, build, back=TECHNICAL_BACK, ahead=1, number=True)
+    return calendar_features(made, series.order).select(*bars.columns, *S.TECHNICAL, *S.CALENDAR, *S.TARGETS)
+
+
+def ingest(bars: DataFrame, series: Series = Series()) -> DataFrame:
+    """Refuse empty or invalid bars, then report on them."""
+    require_valid(validate_bars(require_non_empty(bars, "bars"), series))
+    return price_report(bars)
+
+
+@dataclass(frozen=True)
+class FeatureRun:
+    features: DataFrame
+    prepared: DataFrame
+    bundle: dict[str, str]
+
+
+def run_features(raw: DataFrame, path: str, series: Series = Series(), seq: str = "seq") -> FeatureRun:
+    """Clean, build features, split and write the bundle. The feature table is written once and reused."""
+    features = materialise(feature_table(clean_bars(raw, series, seq), series), "features")
+    prepared = prepare_dataset(features, series)
+    return FeatureRun(features, prepared, write_bundle(prepared, path, series))
