@@ -16,8 +16,9 @@ def shift_hours(ts: Column, hours: int = 1) -> Column:
 
 
 def round_price(x: Column, places: int = 2) -> Column:
-    """Round half to even."""
-    return F.bround(x, places)
+    """Round half to even, deciding on the scaled value: 2.675 gives 2.68 and 1.005 gives 1.0."""
+    scale = float(10**places)
+    return F.rint(x * scale) / scale
 
 
 def cast_datetime(x: Column) -> Column:

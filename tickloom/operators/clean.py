@@ -31,9 +31,9 @@ def dedup_keep_last(df: DataFrame, series: Series = Series(), seq: str = "seq")
 
 
 def null_census(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """``(column, nulls)`` for every column that has any."""
+    """``(column_name, nulls)`` for every column that has any."""
     counts = [
-        F.struct(F.lit(c).alias("column"), F.count_if(F.col(c).isNull()).alias("nulls"))
+        F.struct(F.lit(c).alias("column_name"), F.count_if(F.col(c).isNull()).alias("nulls"))
         for c in (columns or df.columns)
     ]
     return df.agg(F.array(*counts).alias("counts")).select(F.inline("counts")).filter("nulls > 0")
@@ -55,9 +55,9 @@ def interpolate_linear(
 
 
 def invalid_price_census(df: DataFrame, columns: Iterable[str] = PRICES) -> DataFrame:
-    """``(column, invalid)``: values that are zero or negative, for each price column."""
+    """``(column_name, invalid)``: values that are zero or negative, for each price column."""
     counts = [
-        F.struct(F.lit(c).alias("column"), F.count_if(F.col(c) <= 0).alias("invalid")) for c in columns
+        F.struct(F.lit(c).alias("column_name"), F.count_if(F.col(c) <= 0).alias("invalid")) for c in columns
     ]
     return df.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
 
@@ -88,9 +88,9 @@ def clean_metrics(raw: DataFrame, series: Series = Series()) -> DataFrame:
 
 
 def sort_by_date(df: DataFrame, series: Series = Series()) -> DataFrame:
-    """Add ``row``, the 0-based position of each row in its series. Physical order is left to the sink."""
-    numbered = build_over(arrange(df, series), lambda d, lane: d.withColumn("row", F.col("_rn")))
-    return numbered.select(*df.columns, "row")
+    """Add ``row_no``, the 0-based position of each row in its series. Physical order is left to the sink."""
+    numbered = build_over(arrange(df, series), lambda d, lane: d.withColumn("row_no", F.col("_rn")))
+    return numbered.select(*df.columns, "row_no")
 
 
 def drop_last_row(df: DataFrame, series: Series = Series()) -> DataFrame:

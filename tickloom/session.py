@@ -12,11 +12,15 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Nanosecond Parquet timestamps arrive as LONG; the bar reader turns them into timestamps.
     "spark.sql.legacy.parquet.nanosAsLong": "true",
+    # Wall-clock Parquet timestamps are read as TIMESTAMP (UTC), the library's one time type.
+    "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
 }
 
 
 def build_session(master: str | None = None, **settings: str) -> SparkSession:
-    builder = SparkSession.builder.appName("tickloom").config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.appName("tickloom").config("spark.ui.enabled", "false").config(
+        "spark.ui.showConsoleProgress", "false"
+    )
     if master:
         builder = builder.master(master)
     for name, value in {**SETTINGS, **settings}.items():

@@ -68,15 +68,26 @@ def scan_csv(spark: SparkSession, path: str, series_key: str | None = None) -> D
     return table.select(*S.PRICE_SCHEMA.names)
 
 
-def scan_json_quotes(spark: SparkSession, path: str, schema: T.StructType = S.QUOTE_SCHEMA) -> DataFrame:
-    """Quotes, one indented JSON document per file or one per line; times are strings in the files."""
-    text = T.StructType(
+def quote_text_schema(schema: T.StructType = S.QUOTE_SCHEMA) -> T.StructType:
+    """The schema of quote files, in which times are strings."""
+    return T.StructType(
         [T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.TimestampType) else f.dataType) for f in schema]
     )
-    raw = spark.read.schema(text).option("multiLine", True).json(path)
+
+
+def quotes_from_text(raw: DataFrame, schema: T.StructType = S.QUOTE_SCHEMA) -> DataFrame:
     return nan_to_null(raw.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]))
 
 
+def scan_json_quotes(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Quotes of a folder: one indented document per file, or with ``lines`` one document per line.
+
+    Files of lines can be split over tasks and suit large histories.
+    """
+    reader = spark.read.schema(quote_text_schema()).option("multiLine", not lines)
+    return quotes_from_text(reader.json(path))
+
+
 def require_non_empty(df: DataFrame, what: str = "input") -> DataFrame:
     if df.isEmpty():
         raise ValueError(f"{what} has no rows")

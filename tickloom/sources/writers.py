@@ -25,7 +25,7 @@ def sink_csv(df: DataFrame, path: str) -> str:
 
 
 def sink_json_quotes(quotes: DataFrame, path: str) -> str:
-    """One JSON document per quote, times as strings with their full precision."""
+    """One JSON document per line and quote, times as strings with their full precision."""
     text = [
         F.date_format(f.name, CSV_TIME).alias(f.name) if f.dataType.typeName() == "timestamp" else F.col(f.name)
         for f in quotes.schema

@@ -3,25 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.validate import val_quote
-from tickloom.schema import QUOTE_SCHEMA
+from tickloom.sources.readers import quote_text_schema, quotes_from_text
 
 
 def stream_quotes(spark: SparkSession, folder: str, files_per_batch: int = 1_000) -> DataFrame:
     """Quotes of the folder's files with their severity; stateless, so no watermark is needed."""
-    text = T.StructType(
-        [
-            T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.TimestampType) else f.dataType)
-            for f in QUOTE_SCHEMA
-        ]
-    )
-    reader = spark.readStream.schema(text).option("multiLine", True).option("maxFilesPerTrigger", files_per_batch)
-    raw = reader.json(folder)
-    return val_quote(raw.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in QUOTE_SCHEMA]))
+    reader = spark.readStream.schema(quote_text_schema()).option("multiLine", True)
+    return val_quote(quotes_from_text(reader.option("maxFilesPerTrigger", files_per_batch).json(folder)))
 
 
 def sink_quotes(quotes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
