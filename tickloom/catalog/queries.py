@@ -29,8 +29,8 @@ DAILY_PRICES = Series(order="timestamp", one_row_per_day=True)
 # Hourly bars and single ticks prove no bound on a series, so its length is measured.
 MEASURED = Series()
 # A block short enough that the long tick series of the test tables is split; a cluster keeps the default.
-SPLIT = Series(block_rows=2_048)
-SPLIT_PRICES = Series(order="timestamp", block_rows=2_048)
+SPLIT = Series(block_rows=3_000)
+SPLIT_PRICES = Series(order="timestamp", block_rows=3_000)
 
 
 def query(make: Query) -> Query:

@@ -1,10 +1,10 @@
 """Exponentially weighted mean, ``y = a*x + (1-a)*y_before``, as window sums.
 
 The recurrence unrolls to a sum with weights that shrink by ``q = 1-a`` per row. Rows are cut into cells
-long enough that a whole cell shrinks a weight by 1e-9. Inside a cell the sum is a running sum of
-``x * q**-p`` (p = place in the cell) scaled back by ``q**p``. Of earlier cells two are enough: what lies
-before them weighs less than 1e-18, below the resolution of a double. So the mean needs only
-``LOOK_BACK_CELLS`` cells of history, and a long series can be cut into blocks like any rolling window.
+long enough that a whole cell shrinks a weight by 1e-18. Inside a cell the sum is a running sum of
+``x * q**-p`` (p = place in the cell) scaled back by ``q**p``. Of earlier cells the last is enough: what
+lies before it weighs less than the resolution of a double. So the mean needs only ``LOOK_BACK_CELLS``
+cells of history, and a long series can be cut into blocks like any rolling window.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from tickloom.plans.series import Lane, Series, over_series
 from tickloom.plans.stages import Levels, add_levels
 from tickloom.schema import EMA_SPANS
 
-CELL_SHRINK = 1e-9
-LOOK_BACK_CELLS = 3
+CELL_SHRINK = 1e-18
+LOOK_BACK_CELLS = 2
 # Largest growth q**-p may reach inside a cell, far from overflow.
 MAX_GROWTH = 1e200
 
@@ -57,12 +57,20 @@ def start_levels(lane: Lane, source: str) -> Levels:
     ]
 
 
+def cell_name(cell: int) -> str:
+    return f"_cell_{cell}"
+
+
+def cell_level(cell: int) -> dict:
+    return {cell_name(cell): F.floor(F.col("_rn") / cell).cast("long")}
+
+
 def mean_levels(lane: Lane, means: dict[str, tuple[str, float]], cell: int, starts: str) -> Levels:
-    """Means that share one cell length, hence one sort; ``starts`` marks where each series begins."""
+    """Means on cells that are already numbered; ``starts`` marks where each series begins."""
+    number = cell_name(cell)
     order = F.col(lane.order).asc_nulls_last()
-    number = f"_cell_{cell}"
     running = Window.partitionBy(*lane.by, number).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    cells = Window.partitionBy(*lane.by).orderBy(number)
+    one_cell_back = Window.partitionBy(*lane.by).orderBy(number).rangeBetween(-1, -1)
     place = F.col("_rn") % cell
     weighted, sums, earlier, result = {}, {}, {}, {}
     for name, (source, span) in means.items():
@@ -73,13 +81,11 @@ def mean_levels(lane: Lane, means: dict[str, tuple[str, float]], cell: int, star
         share = F.when(F.col(starts), x).otherwise(x * (1 - q))
         weighted[f"_weighted_{name}"] = share * F.pow(F.lit(q), -place)
         sums[f"_sum_{name}"] = F.sum(f"_weighted_{name}").over(running)
-        carried = F.lit(0.0)
-        for k in (1, 2):
-            # The running sum at the end of the cell k cells earlier.
-            earlier[f"_sum{k}_{name}"] = F.max_by(f"_sum_{name}", lane.order).over(cells.rangeBetween(-k, -k))
-            carried = carried + F.coalesce(F.col(f"_sum{k}_{name}"), F.lit(0.0)) * (q ** (k * cell))
+        # The running sum at the end of the cell before.
+        earlier[f"_carry_{name}"] = F.max_by(f"_sum_{name}", lane.order).over(one_cell_back)
+        carried = F.coalesce(F.col(f"_carry_{name}"), F.lit(0.0)) * (q**cell)
         result[name] = F.when(x.isNotNull(), F.pow(F.lit(q), place) * (F.col(f"_sum_{name}") + carried))
-    return [{number: F.floor(F.col("_rn") / cell).cast("long")} | weighted, sums, earlier, result]
+    return [weighted, sums, earlier, result]
 
 
 def add_ewm(df: DataFrame, lane: Lane, means: dict[str, tuple[str, float]]) -> DataFrame:
@@ -95,7 +101,7 @@ def add_ewm(df: DataFrame, lane: Lane, means: dict[str, tuple[str, float]]) -> D
         size = cell if _fits(span, cell) else cell_rows(span)
         groups.setdefault((source, size), {})[name] = (source, span)
     for (source, size), group in groups.items():
-        df = add_levels(df, mean_levels(lane, group, size, f"_starts_{source}"))
+        df = add_levels(df, [cell_level(size), *mean_levels(lane, group, size, f"_starts_{source}")])
     return df
 
 

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom import schema as S
-from tickloom.functions.rolling import ratio, rolling_mean, rolling_std, row_max, shift, where
-from tickloom.operators.ema import cell_rows, look_back, mean_levels, start_levels
+from tickloom.functions.rolling import ratio, rolling_mean, rolling_mean_levels, rolling_std_levels, row_max, shift, where
+from tickloom.operators.ema import cell_level, cell_name, cell_rows, look_back, mean_levels, start_levels
 from tickloom.plans.series import Lane, Series, over_series
 from tickloom.plans.stages import Levels, add_levels
 
@@ -24,7 +24,7 @@ def _look(lane: Lane) -> dict:
 
 
 def sma_levels(lane: Lane, spans: Iterable[int] = S.SMA_SPANS) -> Levels:
-    return [{}, {}, {f"sma_{n}": rolling_mean(F.col("close"), n, lane) for n in spans}]
+    return [{}, {}, *rolling_mean_levels("close", {f"sma_{n}": n for n in spans}, lane)]
 
 
 def rsi_levels(lane: Lane, n: int = S.RSI_ROWS) -> Levels:
@@ -32,24 +32,27 @@ def rsi_levels(lane: Lane, n: int = S.RSI_ROWS) -> Levels:
     delta = F.col("close") - F.col("_close_before")
     gain, loss = F.col("_mean_gain"), F.col("_mean_loss")
     only_gains = F.when(gain > 0, F.lit(100.0))
-    strength = 100 - 100 / (1 + F.try_divide(gain, loss))
+    strength = 100 - 100 / (1 + F.try_divide(gain, loss))  # NULL until the frame of gains is full
     return [
         _look(lane),
         {"_gain": where(delta, delta > 0, 0.0), "_loss": where(-delta, delta < 0, 0.0)},
+        # A gain is known on every row, so a full frame of gains is a full frame of losses.
         {
             "_mean_gain": rolling_mean(F.col("_gain"), n, lane),
-            "_mean_loss": rolling_mean(F.col("_loss"), n, lane),
+            "_mean_loss": F.sum("_loss").over(lane.last_rows(n)) / n,
         },
         {f"rsi_{n}": F.when(loss == 0, only_gains).otherwise(strength)},
     ]
 
 
 def bollinger_levels(lane: Lane, n: int = S.BAND_ROWS, width: float = S.BAND_WIDTH) -> Levels:
-    close, reach = F.col("close"), F.col("_deviation") * width
+    reach = F.col("_deviation") * width
+    mean = rolling_mean_levels("close", {"bb_middle": n}, lane)
+    deviation = rolling_std_levels("close", {"_deviation": n}, lane)
     return [
         {},
         {},
-        {"bb_middle": rolling_mean(close, n, lane), "_deviation": rolling_std(close, n, lane)},
+        *(one | other for one, other in zip(mean, deviation)),
         {"bb_upper": F.col("bb_middle") + reach, "bb_lower": F.col("bb_middle") - reach},
         {"bb_width": F.col("bb_upper") - F.col("bb_lower")},
     ]
@@ -61,7 +64,7 @@ def volatility_levels(lane: Lane, spans: Iterable[int] = S.VOLATILITY_ROWS) -> L
     return [
         _look(lane),
         {"_return": F.when(F.abs(change) < float("inf"), change)},
-        {f"volatility_{n}": rolling_std(F.col("_return"), n, lane) for n in spans},
+        *rolling_std_levels("_return", {f"volatility_{n}": n for n in spans}, lane),
     ]
 
 
@@ -84,40 +87,38 @@ def volume_levels(lane: Lane, n: int = S.VOLUME_ROWS) -> Levels:
     ]
 
 
-def macd_levels(lane: Lane) -> Levels:
-    """The two close means, their difference, its mean and what is left; all on the cells of the longest span.
+def macd_levels(lane: Lane, cell: int) -> Levels:
+    """The two close means, their difference, its mean and what is left.
 
     The difference starts where the close starts, so the signal needs no look of its own.
     """
     fast, slow = S.EMA_SPANS
-    cell = cell_rows(max(S.EMA_SPANS))
     means = {f"ema_{n}": ("close", n) for n in S.EMA_SPANS}
     return [
-        *start_levels(lane, "close"),
-        {},
         *mean_levels(lane, means, cell, "_starts_close"),
         {"macd": F.col(f"ema_{fast}") - F.col(f"ema_{slow}")},
-        *_without_cell(mean_levels(lane, {"macd_signal": ("macd", S.SIGNAL_SPAN)}, cell, "_starts_close"), cell),
+        *mean_levels(lane, {"macd_signal": ("macd", S.SIGNAL_SPAN)}, cell, "_starts_close"),
         {"macd_histogram": F.col("macd") - F.col("macd_signal")},
     ]
 
 
-def _without_cell(levels: Levels, cell: int) -> Levels:
-    """Leave out the cell number, which an earlier mean already made: a new column would cost a new sort."""
-    return [{name: c for name, c in level.items() if name != f"_cell_{cell}"} for level in levels]
+FRAME_INDICATORS = (rsi_levels, atr_levels, volatility_levels, sma_levels, bollinger_levels, volume_levels)
+
 
+def add_technical(df: DataFrame, lane: Lane, *more: Levels, indicators: Iterable = FRAME_INDICATORS) -> DataFrame:
+    """Looks and row values first, then the recursive means on still narrow rows, then all frames.
 
-def technical_levels(lane: Lane) -> list[Levels]:
-    makers = (
-        rsi_levels,
-        atr_levels,
-        volatility_levels,
-        sma_levels,
-        bollinger_levels,
-        volume_levels,
-        macd_levels,
-    )
-    return [make(lane) for make in makers]
+    Frames follow the cell order of the means, so rows are sorted by date once for the looks and once
+    by cell for everything after. A numbered lane knows its cells beforehand. ``more`` are levels of
+    other operators that only look at neighbours.
+    """
+    cell = cell_rows(max(S.EMA_SPANS))
+    lane = lane.in_cells(cell_name(cell))
+    built = [make(lane) for make in indicators]
+    starts = start_levels(lane, "close")
+    df = add_levels(df, *[levels[:2] for levels in (*built, starts, *more)], [{}, cell_level(cell)])
+    df = add_levels(df, macd_levels(lane, cell))
+    return add_levels(df, *[levels[2:] for levels in (*built, *more)])
 
 
 # Rows of history the recursive means read: the signal is a mean of means.
@@ -135,7 +136,7 @@ def rsi(df: DataFrame, n: int = S.RSI_ROWS, series: Series = Series()) -> DataFr
 
 
 def macd(df: DataFrame, series: Series = Series()) -> DataFrame:
-    made = over_series(df, series, lambda d, lane: add_levels(d, macd_levels(lane)), back=MACD_BACK, number=True)
+    made = over_series(df, series, lambda d, lane: add_technical(d, lane, indicators=()), back=MACD_BACK, number=True)
     return made.select(*df.columns, "macd", "macd_signal", "macd_histogram")
 
 
@@ -159,7 +160,5 @@ def volume_features(df: DataFrame, n: int = S.VOLUME_ROWS, series: Series = Seri
 
 
 def technical_features(df: DataFrame, series: Series = Series()) -> DataFrame:
-    made = over_series(
-        df, series, lambda d, lane: add_levels(d, *technical_levels(lane)), back=TECHNICAL_BACK, number=True
-    )
+    made = over_series(df, series, add_technical, back=TECHNICAL_BACK, number=True)
     return made.select(*df.columns, *S.TECHNICAL)

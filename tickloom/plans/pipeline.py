@@ -12,10 +12,9 @@ from tickloom.operators.clean import clean_bars
 from tickloom.operators.dataset import prepare_dataset, write_bundle
 from tickloom.operators.profile import price_report
 from tickloom.operators.target import target_levels
-from tickloom.operators.technical import TECHNICAL_BACK, technical_levels
+from tickloom.operators.technical import TECHNICAL_BACK, add_technical
 from tickloom.operators.validate import require_valid, validate_bars
 from tickloom.plans.series import Lane, Series, over_series
-from tickloom.plans.stages import add_levels
 from tickloom.session import materialise
 from tickloom.sources.readers import require_non_empty
 
@@ -24,7 +23,7 @@ def feature_table(bars: DataFrame, series: Series = Series()) -> DataFrame:
     """Bars widened by technical, calendar and target columns; one pass over each series."""
 
     def build(df: DataFrame, lane: Lane) -> DataFrame:
-        return add_levels(df, *technical_levels(lane), target_levels(lane))
+        return add_technical(df, lane, target_levels(lane))
 
     made = over_series(bars, series, build, back=TECHNICAL_BACK, ahead=1, number=True)
     return calendar_features(made, series.order).select(*bars.columns, *S.TECHNICAL, *S.CALENDAR, *S.TARGETS)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -53,17 +53,27 @@ class Lane:
     by: tuple[str, ...]
     order: str
     split: bool
+    # A column that never falls along the order; frames sort by it first and so share its sort.
+    cell: str | None = None
+
+    def in_cells(self, cell: str) -> Lane:
+        return replace(self, cell=cell)
 
     @property
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.by).orderBy(F.col(self.order).asc_nulls_last())
 
+    @property
+    def framed(self) -> WindowSpec:
+        first = [self.cell] if self.cell else []
+        return Window.partitionBy(*self.by).orderBy(*first, F.col(self.order).asc_nulls_last())
+
     @property
     def reverse(self) -> WindowSpec:
         return Window.partitionBy(*self.by).orderBy(F.col(self.order).desc_nulls_first())
 
     def last_rows(self, n: int) -> WindowSpec:
-        return self.window.rowsBetween(-(n - 1), 0)
+        return self.framed.rowsBetween(-(n - 1), 0)
 
     def so_far(self) -> WindowSpec:
         return self.window.rowsBetween(Window.unboundedPreceding, 0)

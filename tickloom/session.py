@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.legacy.parquet.nanosAsLong": "true",
     # Wall-clock Parquet timestamps are read as TIMESTAMP (UTC), the library's one time type.
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
+    # The JVM never compiles methods above 8000 bytecodes; wide feature projections that would exceed it
+    # in one generated stage are split into smaller methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
