@@ -438,6 +438,7 @@ def oracle_sql() -> dict[str, str]:
             select count(*) filter (where up) as days_up, count(*) filter (where not up) as days_down, round(avg(pct), 6) as mean,
             round(stddev_samp(pct), 6) as std, round(max(pct), 6) as max, round(min(pct), 6) as min, round(median(pct), 6) as median from x""",
         "exact_median": "select l_returnflag, round(median(l_extendedprice), 6) as median from lineitem group by 1",
+        "exact_median_long": "select round(median(l_extendedprice), 6) as median from lineitem",
         "class_balance": f"""{PREPARED}, c as (select count(*) filter (where target_direction = 0) as a,
             count(*) filter (where target_direction = 1) as b, count(*) as n from prepared)
             select a as class_0, b as class_1, round(a * 100.0::double / n, 6) as percent_0, round(b * 100.0::double / n, 6) as percent_1,
@@ -445,7 +446,7 @@ def oracle_sql() -> dict[str, str]:
         "describe_features": _union_values(
             PREPARED + ", train as (select * from prepared where split = 'train')", "train", INPUTS[:15],
             {"mean": "round(avg({c}), 4)", "std": "round(stddev_samp({c}), 4)",
-             "min": "round(min({c})::double, 4)", "max": "round(max({c})::double, 4)"},
+             "min": "round(min({c})::double, 6)", "max": "round(max({c})::double, 6)"},
         ),
         "target_correlation": f"select position, feature, round(correlation, 8) as correlation from ({CORRELATION})",
         "top_k_correlation": f"""with c as ({CORRELATION}), r as (select *, row_number() over (order by correlation desc nulls last, position) as rank,
@@ -464,7 +465,7 @@ def oracle_sql() -> dict[str, str]:
             from lineitem""",
         "feature_ranges": _union_values(
             PREPARED + ", train as (select * from prepared where split = 'train')", "train", INPUTS[:10],
-            {"min": "round(min({c})::double, 4)", "max": "round(max({c})::double, 4)", "mean": "round(avg({c}), 4)"},
+            {"min": "round(min({c})::double, 6)", "max": "round(max({c})::double, 6)", "mean": "round(avg({c}), 4)"},
         ),
         # Sequences and forecasts
         "make_sequences": f"select * exclude (sequences) from ({_sequences(KEYED_PRICES)})",

@@ -73,6 +73,7 @@ def zero_to_previous(df: DataFrame, columns: Iterable[str] = PRICES, series: Ser
 def clean_bars(df: DataFrame, series: Series = Series(), seq: str = "seq") -> DataFrame:
     """De-duplicate, interpolate, then repair zeros, in that order; the ingest sequence is consumed."""
     rows = dedup_keep_last(df, series, seq).drop(seq)
+    series = series.measured(rows)
     columns = [c for c in numeric_columns(rows) if c not in (*series.keys, series.order)]
     prices = [c for c in PRICES if c in columns]
     return zero_to_previous(interpolate_linear(rows, columns, series), prices, series)

@@ -46,17 +46,20 @@ def _fits(span: float, cell: int) -> bool:
 
 def start_levels(lane: Lane, source: str) -> Levels:
     """``_starts_<source>``: the row holds the first value of its series."""
-    before = f"_{source}_before"
-    in_middle = F.col("_has_before") & F.col(before).isNull()
+    in_middle = F.col("_has_before") & F.col(_before(source)).isNull()
     return [
         {
             "_has_before": F.lag(F.lit(True), 1, False).over(lane.window),
-            before: F.lag(source).over(lane.window),
+            _before(source): F.lag(source).over(lane.window),
         },
         {f"_starts_{source}": F.col(source).isNotNull() & ((F.col("_rn") == 0) | in_middle)},
     ]
 
 
+def _before(source: str) -> str:
+    return f"_{source}_before"
+
+
 def cell_name(cell: int) -> str:
     return f"_cell_{cell}"
 
@@ -65,8 +68,12 @@ def cell_level(cell: int) -> dict:
     return {cell_name(cell): F.floor(F.col("_rn") / cell).cast("long")}
 
 
-def mean_levels(lane: Lane, means: dict[str, tuple[str, float]], cell: int, starts: str) -> Levels:
-    """Means on cells that are already numbered; ``starts`` marks where each series begins."""
+def mean_levels(lane: Lane, means: dict[str, tuple[str, float]], cell: int, origin: str) -> Levels:
+    """Means on cells that are already numbered.
+
+    ``origin`` is the column whose start and gaps hold for the sources too: a source itself, or the
+    column all of them are computed from.
+    """
     number = cell_name(cell)
     order = F.col(lane.order).asc_nulls_last()
     running = Window.partitionBy(*lane.by, number).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
@@ -78,13 +85,15 @@ def mean_levels(lane: Lane, means: dict[str, tuple[str, float]], cell: int, star
         if q == 0:
             result[name] = x
             continue
-        share = F.when(F.col(starts), x).otherwise(x * (1 - q))
+        share = F.when(F.col(f"_starts_{origin}"), x).otherwise(x * (1 - q))
         weighted[f"_weighted_{name}"] = share * F.pow(F.lit(q), -place)
         sums[f"_sum_{name}"] = F.sum(f"_weighted_{name}").over(running)
         # The running sum at the end of the cell before.
         earlier[f"_carry_{name}"] = F.max_by(f"_sum_{name}", lane.order).over(one_cell_back)
         carried = F.coalesce(F.col(f"_carry_{name}"), F.lit(0.0)) * (q**cell)
-        result[name] = F.when(x.isNotNull(), F.pow(F.lit(q), place) * (F.col(f"_sum_{name}") + carried))
+        mean = F.pow(F.lit(q), place) * (F.col(f"_sum_{name}") + carried)
+        gap = F.raise_error(F.lit(f"{name}: {source} has a gap after its first value; interpolate it first"))
+        result[name] = F.when(x.isNotNull(), mean).when(F.col(_before(origin)).isNotNull(), gap.cast("double"))
     return [weighted, sums, earlier, result]
 
 
@@ -92,7 +101,7 @@ def add_ewm(df: DataFrame, lane: Lane, means: dict[str, tuple[str, float]]) -> D
     """Add one column per ``name: (source, span)``; needs ``_rn``.
 
     Rows before the first value of the source stay NULL and the first value starts the mean. After that
-    the source must have no gaps (see clean.interpolate_linear).
+    the source must have no gaps (see clean.interpolate_linear); a gap raises when the query runs.
     """
     df = add_levels(df, *[start_levels(lane, source) for source in dict.fromkeys(s for s, _ in means.values())])
     cell = cell_rows(max(span for _, span in means.values()))
@@ -101,7 +110,7 @@ def add_ewm(df: DataFrame, lane: Lane, means: dict[str, tuple[str, float]]) -> D
         size = cell if _fits(span, cell) else cell_rows(span)
         groups.setdefault((source, size), {})[name] = (source, span)
     for (source, size), group in groups.items():
-        df = add_levels(df, [cell_level(size), *mean_levels(lane, group, size, f"_starts_{source}")])
+        df = add_levels(df, [cell_level(size), *mean_levels(lane, group, size, source)])
     return df
 
 

@@ -12,7 +12,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.plans.series import Lane, Series, over_series
+from tickloom.plans.series import Lane, Series, lookup, over_series
 from tickloom.session import materialise
 
 PRICES_BY_TIME = Series(order="timestamp")
@@ -212,12 +212,14 @@ def walk_forward_lr(
     """
     sequences = materialise(make_sequences(df, series, rows, price), "sequences")
     scalers = materialise(fold_scalers(df, series, rows, folds, price), "scalers")
+    known = scalers.count()
     low, high = F.col("price_min"), F.col("price_max")
     scale = lambda x: minmax(x, low, high)
     model = LinearRegression(featuresCol="vector", labelCol="scaled", predictionCol="forecast", solver="normal")
     out = None
     for f in range(folds):
-        fold = sequences.join(scalers.filter(F.col("fold") == f), list(series.keys))
+        scaler = scalers.filter(F.col("fold") == f)
+        fold = lookup(sequences, scaler, list(series.keys), known).filter(F.col("start").isNotNull())
         ready = fold.withColumns(
             {"vector": array_to_vector(F.transform("features", scale)), "scaled": scale(F.col("label"))}
         )

@@ -153,49 +153,43 @@ def class_balance(labels: DataFrame, column: str = "target", limit: float = 0.4)
     )
 
 
-def _per_column(df: DataFrame, columns: list[str], values: dict[str, object]) -> DataFrame:
-    """One aggregate row turned into one row per column, with its 1-based place."""
-    rows = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(c).alias("feature"),
-            *[make(F.col(c)).alias(name) for name, make in values.items()],
-        )
+def _long(df: DataFrame, columns: list[str], *kept: Column) -> DataFrame:
+    """One row per row and column: its 1-based place, name and value."""
+    cells = [
+        F.struct(F.lit(i).alias("position"), F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
         for i, c in enumerate(columns, 1)
     ]
-    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+    return df.select(*kept, F.inline(F.array(*cells)))
+
+
+def _statistics(df: DataFrame, columns: Iterable[str], first: int, **measures: Column) -> DataFrame:
+    """Statistics of the first columns.
+
+    The long form keeps the aggregate at a few buffers per column however wide the table is; it is reduced
+    to one row per column before the shuffle.
+    """
+    named = [measure.alias(name) for name, measure in measures.items()]
+    return _long(df, list(columns)[:first]).groupBy("position", "feature").agg(*named)
 
 
 def describe_features(df: DataFrame, columns: Iterable[str], first: int = 15) -> DataFrame:
-    measures = {
-        "mean": lambda c: F.avg(c),
-        "std": lambda c: F.stddev_samp(c),
-        "min": lambda c: F.min(c).cast("double"),
-        "max": lambda c: F.max(c).cast("double"),
-    }
-    return _per_column(df, list(columns)[:first], measures)
+    return _statistics(
+        df, columns, first, mean=F.avg("value"), std=F.stddev_samp("value"), min=F.min("value"), max=F.max("value")
+    )
 
 
 def feature_ranges(df: DataFrame, columns: Iterable[str], first: int = 10) -> DataFrame:
-    measures = {
-        "min": lambda c: F.min(c).cast("double"),
-        "max": lambda c: F.max(c).cast("double"),
-        "mean": lambda c: F.avg(c),
-    }
-    return _per_column(df, list(columns)[:first], measures)
+    return _statistics(df, columns, first, min=F.min("value"), max=F.max("value"), mean=F.avg("value"))
 
 
 def target_correlation(df: DataFrame, label: str = S.LABEL, columns: Iterable[str] | None = None) -> DataFrame:
     """Pearson correlation of every numeric column with the label over rows where both are known."""
     columns = list(columns or numeric_columns(df))
-
-    def pearson(c: Column) -> Column:
-        both = c.isNotNull() & F.col(label).isNotNull()
-        x, y = F.when(both, c.cast("double")), F.when(both, F.col(label).cast("double"))
-        value = F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
-        return F.when(~F.isnan(value), value)
-
-    return _per_column(df, columns, {"correlation": pearson})
+    both = F.col("value").isNotNull() & F.col("_label").isNotNull()
+    x, y = F.when(both, F.col("value")), F.when(both, F.col("_label"))
+    value = F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+    long = _long(df, columns, F.col(label).cast("double").alias("_label"))
+    return long.groupBy("position", "feature").agg(F.when(~F.isnan(value), value).alias("correlation"))
 
 
 def top_k_correlation(correlations: DataFrame, k: int = 15, label: str = S.LABEL) -> DataFrame:
@@ -218,18 +212,27 @@ def top_k_correlation(correlations: DataFrame, k: int = 15, label: str = S.LABEL
     return picked.select("_end.side", "_end.place", "feature", "correlation")
 
 
+def _counts(df: DataFrame, columns: list[str], name: str, condition) -> DataFrame:
+    """How often a condition holds per column; every column has a row, also for an empty table."""
+    counts = [
+        F.struct(F.lit(i).alias("position"), F.lit(c).alias("feature"), F.count_if(condition(F.col(c))).alias(name))
+        for i, c in enumerate(columns, 1)
+    ]
+    return df.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
+
+
 def nan_census(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Missing values per column, and their total as the row with place 0."""
-    columns = list(columns)
-    counted = _per_column(df, columns, {"missing": lambda c: F.count_if(c.isNull())})
+    counted = _counts(df, list(columns), "missing", lambda c: c.isNull())
     total = counted.agg(F.lit(0).alias("position"), F.lit("total").alias("feature"), F.sum("missing").alias("missing"))
     return counted.unionByName(total)
 
 
 def inf_census(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     infinite = F.lit(float("inf"))
-    columns = list(columns or numeric_columns(df))
-    return _per_column(df, columns, {"infinite": lambda c: F.count_if(F.abs(c.cast("double")) == infinite)})
+    return _counts(
+        df, list(columns or numeric_columns(df)), "infinite", lambda c: F.abs(c.cast("double")) == infinite
+    )
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:

@@ -95,9 +95,9 @@ def macd_levels(lane: Lane, cell: int) -> Levels:
     fast, slow = S.EMA_SPANS
     means = {f"ema_{n}": ("close", n) for n in S.EMA_SPANS}
     return [
-        *mean_levels(lane, means, cell, "_starts_close"),
+        *mean_levels(lane, means, cell, "close"),
         {"macd": F.col(f"ema_{fast}") - F.col(f"ema_{slow}")},
-        *mean_levels(lane, {"macd_signal": ("macd", S.SIGNAL_SPAN)}, cell, "_starts_close"),
+        *mean_levels(lane, {"macd_signal": ("macd", S.SIGNAL_SPAN)}, cell, "close"),
         {"macd_histogram": F.col("macd") - F.col("macd_signal")},
     ]
 

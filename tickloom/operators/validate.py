@@ -86,6 +86,7 @@ def validate_bars(df: DataFrame, series: Series = Series()) -> DataFrame:
         F.count_if(F.col("high") < F.col("low")).alias("high_low"),
         F.count_if(F.col("volume") == 0).alias("zero_volume"),
     )
+    series = series.measured(df)
     limits = {"negative": 0, "high_low": 0, "zero_volume": MAX_ZERO_VOLUME_ROWS}
     rules = [
         F.struct(

@@ -43,7 +43,9 @@ class FeatureRun:
 
 
 def run_features(raw: DataFrame, path: str, series: Series = Series(), seq: str = "seq") -> FeatureRun:
-    """Clean, build features, split and write the bundle. The feature table is written once and reused."""
-    features = materialise(feature_table(clean_bars(raw, series, seq), series), "features")
+    """Clean, build features, split and write the bundle. The clean and the feature table are each written once and reused."""
+    clean = materialise(clean_bars(raw, series, seq), "clean")
+    series = series.measured(clean)
+    features = materialise(feature_table(clean, series), "features")
     prepared = prepare_dataset(features, series)
     return FeatureRun(features, prepared, write_bundle(prepared, path, series))

@@ -32,16 +32,28 @@ class Series:
     """Names the series and bounds the rows of one series that a single task may hold.
 
     ``one_row_per_day`` states that a series has at most one row per calendar day, which proves the
-    bound and saves the counting job. ``materialise`` writes a derived input to the shared folder before
-    a long series is split, because the split reads its input several times.
+    bound; ``fits`` states that ``measured`` has checked it. Both save a counting job per operator.
+    ``materialise`` writes a derived input to the shared folder before a long series is split, because
+    the split reads its input several times.
     """
 
     keys: tuple[str, ...] = ("series_key",)
     order: str = "date"
     block_rows: int = 4_000_000
     one_row_per_day: bool = False
+    fits: bool = False
     materialise: bool = True
 
+    @property
+    def bounded(self) -> bool:
+        return self.fits or (self.one_row_per_day and self.block_rows >= CALENDAR_DAYS)
+
+    def measured(self, df: DataFrame) -> Series:
+        """Count once for several operators on ``df`` or on subsets of its rows."""
+        if self.bounded or long_series(df, self).count():
+            return self
+        return replace(self, fits=True)
+
 
 DAILY = Series(one_row_per_day=True)
 
@@ -88,6 +100,8 @@ class Arranged:
     df: DataFrame
     series: Series
     split: bool
+    # Most blocks the split series can have.
+    blocks: int = 0
 
 
 def lookup(df: DataFrame, table: DataFrame, names: list[str], rows: int | None) -> DataFrame:
@@ -114,11 +128,9 @@ def _axis(df: DataFrame, order: str) -> Column:
     return F.coalesce(value.cast("double"), F.lit(float("inf")))
 
 
-def _long_series(df: DataFrame, series: Series) -> tuple[DataFrame, int, int]:
-    """Series longer than a block, how many there are, and the rows they hold."""
-    long = df.groupBy(*series.keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > series.block_rows)
-    found = long.agg(F.count(F.lit(1)).alias("series"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows")).first()
-    return long, found["series"], found["rows"]
+def long_series(df: DataFrame, series: Series) -> DataFrame:
+    """Series longer than a block, with their rows. Counts combine map-side, so no series gathers anywhere."""
+    return df.groupBy(*series.keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > series.block_rows)
 
 
 def arrange(df: DataFrame, series: Series, weight: str | None = None, number: bool = True) -> Arranged:
@@ -127,14 +139,16 @@ def arrange(df: DataFrame, series: Series, weight: str | None = None, number: bo
     With ``weight`` a row stands for that many equal rows. ``number=False`` leaves both out when no
     series has to be split, for operators that need only the ordering.
     """
-    proven = series.one_row_per_day and series.block_rows >= CALENDAR_DAYS
-    if not proven:
-        long, count, rows = _long_series(df, series)
-        if count:
+    if not series.bounded:
+        counted = long_series(df, series)
+        found = counted.agg(F.count(F.lit(1)).alias("series"), F.sum("_rows").alias("rows")).first()
+        if found["series"]:
             if series.materialise:
                 df = materialise(df, "series")
-                long, count, rows = _long_series(df, series)
-            return Arranged(_number_split(df, series, weight, long, count, rows), series, True)
+            long = materialise(long_series(df, series), "long")
+            numbered = _number_split(df, series, weight, long, found["series"], found["rows"])
+            blocks = found["rows"] // series.block_rows + found["series"]
+            return Arranged(numbered, series, True, blocks)
     if not number:
         return Arranged(df, series, False)
     whole = Window.partitionBy(*series.keys)
@@ -271,14 +285,16 @@ def known_neighbours(arranged: Arranged, columns: list[str], after: bool = True)
         place = F.when(F.col(c).isNotNull(), F.col("_rn"))
         pair = F.struct(F.col("_rn").alias("at"), F.col(c).alias("value"))
         ends += [F.max_by(pair, place).alias(f"_last_{c}"), F.min_by(pair, place).alias(f"_first_{c}")]
-    blocks = blocked.groupBy(*keys, "_block").agg(*ends)
+    # Only series of several blocks have anything to hand over.
+    several = blocked.filter(F.col("_n") > series.block_rows)
+    blocks = several.groupBy(*keys, "_block").agg(*ends)
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     behind = Window.partitionBy(*keys).orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
     carried = {f"_carry_prev_{c}": F.last(f"_last_{c}", True).over(before) for c in columns}
     if after:
         carried |= {f"_carry_next_{c}": F.last(f"_first_{c}", True).over(behind) for c in columns}
     table = blocks.withColumns(carried).select(*keys, "_block", *carried)
-    joined = lookup(blocked, table, [*keys, "_block"], None)
+    joined = lookup(blocked, table, [*keys, "_block"], arranged.blocks)
     out = build(joined, Lane((*series.keys, "_block"), "_rn", True))
     for side in ("_next", "_prev") if after else ("_prev",):
         out = out.withColumns({f"{side}_{c}": F.coalesce(f"{side}_{c}", f"_carry{side}_{c}") for c in columns})

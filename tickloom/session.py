@@ -19,14 +19,20 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Settings fixed when a session starts.
+START = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    # Recording the Python call site of every column expression costs more than planning a wide feature table.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def build_session(master: str | None = None, **settings: str) -> SparkSession:
-    builder = SparkSession.builder.appName("tickloom").config("spark.ui.enabled", "false").config(
-        "spark.ui.showConsoleProgress", "false"
-    )
+    builder = SparkSession.builder.appName("tickloom")
     if master:
         builder = builder.master(master)
-    for name, value in {**SETTINGS, **settings}.items():
+    for name, value in {**START, **SETTINGS, **settings}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 
