@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tests.frames import closes, random_bars
 from tickloom import schema as S
 from tickloom.operators import dataset, forecast, profile, validate
-from tickloom.plans.pipeline import feature_table, ingest, run_features
+from tickloom.plans.flows import feature_table, ingest, run_features
 from tickloom.plans.series import Series
 
 

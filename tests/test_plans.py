@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tickloom.catalog import tables as t
 from tickloom.operators import calendar, clean, technical
-from tickloom.plans.pipeline import feature_table
+from tickloom.plans.flows import feature_table
 from tickloom.plans.series import DAILY, Series
 
 FOLDER = "/root/testdata/sf0.001"

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.frames import random_bars
 from tickloom.operators import clean, dataset, ema, forecast, profile, target, technical, validate
-from tickloom.plans.pipeline import feature_table
+from tickloom.plans.flows import feature_table
 from tickloom.plans.series import Series, arrange, long_series
 
 LENGTHS = {"hot": 3000, "cold": 260, "tiny": 3, "single": 1}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tickloom import schema as S
 from tickloom.catalog.places import PLACES
+from tickloom.catalog.tables import PRIORITIES
 
 
 def _bars(key: str, table: str = "orders", date: str = "cast(o_orderdate as date)", price: str = "o_totalprice",
@@ -412,10 +413,11 @@ def oracle_sql() -> dict[str, str]:
             max(high) as max_high, min(low) as min_low, cast(7 as integer) as columns from ({KEYED})""",
         "price_report": f"""select count(*) as "rows", max(high) as max_high, min(low) as min_low, round(avg(close), 6) as mean_close,
             round(stddev_samp(close), 4) as std_close from ({KEYED})""",
-        "quote_vs_mean": f"""with m as (select avg(close) as mean from ({DAILY}))
-            select quote_id, price_usd, round(mean, 4) as mean_close, case when price_usd > mean then '+' else '-' end as sign,
+        "quote_vs_mean": f"""with m as (select series_key, avg(close) as mean from ({KEYED}) group by 1),
+            q as (select *, {list(PRIORITIES)}[quote_id % 5 + 1] as series_key from ({QUOTES}))
+            select series_key, quote_id, price_usd, round(mean, 4) as mean_close, case when price_usd > mean then '+' else '-' end as sign,
             round(abs(price_usd - mean), 4) as difference, round(abs((price_usd - mean) / mean * 100), 6) as percent
-            from ({QUOTES}), m""",
+            from q join m using (series_key)""",
         "feature_report": f"""{PREPARED}, sizes as (select count(*) filter (where split = 'train') as train,
             count(*) filter (where split = 'test') as test from prepared),
             b as (select count(*) as n, sum(target_direction) as up, avg((close / target_next_close - 1) * 100) as pct from features)

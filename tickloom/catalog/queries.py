@@ -15,7 +15,7 @@ from tickloom.catalog import tables as t
 from tickloom.catalog.places import BANDS, EMA, MACD, PLACES, SMA, VOLATILITY, all_to
 from tickloom.functions import rolling, scalars
 from tickloom.operators import calendar, clean, dataset, ema, forecast, profile, target, technical, validate
-from tickloom.plans.pipeline import feature_table
+from tickloom.plans.flows import feature_table
 from tickloom.plans.series import DAILY, Lane, Series, over_series
 from tickloom.session import new_path
 from tickloom.sources import payloads, readers, writers
@@ -500,9 +500,8 @@ def price_report(spark, folder):
 
 @query
 def quote_vs_mean(spark, folder):
-    quotes = t.quotes(spark, folder).withColumn("series_key", F.lit("ALL"))
-    made = profile.quote_vs_mean(quotes, t.bars_daily(spark, folder))
-    return rounded(made, {"mean_close": 4, "difference": 4, "percent": 6}).drop("series_key", "timestamp")
+    made = profile.quote_vs_mean(t.quotes_keyed(spark, folder), t.bars_keyed(spark, folder))
+    return rounded(made, {"mean_close": 4, "difference": 4, "percent": 6}).drop("timestamp")
 
 
 @query

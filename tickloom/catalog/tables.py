@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tickloom.sources.bars import bars_from_ticks
 
 
+# The order priorities of the given tables.
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
 def given(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -96,6 +100,12 @@ def quotes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def quotes_keyed(spark: SparkSession, folder: str) -> DataFrame:
+    """Quotes spread over the series of the keyed bars."""
+    names = F.array(*[F.lit(name) for name in PRIORITIES])
+    return quotes(spark, folder).withColumn("series_key", F.element_at(names, (F.col("quote_id") % 5 + 1).cast("int")))
+
+
 def quote_records(spark: SparkSession, folder: str) -> DataFrame:
     """Quotes with all recorded fields."""
     value = F.col("value")

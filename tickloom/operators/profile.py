@@ -57,32 +57,37 @@ def feature_report(features: DataFrame, prepared: DataFrame) -> DataFrame:
     sizes = prepared.agg(
         F.count_if(F.col("split") == "train").alias("train"), F.count_if(F.col("split") == "test").alias("test")
     )
-    up, rows = F.sum(S.LABEL), _rows()
     balance = features.agg(
-        rows.alias("rows"),
-        up.alias("up"),
+        _rows().alias("rows"),
+        F.sum(S.LABEL).alias("up"),
         F.avg("target_pct_change").alias("mean_pct_change"),
     )
-    both = sizes.withColumn("_one", F.lit(1)).join(balance.withColumn("_one", F.lit(1)), "_one")
-    total = F.col("train") + F.col("test")
-    metrics = {
-        "features": F.lit(len(feature_names(features))),
-        "technical_features": F.lit(sum(c in S.TECHNICAL for c in features.columns)),
-        "calendar_features": F.lit(sum(c in S.CALENDAR for c in features.columns)),
-        "train_rows": F.col("train"),
-        "test_rows": F.col("test"),
-        "train_percent": F.try_divide(F.col("train") * 100.0, total),
-        "test_percent": F.try_divide(F.col("test") * 100.0, total),
-        "days_up": F.col("up"),
-        "days_down": F.col("rows") - F.col("up"),
-        "percent_up": F.try_divide(F.col("up") * 100.0, F.col("rows")),
-        "percent_down": F.try_divide((F.col("rows") - F.col("up")) * 100.0, F.col("rows")),
-        "mean_pct_change": F.col("mean_pct_change"),
-    }
-    rows_out = [
-        F.struct(F.lit(name).alias("metric"), value.cast("double").alias("value")) for name, value in metrics.items()
-    ]
-    return both.select(F.inline(F.array(*rows_out)))
+    total, up, rows = F.col("train") + F.col("test"), F.col("up"), F.col("rows")
+    return _metrics(
+        sizes,
+        features=F.lit(len(feature_names(features))),
+        technical_features=F.lit(sum(c in S.TECHNICAL for c in features.columns)),
+        calendar_features=F.lit(sum(c in S.CALENDAR for c in features.columns)),
+        train_rows=F.col("train"),
+        test_rows=F.col("test"),
+        train_percent=F.try_divide(F.col("train") * 100.0, total),
+        test_percent=F.try_divide(F.col("test") * 100.0, total),
+    ).unionByName(
+        _metrics(
+            balance,
+            days_up=up,
+            days_down=rows - up,
+            percent_up=F.try_divide(up * 100.0, rows),
+            percent_down=F.try_divide((rows - up) * 100.0, rows),
+            mean_pct_change=F.col("mean_pct_change"),
+        )
+    )
+
+
+def _metrics(row: DataFrame, **values: Column) -> DataFrame:
+    """One aggregate row as ``(metric, value)`` rows."""
+    made = [F.struct(F.lit(name).alias("metric"), value.cast("double").alias("value")) for name, value in values.items()]
+    return row.select(F.inline(F.array(*made)))
 
 
 def rsi_stats(df: DataFrame, column: str = "rsi_14") -> DataFrame:
@@ -109,7 +114,7 @@ def volatility_stats(df: DataFrame) -> DataFrame:
     return df.agg(*[F.avg(f"volatility_{n}").alias(f"mean_volatility_{n}") for n in S.VOLATILITY_ROWS])
 
 
-def exact_median(df: DataFrame, column: str, keys: Iterable[str] = (), block_rows: int = 4_000_000) -> DataFrame:
+def exact_median(df: DataFrame, column: str, keys: Iterable[str] = (), block_rows: int = 1_000_000) -> DataFrame:
     """Median per key (or overall) without gathering a group: values are counted, then ranked across tasks."""
     keys = tuple(keys)
     grouped = keys or ("_all",)
@@ -122,7 +127,7 @@ def exact_median(df: DataFrame, column: str, keys: Iterable[str] = (), block_row
     return middle.groupBy(*grouped).agg(((F.min(column) + F.max(column)) / 2).alias("median")).drop("_all")
 
 
-def target_profile(df: DataFrame, block_rows: int = 4_000_000) -> DataFrame:
+def target_profile(df: DataFrame, block_rows: int = 1_000_000) -> DataFrame:
     """Up/down counts (missing labels in neither) and the spread of the percent target."""
     x, up = F.col("target_pct_change"), F.sum(S.LABEL)
     spread = df.agg(
@@ -134,8 +139,9 @@ def target_profile(df: DataFrame, block_rows: int = 4_000_000) -> DataFrame:
         F.min(x).alias("min"),
     )
     middle = exact_median(df, "target_pct_change", block_rows=block_rows)
-    one = F.lit(1)
-    return spread.withColumn("_one", one).join(middle.withColumn("_one", one), "_one", "left").drop("_one")
+    # One row each: stacked, and merged by taking the known value of every column.
+    both = spread.unionByName(middle, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def class_balance(labels: DataFrame, column: str = "target", limit: float = 0.4) -> DataFrame:

@@ -20,8 +20,6 @@ from pyspark.sql import types as T
 
 from tickloom.session import materialise
 
-# Days in the years 1 to 9999, the range of a Spark DATE: the most rows one series of daily bars can have.
-CALENDAR_DAYS = 3_652_059
 # Lookup tables up to this many rows are broadcast; larger ones are joined through a shuffle.
 BROADCAST_ROWS = 200_000
 MAX_SLICES = 20_000
@@ -31,22 +29,23 @@ MAX_SLICES = 20_000
 class Series:
     """Names the series and bounds the rows of one series that a single task may hold.
 
-    ``one_row_per_day`` states that a series has at most one row per calendar day, which proves the
-    bound; ``fits`` states that ``measured`` has checked it. Both save a counting job per operator.
+    ``one_row_per_day`` states that a series has at most one row per calendar day. That proves a bound: a
+    century is 36,525 rows, and all the days a DATE can hold are 3.7 million. ``fits`` states that
+    ``measured`` has checked the length. Both save a counting job per operator.
     ``materialise`` writes a derived input to the shared folder before a long series is split, because
     the split reads its input several times.
     """
 
     keys: tuple[str, ...] = ("series_key",)
     order: str = "date"
-    block_rows: int = 4_000_000
+    block_rows: int = 1_000_000
     one_row_per_day: bool = False
     fits: bool = False
     materialise: bool = True
 
     @property
     def bounded(self) -> bool:
-        return self.fits or (self.one_row_per_day and self.block_rows >= CALENDAR_DAYS)
+        return self.fits or self.one_row_per_day
 
     def measured(self, df: DataFrame) -> Series:
         """Count once for several operators on ``df`` or on subsets of its rows."""
@@ -263,6 +262,7 @@ def known_neighbours(arranged: Arranged, columns: list[str], after: bool = True)
 
     ``steps`` counts rows between; without ``after`` only the backward look is built. In a split series
     each block hands its outermost known values to the other blocks through a one-row-per-block table.
+    The numbered rows are read twice for that, so they are written to the shared folder in between.
     """
     series = arranged.series
 
@@ -279,7 +279,7 @@ def known_neighbours(arranged: Arranged, columns: list[str], after: bool = True)
         return build(arranged.df, Lane(series.keys, series.order, False))
 
     keys = list(series.keys)
-    blocked = arranged.df.withColumn("_block", _block_of(series))
+    blocked = materialise(arranged.df, "numbered").withColumn("_block", _block_of(series))
     ends = []
     for c in columns:
         place = F.when(F.col(c).isNotNull(), F.col("_rn"))
@@ -294,8 +294,8 @@ def known_neighbours(arranged: Arranged, columns: list[str], after: bool = True)
     if after:
         carried |= {f"_carry_next_{c}": F.last(f"_first_{c}", True).over(behind) for c in columns}
     table = blocks.withColumns(carried).select(*keys, "_block", *carried)
-    joined = lookup(blocked, table, [*keys, "_block"], arranged.blocks)
-    out = build(joined, Lane((*series.keys, "_block"), "_rn", True))
+    # Joined after the windows: the shuffle by block does not carry what blocks hand over.
+    out = lookup(build(blocked, Lane((*keys, "_block"), "_rn", True)), table, [*keys, "_block"], arranged.blocks)
     for side in ("_next", "_prev") if after else ("_prev",):
         out = out.withColumns({f"{side}_{c}": F.coalesce(f"{side}_{c}", f"_carry{side}_{c}") for c in columns})
         out = _steps(out, columns, side)
