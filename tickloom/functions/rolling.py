@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from tickloom.plans.series import Lane
 
 
-# Frames up to this many rows are summed directly.
+# Frames up to this many rows are summed directly, unless they share the pieces of other frames.
 SHORT_FRAME = 32
+# Piece lengths tried first, so that frames of 14, 20, 21, 30, 50 or 200 rows share their pieces.
+SHARED_PIECES = (10, 7)
+MAX_SHARED = 20
 
 
 def _full(x: Column, n: int, lane: Lane, value: Column) -> Column:
@@ -33,15 +36,21 @@ def frame_pieces(n: int) -> list[tuple[int, int]]:
     """Cut a frame of ``n`` rows into (rows, rows back) pieces, most of them of one length.
 
     Spark adds up a sliding frame anew for every row. A long frame is therefore the sum of short frames
-    taken at earlier rows: about ``2 * sqrt(n)`` steps per row in place of ``n``.
+    taken at earlier rows, a look each: in the order of ``sqrt(n)`` steps per row in place of ``n``.
     """
-    if n <= SHORT_FRAME:
+    piece = _shared_piece(n)
+    if piece is None and n <= SHORT_FRAME:
         return [(n, 0)]
-    piece = min(range(2, n), key=lambda c: c + 2 * (n // c) + n % c)
+    if piece is None:
+        piece = min(range(2, n), key=lambda c: 2 * c + n // c + n % c)
     rest = n % piece
     return [(piece, k * piece) for k in range(n // piece)] + ([(rest, n - rest)] if rest else [])
 
 
+def _shared_piece(n: int) -> int | None:
+    return next((c for c in SHARED_PIECES if n % c == 0 and n // c <= MAX_SHARED), None)
+
+
 def _piece(name: str, back: int) -> Column:
     return F.col(f"{name}_{back}" if back else name)
 
@@ -75,7 +84,8 @@ def rolling_std_levels(column: str, deviations: dict[str, int], lane: Lane) -> l
     """
     frames, earlier, results = {}, {}, {}
     for name, n in deviations.items():
-        rows = min((c for c in range(2, n + 1) if n % c == 0), key=lambda c: c + 4 * (n // c), default=n)
+        divisors = [c for c in range(2, n + 1) if n % c == 0]
+        rows = _shared_piece(n) or min(divisors, key=lambda c: 2 * c + 2 * (n // c), default=n)
         total, spread = f"_sum_{column}_{rows}", f"_var_{column}_{rows}"
         frames[total] = rolling_sum(F.col(column), rows, lane)
         frames[spread] = F.var_pop(column).over(lane.last_rows(rows))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom import schema as S
-from tickloom.functions.rolling import ratio, rolling_mean, rolling_mean_levels, rolling_std_levels, row_max, shift, where
+from tickloom.functions.rolling import ratio, rolling_mean_levels, rolling_std_levels, row_max, shift, where
 from tickloom.operators.ema import cell_level, cell_name, cell_rows, look_back, mean_levels, start_levels
 from tickloom.plans.series import Lane, Series, over_series
 from tickloom.plans.stages import Levels, add_levels
@@ -23,6 +23,10 @@ def _look(lane: Lane) -> dict:
     return {"_close_before": shift(F.col("close"), 1, lane)}
 
 
+def _joined(one: Levels, other: Levels) -> Levels:
+    return [a | b for a, b in zip(one, other, strict=True)]
+
+
 def sma_levels(lane: Lane, spans: Iterable[int] = S.SMA_SPANS) -> Levels:
     return [{}, {}, *rolling_mean_levels("close", {f"sma_{n}": n for n in spans}, lane)]
 
@@ -36,23 +40,21 @@ def rsi_levels(lane: Lane, n: int = S.RSI_ROWS) -> Levels:
     return [
         _look(lane),
         {"_gain": where(delta, delta > 0, 0.0), "_loss": where(-delta, delta < 0, 0.0)},
-        # A gain is known on every row, so a full frame of gains is a full frame of losses.
-        {
-            "_mean_gain": rolling_mean(F.col("_gain"), n, lane),
-            "_mean_loss": F.sum("_loss").over(lane.last_rows(n)) / n,
-        },
+        *_joined(
+            rolling_mean_levels("_gain", {"_mean_gain": n}, lane), rolling_mean_levels("_loss", {"_mean_loss": n}, lane)
+        ),
         {f"rsi_{n}": F.when(loss == 0, only_gains).otherwise(strength)},
     ]
 
 
 def bollinger_levels(lane: Lane, n: int = S.BAND_ROWS, width: float = S.BAND_WIDTH) -> Levels:
     reach = F.col("_deviation") * width
-    mean = rolling_mean_levels("close", {"bb_middle": n}, lane)
-    deviation = rolling_std_levels("close", {"_deviation": n}, lane)
     return [
         {},
         {},
-        *(one | other for one, other in zip(mean, deviation)),
+        *_joined(
+            rolling_mean_levels("close", {"bb_middle": n}, lane), rolling_std_levels("close", {"_deviation": n}, lane)
+        ),
         {"bb_upper": F.col("bb_middle") + reach, "bb_lower": F.col("bb_middle") - reach},
         {"bb_width": F.col("bb_upper") - F.col("bb_lower")},
     ]
@@ -73,7 +75,7 @@ def atr_levels(lane: Lane, n: int = S.ATR_ROWS) -> Levels:
     return [
         _look(lane),
         {"_range": row_max(high - low, F.abs(high - before), F.abs(low - before))},
-        {f"atr_{n}": rolling_mean(F.col("_range"), n, lane)},
+        *rolling_mean_levels("_range", {f"atr_{n}": n}, lane),
     ]
 
 
@@ -82,7 +84,7 @@ def volume_levels(lane: Lane, n: int = S.VOLUME_ROWS) -> Levels:
     return [
         {},
         {},
-        {mean: rolling_mean(F.col("volume"), n, lane)},
+        *rolling_mean_levels("volume", {mean: n}, lane),
         {"volume_ratio": ratio(F.col("volume"), F.col(mean))},
     ]
 
