@@ -54,6 +54,9 @@ def test_limits_are_inclusive(spark):
 def test_outliers_skip_missing_closes(spark):
     steps = closes(spark, [100, None, 160, 0, None, 0, 5])
     assert rules(validate.val_outlier_change(steps))["A", "outlier_change"] == (3, False)
+    copies = steps.unionByName(steps).unionByName(steps)
+    assert rules(validate.val_outlier_change(copies))["A", "outlier_change"] == (3, False)
+    assert rules(validate.val_date_gap(copies))["A", "date_gap"] == (1, True)
     assert rules(validate.val_outlier_change(closes(spark, [None])))["A", "outlier_change"] == (0, True)
 
 

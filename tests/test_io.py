@@ -17,13 +17,14 @@ from tickloom.streaming.quotes import sink_quotes, stream_quotes
 
 
 def test_nanosecond_parquet_and_nan(spark, tmp_path):
-    stamps = pd.to_datetime(["2024-01-01 00:00:00.123456789", "2024-01-02 00:00:00.000000000"]).astype("datetime64[ns]")
+    stamps = pd.to_datetime(["2024-01-01 00:00:00.123456789", "1969-12-31 23:59:59.999999999"]).astype("datetime64[ns]")
     frame = pd.DataFrame({"date": stamps, "close": [1.5, np.nan], "volume": [3, 4]})
     path = str(tmp_path / "bars.parquet")
     pq.write_table(pa.Table.from_pandas(frame, preserve_index=False), path, coerce_timestamps=None, version="2.6")
     bars = readers.scan_bars(spark, path, series_key="A").orderBy("date").collect()
-    assert bars[0]["date"] == dt.datetime(2024, 1, 1, 0, 0, 0, 123456)
-    assert bars[1]["close"] is None and bars[1]["open"] is None and bars[1]["volume"] == 4.0
+    assert bars[1]["date"] == dt.datetime(2024, 1, 1, 0, 0, 0, 123456)
+    assert bars[0]["date"] == dt.datetime(1969, 12, 31, 23, 59, 59, 999999)
+    assert bars[0]["close"] is None and bars[0]["open"] is None and bars[0]["volume"] == 4.0
 
 
 def test_parquet_round_trip(spark, tmp_path):
@@ -62,6 +63,15 @@ def test_csv_round_trip_keeps_microseconds(spark, tmp_path):
     assert sorted(map(tuple, readers.scan_csv(spark, path).collect())) == rows
 
 
+def test_csv_of_the_fetcher(spark, tmp_path):
+    (tmp_path / "prices.csv").write_text("timestamp,price\n2023-11-19 01:00:00.000000,36582.37\n2023-11-20 01:00:00,\n")
+    rows = readers.scan_csv(spark, str(tmp_path / "prices.csv"), "A").orderBy("timestamp").collect()
+    assert [tuple(r) for r in rows] == [("A", dt.datetime(2023, 11, 19, 1), 36582.37), ("A", dt.datetime(2023, 11, 20, 1), None)]
+    (tmp_path / "broken.csv").write_text("timestamp,price\nyesterday,1\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        readers.scan_csv(spark, str(tmp_path / "broken.csv"), "A").collect()
+
+
 def test_quote_files_one_indented_document_each(spark, tmp_path):
     for i in range(3):
         quote = {
@@ -98,6 +108,8 @@ def test_market_chart(spark):
     rows = spark.createDataFrame([("A", text)], "series_key string, payload string")
     pairs = payloads.decode_market_chart(rows).orderBy("position").collect()
     assert [p["price"] for p in pairs] == [10.5, 11.0, 12.25]
+    with pytest.raises(Exception, match="no prices in"):
+        payloads.decode_market_chart(rows.withColumn("payload", F.lit("{}"))).collect()
     history = payloads.market_chart_history(rows).orderBy("timestamp").collect()
     assert [h["timestamp"] for h in history] == [dt.datetime(2024, 1, 1, 1), dt.datetime(2024, 1, 2, 1)]
 
@@ -115,7 +127,9 @@ def test_quote_defaults_and_rejects(spark):
 
 def test_ticker(spark):
     rows = spark.createDataFrame([(1, '{"price": "64000.10"}'), (2, '{"price": "x"}')], "i int, payload string")
-    assert [r["price"] for r in payloads.decode_ticker(rows).orderBy("i").collect()] == [64000.1, None]
+    assert [r["price"] for r in payloads.decode_ticker(rows, on_missing="drop").collect()] == [64000.1]
+    with pytest.raises(Exception, match="no price in"):
+        payloads.decode_ticker(rows).collect()
 
 
 def test_empty_input_raises(spark):

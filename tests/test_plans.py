@@ -44,5 +44,7 @@ def test_filter_and_columns_reach_the_scan(spark):
     bars = t.bars_supplier(spark, FOLDER).filter(F.col("series_key") == "3").select("date", "close")
     text = plan(bars)
     assert "l_quantity" not in text and "l_tax" not in text
+    one = feature_table(t.bars_keyed(spark, FOLDER), DAILY).filter(F.col("series_key") == "2-HIGH")
+    assert "EqualTo(o_orderpriority,2-HIGH)" in plan(one)
     dedup = clean.dedup_keep_last(t.bars_dirty(spark, FOLDER))
     assert "SortAggregate" not in plan(dedup)

@@ -91,6 +91,15 @@ def test_series_without_a_key_is_split_too(spark, bars):
     same(made.drop("series_key"), expected.drop("series_key"), ("date",))
 
 
+@pytest.mark.parametrize("block_rows", [64, 1_000_000])
+def test_ties_are_ordered(spark, block_rows):
+    rows = spark.range(600).select(
+        F.lit("A").alias("series_key"), (F.col("id") / 3).cast("long").alias("date"), (-F.col("id")).alias("tie"), F.col("id")
+    )
+    made = clean.sort_by_date(rows, Series(ties=("tie",), block_rows=block_rows)).orderBy("row_no").collect()
+    assert [r["id"] for r in made] == [3 * (i // 3) + 2 - i % 3 for i in range(600)]
+
+
 def test_measured_once(bars):
     assert Series().measured(bars).fits
     assert not Series(block_rows=64).measured(bars).fits

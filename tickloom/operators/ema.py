@@ -75,8 +75,8 @@ def mean_levels(lane: Lane, means: dict[str, tuple[str, float]], cell: int, orig
     column all of them are computed from.
     """
     number = cell_name(cell)
-    order = F.col(lane.order).asc_nulls_last()
-    running = Window.partitionBy(*lane.by, number).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    in_cell = Window.partitionBy(*lane.by, number).orderBy(*lane.ordering)
+    running = in_cell.rowsBetween(Window.unboundedPreceding, 0)
     one_cell_back = Window.partitionBy(*lane.by).orderBy(number).rangeBetween(-1, -1)
     place = F.col("_rn") % cell
     weighted, sums, earlier, result = {}, {}, {}, {}
@@ -89,7 +89,7 @@ def mean_levels(lane: Lane, means: dict[str, tuple[str, float]], cell: int, orig
         weighted[f"_weighted_{name}"] = share * F.pow(F.lit(q), -place)
         sums[f"_sum_{name}"] = F.sum(f"_weighted_{name}").over(running)
         # The running sum at the end of the cell before.
-        earlier[f"_carry_{name}"] = F.max_by(f"_sum_{name}", lane.order).over(one_cell_back)
+        earlier[f"_carry_{name}"] = F.max_by(f"_sum_{name}", "_rn").over(one_cell_back)
         carried = F.coalesce(F.col(f"_carry_{name}"), F.lit(0.0)) * (q**cell)
         mean = F.pow(F.lit(q), place) * (F.col(f"_sum_{name}") + carried)
         gap = F.raise_error(F.lit(f"{name}: {source} has a gap after its first value; interpolate it first"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -60,20 +61,25 @@ def val_date_gap(df: DataFrame, series: Series = Series()) -> DataFrame:
         micros = F.unix_micros(now.cast("timestamp")) - F.unix_micros(before.cast("timestamp"))
         return d.withColumn("gap", F.floor(micros / MICROS_PER_DAY))
 
-    gaps = over_series(df.select(*series.keys, order), series, build, back=1)
+    # Copies of a date leave the gaps as they are and collapse map-side.
+    dates = df.select(*series.keys, order).distinct()
+    gaps = over_series(dates, replace(series, ties=()), build, back=1)
     return _rule(gaps, series, "date_gap", "warning", F.max("gap"), MAX_GAP_DAYS)
 
 
 def val_outlier_change(df: DataFrame, series: Series = Series()) -> DataFrame:
-    """Changes above 50 % between neighbouring known closes; missing closes repeat the one before, so they never count."""
+    """Changes above 50 % between neighbouring known closes; missing closes repeat the one before, so they never count.
+
+    Closes of the same date follow each other by size, copies among them counting once.
+    """
 
     def build(d: DataFrame, lane: Lane) -> DataFrame:
         before, now = shift(F.col("close"), 1, lane), F.col("close")
         jump = F.abs(F.try_divide(now, before) - 1) > MAX_CHANGE
         return d.withColumn("outlier", ((before == 0) & (now != 0)) | jump)
 
-    known = df.select(*series.keys, series.order, "close").filter(F.col("close").isNotNull())
-    flagged = over_series(known, series, build, back=1)
+    known = df.select(*series.keys, series.order, "close").filter(F.col("close").isNotNull()).distinct()
+    flagged = over_series(known, replace(series, ties=("close",)), build, back=1)
     found = _rule(flagged, series, "outlier_change", "warning", F.count_if("outlier"), 0)
     silent = df.groupBy(*series.keys).agg(F.count("close").alias("known")).filter("known = 0")
     return found.unionByName(_rule(silent, series, "outlier_change", "warning", F.lit(0), 0))

@@ -29,6 +29,7 @@ MAX_SLICES = 20_000
 class Series:
     """Names the series and bounds the rows of one series that a single task may hold.
 
+    ``ties`` are further columns that order rows of equal ``order``; without them such rows have no order.
     ``one_row_per_day`` states that a series has at most one row per calendar day. That proves a bound: a
     century is 36,525 rows, and all the days a DATE can hold are 3.7 million. ``fits`` states that
     ``measured`` has checked the length. Both save a counting job per operator.
@@ -38,11 +39,16 @@ class Series:
 
     keys: tuple[str, ...] = ("series_key",)
     order: str = "date"
+    ties: tuple[str, ...] = ()
     block_rows: int = 1_000_000
     one_row_per_day: bool = False
     fits: bool = False
     materialise: bool = True
 
+    @property
+    def ordering(self) -> list[Column]:
+        return [F.col(c).asc_nulls_last() for c in (self.order, *self.ties)]
+
     @property
     def bounded(self) -> bool:
         return self.fits or self.one_row_per_day
@@ -62,7 +68,7 @@ class Lane:
     """The rows one window sees: whole series, or one block of a series with its copied neighbours."""
 
     by: tuple[str, ...]
-    order: str
+    order: tuple[str, ...]
     split: bool
     # A column that never falls along the order; frames sort by it first and so share its sort.
     cell: str | None = None
@@ -70,18 +76,22 @@ class Lane:
     def in_cells(self, cell: str) -> Lane:
         return replace(self, cell=cell)
 
+    @property
+    def ordering(self) -> list[Column]:
+        return [F.col(c).asc_nulls_last() for c in self.order]
+
     @property
     def window(self) -> WindowSpec:
-        return Window.partitionBy(*self.by).orderBy(F.col(self.order).asc_nulls_last())
+        return Window.partitionBy(*self.by).orderBy(*self.ordering)
 
     @property
     def framed(self) -> WindowSpec:
         first = [self.cell] if self.cell else []
-        return Window.partitionBy(*self.by).orderBy(*first, F.col(self.order).asc_nulls_last())
+        return Window.partitionBy(*self.by).orderBy(*first, *self.ordering)
 
     @property
     def reverse(self) -> WindowSpec:
-        return Window.partitionBy(*self.by).orderBy(F.col(self.order).desc_nulls_first())
+        return Window.partitionBy(*self.by).orderBy(*[F.col(c).desc_nulls_first() for c in self.order])
 
     def last_rows(self, n: int) -> WindowSpec:
         return self.framed.rowsBetween(-(n - 1), 0)
@@ -94,6 +104,14 @@ class Lane:
         return self.reverse.rowsBetween(Window.unboundedPreceding, 0)
 
 
+def whole_lane(series: Series) -> Lane:
+    return Lane(series.keys, (series.order, *series.ties), False)
+
+
+def block_lane(series: Series) -> Lane:
+    return Lane((*series.keys, "_block"), ("_rn",), True)
+
+
 @dataclass(frozen=True)
 class Arranged:
     df: DataFrame
@@ -151,7 +169,7 @@ def arrange(df: DataFrame, series: Series, weight: str | None = None, number: bo
     if not number:
         return Arranged(df, series, False)
     whole = Window.partitionBy(*series.keys)
-    ordered = whole.orderBy(F.col(series.order).asc_nulls_last())
+    ordered = whole.orderBy(*series.ordering)
     if weight:
         start = F.coalesce(F.sum(weight).over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         total = F.sum(weight).over(whole)
@@ -191,7 +209,7 @@ def _number_split(
     )
     placed = lookup(sliced, starts, [*keys, "_slice"], count * (len(inner) + 1))
     within = Window.partitionBy(*keys, "_slice")
-    ordered = within.orderBy(F.col(series.order).asc_nulls_last())
+    ordered = within.orderBy(*series.ordering)
     if weight:
         local = F.coalesce(F.sum(weight).over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         total = F.sum(weight).over(within)
@@ -220,12 +238,12 @@ def over_series(
 ) -> DataFrame:
     """Run ``build`` where each row sees at least ``back`` rows before and ``ahead`` rows after it.
 
-    ``number=True`` makes ``_rn`` and ``_n`` available to ``build``. Helper columns start with an
-    underscore and are removed from the result.
+    ``number=True`` makes ``_rn`` and ``_n`` available to ``build``. Columns that ``build`` adds under a
+    name with a leading underscore are helpers and removed from the result.
     """
     arranged = arrange(df, series, number=number)
     out = build_over(arranged, build, back, ahead)
-    return out.drop(*[c for c in out.columns if c.startswith("_")])
+    return out.drop(*[c for c in out.columns if c.startswith("_") and c not in df.columns])
 
 
 def build_over(
@@ -233,7 +251,7 @@ def build_over(
 ) -> DataFrame:
     series = arranged.series
     if not arranged.split:
-        return build(arranged.df, Lane(series.keys, series.order, False))
+        return build(arranged.df, whole_lane(series))
     size = series.block_rows
     if max(back, ahead) > size:
         raise ValueError(f"block_rows={size} is shorter than the {max(back, ahead)} rows a frame reaches")
@@ -244,7 +262,7 @@ def build_over(
         F.when((offset < ahead) & (home > 0), home - 1),
     )
     spread = arranged.df.withColumn("_block", F.explode(F.filter(copies, lambda b: b.isNotNull())))
-    built = build(spread, Lane((*series.keys, "_block"), "_rn", True))
+    built = build(spread, block_lane(series))
     return built.filter(F.col("_block") == home)
 
 
@@ -276,7 +294,7 @@ def known_neighbours(arranged: Arranged, columns: list[str], after: bool = True)
         return _steps(df, columns, "_prev") if not lane.split else df
 
     if not arranged.split:
-        return build(arranged.df, Lane(series.keys, series.order, False))
+        return build(arranged.df, whole_lane(series))
 
     keys = list(series.keys)
     blocked = materialise(arranged.df, "numbered").withColumn("_block", _block_of(series))
@@ -295,7 +313,7 @@ def known_neighbours(arranged: Arranged, columns: list[str], after: bool = True)
         carried |= {f"_carry_next_{c}": F.last(f"_first_{c}", True).over(behind) for c in columns}
     table = blocks.withColumns(carried).select(*keys, "_block", *carried)
     # Joined after the windows: the shuffle by block does not carry what blocks hand over.
-    out = lookup(build(blocked, Lane((*keys, "_block"), "_rn", True)), table, [*keys, "_block"], arranged.blocks)
+    out = lookup(build(blocked, block_lane(series)), table, [*keys, "_block"], arranged.blocks)
     for side in ("_next", "_prev") if after else ("_prev",):
         out = out.withColumns({f"{side}_{c}": F.coalesce(f"{side}_{c}", f"_carry{side}_{c}") for c in columns})
         out = _steps(out, columns, side)

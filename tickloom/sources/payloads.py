@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import epoch_ms_to_ts, shift_hours
@@ -13,8 +13,12 @@ QUOTE_FIELDS = "MAP<STRING, STRUCT<usd: DOUBLE, usd_24h_vol: DOUBLE, usd_24h_cha
 
 
 def decode_market_chart(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """``{"prices": [[epoch_ms, price], ...]}`` to one row per pair, with its place in the payload."""
+    """``{"prices": [[epoch_ms, price], ...]}`` to one row per pair, with its place in the payload.
+
+    A payload without prices raises while the query runs.
+    """
     parsed = F.from_json(F.col(payload), "prices ARRAY<ARRAY<DOUBLE>>")["prices"]
+    parsed = F.coalesce(parsed, _refuse("no prices", payload).cast("array<array<double>>"))
     rest = [c for c in df.columns if c != payload]
     pairs = df.select(*rest, F.posexplode(parsed).alias("position", "pair"))
     return pairs.select(
@@ -31,6 +35,18 @@ def market_chart_history(df: DataFrame, payload: str = "payload", series: Series
     return complete.withColumn("timestamp", shift_hours(F.col("timestamp"), 1))
 
 
+def _refuse(what: str, payload: str) -> Column:
+    return F.raise_error(F.concat(F.lit(f"{what} in "), F.coalesce(F.col(payload), F.lit("NULL"))))
+
+
+def _checked(df: DataFrame, price: Column, what: str, payload: str, on_missing: str) -> tuple[DataFrame, Column]:
+    if on_missing == "raise":
+        return df, F.coalesce(price, _refuse(what, payload).cast("double"))
+    if on_missing == "drop":
+        return df.filter(price.isNotNull()), price
+    raise ValueError(f"on_missing is 'raise' or 'drop', not {on_missing!r}")
+
+
 def _entity(df: DataFrame, payload: str, entity: str) -> DataFrame:
     return df.withColumn("_entity", F.try_element_at(F.from_json(F.col(payload), QUOTE_FIELDS), F.lit(entity)))
 
@@ -41,15 +57,9 @@ def decode_quote(df: DataFrame, entity: str, payload: str = "payload", on_missin
     A payload without the entity or its price raises while the query runs, or is left out with
     ``on_missing="drop"``; ``rejected_quotes`` lists those.
     """
-    found = _entity(df, payload, entity)
-    price = F.col("_entity.usd")
-    if on_missing == "drop":
-        found = found.filter(price.isNotNull())
-    elif on_missing == "raise":
-        message = F.concat(F.lit(f"no quote of {entity} in "), F.coalesce(F.col(payload), F.lit("NULL")))
-        price = F.when(price.isNotNull(), price).otherwise(F.raise_error(message).cast("double"))
-    else:
-        raise ValueError(f"on_missing is 'raise' or 'drop', not {on_missing!r}")
+    found, price = _checked(
+        _entity(df, payload, entity), F.col("_entity.usd"), f"no quote of {entity}", payload, on_missing
+    )
     zero = F.lit(0.0)
     return found.withColumns(
         {
@@ -65,7 +75,8 @@ def rejected_quotes(df: DataFrame, entity: str, payload: str = "payload") -> Dat
     return _entity(df, payload, entity).filter(F.col("_entity.usd").isNull()).drop("_entity")
 
 
-def decode_ticker(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """``{"price": "<decimal text>"}`` to a number; text that is no number gives NULL."""
-    price = F.get_json_object(F.col(payload), "$.price")
-    return df.withColumn("price", price.try_cast("double")).drop(payload)
+def decode_ticker(df: DataFrame, payload: str = "payload", on_missing: str = "raise") -> DataFrame:
+    """``{"price": "<decimal text>"}`` to a number; a payload without one raises or, with "drop", is left out."""
+    price = F.get_json_object(F.col(payload), "$.price").try_cast("double")
+    found, price = _checked(df, price, "no price", payload, on_missing)
+    return found.withColumn("price", price).drop(payload)

@@ -10,6 +10,7 @@ from tickloom import schema as S
 from tickloom.functions.scalars import nan_to_null
 
 CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+CSV_TIME_READ = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
 def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -28,7 +29,7 @@ def _as_type(field: T.StructField, stored: T.DataType | None) -> Column:
     if stored is None:
         return F.lit(None).cast(field.dataType)
     if isinstance(field.dataType, T.TimestampType) and isinstance(stored, T.LongType):
-        return F.expr(f"timestamp_micros(`{field.name}` div 1000)")
+        return F.expr(f"timestamp_micros((`{field.name}` - pmod(`{field.name}`, 1000)) div 1000)")
     return F.col(field.name).cast(field.dataType)
 
 
@@ -57,12 +58,15 @@ def scan_latest_snapshot(spark: SparkSession, folder: str, prefix: str, schema:
 
 
 def scan_csv(spark: SparkSession, path: str, series_key: str | None = None) -> DataFrame:
-    """Price series with a header line: timestamp and price, and the key unless ``series_key`` gives it."""
+    """Price series with a header line: timestamp and price, and the key unless ``series_key`` gives it.
+
+    A field that does not parse raises when the query runs.
+    """
     fields = [f for f in S.PRICE_SCHEMA if f.name != "series_key"]
     if series_key is None:
         fields = list(S.PRICE_SCHEMA)
-    reader = spark.read.schema(T.StructType(fields)).option("header", True).option("timestampFormat", CSV_TIME)
-    table = nan_to_null(reader.csv(path))
+    reader = spark.read.schema(T.StructType(fields)).option("header", True).option("mode", "FAILFAST")
+    table = nan_to_null(reader.option("timestampFormat", CSV_TIME_READ).csv(path))
     if series_key is not None:
         table = table.withColumn("series_key", F.lit(series_key))
     return table.select(*S.PRICE_SCHEMA.names)
