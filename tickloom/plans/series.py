@@ -22,6 +22,8 @@ from tickloom.session import materialise
 
 # Lookup tables up to this many rows are broadcast; larger ones are joined through a shuffle.
 BROADCAST_ROWS = 200_000
+# Up to this many long series are listed on the driver; a longer list stays a table.
+LISTED_SERIES = 10_000
 MAX_SLICES = 20_000
 
 
@@ -150,6 +152,18 @@ def long_series(df: DataFrame, series: Series) -> DataFrame:
     return df.groupBy(*series.keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > series.block_rows)
 
 
+def _list_long(df: DataFrame, series: Series) -> tuple[DataFrame, int, int]:
+    """The long series, their number and their rows, from one count over ``df``."""
+    found = long_series(df, series)
+    listed = found.limit(LISTED_SERIES + 1).toArrow()
+    if listed.num_rows <= LISTED_SERIES:
+        long = df.sparkSession.createDataFrame(listed, schema=found.schema)
+        return long, listed.num_rows, sum(listed["_rows"].to_pylist())
+    long = materialise(found, "long")
+    total = long.agg(F.count(F.lit(1)).alias("series"), F.sum("_rows").alias("rows")).first()
+    return long, total["series"], total["rows"]
+
+
 def arrange(df: DataFrame, series: Series, weight: str | None = None, number: bool = True) -> Arranged:
     """Add ``_rn``, the 0-based position of a row in its series, and ``_n``, the length of the series.
 
@@ -157,15 +171,12 @@ def arrange(df: DataFrame, series: Series, weight: str | None = None, number: bo
     series has to be split, for operators that need only the ordering.
     """
     if not series.bounded:
-        counted = long_series(df, series)
-        found = counted.agg(F.count(F.lit(1)).alias("series"), F.sum("_rows").alias("rows")).first()
-        if found["series"]:
+        long, count, rows = _list_long(df, series)
+        if count:
             if series.materialise:
                 df = materialise(df, "series")
-            long = materialise(long_series(df, series), "long")
-            numbered = _number_split(df, series, weight, long, found["series"], found["rows"])
-            blocks = found["rows"] // series.block_rows + found["series"]
-            return Arranged(numbered, series, True, blocks)
+            numbered = _number_split(df, series, weight, long, count, rows)
+            return Arranged(numbered, series, True, blocks=rows // series.block_rows + count)
     if not number:
         return Arranged(df, series, False)
     whole = Window.partitionBy(*series.keys)
