@@ -18,8 +18,9 @@ def bars(spark):
     table = random_bars(LENGTHS)
     patchy = table["close"].where(pd.Series(range(len(table)), index=table.index) % 5 != 0)
     patchy[table["series_key"].eq("hot") & table["date"].between("2024-06-01", "2026-06-01")] = None
-    made = spark.createDataFrame(table.assign(patchy=patchy)).withColumn(
-        "patchy", F.when(~F.isnan("patchy"), F.col("patchy"))
+    late = table["close"].where(~table["series_key"].eq("hot") | (table["date"] > "2026-01-01"))
+    made = spark.createDataFrame(table.assign(patchy=patchy, late=late)).withColumns(
+        {c: F.when(~F.isnan(c), F.col(c)) for c in ("patchy", "late")}
     )
     return made.withColumn("broken", F.when(F.col("volume") > 10, F.col("close")).otherwise(0.0))
 
@@ -40,6 +41,7 @@ def same(left, right, keys=("series_key", "date"), places=9):
         (lambda d, s: technical.atr(d, 14, s), 100),
         (lambda d, s: technical.volume_features(d, 20, s), 100),
         (lambda d, s: ema.ewm_mean(d, {"e": ("close", 3), "f": ("close", 20)}, s), 900),
+        (lambda d, s: ema.ewm_mean(d, {"e": ("late", 3), "f": ("late", 20)}, s), 900),
         (lambda d, s: target.targets(d, s), 2),
         (lambda d, s: clean.interpolate_linear(d, ["patchy"], s), 64),
         (lambda d, s: clean.zero_to_previous(d, ["broken"], s), 64),

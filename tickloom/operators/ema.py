@@ -3,8 +3,9 @@
 The recurrence unrolls to a sum with weights that shrink by ``q = 1-a`` per row. Rows are cut into cells
 long enough that a whole cell shrinks a weight by 1e-18. Inside a cell the sum is a running sum of
 ``x * q**-p`` (p = place in the cell) scaled back by ``q**p``. Of earlier cells the last is enough: what
-lies before it weighs less than the resolution of a double. So the mean needs only ``LOOK_BACK_CELLS``
-cells of history, and a long series can be cut into blocks like any rolling window.
+lies before it weighs less than the resolution of a double, relative to the largest value there. So the
+mean needs only ``LOOK_BACK_CELLS`` cells of history, and a long series can be cut into blocks like any
+rolling window.
 """
 
 from __future__ import annotations

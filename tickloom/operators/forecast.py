@@ -213,19 +213,20 @@ def walk_forward_lr(
     sequences = materialise(make_sequences(df, series, rows, price), "sequences")
     scalers = materialise(fold_scalers(df, series, rows, folds, price), "scalers")
     known = scalers.count()
+    present = sorted(row["fold"] for row in scalers.select("fold").distinct().collect())
+    if not present:
+        raise ValueError(f"no series is long enough for {folds} folds of sequences of {rows}")
     low, high = F.col("price_min"), F.col("price_max")
     scale = lambda x: minmax(x, low, high)
     model = LinearRegression(featuresCol="vector", labelCol="scaled", predictionCol="forecast", solver="normal")
     out = None
-    for f in range(folds):
+    for f in present:
         scaler = scalers.filter(F.col("fold") == f)
         fold = lookup(sequences, scaler, list(series.keys), known).filter(F.col("start").isNotNull())
         ready = fold.withColumns(
             {"vector": array_to_vector(F.transform("features", scale)), "scaled": scale(F.col("label"))}
         )
         train = ready.filter(F.col("seq") < F.col("start"))
-        if train.isEmpty():
-            continue
         held = model.fit(train).transform(ready.filter(F.col("seq") == F.col("start") + 1))
         made = held.select(
             *series.keys,
@@ -235,8 +236,6 @@ def walk_forward_lr(
             inverse_minmax(F.col("forecast"), low, high).alias("predicted"),
         )
         out = made if out is None else out.unionByName(made)
-    if out is None:
-        raise ValueError(f"no series is long enough for {folds} folds of sequences of {rows}")
     return out
 
 

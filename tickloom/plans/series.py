@@ -32,6 +32,7 @@ class Series:
     """Names the series and bounds the rows of one series that a single task may hold.
 
     ``ties`` are further columns that order rows of equal ``order``; without them such rows have no order.
+    Rows of one ``order`` value stay in one task, so copies belong removed first (clean.dedup_keep_last).
     ``one_row_per_day`` states that a series has at most one row per calendar day. That proves a bound: a
     century is 36,525 rows, and all the days a DATE can hold are 3.7 million. ``fits`` states that
     ``measured`` has checked the length. Both save a counting job per operator.
