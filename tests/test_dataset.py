@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from tests.frames import closes, random_bars
 from tickloom import schema as S
 from tickloom.operators import dataset, forecast, profile, validate
-from tickloom.plans.flows import feature_table, ingest, run_features
+from tickloom.plans.flows import compare_quotes, feature_table, ingest, run_features, save_prices
 from tickloom.plans.series import Series
+from tickloom.sources.readers import scan_csv
 
 
 @pytest.fixture(scope="module")
@@ -94,6 +95,20 @@ def test_infinite_values_are_kept(spark):
     assert dataset.drop_incomplete_rows(table).count() == 2
 
 
+def test_price_file_and_quotes(spark, tmp_path):
+    prices = closes(spark, [1.005, 2.675]).select("series_key", F.col("date").alias("timestamp"), F.col("close").alias("price"))
+    newest = prices.orderBy("timestamp").limit(1).withColumn("price", F.lit(0.125))
+    path = save_prices(prices, newest, str(tmp_path / "prices"))
+    assert sorted(r["price"] for r in scan_csv(spark, path).collect()) == [0.12, 1.0, 2.68]
+    with pytest.raises(ValueError, match="history has no rows"):
+        save_prices(prices.filter("price < 0"), newest, path)
+    quotes = spark.createDataFrame([("A", 2000.0), ("A", 900.0)], "series_key string, price_usd double")
+    made = {r["severity"]: r["sign"] for r in compare_quotes(quotes, closes(spark, [1000.0])).collect()}
+    assert made == {"ok": "+", "warning": "-"}
+    with pytest.raises(ValueError, match="invalid quotes"):
+        compare_quotes(quotes.withColumn("price_usd", F.lit(0.0)), closes(spark, [1000.0]))
+
+
 def test_whole_flow(spark, tmp_path):
     raw = spark.createDataFrame(random_bars({"a": 400, "b": 260})).withColumn("seq", F.lit(0))
     late = raw.filter("volume > 40").withColumns({"seq": F.lit(1), "close": F.lit(None).cast("double")})

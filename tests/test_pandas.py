@@ -7,6 +7,7 @@ import pytest
 from tests.frames import random_bars
 from tickloom import schema as S
 from tickloom.functions.rolling import frame_pieces
+from tickloom.functions.scalars import nan_to_null
 from tickloom.operators import ema, technical
 from tickloom.plans.series import Series
 
@@ -53,7 +54,7 @@ def test_technical_features(spark, seed):
 def test_recursive_mean(spark, span):
     bars = random_bars({"a": 4000}, 3)
     bars.loc[bars["date"] < bars["date"].sort_values().iloc[4], "close"] = None
-    table = spark.createDataFrame(bars.astype({"close": object}).where(bars.notna(), None), schema="series_key string, date timestamp, open double, high double, low double, close double, volume double")
+    table = nan_to_null(spark.createDataFrame(bars))
     made = ema.ewm_mean(table, {"e": ("close", span)}, Series()).orderBy("date").toPandas()["e"].astype(float)
     wanted = bars.sort_values("date")["close"].ewm(span=span, adjust=False).mean().reset_index(drop=True)
     np.testing.assert_allclose(made, wanted, rtol=1e-11)

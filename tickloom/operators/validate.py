@@ -126,6 +126,15 @@ def require_valid(rules: DataFrame, shown: int = 20) -> DataFrame:
     return rules
 
 
+def require_valid_quotes(quotes: DataFrame, price: str = "price_usd", shown: int = 20) -> DataFrame:
+    """Raise when any quote is an error; the message names the first few, the check covers all."""
+    flagged = val_quote(quotes, price)
+    first = flagged.filter(F.col("severity") == "error").take(shown)
+    if first:
+        raise ValueError("invalid quotes: " + "; ".join(str(row.asDict()) for row in first))
+    return flagged
+
+
 def val_quote(quotes: DataFrame, price: str = "price_usd") -> DataFrame:
     """Add ``severity``: error for a price of zero or less, warning outside the plausible range."""
     value, (low, high) = F.col(price), QUOTE_RANGE

@@ -1,22 +1,25 @@
-"""The two batch flows, composed from the operators."""
+"""The batch flows, composed from the operators."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tickloom import schema as S
+from tickloom.functions.scalars import round_price
 from tickloom.operators.calendar import calendar_features
-from tickloom.operators.clean import clean_bars
+from tickloom.operators.clean import append_row, clean_bars
 from tickloom.operators.dataset import prepare_dataset, write_bundle
-from tickloom.operators.profile import price_report
+from tickloom.operators.profile import price_report, quote_vs_mean
 from tickloom.operators.target import target_levels
 from tickloom.operators.technical import TECHNICAL_BACK, add_technical
-from tickloom.operators.validate import require_valid, validate_bars
+from tickloom.operators.validate import require_valid, require_valid_quotes, validate_bars
 from tickloom.plans.series import Lane, Series, over_series
 from tickloom.session import materialise
 from tickloom.sources.readers import require_non_empty
+from tickloom.sources.writers import sink_csv
 
 
 def feature_table(bars: DataFrame, series: Series = Series()) -> DataFrame:
@@ -35,6 +38,17 @@ def ingest(bars: DataFrame, series: Series = Series()) -> DataFrame:
     return price_report(bars)
 
 
+def compare_quotes(quotes: DataFrame, bars: DataFrame) -> DataFrame:
+    """Refuse invalid quotes, then set each against the mean close of its series."""
+    return quote_vs_mean(require_valid_quotes(quotes), bars)
+
+
+def save_prices(history: DataFrame, newest: DataFrame, path: str) -> str:
+    """Append the current price to a non-empty history, round to cents and write the price file."""
+    prices = append_row(require_non_empty(history, "history"), newest)
+    return sink_csv(prices.withColumn("price", round_price(F.col("price"))), path)
+
+
 @dataclass(frozen=True)
 class FeatureRun:
     features: DataFrame
