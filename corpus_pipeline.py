@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, ecoc, wu_manber
+from tickloom.llm import bpe, ecoc, line_dedup, ngram_join, wu_manber
 from tickloom.session import materialise
 
 
@@ -20,6 +20,20 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return told.where((F.col("lang_pred") != ecoc.UNKNOWN) & ~F.col("ambiguous")).select(*docs.columns)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without lines that repeat another line of the corpus; documents of which nothing is left go.
+
+    n_chars is that of the shortened text.
+    """
+    cut = line_dedup.clean_documents(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return ngram_join.keep_one(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark passage occurs."""
     return wu_manber.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -32,7 +46,13 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(rows, path)).drop("decoded")
 
 
-STAGES = [("language", language), ("decontaminate", decontaminate), ("tokens", tokens)]
+STAGES = [
+    ("language", language),
+    ("lines", lines),
+    ("near_copies", near_copies),
+    ("decontaminate", decontaminate),
+    ("tokens", tokens),
+]
 
 # Classifier and tokenizer are beyond SQL.
 ORACLE_SQL = None

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import new_path
-from . import bpe, convnet, ecoc, records, rules, wu_manber
+from . import bpe, chat, convnet, ecoc, line_dedup, ngram_join, records, rules, warc, wu_manber
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Component of every document under links of its 4-word shingles."""
+    found = ngram_join.join(table(spark, folder, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 @query
 def op2_bpe_rank_queue(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every whole text and what they decode to."""
@@ -30,6 +37,33 @@ def op2_bpe_rank_queue(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(rows).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query
+def op3_warc_store(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as a WARC record of a content-addressed archive, read back."""
+    path = new_path(spark, "archive")
+    pages = table(spark, folder, "pages")
+    warc.write_archive(pages, path)
+    kind = pages.schema["page_id"].dataType
+    return warc.read_archive(spark, path).select(
+        warc.header_field("WARC-Page-ID").cast(kind).alias("page_id"), "payload_bytes", "payload_digest",
+        warc.header_field("WARC-Type").alias("record_type"),
+        warc.header_field("WARC-Refers-To-Page-ID").cast(kind).alias("refers_to"),
+    )
+
+
+@query
+def op4_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation as a reply tree without branches, formatted and read back; one more holds control strings."""
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    turns = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    messages = rows.union(more).select(
+        F.col("conv_id").alias("tree"), F.row_number().over(turns).alias("node"), F.lit(0.0).alias("score"), "role", "text"
+    ).withColumn("parent", F.when(F.col("node") > 1, F.col("node") - 1))
+    return chat.read_back(chat.format_trees(messages)).withColumnRenamed("tree", "conv_id")
+
+
 @query
 def op5_token_records(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document written as framed records and read back, by the offset index."""
@@ -42,6 +76,13 @@ def op5_token_records(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.col("key").cast(kind).alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+@query
+def op6_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that repeat another line of the corpus, or nearly so."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
+
+
 @query
 def op7_quality_convnet(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every text, learned from labelled rows outside the held-out fold."""
@@ -79,6 +120,57 @@ def op10_wu_manber(spark: SparkSession, folder: str) -> DataFrame:
     return wu_manber.hit_summary(found).withColumnRenamed("doc", "doc_id")
 
 
+SQL["op1_ngram_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, list_slice(words, i, i + 3) AS k
+  FROM w, unnest(range(1, greatest(2, len(words) - 2))) AS t(i) WHERE len(words) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (
+  SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r AS (
+  SELECT doc_id, doc_id AS seen FROM documents
+  UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.seen)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(seen) AS component_id
+FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
+"""
+
+SQL["op3_warc_store"] = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, encode(coalesce(html, '')) AS b FROM pages),
+d AS (
+  SELECT page_id, html, CAST(octet_length(b) AS BIGINT) AS payload_bytes, sha1(b) AS h,
+    max(page_id) OVER (PARTITION BY html) AS top FROM p)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((CAST('0x' || substr(h, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS BIGINT) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM d
+"""
+
+SQL["op4_reply_trees"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, CASE WHEN role = 'assistant' THEN text ELSE '' END AS learn,
+    length(regexp_replace(regexp_replace(replace(text, '\', '\\'), '<(/?s>|</?SYS>>)', '<\\\1', 'g'),
+      '\[(/?INST\]|/?ROLE)', '[\\\1', 'g'))
+    + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 ELSE 16 + 2 * octet_length(encode(role)) END AS chars
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(length(learn)) AS BIGINT) AS loss_chars,
+  sha256(string_agg(learn, '' ORDER BY turn, role, text)) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
 SQL["op8_quality_cascade"] = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents),
