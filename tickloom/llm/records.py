@@ -124,7 +124,7 @@ class WordEncoder:
         for word in new:
             if len(word) > CACHED_CHARS:
                 direct[word] = word
-            elif word[-1] in ".," and word[-2:-1].isalpha():
+            elif word[-1] in ".," and word[-2:-1].isalpha() and word[-2] < "\u0100":  # other letters may lower to a letter and a sign
                 stems[word] = (word[:-1], word[-1])
                 need.update(stems[word])
             else:

@@ -84,6 +84,17 @@ def compile_passages(items: list[tuple[str, bytes]], width: int = WIDTH) -> list
     return [Patterns(w) for _, w in sorted(classes.items())]
 
 
+def merged(found) -> list[tuple[int, int]]:
+    """Spans that overlap or touch, as one."""
+    spans: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if spans and a <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(b, spans[-1][1]))
+        else:
+            spans.append((a, b))
+    return spans
+
+
 def hits(text: bytes, tables: list[Patterns]) -> tuple[int, list[tuple[int, int]], set[str]]:
     """Number of words, merged spans of hit words, and the items that occur."""
     words = words_of(text)
@@ -100,13 +111,7 @@ def hits(text: bytes, tables: list[Patterns]) -> tuple[int, list[tuple[int, int]
             first = int(np.searchsorted(blanks, at))
             found.append((first, first + window.count(b" ") - 1))
             items.update(table.items[window])
-    spans: list[tuple[int, int]] = []
-    for a, b in sorted(found):
-        if spans and a <= spans[-1][1]:
-            spans[-1] = (spans[-1][0], max(b, spans[-1][1]))
-        else:
-            spans.append((a, b))
-    return len(words), spans, items
+    return len(words), merged(found), items
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> list[list[tuple[str, bytes]]]:
@@ -176,24 +181,15 @@ def find_passages(
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
         F.sum(F.when(F.col("pass") == 0, 1).otherwise(0)).alias("times"),
     )
-    merged = F.aggregate(
-        "spans",
-        F.expr("cast(array() as array<struct<first:int,last:int>>)"),
-        lambda done, s: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["last"] >= s["first"]),
-            F.concat(
-                F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))),
-                F.array(F.struct(
-                    F.element_at(done, -1)["first"].alias("first"),
-                    F.greatest(F.element_at(done, -1)["last"], s["last"]).alias("last"),
-                )),
-            ),
-        ).otherwise(F.concat(done, F.array(s))),
-    )
-    return joined.select(
-        "doc", "n_words", merged.alias("spans"), "items",
-        F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("copy"),
-    ).drop("copy")
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch["spans"] = [
+                [{"first": a, "last": b} for a, b in merged((s["first"], s["last"]) for s in spans)] for spans in batch["spans"]
+            ]
+            yield batch.loc[batch.index.repeat(batch["times"])]
+
+    return joined.mapInPandas(merge, f"{schema}, times long").drop("sha", "times")
 
 
 def hit_summary(found: DataFrame) -> DataFrame:
