@@ -29,10 +29,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from . import pieces
+
 MASK_DELTA = 0xA282EAD8
 VOCABULARY_BYTES = 64 << 20
-CACHED = 400_000
-CACHED_CHARS = 64
+CACHED = 1 << 20  # units that a Python worker remembers
+TOGETHER = 1 << 18  # characters looked up at a time
 NULL_KEY = 0xFFFF
 _HEAD = struct.Struct("<QI")
 
@@ -68,12 +70,37 @@ def unframe(data: bytes, offset: int) -> tuple[str | None, np.ndarray, int]:
     return key, ids, end + 5
 
 
+def _kinds() -> np.ndarray:
+    """0 blank, 1 letter, 2 digit, 3 other sign, 4 odd, of the code points below 256.
+
+    Odd are signs that begin a contraction, digits beyond 0-9 and the separators 28 to 31, which libraries see
+    differently; code points from 256 on count as odd too.
+    """
+    kinds = np.full(257, 3, np.uint8)
+    for c in range(256):
+        if c in (9, 10, 11, 12, 13, 32, 0x85, 0xA0):
+            kinds[c] = 0
+        elif c in b"'\x1c\x1d\x1e\x1f\xb2\xb3\xb9\xbc\xbd\xbe":
+            kinds[c] = 4
+        elif chr(c).isalpha():
+            kinds[c] = 1
+        elif 48 <= c <= 57:
+            kinds[c] = 2
+    kinds[256] = 4
+    return kinds
+
+
+_KINDS = _kinds()
+_LOWER = np.array([ord(chr(c).lower()) if c < 256 and len(chr(c).lower()) == 1 else c for c in range(257)], np.uint32)
+
+
 class WordEncoder:
-    """Ids of texts by the tokenizers library, word by word.
+    """Ids of texts by the tokenizers library, unit by unit.
 
-    The vocabulary drops white space and ends tokens at it, so what stands between blanks is encoded alone and
-    remembered. For texts in Latin-1, whose letters the library lower-cases one by one, words are remembered in
-    lower case and without a full stop or comma after a letter, which is a token of its own.
+    The vocabulary drops white space and ends tokens at it, so what stands between blanks is encoded alone.
+    There, a run of Latin-1 letters (lower-cased one by one), a single digit and a run of other signs are units to
+    the library; a stretch between blanks with anything odd is one unit as a whole. Units are looked up in a
+    table of bounded size; only those not seen of late go to the library, words of letters in one call.
     """
 
     def __init__(self, json: str):
@@ -84,63 +111,74 @@ class WordEncoder:
         self.width = 2 if size <= 1 << 16 else 4
         self.kind = "<u2" if self.width == 2 else "<u4"
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.known: dict[str, bytes] = {"": b""}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.table = pieces.PieceTable(self.kind, CACHED)
 
-    def _library(self, words: list[str]) -> None:
-        """Encode new words and remember them; words of letters in one call, cut at the tokens that end a word."""
-        known, plain = self.known, [w for w in words if w.isascii() and w.isalpha()]
+    def _library(self, words: list[str]) -> list[bytes]:
+        made: dict[str, bytes] = {}
+        plain = [w for w in words if w.isalpha() and (w.isascii() or max(w) < "\u0100")]
         if plain:
-            ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, self.kind)
+            (joined,) = self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)
+            ids = np.array(joined.ids, self.kind)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(plain):
                 data, at = ids.tobytes(), 0
                 for word, end in zip(plain, (cuts * self.width).tolist()):
-                    known[word] = data[at:end]
+                    made[word] = data[at:end]
                     at = end
-            else:
-                plain = []
-        done = set(plain)
-        other = [w for w in words if w not in done]
-        for word, made in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-            known[word] = np.array(made.ids, self.kind).tobytes()
+        other = [w for w in words if w not in made]
+        for word, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+            made[word] = np.array(found.ids, self.kind).tobytes()
+        return [made[w] for w in words]
+
+    def _some(self, texts: list[str]) -> list[bytes]:
+        codes = pieces.code_points("\n".join(texts) + "\n")
+        low = np.minimum(codes, 256)
+        codes = np.where(codes < 256, _LOWER[low], codes)
+        kinds = _KINDS[low]
+        inside = kinds != 0
+        before = np.concatenate([[False], inside[:-1]])
+        opened = inside & ~before
+        # A stretch between blanks with anything odd in it stays whole.
+        stretch = np.cumsum(opened)
+        odd = np.zeros(int(stretch[-1]) + 1 if len(stretch) else 1, bool)
+        odd[stretch[kinds == 4]] = True
+        turned = (kinds[1:] != kinds[:-1]) | (kinds[1:] == 2)
+        starts = opened.copy()
+        starts[1:] |= inside[1:] & turned & ~odd[stretch[1:]]
+        start = np.flatnonzero(starts)
+        # A unit ends where the next one starts or a blank follows.
+        stops = np.flatnonzero(~inside)
+        after = stops[np.searchsorted(stops, start)]
+        end = np.minimum(after, np.concatenate([start[1:], [len(codes)]])) if len(start) else start
+        ids, lengths = pieces.encode(self.table, codes, start, end, self._library)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        bounds = np.concatenate([[0], np.cumsum(sizes + 1)])
+        done = np.concatenate([[0], np.cumsum(lengths)])
+        cuts = (done[np.searchsorted(start, bounds)] * self.width).tolist()
+        data = ids.tobytes()
+        return [data[x:y] for x, y in zip(cuts, cuts[1:])]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        known = self.known
-        if len(known) > CACHED:
-            known.clear()
-            known[""] = b""
-        split, direct = [], {}
+        texts = [t or "" for t in texts]
+        out: list[bytes | None] = [None] * len(texts)
+        some: list[int] = []
+        size = 0
         for i, text in enumerate(texts):
-            text = text or ""
-            try:
-                text.encode("latin-1")
-                text = text.lower()
-            except UnicodeEncodeError:
-                pass
-            split.append(text.replace("\n", " ").split(" "))
-        new = {w for words in split for w in words if w not in known}
-        stems: dict[str, tuple[str, str]] = {}
-        need = set()
-        for word in new:
-            if len(word) > CACHED_CHARS:
-                direct[word] = word
-            elif word[-1] in ".," and word[-2:-1].isalpha() and word[-2] < "\u0100":  # other letters may lower to a letter and a sign
-                stems[word] = (word[:-1], word[-1])
-                need.update(stems[word])
-            else:
-                need.add(word)
-        need = [w for w in need if w not in known]
-        if need:
-            self._library(need)
-        for word, (stem, sign) in stems.items():
-            known[word] = known[stem] + known[sign]
-        if direct:  # long runs without a blank are encoded but not kept
-            direct = dict(zip(direct, (
-                np.array(e.ids, self.kind).tobytes()
-                for e in self.tokenizer.encode_batch_fast(list(direct), add_special_tokens=False)
-            )))
-            return [b"".join([known[w] if w in known else direct[w] for w in words]) for words in split]
-        return [b"".join([known[w] for w in words]) for words in split]
+            if any(s in text for s in self.special):  # their strings are tokens wherever they stand
+                (made,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+                out[i] = np.array(made.ids, self.kind).tobytes()
+                continue
+            some.append(i)
+            size += len(text)
+            if size >= TOGETHER:
+                for k, ids in zip(some, self._some([texts[k] for k in some])):
+                    out[k] = ids
+                some, size = [], 0
+        if some:
+            for k, ids in zip(some, self._some([texts[k] for k in some])):
+                out[k] = ids
+        return out
 
 
 _MADE: dict[str, WordEncoder] = {}

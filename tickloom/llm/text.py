@@ -19,17 +19,18 @@ BLANKS[[32, 9, 10, 11, 12, 13]] = True
 CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS: dict[str, np.ndarray] = {}
+_POWERS: dict[int, np.ndarray] = {}
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    have = _POWERS.get(str(base))
+def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 ... base ** (n - 1), modulo 2**64."""
+    have = _POWERS.get(base)
     if have is None or len(have) < n:
         have = np.full(max(n, CHUNK), base, np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
         if n <= 4 * CHUNK:  # very long texts don't leave a table behind
-            _POWERS[str(base)] = have
+            _POWERS[base] = have
     return have[:n]
 
 
@@ -76,8 +77,8 @@ class Words:
         if not len(self.start):
             return np.zeros(0, np.uint64)
         total = np.zeros(n + 1, np.uint64)
-        np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n), out=total[1:])
-        value = (total[self.end] - total[self.start]) * _powers(_INVERSE, n)[self.start]
+        np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * powers(_BASE, n), out=total[1:])
+        value = (total[self.end] - total[self.start]) * powers(_INVERSE, n)[self.start]
         return mix(value)
 
 
