@@ -171,7 +171,8 @@ def test_network_learns_and_covers_whole_texts(spark):
     good = [" ".join(rng.choice(["rain", "falls", "on", "plain", "hills"]) for _ in range(80)) for _ in range(120)]
     bad = [" ".join(rng.choice(["rain###", "falls$$$", "on%%%"]) for _ in range(60)) for _ in range(120)]
     rows = [(t, 1) for t in good] + [(t, 0) for t in bad] + [("x", None), (None, 1)]
-    net = convnet.fit(spark.createDataFrame(rows, "text string, quality int"))
+    numbered = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, quality int")
+    net = convnet.fit(numbered.select("doc_id", "text"), numbered.select("doc_id", "quality"))
     fresh = [" ".join(rng.choice(["rain", "hills", "plain"]) for _ in range(n)) for n in (3, 40, 900)]
     dirty = [" ".join(rng.choice(["rain###", "on%%%"]) for _ in range(n)) for n in (40, 900)]
     high, low = net.score(encoded(fresh)), net.score(encoded(dirty))

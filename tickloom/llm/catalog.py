@@ -88,7 +88,7 @@ def op7_quality_convnet(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every text, learned from labelled rows outside the held-out fold."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels").select("doc_id", "quality").where(ecoc.fold("doc_id") != 2)
-    network = convnet.fit(docs.join(labels, "doc_id"))
+    network = convnet.fit(docs, labels)
     scored = convnet.score(docs, network)
     return scored.select(
         "doc_id", (ecoc.fold("doc_id") == 2).alias("held_out"), "score",

@@ -200,17 +200,21 @@ def _gradients(net: Network, examples: list[np.ndarray], labels: np.ndarray, wei
     return d_filters, d_chunks.sum(0), pooled.T @ d_inner, d_inner.sum(0), inner.T @ error, np.array([error.sum()])
 
 
-def fit(rows: DataFrame, *, text: str = "text", label: str = "quality", sample: int = SAMPLE) -> Network:
-    """A network from labelled texts; ``rows`` are all training rows, of which a bounded sample is used."""
-    rows = rows.select(F.col(text).alias("t"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1))
+def fit(
+    docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE
+) -> Network:
+    """A network from labelled texts. ``labels`` are all training rows; the sample is drawn from them, by a hash of
+    the key, before any text is read, so what is sent to the texts is bounded."""
+    rows = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("k").isNotNull())
     sizes = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
-    draw = F.pmod(F.xxhash64("t", F.lit("draw")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    draw = F.pmod(F.xxhash64("k", F.lit("draw")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = F.lit(0.0)
     for y, n in sizes.items():
         share = F.when(F.col("y") == y, F.lit(sample / 2 / n)).otherwise(share)
-    drawn = rows.where(draw < share).select(F.substring("t", 1, TRAIN_BYTES).alias("t"), "y").orderBy("t", "y")
-    drawn = drawn.limit(2 * sample).collect()
-    return train(encoded([r.t for r in drawn]), [r.y for r in drawn])
+    drawn = rows.where(draw < share).limit(2 * sample)
+    texts = docs.select(F.col(key).alias("k"), F.substring(F.col(text), 1, TRAIN_BYTES).alias("t")).join(F.broadcast(drawn), "k")
+    found = sorted((r.t or "", r.y) for r in texts.limit(4 * sample).collect())
+    return train(encoded([t for t, _ in found]), [y for _, y in found])
 
 
 def score(docs: DataFrame, network: Network, *, text: str = "text", into: str = "score") -> DataFrame:
