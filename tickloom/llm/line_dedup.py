@@ -8,9 +8,11 @@ sets is at least ``PERCENT`` / 100.
 2. Every different line is blown up into its shingles' 64-bit hashes; for each of ``BANDS * ROWS`` fixed random
    words, the hash nearest to that word (smallest exclusive-or) is kept. Two lines keep the same hash with a
    probability equal to their similarity, as with random permutations. ``ROWS`` of them make a band.
-3. Lines sharing a band are candidates. In each band group, every line is held against the group's smallest
-   line, by exact Jaccard on the full shingle sets. Those that fail form the group of the next round, until
-   no group has two lines. So a group of any size gives one pair per line and round, never all pairs.
+3. Lines sharing a band are candidates. In each band group, every line is held against one head, by exact
+   Jaccard on the full shingle sets: the line with the most partners over all its bands. If some lines are like
+   no head yet, one of them heads the next round, against all lines of the group that it was not held against
+   before, until every line is like a head or has been one. So a group of any size gives one pair per line and
+   round; a group of lines that are alike, or alike to one of them, takes one round.
 4. Verified pairs are edges; components come from a distributed union-find. Of each component, the first line
    in the order of (document id, line number) stays and the others go.
 
@@ -116,25 +118,34 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 def _links(signatures: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
     """Verified pairs (a, b) of different lines, enough to connect what is alike."""
     banded = signatures.select("key", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = materialise(shared, "bands")
-    members = may_hold(banded, sieve(shared, "band"), "band").join(shared, "band", "left_semi")
+    members = may_hold(banded, sieve(shared, "band"), "band").join(shared, "band")
     members = materialise(members, "members")
-    wanted = materialise(members.select("key").distinct(), "wanted")
-    some = may_hold(lines.select("key", "line"), sieve(wanted, "key"), "key").join(wanted, "key", "left_semi")
+    # Lines with the most partners lead: what many lines are copies of is met by all of them at once.
+    degrees = materialise(members.groupBy("key").agg(F.sum("size").alias("degree")), "degrees")
+    some = may_hold(lines.select("key", "line"), sieve(degrees, "key"), "key").join(degrees, "key", "left_semi")
     texts = materialise(some.dropDuplicates(["key"]), "texts")
-    links = None
+    members = materialise(members.join(degrees, "key").withColumn("open", F.lit(True)), "members")
+    done = None
     while True:
-        heads = members.groupBy("band").agg(F.min("key").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        led = materialise(members.join(heads.drop("n"), "band"), "led")
-        pairs = led.where(F.col("key") != F.col("head")).select(F.col("head").alias("a"), F.col("key").alias("b")).distinct()
+        heads = members.where("open").groupBy("band").agg(F.max(F.struct("degree", "key")).alias("head"))
+        led = materialise(members.join(heads.select("band", F.col("head.key").alias("head")), "band"), "led")
+        pairs = led.where(F.col("key") != F.col("head"))
+        pairs = pairs.select(F.least("head", "key").alias("a"), F.greatest("head", "key").alias("b")).distinct()
+        if done is not None:
+            pairs = pairs.join(done, ["a", "b"], "left_anti")
         tested = materialise(_verified(pairs, texts, percent), "tested")
-        good = tested.where("alike").select("a", "b")
-        links = good if links is None else links.union(good)
-        failed = tested.where("not alike").select(F.col("a").alias("head"), F.col("b").alias("key"))
-        members = materialise(led.join(failed, ["head", "key"], "left_semi").select("key", "band"), "members")
+        done = tested if done is None else done.union(tested)
+        told = done.where("alike").select(F.col("a").alias("x"), F.col("b").alias("y"))
+        told = led.join(told, (F.least("head", "key") == F.col("x")) & (F.greatest("head", "key") == F.col("y")), "left")
+        still = F.col("open") & (F.col("key") != F.col("head")) & F.col("x").isNull()
+        now = materialise(told.select("key", "band", "size", "degree", still.alias("open")), "members")
+        # A pair is settled by one test; larger groups go on while a line in them is like no head.
+        going = now.where("open and size > 2").select("band").distinct()
+        members = materialise(now.join(going, "band", "left_semi"), "members")
         if members.isEmpty():
-            return links
+            return done.where("alike").select("a", "b")
 
 
 def removed_lines(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
