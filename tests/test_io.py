@@ -12,16 +12,21 @@ from pyspark.sql import functions as F
 
 from tests.frames import closes, random_bars
 from tickloom import schema as S
+from tickloom.operators import clean
+from tickloom.plans import flows
+from tickloom.schema import BAR_SCHEMA
 from tickloom.sources import payloads, readers, writers
 from tickloom.streaming.quotes import sink_quotes, stream_quotes
 
 
 def test_nanosecond_parquet_and_nan(spark, tmp_path):
     stamps = pd.to_datetime(["2024-01-01 00:00:00.123456789", "1969-12-31 23:59:59.999999999"]).astype("datetime64[ns]")
-    frame = pd.DataFrame({"date": stamps, "close": [1.5, np.nan], "volume": [3, 4]})
+    frame = pd.DataFrame({"Date": stamps, "Close": [1.5, np.nan], "VOLUME": [3, 4]})
     path = str(tmp_path / "bars.parquet")
     pq.write_table(pa.Table.from_pandas(frame, preserve_index=False), path, coerce_timestamps=None, version="2.6")
-    bars = readers.scan_bars(spark, path, series_key="A").orderBy("date").collect()
+    with pytest.raises(ValueError, match="open"):
+        readers.scan_bars(spark, path, series_key="A")
+    bars = readers.scan_parquet(spark, path, BAR_SCHEMA, optional=["series_key", "open", "high", "low"]).orderBy("date").collect()
     assert bars[1]["date"] == dt.datetime(2024, 1, 1, 0, 0, 0, 123456)
     assert bars[0]["date"] == dt.datetime(1969, 12, 31, 23, 59, 59, 999999)
     assert bars[0]["close"] is None and bars[0]["open"] is None and bars[0]["volume"] == 4.0
@@ -36,6 +41,51 @@ def test_parquet_round_trip(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(series_key" in plan
 
 
+def test_conditions_on_doubles_reach_the_files(spark):
+    made = readers.scan_parquet(spark, "/root/testdata/sf0.001/orders.parquet", where="o_totalprice > 1000")
+    plan = made.select("o_orderkey")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(o_totalprice,1000" in plan and "o_comment" not in plan
+
+
+def test_ingest_order_is_file_then_place(spark, tmp_path):
+    for day, closes_of_file in (("a", [1.0, 2.0]), ("b", [3.0])):
+        bars = random_bars({"s": 1}).head(1)
+        pd.concat([bars.assign(close=c) for c in closes_of_file]).to_parquet(tmp_path / f"{day}.parquet")
+    bars = readers.scan_bars(spark, str(tmp_path), ingest_order="seq")
+    assert [r["close"] for r in clean.dedup_keep_last(bars).collect()] == [3.0]
+    first = bars.filter("close < 3")
+    assert [r["close"] for r in clean.dedup_keep_last(first).collect()] == [2.0]
+
+
+def test_broken_quote_files_raise_and_are_listed(spark, tmp_path):
+    (tmp_path / "good.json").write_text('{"price_usd": 1.5}')
+    (tmp_path / "bad.json").write_text('{"price_usd": 1.')
+    with pytest.raises(Exception):
+        readers.scan_json_quotes(spark, str(tmp_path)).collect()
+    assert [r["file"] for r in readers.rejected_json_quotes(spark, str(tmp_path)).collect()] == ["bad.json"]
+
+
+def test_a_snapshot_being_written_is_not_taken(spark, tmp_path):
+    writers.sink_snapshot(closes(spark, [1]), str(tmp_path), "bars", "20240105")
+    half = tmp_path / "bars_20240106.parquet"
+    half.mkdir()
+    (half / "part-0.parquet").write_bytes(b"")
+    assert readers.latest_snapshot(spark, str(tmp_path), "bars").endswith("bars_20240105.parquet")
+
+
+def test_from_price_file_to_deviation(spark, tmp_path):
+    days = pd.date_range("2024-01-01", periods=20)
+    prices = pd.DataFrame({"series_key": "A", "timestamp": days, "price": [100.0 + 2 * i for i in range(20)]})
+    path = writers.sink_csv(spark.createDataFrame(prices), str(tmp_path / "prices"))
+    quotes = spark.createDataFrame([("A", 140.0), ("B", 1.0)], "series_key string, current double")
+    run = flows.run_forecast(spark, path, quotes, rows=3, folds=2)
+    made = run.forecasts.orderBy("fold").collect()
+    assert [round(r["predicted"], 6) for r in made] == [136.0, 138.0] and all(abs(r["error"]) < 1e-6 for r in made)
+    assert run.errors.first()["folds"] == 2
+    off = {r["series_key"]: r["percent_off"] for r in run.deviation.collect()}
+    assert abs(off["A"] - 2 / 140 * 100) < 1e-6 and off["B"] is None
+
+
 def test_latest_snapshot(spark, tmp_path):
     for day, value in (("20240105", 1), ("20241201", 2), ("20240930", 3)):
         writers.sink_snapshot(closes(spark, [value]), str(tmp_path), "bars_historical", day)

@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from tickloom.catalog import tables as t
-from tickloom.operators import calendar, clean, technical
+from tickloom.operators import calendar, clean, technical, validate
 from tickloom.plans.flows import feature_table
 from tickloom.plans.series import DAILY, Series
+from tickloom.sources import payloads
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -47,4 +48,8 @@ def test_filter_and_columns_reach_the_scan(spark):
     one = feature_table(t.bars_keyed(spark, FOLDER), DAILY).filter(F.col("series_key") == "2-HIGH")
     assert "EqualTo(o_orderpriority,2-HIGH)" in plan(one)
     dedup = clean.dedup_keep_last(t.bars_dirty(spark, FOLDER))
-    assert "SortAggregate" not in plan(dedup)
+    assert "partial_max(struct(seq" in plan(dedup)  # copies collapse before the shuffle
+    one_pass = plan(validate.validate_bars(t.bars_supplier(spark, FOLDER), DAILY))
+    assert one_pass.count("FileScan") == 1 and one_pass.count("Exchange") <= 3  # bars, cells, series
+    history = plan(payloads.market_chart_history(spark.createDataFrame([("A", "{}")], "series_key string, payload string")))
+    assert "Window" not in history and "Exchange" not in history

@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from tickloom.catalog.oracle import oracle_sql
+from tickloom.catalog.queries import QUERIES
 from tests.compare import database, differences
 
 FOLDER = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,9 +16,8 @@ def con():
     return database(FOLDER)
 
 
-def test_every_query_has_sql_but_the_fitted_model():
-    assert set(entry.queries()) - set(SQL) == {"walk_forward_lr"}
-    assert set(SQL) <= set(entry.queries())
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -26,9 +27,3 @@ def test_query(spark, con, name):
 
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
-
-
-def test_fitted_model_predicts_every_fold(spark):
-    rows = entry.queries()["walk_forward_lr"](spark, FOLDER).collect()
-    assert len(rows) == 25
-    assert all(abs(r["predicted"] - r["actual"]) < 10 * abs(r["actual"]) + 1e6 for r in rows)

@@ -32,7 +32,10 @@ select series_key, date, 1, open, high, low, close + 1, volume from b where dayo
 TICKS = """select 'ALL' as series_key, ts as date, value as open, value + 1 as high, value - 1 as low, value as close,
 cast(event_id % 10 as double) as volume, case when event_id % 7 <> 0 then value end as patchy from events"""
 QUOTES = """select event_id as quote_id, ts as timestamp,
-case when event_id % 50 = 0 then 0.0 else value * 1000 end as price_usd from events where event_type = 'purchase'"""
+case when event_id % 50 = 0 then 0.0 else value * 1000 end as price_usd from events"""
+DEDUP_TIES = f"""select * from (select * replace (case when dayofyear(date) % 2 = 0 then cast(0 as integer) end as seq) from ({DIRTY}))
+qualify row_number() over (partition by series_key, date order by seq desc nulls last, open desc nulls last, high desc nulls last,
+low desc nulls last, close desc nulls last, volume desc nulls last) = 1"""
 DEDUP = f"""select series_key, date, open, high, low, close, volume from ({DIRTY})
 qualify row_number() over (partition by series_key, date order by seq desc) = 1"""
 
@@ -191,20 +194,35 @@ def _rule(name: str, severity: str, violations: str, limit: int, source: str) ->
 NEGATIVE = "count(*) filter (where open < 0 or high < 0 or low < 0 or close < 0 or volume < 0)"
 HIGH_LOW = "count(*) filter (where high < low)"
 ZERO_VOLUME = "count(*) filter (where volume = 0)"
-GAPS = f"select series_key, date_diff('day', lag(date) {W}, date) as gap from ({DEDUP})"
-PADDED = f"""select series_key, c, lag(c) {W} as p from
+
+
+def _gaps(bars: str) -> str:
+    return f"select series_key, date_diff('day', lag(date) {W}, date) as gap from ({bars})"
+
+
+def _padded(bars: str) -> str:
+    return f"""select series_key, c, lag(c) {W} as p from
 (select series_key, date, last_value(close ignore nulls) over (partition by series_key order by date
-rows between unbounded preceding and current row) as c from ({DEDUP}))"""
+rows between unbounded preceding and current row) as c from ({bars}))"""
+
+
+GAPS, PADDED = _gaps(DEDUP), _padded(DEDUP)
 OUTLIERS = "count(*) filter (where (p = 0 and c <> 0) or abs(c / nullif(p, 0) - 1) > 0.5)"
-RULES = " union all ".join(
-    [
-        _rule("negative", "error", NEGATIVE, 0, DEDUP),
-        _rule("high_low", "error", HIGH_LOW, 0, DEDUP),
-        _rule("zero_volume", "error", ZERO_VOLUME, 10, DEDUP),
-        _rule("date_gap", "warning", "max(gap)", 3, GAPS),
-        _rule("outlier_change", "warning", OUTLIERS, 0, PADDED),
-    ]
-)
+
+
+def _all_rules(bars: str) -> str:
+    return " union all ".join(
+        [
+            _rule("negative", "error", NEGATIVE, 0, bars),
+            _rule("high_low", "error", HIGH_LOW, 0, bars),
+            _rule("zero_volume", "error", ZERO_VOLUME, 10, bars),
+            _rule("date_gap", "warning", "max(gap)", 3, _gaps(bars)),
+            _rule("outlier_change", "warning", OUTLIERS, 0, _padded(bars)),
+        ]
+    )
+
+
+RULES = _all_rules(DEDUP)
 
 
 def _interpolated(rows: str, column: str) -> str:
@@ -218,7 +236,7 @@ select *, case when {column} is not null then rn end as kr from (select *, row_n
 
 def _zero_filled(rows: str, columns: tuple[str, ...] = S.PRICES) -> str:
     before = "over (partition by series_key order by date rows between unbounded preceding and current row)"
-    filled = ", ".join(f"last_value(nullif({c}, 0) ignore nulls) {before} as {c}" for c in columns)
+    filled = ", ".join(f"case when {c} = 0 then last_value(nullif({c}, 0) ignore nulls) {before} else {c} end as {c}" for c in columns)
     return f"select * replace ({filled}) from ({rows})"
 
 
@@ -256,6 +274,20 @@ round((price - price_min) / case when price_max = price_min then 1 else price_ma
 from scaler s join num on num.series_key = s.series_key and rn - start - {t} in (0, 1)"""
 
 
+def _lr2(prices: str) -> str:
+    """Least squares on two lags in closed form, per series and fold."""
+    w = "over (partition by series_key order by timestamp)"
+    return f"""with {_folds(prices, 2)},
+q as (select series_key, rn - 1 as seq, lag(price) {w} as a, price as b, lead(price) {w} as y, lead(timestamp) {w} as time from num),
+g as (select s.series_key, s.fold, var_pop(a) as vaa, var_pop(b) as vbb, covar_pop(a, b) as vab, covar_pop(a, y) as vay,
+  covar_pop(b, y) as vby, avg(a) as ma, avg(b) as mb, avg(y) as my
+  from scaler s join q on q.series_key = s.series_key and q.seq >= 0 and q.seq < s.start group by 1, 2)
+select s.series_key, cast(s.fold as integer) as fold, q.time, q.y as actual,
+round(my + (vay * vbb - vby * vab) / (vaa * vbb - vab * vab) * (q.a - ma)
+  + (vby * vaa - vay * vab) / (vaa * vbb - vab * vab) * (q.b - mb), 4) as predicted
+from scaler s join g using (series_key, fold) join q on q.series_key = s.series_key and q.seq = s.start + 1"""
+
+
 def _ar1(prices: str) -> str:
     """CTE list ending in ``forecasts``."""
     return f"""{_folds(prices)},
@@ -291,7 +323,7 @@ PAYLOAD = """select event_id as quote_id, value * 1000 as price_usd,
 case when event_id % 7 <> 0 then value * 10 else 0 end as volume_24h,
 case when event_id % 11 <> 0 then value / 100 else 0 end as change_24h,
 case when event_id % 13 <> 0 then cast(date_trunc('second', ts) as timestamp) else timestamp '1970-01-01' end as last_updated
-from events where event_type = 'purchase'"""
+from events"""
 STAMPED = "select series_key, cast(date as timestamp) as date, open, high, low, close, volume"
 
 
@@ -303,10 +335,12 @@ def oracle_sql() -> dict[str, str]:
         "scan_latest_snapshot": f"{STAMPED} from ({KEYED})",
         "sink_csv": KEYED_PRICES,
         "scan_csv": DAILY_PRICES,
-        "sink_json_quote": "select ts as timestamp, value * 1000 as price_usd from events where event_type = 'purchase'",
+        "sink_json_quote": "select ts as timestamp, value * 1000 as price_usd from events",
         "scan_json_quotes": """select ts as timestamp, value * 1000 as price_usd, value * 10 as volume_24h, value / 100 as change_24h,
-            cast(date_trunc('second', ts) as timestamp) as last_updated from events where event_type = 'purchase'""",
-        "decode_market_chart": DAILY_PRICES,
+            cast(date_trunc('second', ts) as timestamp) as last_updated from events""",
+        "decode_market_chart": f"""with p as (select *, lag(date_trunc('month', timestamp)) over (partition by series_key order by timestamp) as before
+            from ({DAILY_PRICES})) select series_key, timestamp, price from p
+            union all select series_key, timestamp, price from p where before < date_trunc('month', timestamp)""",
         "market_chart_history": f"""select series_key, timestamp + interval 1 hour as timestamp, price from ({DAILY_PRICES})
             qualify row_number() over (partition by series_key order by timestamp desc) > 1""",
         "decode_quote": PAYLOAD,
@@ -325,6 +359,7 @@ def oracle_sql() -> dict[str, str]:
         "count_duplicates": f"select count(*) - count(distinct (series_key, date)) as duplicates from ({DIRTY})",
         "dedup_keep_last": f"""select series_key, date, seq, open, high, low, close, volume from ({DIRTY})
             qualify row_number() over (partition by series_key, date order by seq desc) = 1""",
+        "dedup_ties": DEDUP_TIES,
         "null_census": f"select 'close' as column_name, count(*) as nulls from ({DIRTY}) where close is null having count(*) > 0",
         "interpolate_linear": f"select * replace (round(close, 6) as close) from ({FILLED})",
         "invalid_price_census": " union all ".join(
@@ -341,6 +376,7 @@ def oracle_sql() -> dict[str, str]:
         "val_outlier_change": _rule("outlier_change", "warning", OUTLIERS, 0, PADDED),
         "val_zero_volume": _rule("zero_volume", "error", ZERO_VOLUME, 10, DIRTY),
         "validate_bars": RULES,
+        "validate_by_supplier": _all_rules(SUPPLIER),
         "val_verdict": f"""select series_key, count(*) filter (where not passed and severity = 'error') as errors,
             count(*) filter (where not passed and severity = 'warning') as warnings,
             count(*) filter (where not passed and severity = 'error') = 0 as valid from ({RULES}) group by 1""",
@@ -350,6 +386,8 @@ def oracle_sql() -> dict[str, str]:
         "rolling_mean": _over(KEYED, {"mean_5": f"round({_mean('close', 5)}, 6)"}),
         "rolling_std": _over(KEYED, {"std_5": f"round({_std('close', 5)}, 4)"}),
         "ewm_mean": _ewm(KEYED, {"ewm_5": "round(ewm_5, 4)"}, {"ewm_5": 5}, False),
+        "rolling_infinite": f"""with x as (select series_key, date, case when dayofyear(date) % 31 = 0 then null else 1.0 end as x from ({KEYED}))
+            select series_key, date, round({_mean('x', 5)}, 8) as mean_5, round({_std('x', 5)}, 6) as std_5 from x""",
         "diff": _over(KEYED, {"change": f"round(close - lag(close) {W}, 6)"}),
         "shift": _over(KEYED, {"before": f"lag(close, 2) {W}", "after": f"lead(close, 2) {W}"}),
         "pct_change": _over(KEYED, {"change": f"round(close / lag(close) {W} - 1, 8)"}),
@@ -402,22 +440,31 @@ def oracle_sql() -> dict[str, str]:
         "split_periods": f"""{PREPARED} select split, count(*) as "rows", min(date) as first_date, max(date) as last_date,
             round(avg(close), 6) as mean_close, cast(sum(target_direction) as bigint) as days_up,
             cast(count(*) - sum(target_direction) as bigint) as days_down from prepared group by split""",
-        "write_bundle": f"{PREPARED} "
-        + " union all ".join(
-            f"select '{name}_{split}' as output, count(*) as row_count, cast({n} as integer) as column_count from prepared where split = '{split}'"
-            for split in ("train", "test")
-            for name, n in (("X", len(INPUTS)), ("y", 1), ("prices", 3))
-        ),
+        "write_bundle": f"""{PREPARED} select series_key, date, round(sma_7, 6) as sma_7, round(rsi_14, 6) as rsi_14, month,
+            cast({len(INPUTS)} as integer) as features, split, target_direction as target, close, target_next_close from prepared""",
         # Profiles and reports
         "load_summary": f"""select count(*) as "rows", min(date) as first_date, max(date) as last_date, round(avg(close), 6) as mean_close,
             max(high) as max_high, min(low) as min_low, cast(7 as integer) as columns from ({KEYED})""",
         "price_report": f"""select count(*) as "rows", max(high) as max_high, min(low) as min_low, round(avg(close), 6) as mean_close,
             round(stddev_samp(close), 4) as std_close from ({KEYED})""",
+        "price_report_by_supplier": f"""select series_key, count(*) as "rows", max(high) as max_high, min(low) as min_low,
+            round(avg(close), 5) as mean_close, round(stddev_samp(close), 4) as std_close from ({SUPPLIER}) group by 1""",
+        "target_profile_by_supplier": f"""with src as ({SUPPLIER}), x as (select series_key, (close / lead(close) {W} - 1) * 100 as pct,
+            coalesce(lead(close) {W} > close, false) as up from src)
+            select series_key, count(*) filter (where up) as days_up, count(*) filter (where not up) as days_down, round(avg(pct), 6) as mean,
+            round(stddev_samp(pct), 6) as std, round(max(pct), 6) as max, round(min(pct), 6) as min, round(median(pct), 6) as median
+            from x group by 1""",
+        "target_correlation_by_supplier": " union all ".join(
+            f"""select series_key, cast({i} as integer) as position, '{c}' as feature,
+            round(case when stddev_pop({c}) > 0 and stddev_pop(t) > 0 then corr({c}, t) end, 6) as correlation
+            from (select *, case when coalesce(lead(close) {W} > close, false) then 1.0::double else 0.0::double end as t from ({SUPPLIER})) group by 1"""
+            for i, c in enumerate(("open", "close", "volume"), 1)
+        ),
         "quote_vs_mean": f"""with m as (select series_key, avg(close) as mean from ({KEYED}) group by 1),
             q as (select *, {list(PRIORITIES)}[quote_id % 5 + 1] as series_key from ({QUOTES}))
-            select series_key, quote_id, price_usd, round(mean, 4) as mean_close, case when price_usd > mean then '+' else '-' end as sign,
+            select series_key, quote_id, price_usd, round(mean, 4) as mean_close, case when price_usd > mean then '+' when price_usd is not null and mean is not null then '-' end as sign,
             round(abs(price_usd - mean), 4) as difference, round(abs((price_usd - mean) / mean * 100), 6) as percent
-            from q join m using (series_key)""",
+            from q left join m using (series_key)""",
         "feature_report": f"""{PREPARED}, sizes as (select count(*) filter (where split = 'train') as train,
             count(*) filter (where split = 'test') as test from prepared),
             b as (select count(*) as n, sum(target_direction) as up, avg((close / target_next_close - 1) * 100) as pct from features)
@@ -446,7 +493,7 @@ def oracle_sql() -> dict[str, str]:
             select a as class_0, b as class_1, round(a * 100.0::double / n, 6) as percent_0, round(b * 100.0::double / n, 6) as percent_1,
             round(least(a, b)::double / greatest(a, b), 6) as ratio, least(a, b)::double / greatest(a, b) > 0.4 as balanced from c""",
         "describe_features": _union_values(
-            PREPARED + ", train as (select * from prepared where split = 'train')", "train", INPUTS[:15],
+            PREPARED + ", train as (select * from prepared where split = 'train')", "train", INPUTS,
             {"mean": "round(avg({c}), 4)", "std": "round(stddev_samp({c}), 4)",
              "min": "round(min({c})::double, 6)", "max": "round(max({c})::double, 6)"},
         ),
@@ -466,7 +513,7 @@ def oracle_sql() -> dict[str, str]:
         "duplicate_rows": """select count(*) - (select count(*) from (select distinct l_partkey, l_suppkey, l_quantity from lineitem)) as duplicates
             from lineitem""",
         "feature_ranges": _union_values(
-            PREPARED + ", train as (select * from prepared where split = 'train')", "train", INPUTS[:10],
+            PREPARED + ", train as (select * from prepared where split = 'train')", "train", INPUTS,
             {"min": "round(min({c})::double, 6)", "max": "round(max({c})::double, 6)", "mean": "round(avg({c}), 4)"},
         ),
         # Sequences and forecasts
@@ -481,6 +528,11 @@ def oracle_sql() -> dict[str, str]:
             select series_key, fold, time, actual, round(predicted, 4) as predicted from forecasts""",
         "walk_forward_long": f"""with {_ar1(TICK_PRICES)}
             select series_key, fold, time, actual, round(predicted, 6) as predicted from forecasts""",
+        "walk_forward_lr": _lr2(KEYED_PRICES),
+        "walk_forward_by_supplier": f"""with {_ar1(_prices(SUPPLIER))}
+            select series_key, fold, time, actual, round(predicted, 3) as predicted from forecasts""",
+        "sequences_gappy": f"""select * exclude (sequences) from ({_sequences(
+            f"select series_key, timestamp, case when dayofyear(timestamp) % 7 <> 0 then price end as price from ({KEYED_PRICES})", 4)})""",
         "forecast_error": f"""with {_ar1(KEYED_PRICES)} select series_key, fold, time, actual, round(predicted, 4) as predicted,
             round(actual - predicted, 4) as error from forecasts""",
         "error_summary": f"""with {_ar1(KEYED_PRICES)} select series_key, count(*) as folds, round(avg(abs(actual - predicted)), 4) as mae,

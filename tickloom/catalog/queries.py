@@ -17,7 +17,7 @@ from tickloom.functions import rolling, scalars
 from tickloom.operators import calendar, clean, dataset, ema, forecast, profile, target, technical, validate
 from tickloom.plans.flows import feature_table
 from tickloom.plans.series import DAILY, Lane, Series, over_series
-from tickloom.session import new_path
+from tickloom.session import materialise, new_path
 from tickloom.sources import payloads, readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,12 +106,12 @@ def decode_market_chart(spark, folder):
 
 @query
 def market_chart_history(spark, folder):
-    return payloads.market_chart_history(t.chart_payloads(spark, folder), series=DAILY_PRICES)
+    return payloads.market_chart_history(t.chart_payloads(spark, folder))
 
 
 @query
 def decode_quote(spark, folder):
-    return payloads.decode_quote(t.quote_payloads(spark, folder), "bitcoin")
+    return payloads.decode_quote(t.quote_payloads(spark, folder), "coin")
 
 
 @query
@@ -182,6 +182,13 @@ def dedup_keep_last(spark, folder):
     return clean.dedup_keep_last(t.bars_dirty(spark, folder))
 
 
+@query
+def dedup_ties(spark, folder):
+    """Copies that share a sequence, or have none: rows stay whole."""
+    rows = t.bars_dirty(spark, folder).withColumn("seq", F.when(F.dayofyear("date") % 2 == 0, F.lit(0)))
+    return clean.dedup_keep_last(rows)
+
+
 @query
 def null_census(spark, folder):
     return clean.null_census(t.bars_dirty(spark, folder))
@@ -474,16 +481,15 @@ def split_periods(spark, folder):
 
 @query
 def write_bundle(spark, folder):
+    """The six outputs, side by side again: two of the features, the label and the prices of every row."""
     made = dataset.write_bundle(prepared(spark, folder), new_path(spark, "bundle"), DAILY)
-    counted = None
-    for name, path in made.items():
-        part = readers.scan_parquet(spark, path)
-        columns = len(part.columns) - len(KEY) if not name.startswith("prices") else len(part.columns) - 1
-        row = part.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("output"), "row_count", F.lit(columns).alias("column_count")
-        )
-        counted = row if counted is None else counted.unionByName(row)
-    return counted
+    whole = None
+    for split in ("train", "test"):
+        x, y, prices = (readers.scan_parquet(spark, made[f"{name}_{split}"]) for name in ("X", "y", "prices"))
+        x = x.select(*KEY, "sma_7", "rsi_14", "month", F.lit(len(x.columns) - len(KEY)).alias("features"))
+        part = x.join(y, KEY, "full").join(prices, KEY, "full").withColumn("split", F.lit(split))
+        whole = part if whole is None else whole.unionByName(part)
+    return rounded(whole, {"sma_7": 6, "rsi_14": 6})
 
 
 # Profiles and reports
@@ -499,6 +505,37 @@ def price_report(spark, folder):
     return rounded(profile.price_report(t.bars_keyed(spark, folder)), {"mean_close": 6, "std_close": 4})
 
 
+@query
+def price_report_by_supplier(spark, folder):
+    made = profile.price_report(t.bars_supplier(spark, folder), ["series_key"])
+    return rounded(made, {"mean_close": 5, "std_close": 4})
+
+
+@query
+def target_profile_by_supplier(spark, folder):
+    made = profile.target_profile(target.targets(t.bars_supplier(spark, folder), DAILY), keys=["series_key"])
+    return rounded(made, all_to(["mean", "std", "max", "min", "median"], 6))
+
+
+@query
+def target_correlation_by_supplier(spark, folder):
+    made = target.targets(t.bars_supplier(spark, folder), DAILY)
+    found = profile.target_correlation(made, columns=["open", "close", "volume"], keys=["series_key"])
+    return rounded(found, {"correlation": 6})
+
+
+@query
+def validate_by_supplier(spark, folder):
+    return validate.validate_bars(t.bars_supplier(spark, folder), DAILY)
+
+
+@query
+def walk_forward_by_supplier(spark, folder):
+    bars = t.bars_supplier(spark, folder)
+    prices = bars.select("series_key", F.col("date").cast("timestamp").alias("timestamp"), F.col("close").alias("price"))
+    return rounded(forecast.walk_forward_ar1(prices, DAILY_PRICES), {"predicted": 3})
+
+
 @query
 def quote_vs_mean(spark, folder):
     made = profile.quote_vs_mean(t.quotes_keyed(spark, folder), t.bars_keyed(spark, folder))
@@ -507,7 +544,7 @@ def quote_vs_mean(spark, folder):
 
 @query
 def feature_report(spark, folder):
-    made = features(spark, folder)
+    made = materialise(features(spark, folder), "features")
     return rounded(profile.feature_report(made, dataset.prepare_dataset(made, DAILY)), {"value": 6})
 
 
@@ -607,6 +644,28 @@ def make_sequences(spark, folder):
     return forecast.lag_columns(made).drop("sequences")
 
 
+@query
+def sequences_gappy(spark, folder):
+    """A missing price keeps its place in the sequence."""
+    prices = t.price_series_keyed(spark, folder)
+    prices = prices.withColumn("price", F.when(F.dayofyear("timestamp") % 7 != 0, F.col("price")))
+    return forecast.lag_columns(forecast.make_sequences(prices, DAILY_PRICES, 4), 4).drop("sequences")
+
+
+@query
+def rolling_infinite(spark, folder):
+    """Frames over ratios that are infinite here and there: an infinity counts as missing."""
+    bars = t.bars_keyed(spark, folder)
+    odd = F.when(F.dayofyear("date") % 31 == 0, F.lit(0.0)).otherwise(F.col("volume"))
+    bars = bars.withColumn("x", rolling.ratio(F.col("volume"), odd))
+
+    def build(d, lane):
+        return d.withColumns({"mean_5": rolling.rolling_mean(F.col("x"), 5, lane), "std_5": rolling.rolling_std(F.col("x"), 5, lane)})
+
+    made = over_series(bars, DAILY, build, back=4).select(*KEY, "mean_5", "std_5")
+    return rounded(made, {"mean_5": 8, "std_5": 6})
+
+
 @query
 def minmax_scale(spark, folder):
     return rounded(forecast.scale_held_out(t.price_series_keyed(spark, folder), DAILY_PRICES), {"scaled": 10})
@@ -642,7 +701,9 @@ def walk_forward_long(spark, folder):
 
 @query
 def walk_forward_lr(spark, folder):
-    return forecast.walk_forward_lr(t.price_series_keyed(spark, folder), DAILY_PRICES)
+    """Two lags, whose least squares have a closed form; the library's default is the whole sequence of 30."""
+    made = forecast.walk_forward_lr(t.price_series_keyed(spark, folder), DAILY_PRICES, rows=2)
+    return rounded(made, {"predicted": 4})
 
 
 @query

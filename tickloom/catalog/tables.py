@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.sources.bars import bars_from_ticks
@@ -88,12 +88,8 @@ def price_series_keyed(spark: SparkSession, folder: str) -> DataFrame:
     return bars.select("series_key", F.col("date").cast("timestamp").alias("timestamp"), F.col("close").alias("price"))
 
 
-def _purchases(spark: SparkSession, folder: str) -> DataFrame:
-    return given(spark, folder, "events").filter("event_type = 'purchase'")
-
-
 def quotes(spark: SparkSession, folder: str) -> DataFrame:
-    return _purchases(spark, folder).select(
+    return given(spark, folder, "events").select(
         F.col("event_id").alias("quote_id"),
         F.col("ts").alias("timestamp"),
         F.when(F.col("event_id") % 50 == 0, 0.0).otherwise(F.col("value") * 1000).alias("price_usd"),
@@ -109,7 +105,7 @@ def quotes_keyed(spark: SparkSession, folder: str) -> DataFrame:
 def quote_records(spark: SparkSession, folder: str) -> DataFrame:
     """Quotes with all recorded fields."""
     value = F.col("value")
-    return _purchases(spark, folder).select(
+    return given(spark, folder, "events").select(
         F.col("ts").alias("timestamp"),
         (value * 1000).alias("price_usd"),
         (value * 10).alias("volume_24h"),
@@ -127,8 +123,8 @@ def quote_payloads(spark: SparkSession, folder: str) -> DataFrame:
         F.when(number % 11 != 0, value / 100).alias("usd_24h_change"),
         F.when(number % 13 != 0, F.unix_seconds("ts")).alias("last_updated_at"),
     )
-    payload = F.to_json(F.struct(fields.alias("bitcoin")))
-    return _purchases(spark, folder).select(number.alias("quote_id"), payload.alias("payload"))
+    payload = F.to_json(F.struct(fields.alias("coin")))
+    return given(spark, folder, "events").select(number.alias("quote_id"), payload.alias("payload"))
 
 
 def ticker_payloads(spark: SparkSession, folder: str) -> DataFrame:
@@ -137,8 +133,13 @@ def ticker_payloads(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def chart_payloads(spark: SparkSession, folder: str) -> DataFrame:
-    """One payload per series and month, so a payload never exceeds the days of a month."""
+    """One payload per series and month, landed early on the first day of the next: that day, still unfinished,
+    ends the payload and comes again in the one after. A payload never exceeds the days of a month by more."""
+    prices = price_series(spark, folder)
+    before = F.lag(F.date_trunc("month", "timestamp")).over(Window.partitionBy("series_key").orderBy("timestamp"))
+    prices = prices.withColumns({"month": F.date_trunc("month", "timestamp"), "before": before})
+    months = F.array("month", F.when(F.col("before") < F.col("month"), F.col("before")))
+    landed = prices.withColumn("month", F.explode(F.filter(months, lambda m: m.isNotNull())))
     pair = F.array(F.unix_millis("timestamp").cast("double"), F.col("price"))
-    month = F.date_trunc("month", "timestamp").alias("month")
-    pairs = price_series(spark, folder).groupBy("series_key", month).agg(F.sort_array(F.collect_list(pair)).alias("prices"))
+    pairs = landed.groupBy("series_key", "month").agg(F.sort_array(F.collect_list(pair)).alias("prices"))
     return pairs.select("series_key", F.to_json(F.struct("prices")).alias("payload"))

@@ -15,12 +15,23 @@ SHARED_PIECES = (10, 7)
 MAX_SHARED = 20
 
 
+def finite(x: Column) -> Column:
+    """Infinities and NaN count as missing in frames and recursive means."""
+    return F.when(F.abs(x) < float("inf"), x)
+
+
+def known(x: Column) -> Column:
+    """NaN, as of an infinity less another, counts as missing."""
+    return F.when(~F.isnan(x), x)
+
+
 def _full(x: Column, n: int, lane: Lane, value: Column) -> Column:
     """``value`` where all ``n`` rows of the frame hold a number, else NULL."""
     return F.when(F.count(x).over(lane.last_rows(n)) == n, value)
 
 
 def rolling_sum(x: Column, n: int, lane: Lane) -> Column:
+    x = finite(x)
     return _full(x, n, lane, F.sum(x).over(lane.last_rows(n)))
 
 
@@ -29,6 +40,7 @@ def rolling_mean(x: Column, n: int, lane: Lane) -> Column:
 
 
 def rolling_std(x: Column, n: int, lane: Lane) -> Column:
+    x = finite(x)
     return _full(x, n, lane, F.stddev_samp(x).over(lane.last_rows(n)))
 
 
@@ -88,7 +100,7 @@ def rolling_std_levels(column: str, deviations: dict[str, int], lane: Lane) -> l
         rows = _shared_piece(n) or min(divisors, key=lambda c: 2 * c + 2 * (n // c), default=n)
         total, spread = f"_sum_{column}_{rows}", f"_var_{column}_{rows}"
         frames[total] = rolling_sum(F.col(column), rows, lane)
-        frames[spread] = F.var_pop(column).over(lane.last_rows(rows))
+        frames[spread] = F.var_pop(finite(F.col(column))).over(lane.last_rows(rows))
         backs = range(0, n, rows)
         for back in backs:
             earlier |= _earlier(total, back, lane) | _earlier(spread, back, lane)

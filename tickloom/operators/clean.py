@@ -19,15 +19,16 @@ def count_duplicates(df: DataFrame, series: Series = Series()) -> DataFrame:
 
 
 def dedup_keep_last(df: DataFrame, series: Series = Series(), seq: str = "seq") -> DataFrame:
-    """Keep the row with the highest ingest sequence per key and date.
+    """Keep the row with the highest ingest sequence per key and date, whole.
 
-    ``max_by`` per column combines map-side, so a date with many copies never gathers in one task.
-    ``seq`` has to be unique among the copies.
+    The largest row is taken as one struct, which combines map-side, so a date with many copies never gathers
+    in one task. A missing sequence is the lowest. Copies of equal sequence have no last one; of those the row
+    with the larger values stays, compared column by column, so the result doesn't depend on how rows arrive.
     """
     identity = [*series.keys, series.order]
-    rest = [c for c in df.columns if c not in identity]
-    last = [F.max(seq).alias(c) if c == seq else F.max_by(c, seq).alias(c) for c in rest]
-    return df.groupBy(*identity).agg(*last).select(*df.columns)
+    rest = [c for c in df.columns if c not in (*identity, seq)]
+    last = F.max(F.struct(seq, *rest)).alias("_last")
+    return df.groupBy(*identity).agg(last).select(*identity, "_last.*").select(*df.columns)
 
 
 def null_census(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
@@ -63,11 +64,13 @@ def invalid_price_census(df: DataFrame, columns: Iterable[str] = PRICES) -> Data
 
 
 def zero_to_previous(df: DataFrame, columns: Iterable[str] = PRICES, series: Series = Series()) -> DataFrame:
-    """Replace exact zeros by the last non-zero value of the series; negative values stay as they are."""
+    """Replace exact zeros by the last non-zero value of the series; negative and missing values stay as they are."""
     columns = list(columns)
-    blank = df.withColumns({c: F.nullif(F.col(c), F.lit(0.0)) for c in columns})
+    blank = df.withColumns({f"_zero_{c}": F.col(c) == 0 for c in columns})
+    blank = blank.withColumns({c: F.nullif(F.col(c), F.lit(0.0)) for c in columns})
     near = known_neighbours(arrange(blank, series, number=False), columns, after=False)
-    return near.withColumns({c: F.col(f"_prev_{c}")["value"] for c in columns}).select(*df.columns)
+    filled = {c: F.when(F.col(f"_zero_{c}"), F.col(f"_prev_{c}")["value"]).otherwise(F.col(c)) for c in columns}
+    return near.withColumns(filled).select(*df.columns)
 
 
 def clean_bars(df: DataFrame, series: Series = Series(), seq: str = "seq") -> DataFrame:

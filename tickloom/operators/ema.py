@@ -15,6 +15,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.functions.rolling import finite
 from tickloom.plans.series import Lane, Series, over_series
 from tickloom.plans.stages import Levels, add_levels
 from tickloom.schema import EMA_SPANS
@@ -51,9 +52,9 @@ def start_levels(lane: Lane, source: str) -> Levels:
     return [
         {
             "_has_before": F.lag(F.lit(True), 1, False).over(lane.window),
-            _before(source): F.lag(source).over(lane.window),
+            _before(source): F.lag(finite(F.col(source))).over(lane.window),
         },
-        {f"_starts_{source}": F.col(source).isNotNull() & ((F.col("_rn") == 0) | in_middle)},
+        {f"_starts_{source}": finite(F.col(source)).isNotNull() & ((F.col("_rn") == 0) | in_middle)},
     ]
 
 
@@ -82,7 +83,7 @@ def mean_levels(lane: Lane, means: dict[str, tuple[str, float]], cell: int, orig
     place = F.col("_rn") % cell
     weighted, sums, earlier, result = {}, {}, {}, {}
     for name, (source, span) in means.items():
-        q, x = _q(span), F.col(source)
+        q, x = _q(span), finite(F.col(source))
         if q == 0:
             result[name] = x
             continue
@@ -102,7 +103,8 @@ def add_ewm(df: DataFrame, lane: Lane, means: dict[str, tuple[str, float]]) -> D
     """Add one column per ``name: (source, span)``; needs ``_rn``.
 
     Rows before the first value of the source stay NULL and the first value starts the mean. After that
-    the source must have no gaps (see clean.interpolate_linear); a gap raises when the query runs.
+    the source must have no gaps (see clean.interpolate_linear); a gap raises when the query runs. An infinite
+    value counts as missing.
     """
     df = add_levels(df, *[start_levels(lane, source) for source in dict.fromkeys(s for s, _ in means.values())])
     cell = cell_rows(max(span for _, span in means.values()))

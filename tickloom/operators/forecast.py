@@ -7,13 +7,12 @@ on i+1. Only positions matter, so all folds of all series come out of one aggreg
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.plans.series import Lane, Series, lookup, over_series
-from tickloom.session import materialise
+from tickloom.plans.series import Lane, Series, over_series
 
 PRICES_BY_TIME = Series(order="timestamp")
 SEQUENCE_ROWS = 30
@@ -23,14 +22,18 @@ FOLDS = 5
 def make_sequences(
     df: DataFrame, series: Series = PRICES_BY_TIME, rows: int = SEQUENCE_ROWS, price: str = "price"
 ) -> DataFrame:
-    """One row per sequence: ``seq``, its prices, the price that follows and that row's time."""
+    """One row per sequence: ``seq``, its prices, the price that follows and that row's time.
+
+    A missing price keeps its place in ``features`` as NULL.
+    """
 
     def build(d: DataFrame, lane: Lane) -> DataFrame:
         made = d.withColumns(
             {
                 "seq": F.col("_rn"),
                 "sequences": F.col("_n") - rows,
-                "features": F.collect_list(price).over(lane.window.rowsBetween(0, rows - 1)),
+                # A struct is never NULL, so a list of them keeps the place of a missing price.
+                "features": F.collect_list(F.struct(price)).over(lane.window.rowsBetween(0, rows - 1))[price],
                 "label": F.lead(price, rows).over(lane.window),
                 "label_time": F.lead(series.order, rows).over(lane.window),
             }
@@ -170,7 +173,8 @@ def walk_forward_ar1(
     per_fold = []
     for f in range(folds):
         start = _fold_start(f, folds, rows)
-        train = (seq >= 0) & (seq < start)
+        # A pair counts for the fit only if both its prices are known.
+        train = (seq >= 0) & (seq < start) & F.col("x").isNotNull() & F.col("y").isNotNull()
         x, y = F.when(train, F.col("x")), F.when(train, F.col("y"))
         held = seq == start + 1
         per_fold.append(
@@ -205,38 +209,67 @@ def walk_forward_lr(
     folds: int = FOLDS,
     price: str = "price",
 ) -> DataFrame:
-    """The same folds with a linear model on the whole sequence, one distributed fit per fold.
+    """The same folds with least squares on the whole sequence, one model per series and fold.
 
-    A fold's model is shared by all series, each scaled by its own training range. Models are fitted
-    afresh per fold.
+    Sums of products of (1, lags, label) are all a fit needs: every batch of sequences is reduced to one matrix
+    per series and fold, and the matrices are added up. What is solved is a table of a row per series and fold.
+    Prediction is the same on scaled and on plain prices, so nothing is scaled. Of a rank-deficient system
+    the shortest solution is taken. Sequences with a missing price train nothing; a held-out one has no forecast.
     """
-    sequences = materialise(make_sequences(df, series, rows, price), "sequences")
-    scalers = materialise(fold_scalers(df, series, rows, folds, price), "scalers")
-    known = scalers.count()
-    present = sorted(row["fold"] for row in scalers.select("fold").distinct().collect())
-    if not present:
-        raise ValueError(f"no series is long enough for {folds} folds of sequences of {rows}")
-    low, high = F.col("price_min"), F.col("price_max")
-    scale = lambda x: minmax(x, low, high)
-    model = LinearRegression(featuresCol="vector", labelCol="scaled", predictionCol="forecast", solver="normal")
-    out = None
-    for f in present:
-        scaler = scalers.filter(F.col("fold") == f)
-        fold = lookup(sequences, scaler, list(series.keys), known).filter(F.col("start").isNotNull())
-        ready = fold.withColumns(
-            {"vector": array_to_vector(F.transform("features", scale)), "scaled": scale(F.col("label"))}
-        )
-        train = ready.filter(F.col("seq") < F.col("start"))
-        held = model.fit(train).transform(ready.filter(F.col("seq") == F.col("start") + 1))
-        made = held.select(
-            *series.keys,
-            "fold",
-            F.col("label_time").alias("time"),
-            F.col("label").alias("actual"),
-            inverse_minmax(F.col("forecast"), low, high).alias("predicted"),
-        )
-        out = made if out is None else out.unionByName(made)
-    return out
+    keys = list(series.keys)
+    sequences = make_sequences(df, series, rows, price)
+    start = F.col("sequences") - (folds + 1)
+    key_types = ", ".join(f"`{k}` {sequences.schema[k].dataType.simpleString()}" for k in keys)
+    width = rows + 2
+
+    def reduce_batches(batches):
+        for batch in batches:
+            whole = np.array([len(f) == rows and None not in f for f in map(list, batch["features"])], bool)
+            batch = batch[whole & batch["label"].notna().to_numpy()]
+            for key, part in batch.groupby(keys, dropna=False, sort=False):
+                z = np.column_stack([np.ones(len(part)), np.stack(part["features"].to_list()).astype(float), part["label"]])
+                first, seq = part["sequences"].to_numpy() - (folds + 1), part["seq"].to_numpy()
+                made = []
+                for f in range(folds):
+                    train = z[(seq < first + f) & (first + f >= 1)]
+                    if len(train):
+                        made.append((*key, f, (train.T @ train).ravel().tolist()))
+                if made:
+                    yield pd.DataFrame(made, columns=[*keys, "fold", "products"])
+
+    parts = sequences.select(*keys, "seq", "sequences", "features", "label").mapInPandas(
+        reduce_batches, f"{key_types}, fold int, products array<double>"
+    )
+    cells = parts.select(*keys, "fold", F.posexplode("products").alias("at", "x")).groupBy(*keys, "fold", "at").agg(F.sum("x").alias("x"))
+    products = F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda c: c["x"]).alias("products")
+    fits = cells.groupBy(*keys, "fold").agg(products)
+    fold = (F.col("seq") - 1 - start).cast("int")
+    held = sequences.filter((fold >= 0) & (fold < folds) & (start + fold >= 1)).withColumn("fold", fold)
+    held = held.select(*keys, "fold", F.col("label_time").alias("time"), F.col("label").alias("actual"), "features")
+    known = fits.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("fold").alias("_fold"), "products")
+    same = F.col("fold") == F.col("_fold")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    ready = held.join(known, same, "left").drop("_fold", *[f"_{k}" for k in keys])
+    out = ready.drop("features", "products").schema
+
+    def solve(batches):
+        for batch in batches:
+            predicted = []
+            for lags, sums in zip(batch["features"], batch["products"]):
+                if sums is None or None in list(lags):
+                    predicted.append(None)
+                    continue
+                g = np.array(sums, float).reshape(width, width)
+                mean = g[0] / g[0, 0]
+                spread = g / g[0, 0] - np.outer(mean, mean)
+                slope = np.linalg.pinv(spread[1:-1, 1:-1], rcond=1e-11, hermitian=True) @ spread[1:-1, -1]
+                predicted.append(float(mean[-1] + slope @ (np.array(list(lags), float) - mean[1:-1])))
+            made = batch.drop(columns=["features", "products"])
+            made["predicted"] = pd.Series(predicted, index=made.index, dtype="float64")
+            yield made
+
+    return ready.mapInPandas(solve, out.add("predicted", "double"))
 
 
 def forecast_error(forecasts: DataFrame) -> DataFrame:
@@ -258,10 +291,11 @@ def quote_deviation(
     """Distance in percent of the current quote to the newest forecast.
 
     The newest forecast is that of the last fold, which is about the last known row, not the next one.
-    ``quotes`` has one row per series: the keys and ``current``.
+    ``quotes`` has one row per series: the keys and ``current``. Series with a forecast but no quote, or the
+    other way round, stay with what they have.
     """
     newest = forecasts.filter(F.col("fold") == folds - 1)
     off = F.try_divide(F.abs(F.col("current") - F.col("predicted")), F.col("current")) * 100
-    return newest.join(quotes, list(series.keys)).select(
+    return newest.join(quotes, list(series.keys), "full").select(
         *series.keys, "current", "predicted", off.alias("percent_off")
     )

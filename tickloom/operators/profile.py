@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 from tickloom import schema as S
 from tickloom.functions.scalars import numeric_columns
 from tickloom.plans.series import Series, arrange
+from tickloom.session import materialise
 
 
 def _rows() -> Column:
     return F.count(F.lit(1))
 
 
-def load_summary(df: DataFrame, date: str = "date") -> DataFrame:
-    return df.agg(
+def load_summary(df: DataFrame, date: str = "date", keys: Iterable[str] = ()) -> DataFrame:
+    """Over all rows, or per key; so for the other reports."""
+    return df.groupBy(*keys).agg(
         _rows().alias("rows"),
         F.min(date).alias("first_date"),
         F.max(date).alias("last_date"),
@@ -27,8 +29,8 @@ def load_summary(df: DataFrame, date: str = "date") -> DataFrame:
     ).withColumn("columns", F.lit(len(df.columns)))
 
 
-def price_report(df: DataFrame) -> DataFrame:
-    return df.agg(
+def price_report(df: DataFrame, keys: Iterable[str] = ()) -> DataFrame:
+    return df.groupBy(*keys).agg(
         _rows().alias("rows"),
         F.max("high").alias("max_high"),
         F.min("low").alias("min_low"),
@@ -37,13 +39,19 @@ def price_report(df: DataFrame) -> DataFrame:
     )
 
 
-def quote_vs_mean(quotes: DataFrame, bars: DataFrame, price: str = "price_usd") -> DataFrame:
-    """Sign, absolute and percent distance of each quote to the mean close of the same series."""
-    means = bars.groupBy("series_key").agg(F.avg("close").alias("mean_close"))
+def quote_vs_mean(
+    quotes: DataFrame, bars: DataFrame, price: str = "price_usd", keys: Iterable[str] = ("series_key",)
+) -> DataFrame:
+    """Sign, absolute and percent distance of each quote to the mean close of the same series.
+
+    A quote without bars of its series stays, with nothing to compare.
+    """
+    keys = list(keys)
+    means = bars.groupBy(*keys).agg(F.avg("close").alias("mean_close"))
     value, mean = F.col(price), F.col("mean_close")
-    return quotes.join(means, "series_key").withColumns(
+    return quotes.join(means, keys, "left").withColumns(
         {
-            "sign": F.when(value > mean, "+").otherwise("-"),
+            "sign": F.when(value > mean, "+").when(value.isNotNull() & mean.isNotNull(), "-"),
             "difference": F.abs(value - mean),
             "percent": F.abs(F.try_divide(value - mean, mean) * 100),
         }
@@ -90,9 +98,9 @@ def _metrics(row: DataFrame, **values: Column) -> DataFrame:
     return row.select(F.inline(F.array(*made)))
 
 
-def rsi_stats(df: DataFrame, column: str = "rsi_14") -> DataFrame:
+def rsi_stats(df: DataFrame, column: str = "rsi_14", keys: Iterable[str] = ()) -> DataFrame:
     x = F.col(column)
-    return df.agg(
+    return df.groupBy(*keys).agg(
         F.avg(x).alias("mean"),
         F.min(x).alias("min"),
         F.max(x).alias("max"),
@@ -101,17 +109,17 @@ def rsi_stats(df: DataFrame, column: str = "rsi_14") -> DataFrame:
     )
 
 
-def macd_stats(df: DataFrame) -> DataFrame:
+def macd_stats(df: DataFrame, keys: Iterable[str] = ()) -> DataFrame:
     line, signal = F.col("macd"), F.col("macd_signal")
-    return df.agg(
+    return df.groupBy(*keys).agg(
         F.avg(line).alias("mean"),
         F.count_if(line > signal).alias("bullish"),
         F.count_if(line < signal).alias("bearish"),
     )
 
 
-def volatility_stats(df: DataFrame) -> DataFrame:
-    return df.agg(*[F.avg(f"volatility_{n}").alias(f"mean_volatility_{n}") for n in S.VOLATILITY_ROWS])
+def volatility_stats(df: DataFrame, keys: Iterable[str] = ()) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.avg(f"volatility_{n}").alias(f"mean_volatility_{n}") for n in S.VOLATILITY_ROWS])
 
 
 def exact_median(df: DataFrame, column: str, keys: Iterable[str] = (), block_rows: int = 1_000_000) -> DataFrame:
@@ -127,10 +135,15 @@ def exact_median(df: DataFrame, column: str, keys: Iterable[str] = (), block_row
     return middle.groupBy(*grouped).agg(((F.min(column) + F.max(column)) / 2).alias("median")).drop("_all")
 
 
-def target_profile(df: DataFrame, block_rows: int = 1_000_000) -> DataFrame:
-    """Up/down counts (missing labels in neither) and the spread of the percent target."""
+def target_profile(df: DataFrame, block_rows: int = 1_000_000, keys: Iterable[str] = ()) -> DataFrame:
+    """Up/down counts (missing labels in neither) and the spread of the percent target.
+
+    Labels and targets are written once, for the spread and the median read them both.
+    """
+    keys = list(keys)
+    df = materialise(df.select(*keys, S.LABEL, "target_pct_change"), "targets")
     x, up = F.col("target_pct_change"), F.sum(S.LABEL)
-    spread = df.agg(
+    spread = df.groupBy(*keys).agg(
         up.cast("long").alias("days_up"),
         (F.count(S.LABEL) - up).cast("long").alias("days_down"),
         F.avg(x).alias("mean"),
@@ -138,18 +151,20 @@ def target_profile(df: DataFrame, block_rows: int = 1_000_000) -> DataFrame:
         F.max(x).alias("max"),
         F.min(x).alias("min"),
     )
-    middle = exact_median(df, "target_pct_change", block_rows=block_rows)
-    # One row each: stacked, and merged by taking the known value of every column.
+    middle = exact_median(df, "target_pct_change", keys, block_rows=block_rows)
+    # One row each per key: stacked, and merged by taking the known value of every column.
     both = spread.unionByName(middle, allowMissingColumns=True)
-    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+    return both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in both.columns if c not in keys])
 
 
-def class_balance(labels: DataFrame, column: str = "target", limit: float = 0.4) -> DataFrame:
+def class_balance(labels: DataFrame, column: str = "target", limit: float = 0.4, keys: Iterable[str] = ()) -> DataFrame:
     """Counts and shares of both classes and whether the rarer one reaches ``limit`` of the other."""
     down, up = F.count_if(F.col(column) == 0), F.count_if(F.col(column) == 1)
-    counted = labels.agg(_rows().alias("_rows"), down.alias("class_0"), up.alias("class_1"))
+    keys = list(keys)
+    counted = labels.groupBy(*keys).agg(_rows().alias("_rows"), down.alias("class_0"), up.alias("class_1"))
     ratio = F.try_divide(F.least("class_0", "class_1").cast("double"), F.greatest("class_0", "class_1"))
     return counted.select(
+        *keys,
         "class_0",
         "class_1",
         F.try_divide(F.col("class_0") * 100.0, "_rows").alias("percent_0"),
@@ -168,34 +183,38 @@ def _long(df: DataFrame, columns: list[str], *kept: Column) -> DataFrame:
     return df.select(*kept, F.inline(F.array(*cells)))
 
 
-def _statistics(df: DataFrame, columns: Iterable[str], first: int, **measures: Column) -> DataFrame:
-    """Statistics of the first columns.
+def _statistics(df: DataFrame, columns: Iterable[str], keys: Iterable[str], **measures: Column) -> DataFrame:
+    """Statistics of every column, per key if there are any.
 
     The long form keeps the aggregate at a few buffers per column however wide the table is; it is reduced
     to one row per column before the shuffle.
     """
     named = [measure.alias(name) for name, measure in measures.items()]
-    return _long(df, list(columns)[:first]).groupBy("position", "feature").agg(*named)
+    keys = list(keys)
+    return _long(df, list(columns), *map(F.col, keys)).groupBy(*keys, "position", "feature").agg(*named)
 
 
-def describe_features(df: DataFrame, columns: Iterable[str], first: int = 15) -> DataFrame:
+def describe_features(df: DataFrame, columns: Iterable[str], keys: Iterable[str] = ()) -> DataFrame:
     return _statistics(
-        df, columns, first, mean=F.avg("value"), std=F.stddev_samp("value"), min=F.min("value"), max=F.max("value")
+        df, columns, keys, mean=F.avg("value"), std=F.stddev_samp("value"), min=F.min("value"), max=F.max("value")
     )
 
 
-def feature_ranges(df: DataFrame, columns: Iterable[str], first: int = 10) -> DataFrame:
-    return _statistics(df, columns, first, min=F.min("value"), max=F.max("value"), mean=F.avg("value"))
+def feature_ranges(df: DataFrame, columns: Iterable[str], keys: Iterable[str] = ()) -> DataFrame:
+    return _statistics(df, columns, keys, min=F.min("value"), max=F.max("value"), mean=F.avg("value"))
 
 
-def target_correlation(df: DataFrame, label: str = S.LABEL, columns: Iterable[str] | None = None) -> DataFrame:
+def target_correlation(
+    df: DataFrame, label: str = S.LABEL, columns: Iterable[str] | None = None, keys: Iterable[str] = ()
+) -> DataFrame:
     """Pearson correlation of every numeric column with the label over rows where both are known."""
     columns = list(columns or numeric_columns(df))
     both = F.col("value").isNotNull() & F.col("_label").isNotNull()
     x, y = F.when(both, F.col("value")), F.when(both, F.col("_label"))
     value = F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
-    long = _long(df, columns, F.col(label).cast("double").alias("_label"))
-    return long.groupBy("position", "feature").agg(F.when(~F.isnan(value), value).alias("correlation"))
+    keys = list(keys)
+    long = _long(df, columns, *map(F.col, keys), F.col(label).cast("double").alias("_label"))
+    return long.groupBy(*keys, "position", "feature").agg(F.when(~F.isnan(value), value).alias("correlation"))
 
 
 def top_k_correlation(correlations: DataFrame, k: int = 15, label: str = S.LABEL) -> DataFrame:

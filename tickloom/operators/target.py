@@ -51,10 +51,10 @@ def forward_return(df: DataFrame, series: Series = Series()) -> DataFrame:
     return _targets(df, series, ["forward_return"])
 
 
-def target_stats(df: DataFrame) -> DataFrame:
+def target_stats(df: DataFrame, keys: Iterable[str] = ()) -> DataFrame:
     """Means and up/down counts and shares over all rows, the last row of a series counting as down."""
     up, rows = F.sum("target_direction"), F.count(F.lit(1))
-    return df.agg(
+    return df.groupBy(*keys).agg(
         F.avg("target_next_close").alias("mean_next_close"),
         F.avg("target_pct_change").alias("mean_pct_change"),
         up.cast("long").alias("days_up"),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom import schema as S
-from tickloom.functions.rolling import ratio, rolling_mean_levels, rolling_std_levels, row_max, shift, where
+from tickloom.functions.rolling import known, ratio, rolling_mean_levels, rolling_std_levels, row_max, shift, where
 from tickloom.operators.ema import cell_level, cell_name, cell_rows, look_back, mean_levels, start_levels
 from tickloom.plans.series import Lane, Series, over_series
 from tickloom.plans.stages import Levels, add_levels
@@ -33,7 +33,7 @@ def sma_levels(lane: Lane, spans: Iterable[int] = S.SMA_SPANS) -> Levels:
 
 def rsi_levels(lane: Lane, n: int = S.RSI_ROWS) -> Levels:
     """Relative strength from plain means of gains and losses; the first row counts as no change."""
-    delta = F.col("close") - F.col("_close_before")
+    delta = known(F.col("close").cast("double") - F.col("_close_before"))
     gain, loss = F.col("_mean_gain"), F.col("_mean_loss")
     only_gains = F.when(gain > 0, F.lit(100.0))
     strength = 100 - 100 / (1 + F.try_divide(gain, loss))  # NULL until the frame of gains is full
@@ -74,7 +74,7 @@ def atr_levels(lane: Lane, n: int = S.ATR_ROWS) -> Levels:
     high, low, before = F.col("high"), F.col("low"), F.col("_close_before")
     return [
         _look(lane),
-        {"_range": row_max(high - low, F.abs(high - before), F.abs(low - before))},
+        {"_range": row_max(*(known(F.abs(x).cast("double")) for x in (high - low, high - before, low - before)))},
         *rolling_mean_levels("_range", {f"atr_{n}": n}, lane),
     ]
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.rolling import shift
-from tickloom.plans.series import Lane, Series, over_series
+from tickloom.plans.series import Lane, Series, over_series, whole_lane
 from tickloom.schema import BAR_VALUES
 
 # Limits of the rules.
@@ -50,16 +50,25 @@ def val_zero_volume(df: DataFrame, series: Series = Series()) -> DataFrame:
     return _rule(df, series, "zero_volume", "error", zero, MAX_ZERO_VOLUME_ROWS)
 
 
+def _gap(df: DataFrame, order: str, lane: Lane) -> Column:
+    """Whole days since the row before."""
+    before, now = shift(F.col(order), 1, lane), F.col(order)
+    if isinstance(df.schema[order].dataType, T.DateType):
+        return F.datediff(now, before)
+    micros = F.unix_micros(now.cast("timestamp")) - F.unix_micros(before.cast("timestamp"))
+    return F.floor(micros / MICROS_PER_DAY)
+
+
+def _is_outlier(before: Column, now: Column) -> Column:
+    return ((before == 0) & (now != 0)) | (F.abs(F.try_divide(now, before) - 1) > MAX_CHANGE)
+
+
 def val_date_gap(df: DataFrame, series: Series = Series()) -> DataFrame:
     """``violations`` is the widest gap between neighbouring dates, in whole days."""
-    order, daily = series.order, isinstance(df.schema[series.order].dataType, T.DateType)
+    order = series.order
 
     def build(d: DataFrame, lane: Lane) -> DataFrame:
-        before, now = shift(F.col(order), 1, lane), F.col(order)
-        if daily:
-            return d.withColumn("gap", F.datediff(now, before))
-        micros = F.unix_micros(now.cast("timestamp")) - F.unix_micros(before.cast("timestamp"))
-        return d.withColumn("gap", F.floor(micros / MICROS_PER_DAY))
+        return d.withColumn("gap", _gap(df, order, lane))
 
     # Copies of a date leave the gaps as they are and collapse map-side.
     dates = df.select(*series.keys, order).distinct()
@@ -74,9 +83,7 @@ def val_outlier_change(df: DataFrame, series: Series = Series()) -> DataFrame:
     """
 
     def build(d: DataFrame, lane: Lane) -> DataFrame:
-        before, now = shift(F.col("close"), 1, lane), F.col("close")
-        jump = F.abs(F.try_divide(now, before) - 1) > MAX_CHANGE
-        return d.withColumn("outlier", ((before == 0) & (now != 0)) | jump)
+        return d.withColumn("outlier", _is_outlier(shift(F.col("close"), 1, lane), F.col("close")))
 
     known = df.select(*series.keys, series.order, "close").filter(F.col("close").isNotNull()).distinct()
     flagged = over_series(known, replace(series, ties=("close",)), build, back=1)
@@ -86,25 +93,53 @@ def val_outlier_change(df: DataFrame, series: Series = Series()) -> DataFrame:
 
 
 def validate_bars(df: DataFrame, series: Series = Series()) -> DataFrame:
-    """All rules. The three rules on single rows share one aggregate; the two on neighbours use windows."""
-    counted = df.groupBy(*series.keys).agg(
+    """All rules, from one read of the rows.
+
+    Rows of the same date and close collapse map-side to their counts; one window per series then looks at the
+    date and the known close before, and one aggregate over the same partitions counts all five rules. Where
+    some series have to be split, the rules on neighbours run block by block instead.
+    """
+    keys, order = list(series.keys), series.order
+    series = series.measured(df)
+    cells = df.groupBy(*keys, order, "close").agg(
         F.count_if(_is_negative()).alias("negative"),
         F.count_if(F.col("high") < F.col("low")).alias("high_low"),
         F.count_if(F.col("volume") == 0).alias("zero_volume"),
     )
-    series = series.measured(df)
-    limits = {"negative": 0, "high_low": 0, "zero_volume": MAX_ZERO_VOLUME_ROWS}
-    rules = [
+    errors = {
+        "negative": (F.sum("negative"), 0),
+        "high_low": (F.sum("high_low"), 0),
+        "zero_volume": (F.sum("zero_volume"), MAX_ZERO_VOLUME_ROWS),
+    }
+    if not series.bounded:
+        single = _rules(cells, series, {n: ("error", *rule) for n, rule in errors.items()})
+        return reduce(DataFrame.unionByName, [single, val_date_gap(df, series), val_outlier_change(df, series)])
+    lane = whole_lane(replace(series, ties=("close",)))
+    earlier = lane.window.rowsBetween(Window.unboundedPreceding, -1)
+    seen = cells.withColumns(
+        {"gap": _gap(df, order, lane), "outlier": _is_outlier(F.last("close", True).over(earlier), F.col("close"))}
+    )
+    rules = {n: ("error", *rule) for n, rule in errors.items()}
+    rules["date_gap"] = ("warning", F.max("gap"), MAX_GAP_DAYS)
+    rules["outlier_change"] = ("warning", F.count_if("outlier"), 0)
+    return _rules(seen, series, rules)
+
+
+def _rules(df: DataFrame, series: Series, rules: dict[str, tuple[str, Column, int]]) -> DataFrame:
+    """Several rules of one aggregate, a row per series and rule."""
+    counted = df.groupBy(*series.keys).agg(
+        *(F.coalesce(violations, F.lit(0)).cast("long").alias(name) for name, (_, violations, _) in rules.items())
+    )
+    rows = [
         F.struct(
             F.lit(name).alias("rule"),
-            F.lit("error").alias("severity"),
+            F.lit(severity).alias("severity"),
             F.col(name).alias("violations"),
             (F.col(name) <= limit).alias("passed"),
         )
-        for name, limit in limits.items()
+        for name, (severity, _, limit) in rules.items()
     ]
-    single = counted.select(*series.keys, F.inline(F.array(*rules)))
-    return reduce(DataFrame.unionByName, [single, val_date_gap(df, series), val_outlier_change(df, series)])
+    return counted.select(*series.keys, F.inline(F.array(*rows)))
 
 
 def val_verdict(rules: DataFrame, series: Series = Series()) -> DataFrame:

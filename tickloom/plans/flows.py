@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import schema as S
@@ -12,13 +12,22 @@ from tickloom.functions.scalars import round_price
 from tickloom.operators.calendar import calendar_features
 from tickloom.operators.clean import append_row, clean_bars
 from tickloom.operators.dataset import prepare_dataset, write_bundle
+from tickloom.operators.forecast import (
+    FOLDS,
+    PRICES_BY_TIME,
+    SEQUENCE_ROWS,
+    error_summary,
+    forecast_error,
+    quote_deviation,
+    walk_forward_lr,
+)
 from tickloom.operators.profile import price_report, quote_vs_mean
 from tickloom.operators.target import target_levels
 from tickloom.operators.technical import TECHNICAL_BACK, add_technical
 from tickloom.operators.validate import require_valid, require_valid_quotes, validate_bars
 from tickloom.plans.series import Lane, Series, over_series
 from tickloom.session import materialise
-from tickloom.sources.readers import require_non_empty
+from tickloom.sources.readers import require_non_empty, scan_csv
 from tickloom.sources.writers import sink_csv
 
 
@@ -63,3 +72,31 @@ def run_features(raw: DataFrame, path: str, series: Series = Series(), seq: str
     features = materialise(feature_table(clean, series), "features")
     prepared = prepare_dataset(features, series)
     return FeatureRun(features, prepared, write_bundle(prepared, path, series))
+
+
+@dataclass(frozen=True)
+class ForecastRun:
+    forecasts: DataFrame
+    errors: DataFrame
+    deviation: DataFrame
+
+
+def run_forecast(
+    spark: SparkSession,
+    path: str,
+    quotes: DataFrame,
+    series: Series = PRICES_BY_TIME,
+    series_key: str | None = None,
+    rows: int = SEQUENCE_ROWS,
+    folds: int = FOLDS,
+    model=walk_forward_lr,
+) -> ForecastRun:
+    """Read a price file, forecast walk-forward, and set errors and current quotes against the forecasts.
+
+    ``quotes`` has one row per series: the keys and ``current``. The forecasts are written once and read three times.
+    """
+    prices = require_non_empty(scan_csv(spark, path, series_key), "prices")
+    forecasts = materialise(model(prices, series, rows, folds), "forecasts")
+    return ForecastRun(
+        forecast_error(forecasts), error_summary(forecasts, series), quote_deviation(forecasts, quotes, series, folds)
+    )

@@ -13,10 +13,8 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tickloom.session import materialise
 
@@ -24,15 +22,14 @@ from tickloom.session import materialise
 BROADCAST_ROWS = 200_000
 # Up to this many long series are listed on the driver; a longer list stays a table.
 LISTED_SERIES = 10_000
-MAX_SLICES = 20_000
 
 
 @dataclass(frozen=True)
 class Series:
     """Names the series and bounds the rows of one series that a single task may hold.
 
-    ``ties`` are further columns that order rows of equal ``order``; without them such rows have no order.
-    Rows of one ``order`` value stay in one task, so copies belong removed first (clean.dedup_keep_last).
+    ``ties`` are further columns that order rows of equal ``order``; without them such rows have no order and
+    stay in one task, so copies belong removed first (clean.dedup_keep_last).
     ``one_row_per_day`` states that a series has at most one row per calendar day. That proves a bound: a
     century is 36,525 rows, and all the days a DATE can hold are 3.7 million. ``fits`` states that
     ``measured`` has checked the length. Both save a counting job per operator.
@@ -125,7 +122,10 @@ class Arranged:
 
 
 def lookup(df: DataFrame, table: DataFrame, names: list[str], rows: int | None) -> DataFrame:
-    """Left join ``table`` on ``names`` (NULL equals NULL); broadcast only when ``rows`` is known and small."""
+    """Left join ``table`` on ``names`` (NULL equals NULL); broadcast only when ``rows`` is known and small.
+
+    Beyond that it is a shuffle join whose left side adaptive execution splits where a key is hot.
+    """
     renamed = table.select(*[F.col(n).alias(f"_on_{n}") for n in names], *[c for c in table.columns if c not in names])
     if rows is not None and rows <= BROADCAST_ROWS:
         renamed = F.broadcast(renamed)
@@ -135,19 +135,6 @@ def lookup(df: DataFrame, table: DataFrame, names: list[str], rows: int | None)
     return df.join(renamed, condition, "left").drop(*[f"_on_{n}" for n in names])
 
 
-def _axis(df: DataFrame, order: str) -> Column:
-    kind = df.schema[order].dataType
-    if isinstance(kind, T.DateType):
-        value = F.unix_date(order)
-    elif isinstance(kind, T.TimestampType):
-        value = F.unix_micros(order)
-    elif isinstance(kind, T.TimestampNTZType):
-        value = F.unix_micros(F.col(order).cast("timestamp"))
-    else:
-        value = F.col(order)
-    return F.coalesce(value.cast("double"), F.lit(float("inf")))
-
-
 def long_series(df: DataFrame, series: Series) -> DataFrame:
     """Series longer than a block, with their rows. Counts combine map-side, so no series gathers anywhere."""
     return df.groupBy(*series.keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > series.block_rows)
@@ -196,30 +183,27 @@ def _number_split(
 ) -> DataFrame:
     """Number rows without ever bringing a long series together.
 
-    Quantiles of the order column cut the long series into slices of about half a block; slice sizes
-    (a map-side combined count) give each slice its starting position; rows are numbered inside slices.
+    Range partitions over keys, order and ties cut the long series into slices of about half a block, so rows of
+    one order value are split too where ties tell them apart; they are written, as every later step has to see
+    the same slices. Slice sizes (a map-side combined count) give each slice its starting position; rows are
+    numbered inside slices.
     """
     keys = list(series.keys)
-    slices = min(2 * math.ceil(rows / series.block_rows), MAX_SLICES)
+    slices = 2 * math.ceil(rows / series.block_rows)
     marked = lookup(df, long.select(*keys, F.lit(True).alias("_long")), keys, count)
-    marked = marked.withColumn("_axis", _axis(df, series.order))
-    cuts = marked.filter("_long").approxQuantile("_axis", [i / slices for i in range(1, slices)], 1 / (4 * slices))
-    inner = sorted({c for c in cuts if math.isfinite(c)}) or [0.0]
-    cutter = Bucketizer(splits=[-math.inf, *inner, math.inf], inputCol="_axis", outputCol="_slot")
-    sliced = cutter.transform(marked).withColumn(
-        "_slice", F.when(F.col("_long"), F.col("_slot").cast("int")).otherwise(F.lit(0))
-    )
+    spread = marked.filter("_long").repartitionByRange(slices, *map(F.col, keys), *series.ordering)
+    spread = materialise(spread.withColumn("_slice", F.spark_partition_id()), "slices")
+    sliced = spread.unionByName(marked.filter("_long is null").withColumn("_slice", F.lit(0)))
     size = F.sum(weight) if weight else F.count(F.lit(1))
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        sliced.filter("_long")
-        .groupBy(*keys, "_slice")
+        spread.groupBy(*keys, "_slice")
         .agg(size.alias("_size"))
         .withColumn("_start", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
         .withColumn("_length", F.sum("_size").over(Window.partitionBy(*keys)))
         .drop("_size")
     )
-    placed = lookup(sliced, starts, [*keys, "_slice"], count * (len(inner) + 1))
+    placed = lookup(sliced, starts, [*keys, "_slice"], slices + count)
     within = Window.partitionBy(*keys, "_slice")
     ordered = within.orderBy(*series.ordering)
     if weight:
@@ -233,7 +217,7 @@ def _number_split(
             "_rn": F.coalesce(F.col("_start"), F.lit(0)) + local,
             "_n": F.coalesce(F.col("_length"), total),
         }
-    ).drop("_long", "_axis", "_slot", "_slice", "_start", "_length")
+    ).drop("_long", "_slice", "_start", "_length")
 
 
 def _block_of(series: Series) -> Column:
@@ -262,11 +246,12 @@ def build_over(
     arranged: Arranged, build: Callable[[DataFrame, Lane], DataFrame], back: int = 0, ahead: int = 0
 ) -> DataFrame:
     series = arranged.series
+    # Checked whatever the data: a call must not depend on how long its series happen to be.
+    if not series.bounded and max(back, ahead) > series.block_rows:
+        raise ValueError(f"block_rows={series.block_rows} is shorter than the {max(back, ahead)} rows a frame reaches")
     if not arranged.split:
         return build(arranged.df, whole_lane(series))
     size = series.block_rows
-    if max(back, ahead) > size:
-        raise ValueError(f"block_rows={size} is shorter than the {max(back, ahead)} rows a frame reaches")
     home, offset = _block_of(series), F.col("_rn") % F.lit(size)
     copies = F.array(
         home,

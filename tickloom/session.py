@@ -59,8 +59,20 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tickloom/{name}-{uuid.uuid4().hex}"
 
 
+_WRITTEN: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every intermediate table this process has written. What was built on them can't be read any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut and later reads prune columns."""
     path = new_path(df.sparkSession, name)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

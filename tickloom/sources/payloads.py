@@ -6,19 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import epoch_ms_to_ts, shift_hours
-from tickloom.operators.clean import drop_last_row
-from tickloom.plans.series import Series
 
 QUOTE_FIELDS = "MAP<STRING, STRUCT<usd: DOUBLE, usd_24h_vol: DOUBLE, usd_24h_change: DOUBLE, last_updated_at: BIGINT>>"
 
 
-def decode_market_chart(df: DataFrame, payload: str = "payload") -> DataFrame:
+def decode_market_chart(df: DataFrame, payload: str = "payload", complete: bool = False) -> DataFrame:
     """``{"prices": [[epoch_ms, price], ...]}`` to one row per pair, with its place in the payload.
 
-    A payload without prices raises while the query runs.
+    A payload without prices raises while the query runs. ``complete`` leaves out the last pair of each
+    payload, the period that was unfinished when it landed.
     """
     parsed = F.from_json(F.col(payload), "prices ARRAY<ARRAY<DOUBLE>>")["prices"]
     parsed = F.coalesce(parsed, _refuse("no prices", payload).cast("array<array<double>>"))
+    if complete:
+        parsed = F.slice(parsed, 1, F.greatest(F.size(parsed) - 1, F.lit(0)))
     rest = [c for c in df.columns if c != payload]
     pairs = df.select(*rest, F.posexplode(parsed).alias("position", "pair"))
     return pairs.select(
@@ -29,9 +30,9 @@ def decode_market_chart(df: DataFrame, payload: str = "payload") -> DataFrame:
     )
 
 
-def market_chart_history(df: DataFrame, payload: str = "payload", series: Series = Series(order="timestamp")) -> DataFrame:
-    """Decoded history without the unfinished last period, shifted to local time."""
-    complete = drop_last_row(decode_market_chart(df, payload).drop("position"), series)
+def market_chart_history(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Decoded history without the unfinished last period of each payload, shifted to local time."""
+    complete = decode_market_chart(df, payload, complete=True).drop("position")
     return complete.withColumn("timestamp", shift_hours(F.col("timestamp"), 1))
 
 

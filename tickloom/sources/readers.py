@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,44 +16,81 @@ CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 CSV_TIME_READ = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
-def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def scan_parquet(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    where: str | Column | None = None,
+    optional: Iterable[str] = (),
+    ingest_order: str | None = None,
+) -> DataFrame:
     """Read a table. Nanosecond timestamps, which Spark reads as LONG, become timestamps.
 
-    With ``schema`` the result has exactly those columns and types; columns the file lacks are NULL.
+    With ``schema`` the result has exactly those columns and types; names match whatever their case, as
+    providers write them, and a column the file lacks raises unless it is among ``optional`` (then NULL).
+    ``where`` is a condition on the stored columns; it is applied before NaN becomes NULL, so that it reaches the
+    files for every type (a NaN counts as larger than any number there). ``ingest_order`` names a column to be
+    added that orders all rows: by file name, then by place in the file.
     """
-    table = nan_to_null(spark.read.parquet(path))
+    table = spark.read.parquet(path)
+    if ingest_order:
+        place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+        table = table.withColumn(ingest_order, place)
+    if where is not None:
+        table = table.where(where)
+    table = nan_to_null(table)
     if schema is None:
         return table
-    kinds = {f.name: f.dataType for f in table.schema}
-    return table.select([_as_type(field, kinds.get(field.name)).alias(field.name) for field in schema])
-
-
-def _as_type(field: T.StructField, stored: T.DataType | None) -> Column:
+    kinds: dict[str, list[T.StructField]] = {}
+    for f in table.schema:
+        kinds.setdefault(f.name.lower(), []).append(f)
+    twice = [n for n in schema.names if len(kinds.get(n.lower(), ())) > 1]
+    missing = [n for n in schema.names if n.lower() not in kinds and n not in set(optional)]
+    if twice or missing:
+        raise ValueError(f"{path}: no columns {missing}, several columns {twice}")
+    made = [_as_type(field, kinds.get(field.name.lower())).alias(field.name) for field in schema]
+    return table.select(*made, *([ingest_order] if ingest_order else []))
+
+
+def _as_type(field: T.StructField, stored: list[T.StructField] | None) -> Column:
     if stored is None:
         return F.lit(None).cast(field.dataType)
-    if isinstance(field.dataType, T.TimestampType) and isinstance(stored, T.LongType):
-        return F.expr(f"timestamp_micros((`{field.name}` - pmod(`{field.name}`, 1000)) div 1000)")
-    return F.col(field.name).cast(field.dataType)
-
-
-def scan_bars(spark: SparkSession, path: str, series_key: str | None = None) -> DataFrame:
+    name, kind = stored[0].name, stored[0].dataType
+    if isinstance(field.dataType, T.TimestampType) and isinstance(kind, T.LongType):
+        return F.expr(f"timestamp_micros((`{name}` - pmod(`{name}`, 1000)) div 1000)")
+    return F.col(f"`{name}`").cast(field.dataType)
+
+
+def scan_bars(
+    spark: SparkSession,
+    path: str,
+    series_key: str | None = None,
+    where: str | Column | None = None,
+    ingest_order: str | None = None,
+) -> DataFrame:
     """Daily bars; ``series_key`` names the series of a file that holds a single one."""
-    bars = scan_parquet(spark, path, S.BAR_SCHEMA)
+    optional = ["series_key"] if series_key else []
+    bars = scan_parquet(spark, path, S.BAR_SCHEMA, where, optional, ingest_order)
     return bars.withColumn("series_key", F.lit(series_key)) if series_key else bars
 
 
 def latest_snapshot(spark: SparkSession, folder: str, prefix: str) -> str:
     """Path of the newest ``<prefix>_YYYYMMDD.parquet`` in ``folder``.
 
-    Only the file listing is read; one row reaches the driver.
+    One level of the folder is listed. A snapshot that is a folder counts once its writer has committed it
+    (``_SUCCESS``), so one that is still being written is not taken.
     """
-    name = rf"^(.*/{prefix}_\d{{8}}\.parquet)(/.*)?$"
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    files = reader.option("pathGlobFilter", "*.parquet").load(folder).select("path")
-    newest = files.agg(F.max(F.nullif(F.regexp_extract("path", name, 1), F.lit(""))).alias("path")).first()["path"]
-    if newest is None:
-        raise FileNotFoundError(f"no {prefix}_YYYYMMDD.parquet in {folder}")
-    return newest
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(folder)
+    system = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    name = re.compile(rf"{re.escape(prefix)}_\d{{8}}\.parquet")
+    listed = system.listStatus(top) if system.exists(top) else []
+    found = sorted((s.getPath().getName(), i) for i, s in enumerate(listed) if name.fullmatch(s.getPath().getName()))
+    for _, i in reversed(found):
+        path = listed[i].getPath()
+        if listed[i].isFile() or system.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
+            return path.toString()
+    raise FileNotFoundError(f"no {prefix}_YYYYMMDD.parquet in {folder}")
 
 
 def scan_latest_snapshot(spark: SparkSession, folder: str, prefix: str, schema: T.StructType | None = None) -> DataFrame:
@@ -86,12 +126,21 @@ def quotes_from_text(raw: DataFrame, schema: T.StructType = S.QUOTE_SCHEMA) -> D
 def scan_json_quotes(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Quotes of a folder: one indented document per file, or with ``lines`` one document per line.
 
-    Files of lines can be split over tasks and suit large histories.
+    Files of lines can be split over tasks and suit large histories. A document that does not parse raises when
+    the query runs; ``rejected_json_quotes`` lists such documents.
     """
-    reader = spark.read.schema(quote_text_schema()).option("multiLine", not lines)
+    reader = spark.read.schema(quote_text_schema()).option("multiLine", not lines).option("mode", "FAILFAST")
     return quotes_from_text(reader.json(path))
 
 
+def rejected_json_quotes(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """``file`` and text of the documents that do not parse."""
+    schema = T.StructType([*quote_text_schema().fields, T.StructField("document", T.StringType())])
+    rows = spark.read.text(path, wholetext=not lines).select(F.col("_metadata.file_name").alias("file"), "value")
+    parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": "document"})
+    return rows.withColumn("document", parsed["document"]).filter(F.col("document").isNotNull()).select("file", "document")
+
+
 def require_non_empty(df: DataFrame, what: str = "input") -> DataFrame:
     if df.isEmpty():
         raise ValueError(f"{what} has no rows")
