@@ -42,8 +42,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document, with digests of the ids and of what they decode to."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    rows = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, public_tokenizers.PATTERN).drop("text")
-    return bpe.digests(bpe.decode(rows, path)).drop("decoded")
+    docs = docs.select("doc_id", "lang", "source", "text")
+    return bpe.digests(bpe.encode(docs, path, public_tokenizers.PATTERN, decoded="decoded")).drop("decoded")
 
 
 STAGES = [

@@ -48,14 +48,6 @@ def test_ids_equal_the_library_on_any_text(reference, encoder, text):
     assert encoder.encode(text) == reference.encode_ordinary(text)
 
 
-def test_rank_queue_gives_lowest_rank_then_leftmost():
-    queue, rng = bpe.RankQueue(70_000), random.Random(0)
-    entries = [(rng.randrange(70_000), rng.randrange(50)) for _ in range(500)] * 2
-    for rank, at in entries:
-        queue.push(rank, at)
-    assert [queue.pop() for _ in entries] == sorted(entries) and queue.pop() is None
-
-
 def test_merge_against_plain_merging(encoder):
     def plain(piece):
         if piece in encoder.ranks:
@@ -71,17 +63,20 @@ def test_merge_against_plain_merging(encoder):
     rng = random.Random(1)
     for _ in range(200):
         piece = bytes(rng.choice(b"aaabcther\xc3\xa9") for _ in range(rng.randrange(1, 40)))
-        assert list(encoder.merge(piece)) == plain(piece)
+        assert encoder.merge(piece) == plain(piece)
+        assert not any(encoder.leaf)
 
 
 def test_bpe_rows(spark, reference):
     docs = spark.createDataFrame([(1, t, "k") for t in ODD] + [(None, None, None)], "doc_id long, text string, n_chars string")
+    docs = docs.withColumn("again", F.col("text"))
     rows = bpe.digests(bpe.decode(bpe.encode(docs, RANKS, P.PATTERN), RANKS)).collect()
+    assert rows == bpe.digests(bpe.encode(docs, RANKS, P.PATTERN, decoded="decoded")).collect()
     assert len(rows) == len(ODD) + 1
     for r in rows:
-        assert r.ids == reference.encode_ordinary(r.text or "") and bytes(r.decoded) == (r.text or "").encode()
+        assert r.ids == reference.encode_ordinary(r.again or "") and bytes(r.decoded) == (r.again or "").encode()
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, r.ids)).encode()).hexdigest()
-        assert r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256((r.again or "").encode()).hexdigest()
     assert bpe.encode(docs.limit(0), RANKS, P.PATTERN).count() == 0
     with pytest.raises(ValueError):
         bpe.encode(docs.withColumnRenamed("n_chars", "ids"), RANKS, P.PATTERN)

@@ -33,7 +33,7 @@ def op2_bpe_rank_queue(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every whole text and what they decode to."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    rows = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN).drop("text"), path)
+    rows = bpe.encode(docs, path, public_tokenizers.PATTERN, decoded="decoded")
     return bpe.digests(rows).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
