@@ -187,7 +187,7 @@ def test_network_learns_and_covers_whole_texts(spark):
 
 def test_pooling_equals_a_plain_convolution():
     rng = np.random.default_rng(0)
-    net = convnet.train([b"a" * 300, b"#" * 300], [1, 0], epochs=1)
+    net = convnet.train([convnet.stretches(b"a" * 300), convnet.stretches(b"#" * 300)], [1, 0], epochs=1)
     text = bytes(rng.integers(32, 127, 1000).astype(np.uint8))
     codes = convnet._padded(text)
     n = len(codes) - convnet.WIDTH + 1
@@ -197,5 +197,5 @@ def test_pooling_equals_a_plain_convolution():
 
 
 def test_network_without_both_labels():
-    assert convnet.train([b"a"], [0]).score([b"x"]).tolist() == [0.0]
+    assert convnet.train([convnet.stretches(b"a")], [0]).score([b"x"]).tolist() == [0.0]
     assert convnet.train([], []).score([b"x"]).tolist() == [1.0]

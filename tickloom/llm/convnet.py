@@ -8,7 +8,8 @@ byte, so a text costs a few additions per byte and filter, whatever its length.
 
 The network is fitted on the driver by Adam, on at most ``SAMPLE`` labelled texts, half of each label where
 there are enough, chosen by a hash over all labelled rows; of a training text at most ``TRAIN_CHUNKS`` evenly
-spaced stretches are used. Scoring covers every byte of every text.
+spaced stretches over its whole length are used, cut out where the text lies. Scoring covers every byte of every
+text.
 
 Edge cases: a null or empty text is scored as a text of blanks; texts shorter than a chunk are padded with
 blanks; rows with a null label train nothing; if all labels agree, or there are none, every score is that
@@ -21,6 +22,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .text import encoded
@@ -33,7 +35,6 @@ CHUNK = 256
 STEP = CHUNK // 2
 SAMPLE = 3000
 TRAIN_CHUNKS = 8
-TRAIN_BYTES = 1 << 16  # of a training text that reach the driver
 EPOCHS = 24
 RATE = 0.01
 THRESHOLD = 0.7
@@ -125,8 +126,8 @@ class Network:
         return self.combine(pooled)
 
 
-def _stretches(text: bytes) -> np.ndarray:
-    """At most TRAIN_CHUNKS evenly spaced chunks of a text with the filters' overhang, as rows."""
+def stretches(text: bytes) -> np.ndarray:
+    """Classes of at most TRAIN_CHUNKS evenly spaced chunks of a text with the filters' overhang, as rows."""
     codes = _padded(text)
     last = len(codes) - WIDTH + 1 - CHUNK
     count = min(TRAIN_CHUNKS, last // STEP + 1)
@@ -134,7 +135,8 @@ def _stretches(text: bytes) -> np.ndarray:
     return codes[starts[:, None] + np.arange(CHUNK + WIDTH - 1)]
 
 
-def train(texts: Sequence[bytes], labels: Sequence[int], seed: int = 7, epochs: int = EPOCHS) -> Network:
+def train(examples: Sequence[np.ndarray], labels: Sequence[int], seed: int = 7, epochs: int = EPOCHS) -> Network:
+    """A network from the ``stretches`` of labelled texts."""
     labels = np.asarray(labels, float)
     rng = np.random.default_rng(seed)
     net = Network(
@@ -144,7 +146,6 @@ def train(texts: Sequence[bytes], labels: Sequence[int], seed: int = 7, epochs:
     if not len(labels) or labels.min() == labels.max():
         net.constant = float(labels[0]) if len(labels) else 1.0
         return net
-    examples = [_stretches(t) for t in texts]
     # Both labels weigh the same in the loss; the prior is put back into the last bias at the end.
     weight = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
     names = ("filters", "bias", "hidden", "hidden_bias", "out", "out_bias")
@@ -212,14 +213,20 @@ def fit(
     for y, n in sizes.items():
         share = F.when(F.col("y") == y, F.lit(sample / 2 / n)).otherwise(share)
     drawn = rows.where(draw < share).limit(2 * sample)
-    texts = docs.select(F.col(key).alias("k"), F.substring(F.col(text), 1, TRAIN_BYTES).alias("t")).join(F.broadcast(drawn), "k")
-    found = sorted((r.t or "", r.y) for r in texts.limit(4 * sample).collect())
-    return train(encoded([t for t, _ in found]), [y for _, y in found])
+
+    def cut(batches):
+        for batch in batches:
+            made = [stretches(t).astype(np.uint8).tobytes() for t in encoded(batch.column("t").to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary()), batch.column("y")], names=["x", "y"])
+
+    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(drawn), "k").select("t", "y")
+    found = sorted((bytes(r.x), r.y) for r in texts.mapInArrow(cut, "x binary, y int").limit(4 * sample).collect())
+    wide = CHUNK + WIDTH - 1
+    return train([np.frombuffer(x, np.uint8).reshape(-1, wide).astype(np.int64) for x, _ in found], [y for _, y in found])
 
 
 def score(docs: DataFrame, network: Network, *, text: str = "text", into: str = "score") -> DataFrame:
     """All columns of ``docs`` and the probability of label 1."""
-    import pyarrow as pa
     from pyspark.sql.types import DoubleType, StructField, StructType
 
     if into in docs.columns:

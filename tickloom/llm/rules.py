@@ -24,7 +24,7 @@ from .text import Words, buffers, encoded, mix, windows
 SYMBOLS = b"#*$%&|<>"
 REPEAT = 8  # words of a window
 SAMPLE = 400  # texts on which costs and selectivities are estimated
-SAMPLE_CHARS = 4 << 20  # and at most so many characters of them
+SAMPLE_CHARS = 16 << 20  # and at most so many characters
 
 Rule = Callable[[Sequence[bytes]], np.ndarray]
 
@@ -149,15 +149,19 @@ def estimate(texts: Sequence[bytes], rules: dict[str, Rule] = RULES) -> list[Est
 
 
 def plan(docs: DataFrame, *, text: str = "text", rules: dict[str, Rule] = RULES, sample: int = SAMPLE) -> list[Estimate]:
-    """The cascade for ``docs``: at most ``sample`` texts, drawn by a hash of their rows over the whole table."""
+    """The cascade for ``docs``, estimated on at most ``sample`` whole texts, drawn by a hash over the whole table."""
     total = docs.count()
-    share = min(1.0, 2.0 * sample / max(total, 1))
-    drawn = docs.select(F.substring(text, 1, SAMPLE_CHARS // sample).alias("t"))
-    if share < 1.0:
-        drawn = docs.where(F.pmod(F.xxhash64(text), F.lit(1_000_003)) < int(share * 1_000_003)).select(
-            F.substring(text, 1, SAMPLE_CHARS // sample).alias("t")
-        )
-    return estimate(encoded([row.t for row in drawn.limit(sample).collect()]), rules)
+    drawn = docs.select(F.col(text).alias("t"))
+    if total > 2 * sample:
+        share = int(2.0 * sample / total * (1 << 30))
+        drawn = drawn.where(F.pmod(F.xxhash64("t"), F.lit(1 << 30)) < share)
+    held, size = [], 0
+    for row in drawn.limit(sample).toLocalIterator():
+        size += len(row.t or "")
+        if size > SAMPLE_CHARS:
+            break
+        held.append(row.t)
+    return estimate(encoded(held), rules)
 
 
 def cascade(texts: Sequence[bytes], order: Sequence[str], rules: dict[str, Rule] = RULES, alive: np.ndarray | None = None) -> np.ndarray:
