@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tests.frames import closes, column, days
 from tickloom.functions import rolling, scalars
-from tickloom.operators import calendar, clean, ema, profile, target, technical
-from tickloom.plans.series import DAILY, over_series
+from tickloom.operators import calendar, clean, ema, forecast, profile, target, technical
+from tickloom.plans.series import DAILY, Series, over_series
 
 
 def windowed(df, make):
@@ -170,3 +170,47 @@ def test_quote_against_mean(spark):
 def test_duplicate_rows(spark):
     table = spark.createDataFrame([(1, None), (1, None), (1, 2), (1, None)], "a int, b int")
     assert profile.duplicate_rows(table).first()["duplicates"] == 2
+
+
+def test_dedup_never_mixes_or_blanks_rows(spark):
+    day = days(1)[0]
+    rows = [("A", day, None, 1.0, None), ("B", day, 5, 2.0, 9.0), ("B", day, 5, 3.0, None), ("C", day, None, 4.0, 1.0), ("C", day, 0, None, 7.0)]
+    bars = spark.createDataFrame(rows, "series_key string, date timestamp, seq int, close double, volume double")
+    for shuffled in (bars, bars.orderBy(F.desc("close"))):
+        kept = {r["series_key"]: tuple(r)[2:] for r in clean.dedup_keep_last(shuffled).collect()}
+        assert kept == {"A": (None, 1.0, None), "B": (5, 3.0, None), "C": (0, None, 7.0)}
+
+
+def test_zero_repair_leaves_missing_values(spark):
+    out = clean.zero_to_previous(closes(spark, [3, None, 0, 0, None, -1]), ["close"], DAILY)
+    assert column(out, "close") == [3, None, 3, 3, None, -1]
+
+
+def test_a_missing_price_keeps_its_place_in_a_sequence(spark):
+    by_time = Series(order="date", one_row_per_day=True)
+    made = forecast.make_sequences(closes(spark, [0, 1, 2, 3, None, 5, 6]), by_time, 3, "close").orderBy("seq").collect()
+    assert [r["features"] for r in made] == [[0, 1, 2], [1, 2, 3], [2, 3, None], [3, None, 5]]
+    assert [r["label"] for r in made] == [3, None, 5, 6]
+
+
+def test_a_frame_longer_than_a_block_raises_whatever_the_data(spark):
+    with pytest.raises(ValueError, match="block_rows"):
+        technical.sma(closes(spark, [1, 2, 3]), (50,), Series(block_rows=30)).collect()
+
+
+def test_models_are_of_one_series_and_look_at_the_past_only(spark):
+    line = [(k, d, scale * (10 + i)) for k, scale, n in (("A", 1.0, 30), ("B", 1000.0, 20)) for i, d in enumerate(days(n))]
+    # What comes after the validation row must not matter.
+    bent = [(k, d, p if (k, d) != ("A", days(30)[-1]) else -5.0) for k, d, p in line]
+    by_time = Series(order="date", one_row_per_day=True)
+    for rows, last in ((line, 4), (bent, 3)):
+        prices = spark.createDataFrame(rows, "series_key string, date timestamp, price double")
+        for r in forecast.walk_forward_lr(prices, by_time, rows=4).collect():
+            if r["fold"] <= last or r["series_key"] == "B":
+                assert r["predicted"] == pytest.approx(r["actual"], rel=1e-6)
+
+
+def test_quotes_and_series_without_a_partner_stay(spark):
+    quotes = spark.createDataFrame([("A", 2.0), ("Z", 1.0)], "series_key string, price_usd double")
+    made = {r["series_key"]: (r["sign"], r["mean_close"]) for r in profile.quote_vs_mean(quotes, closes(spark, [1, 1])).collect()}
+    assert made == {"A": ("+", 1.0), "Z": (None, None)}

@@ -64,3 +64,36 @@ def test_recursive_mean(spark, span):
 def test_pieces_cover_a_frame_once(n):
     rows = sorted(r for length, back in frame_pieces(n) for r in range(back, back + length))
     assert rows == list(range(n))
+
+
+def test_infinities_count_as_missing(spark):
+    """The first close of a series and volumes anywhere; inside, a recursive mean refuses a missing close."""
+    bars = random_bars({"a": 300, "b": 60}, 5).sort_values(["series_key", "date"]).reset_index(drop=True)
+    first = bars.groupby("series_key").head(1).index
+    bars.loc[first, "close"] = [np.inf, -np.inf]
+    bars.loc[[40, 41, 200], "volume"] = np.inf
+    made = technical.technical_features(spark.createDataFrame(bars)).orderBy("series_key", "date")
+    bad = [c for c in S.TECHNICAL if made.filter(f"isnan({c})").count()]
+    assert not bad
+    made = made.toPandas()
+    wanted = pd.concat([expected(g) for _, g in bars.groupby("series_key")], ignore_index=True)
+    columns = [c for c in S.TECHNICAL if c != "volume_ratio"]
+    pd.testing.assert_frame_equal(made[columns].astype(float), wanted[columns], rtol=1e-9, atol=1e-9)
+
+
+def test_infinite_close_inside_frames(spark):
+    bars = random_bars({"a": 120}, 6).sort_values("date").reset_index(drop=True)
+    bars.loc[[50, 51, 80], "close"] = np.inf
+    bars.loc[90, "high"] = np.inf
+    table, series = spark.createDataFrame(bars), Series()
+    wanted = expected(bars)
+    for make, names in (
+        (lambda: technical.sma(table, (7, 50), series), ["sma_7", "sma_50"]),
+        (lambda: technical.bollinger(table, series=series), ["bb_middle", "bb_upper", "bb_lower", "bb_width"]),
+        (lambda: technical.rsi(table, series=series), ["rsi_14"]),
+        (lambda: technical.volatility(table, series=series), [f"volatility_{n}" for n in S.VOLATILITY_ROWS]),
+        (lambda: technical.atr(table, series=series), ["atr_14"]),
+    ):
+        made = make().orderBy("date")
+        assert not any(made.filter(f"isnan({c})").count() for c in names)
+        pd.testing.assert_frame_equal(made.toPandas()[names].astype(float), wanted[names], rtol=1e-9, atol=1e-9)

@@ -111,3 +111,21 @@ def test_measured_once(bars):
 def test_block_shorter_than_frame_is_refused(bars):
     with pytest.raises(ValueError, match="shorter"):
         technical.sma(bars, (200,), Series(block_rows=100))
+
+
+def test_a_hot_date_is_split_by_ties(spark):
+    rows = [("A", f"2024-01-{1 + (i % 10 if i % 4 == 0 else 4):02d}", i) for i in range(4000)]
+    table = spark.createDataFrame(rows, "series_key string, day string, place int").withColumn("date", F.to_timestamp("day"))
+    series = Series(ties=("place",), block_rows=300)
+    arranged = arrange(table, series)
+    assert arranged.split
+    numbered = arranged.df.orderBy("date", "place").select("_rn").collect()
+    assert [r["_rn"] for r in numbered] == list(range(4000))
+    slices = arranged.df.sparkSession.read.parquet(_newest_slices(spark)).groupBy("_slice").count()
+    assert slices.agg(F.max("count")).first()[0] <= 300
+
+
+def _newest_slices(spark):
+    from tickloom import session
+
+    return next(p for p in reversed(session._WRITTEN) if "/slices-" in p)

@@ -59,7 +59,7 @@ def start_levels(lane: Lane, source: str) -> Levels:
 
 
 def _before(source: str) -> str:
-    return f"_{source}_before"
+    return f"_{source}_finite_before"
 
 
 def cell_name(cell: int) -> str:
