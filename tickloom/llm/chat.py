@@ -1,8 +1,8 @@
 """Reply trees as training conversations.
 
 Messages name their parent. Paths from a root to each leaf are found by iterative self-joins that double the
-distance: table k gives every message its 2**k-th ancestor and the sum of scores up to it, made by joining
-table k - 1 with itself, so a tree of depth d takes log2(d) joins. The leaves of a tree are ranked by the score
+distance: table k gives every message that has one its 2**k-th ancestor and the sum of scores up to it, made by
+joining table k - 1 with itself, so a tree of depth d takes log2(d) joins. The leaves of a tree are ranked by the score
 of their path, ties by the smaller leaf; the best ``branches`` are kept. Joining a kept leaf with the tables
 from the largest distance down lists every message of its path once. Each path becomes one text.
 
@@ -64,28 +64,31 @@ def best_paths(messages: DataFrame, *, branches: int | None = 1) -> DataFrame:
 
     # A parent that is no message of the tree is none.
     known = other("tree=t node=p")
-    up = nodes.join(known, F.col("tree").eqNullSafe(F.col("t")) & (F.col("parent") == F.col("p")), "left").select(
+    first = materialise(nodes.join(known, F.col("tree").eqNullSafe(F.col("t")) & (F.col("parent") == F.col("p")), "left").select(
         "tree", "node", F.col("p").alias("up"), F.col("score").alias("sum")
-    )
-    tables = [materialise(up, "up")]
+    ), "up")
+    # Scores summed from a message to its root, and from the others to the ancestor that was reached.
+    totals = first.where("up is null").select("tree", "node", "sum")
+    tables = [first.where("up is not null")]
     limit = max(1, nodes.count()).bit_length() + 1
-    while not tables[-1].where("up is not null").isEmpty() and len(tables) <= limit:
+    while not tables[-1].isEmpty() and len(tables) <= limit:
         here = tables[-1]
         far = here.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("far"), F.col("sum").alias("more"))
-        step = here.join(far, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")), "left")
-        tables.append(materialise(step.select(
-            "tree", "node", F.col("far").alias("up"), (F.col("sum") + F.coalesce("more", F.lit(0.0))).alias("sum")
-        ), "up"))
-    parents = tables[0].where("up is not null").select(F.col("tree").alias("t"), F.col("up").alias("n")).distinct()
-    # What still has an ancestor at the largest distance is on a cycle or hangs off one.
-    ends = tables[-1].where("up is null")
-    leaves = ends.join(parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")), "left_anti")
+        step = materialise(here.join(far, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")), "left").drop("t", "n"), "up")
+        above = totals.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("sum").alias("rest"))
+        ended = step.where("far is null").join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")))
+        totals = totals.union(materialise(ended.select("tree", "node", (F.col("sum") + F.col("rest")).alias("sum")), "totals"))
+        # Only messages with an ancestor still farther away go on.
+        tables.append(step.where("far is not null").select("tree", "node", F.col("far").alias("up"), (F.col("sum") + F.col("more")).alias("sum")))
+    parents = tables[0].select(F.col("tree").alias("t"), F.col("up").alias("n")).distinct()
+    # What never came to a root is on a cycle or hangs off one.
+    leaves = totals.join(parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")), "left_anti")
     if branches is not None:
         ranked = Window.partitionBy("tree").orderBy(F.desc("sum"), "node")
         leaves = leaves.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= branches)
     path = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("back"))
     for k in range(len(tables) - 2, -1, -1):
-        hop = tables[k].where("up is not null").select(F.col("tree").alias("t"), F.col("node").alias("n"), "up")
+        hop = tables[k].select(F.col("tree").alias("t"), F.col("node").alias("n"), "up")
         path = materialise(path, "path")
         further = path.join(hop, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n"))).select(
             "tree", "leaf", F.col("up").alias("node"), (F.col("back") + (1 << k)).alias("back")
