@@ -125,13 +125,19 @@ def test_tree_drops_only_what_cannot_link():
         sets.append(sorted(set(cut) | set(rng.sample(range(1, 1 << 62), 1))))
     import numpy as np
 
-    members = [ngram_join._Member(i, i, len(s), 0, ngram_join.bitmap(np.array(s, np.uint64))) for i, s in enumerate(sets)]
-    found = set(ngram_join.SignatureTree(members).candidates(forest=False))
+    arrays = [np.array(s, np.uint64) for s in sets]
     true = {
         (i, j) for j in range(len(sets)) for i in range(j)
         if 100 * len(set(sets[i]) & set(sets[j])) >= 85 * len(set(sets[i]) | set(sets[j]))
     }
-    assert len(true) > 10 and true <= found and len(found) < len(sets) * 3
+
+    def tree():
+        return ngram_join.SignatureTree([ngram_join._Member(i, len(a), 0, ngram_join.bitmap(a), 0, 0, a) for i, a in enumerate(arrays)])
+
+    partnered = set(tree().with_partners())
+    assert len(true) > 10 and {i for pair in true for i in pair} <= partnered
+    links = tree().links()
+    assert set(links) <= true and union_find(len(sets), links) == union_find(len(sets), true)
 
 
 def line_shingles(line, k=line_dedup.SHINGLE):

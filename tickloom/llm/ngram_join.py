@@ -6,25 +6,27 @@ connected.
 
 Where trees stand: texts with equal sets are one class. All sets are ordered alike, shingles that very many
 texts hold last, others by their hash; two sets that link must share one of their first
-n - ceil(PERCENT * n / 100) + 1 shingles. So classes meet in groups, one per such shingle. Over the members of a
-group stands a signature tree: members sorted by set size, leaves of a few of them, nodes holding the OR of
-their members' bitmaps, their range of sizes and the most shingles any member has beyond its set bits.
+n - ceil(PERCENT * n / 100) + 1 shingles. So classes meet in groups, one per such shingle; shingles with the same
+members are one group. Over the members of a group stands a signature tree: members sorted by set size, leaves of
+a few of them, nodes holding the OR of their members' bitmaps, their range of sizes and the most shingles any
+member has beyond its set bits.
 
 Dual traversal: a pair of nodes is dropped if no sizes in it can reach the threshold, or if the set bits they
-share, and the excess, allow too small an overlap, or if all its members are known to be one component already.
-What remains at the leaves is tested by both bitmaps and by the shingle's places in the order, and then counted
-exactly on the full sets. Three passes, each with the components of the pass before:
+share, and the excess, allow too small an overlap. At the leaves pairs are tested by their own bitmaps and by the
+shingle's places in the order. Groups are traversed twice:
 
-1. each class in the group of its first shared shingle only; a candidate pair counts as linked for the rest of
-   its group, so a group yields a spanning forest and not its pairs;
-2. all groups that still hold several components, likewise;
-3. all groups that still do, every pair that the tree lets through.
+1. on bitmaps alone, to find the members that have any partner; node pairs whose members all have one are dropped;
+2. with the texts of those members, pairs being counted exactly on the full sets. For that, groups that have
+   members in common are taken together, so that each text is read once. A link joins its components
+   at once and node pairs within one component are dropped. The member with the most shared shingles meets all
+   others first, so a group of copies of it is one component after a test each.
 
-Pass 3 makes the result whole; passes 1 and 2 see to it that copies by the thousand are one component by then.
+Either pass gives at most a row per member of a group, never its pairs.
 
 At scale: the order's last shingles (``HOT`` texts or more, at most ``HOT_MOST`` of them, 8 bytes each) are the only
-thing broadcast beside the sieves of fixed size. Groups above ``GROUP`` rows are cut into blocks, and blocks meet
-in pairs of tasks. Counts are combined before shuffles. Texts are shuffled only where a pair needs them.
+thing broadcast beside the sieves of fixed size. Groups of more than ``GROUP`` rows or ``TOKENS`` shingles are cut
+into blocks, and blocks meet in pairs of tasks. Counts are combined before shuffles. Tables whose size depends on
+the data are joined by shuffles.
 
 Edge cases: a null text and one without words have an empty set, link with nothing and are their own component;
 fewer words than ``WIDTH`` are one shingle; null and repeated ids are rows of their own (a component is named by
@@ -38,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialise
 from .components import components
@@ -51,7 +53,8 @@ HOT = 64
 HOT_MOST = 200_000
 COUNTED = 1 << 22  # shingles counted together before the frequent ones are reported
 LEAST_BITS, MOST_BITS = 256, 1 << 16
-GROUP = 2000
+GROUP = 4000
+TOKENS = 1 << 21
 LEAF = 6
 
 
@@ -85,9 +88,9 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n + 1 - -(-percent * n // 100) if n else 0
 
 
-def bitmap(tokens: np.ndarray) -> bytes:
-    """One bit per hash, modulo a power of two of at least twice their number, within bounds."""
-    size = min(MOST_BITS, max(LEAST_BITS, 1 << (2 * max(1, len(tokens)) - 1).bit_length()))
+def bitmap(tokens: np.ndarray, each: int = 2, most: int = MOST_BITS) -> bytes:
+    """One bit per hash, modulo a power of two of at least ``each`` times their number, within bounds."""
+    size = min(most, max(LEAST_BITS, 1 << (each * max(1, len(tokens)) - 1).bit_length()))
     bits = np.zeros(size, np.uint8)
     bits[(tokens & np.uint64(size - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -180,12 +183,13 @@ class _Node:
 
 
 class _Member:
-    __slots__ = ("id", "component", "low", "place", "bits", "size", "excess", "side")
+    __slots__ = ("id", "low", "place", "bits", "size", "excess", "side", "partner", "tokens", "degree")
 
-    def __init__(self, id, component, n, place, bits: bytes, side=0):
-        self.id, self.component, self.low, self.place, self.side = id, component, n, place, side
+    def __init__(self, id, n, place, bits: bytes, side=0, degree=0, tokens=None):
+        self.id, self.low, self.place, self.side, self.degree, self.tokens = id, n, place, side, degree, tokens
         self.bits, self.size = int.from_bytes(bits, "little"), 8 * len(bits)
         self.excess = n - self.bits.bit_count()
+        self.partner = False
 
     @property
     def high(self):
@@ -193,39 +197,16 @@ class _Member:
 
 
 class SignatureTree:
-    """Members of a group; ``candidates`` gives the pairs that no bound excludes."""
+    """Members of a group. With ``sides``, members of the same side don't pair."""
 
-    def __init__(self, members: list[_Member], percent: int = PERCENT, leaf: int = LEAF):
-        self.percent = percent
-        self.parent: dict[int, int] = {}
-        level = sorted(members, key=lambda m: (m.low, m.id))
-        nodes = [_Node(members=level[i : i + leaf]) for i in range(0, len(level), leaf)]
+    def __init__(self, members: list[_Member], percent: int = PERCENT, sides: bool = False, leaf: int = LEAF):
+        self.percent, self.sides = percent, sides
+        self.members = sorted(members, key=lambda m: (m.low, m.id))
+        nodes = [_Node(members=self.members[i : i + leaf]) for i in range(0, len(members), leaf)]
         while len(nodes) > 1:
             nodes = [_Node(children=nodes[i : i + leaf]) for i in range(0, len(nodes), leaf)]
         self.root = nodes[0]
 
-    def find(self, c: int) -> int:
-        parent = self.parent
-        while (up := parent.get(c, c)) != c:
-            parent[c] = parent.get(up, up)
-            c = up
-        return c
-
-    def _same(self, node: _Node):
-        """The component of all members of a node, or None."""
-        if node.same is not None:
-            return self.find(node.same)
-        if node.members:
-            first = self.find(node.members[0].component)
-            if any(self.find(m.component) != first for m in node.members):
-                return None
-        else:
-            first = self._same(node.children[0])
-            if first is None or any(self._same(c) != first for c in node.children[1:]):
-                return None
-        node.same = first
-        return first
-
     def _far(self, x, y) -> bool:
         """No member of x can link with one of y, by sizes and bits."""
         p = self.percent
@@ -236,9 +217,10 @@ class SignatureTree:
         most = (x.bits & y.bits).bit_count() + min(x.excess, y.excess)
         return (100 + p) * most < p * (x.low + y.low)
 
-    def _pair(self, a: _Member, b: _Member) -> bool:
+    def _near(self, a: _Member, b: _Member) -> bool:
+        """The bounds allow a pair of members to link."""
         p = self.percent
-        if 100 * a.low < p * b.low or 100 * b.low < p * a.low:
+        if self.sides and a.side == b.side or 100 * a.low < p * b.low or 100 * b.low < p * a.low:
             return False
         need = p * (a.low + b.low)
         if (100 + p) * min(a.low - a.place, b.low - b.place) < need:
@@ -249,21 +231,11 @@ class SignatureTree:
         most = min(a.low - (x ^ common).bit_count(), b.low - (y ^ common).bit_count())
         return (100 + p) * most >= need
 
-    def candidates(self, forest: bool, sides: bool = False) -> list[tuple[int, int]]:
-        """Pairs of ids. ``forest``: a pair joins its components at once. ``sides``: members of one side don't pair."""
-        out: list[tuple[int, int]] = []
-
-        def test(a, b):
-            if sides and a.side == b.side:
-                return
-            ca, cb = self.find(a.component), self.find(b.component)
-            if ca != cb and self._pair(a, b):
-                out.append((a.id, b.id) if a.id < b.id else (b.id, a.id))
-                if forest:
-                    self.parent[max(ca, cb)] = min(ca, cb)
+    def _traverse(self, test, settled) -> None:
+        """Call ``test`` for all pairs of members that no bound on nodes excludes and that are not ``settled``."""
 
         def within(x):
-            if self._same(x) is not None:
+            if settled(x, x):
                 return
             if x.members:
                 for i, a in enumerate(x.members):
@@ -277,10 +249,7 @@ class SignatureTree:
                     between(c, d)
 
         def between(x, y):
-            if self._far(x, y):
-                return
-            one = self._same(x)
-            if one is not None and one == self._same(y):
+            if self._far(x, y) or settled(x, y):
                 return
             if x.members and y.members:
                 for a in x.members:
@@ -294,7 +263,64 @@ class SignatureTree:
                     between(c, y)
 
         within(self.root)
-        return out
+
+    def with_partners(self) -> list[int]:
+        """Ids of the members that the bounds allow a partner."""
+
+        def all_have(node: _Node) -> bool:
+            if not node.same:
+                node.same = all(m.partner for m in node.members) if node.members else all(map(all_have, node.children))
+            return node.same
+
+        def test(a, b):
+            if not (a.partner and b.partner) and self._near(a, b):
+                a.partner = b.partner = True
+
+        self._traverse(test, lambda x, y: all_have(x) and all_have(y))
+        return [m.id for m in self.members if m.partner]
+
+    def links(self) -> list[tuple[int, int]]:
+        """Links that connect all members which links connect, by exact counts on their tokens."""
+        parent = {m.id: m.id for m in self.members}
+        found: list[tuple[int, int]] = []
+        percent = self.percent
+
+        def find(i):
+            while parent[i] != i:
+                parent[i] = i = parent[parent[i]]
+            return i
+
+        def same(node: _Node):
+            """The component of all members of a node, or None."""
+            if node.same is not None:
+                return find(node.same)
+            parts = [find(m.id) for m in node.members] if node.members else list(map(same, node.children))
+            if parts[0] is None or any(p != parts[0] for p in parts):
+                return None
+            node.same = parts[0]
+            return parts[0]
+
+        def test(a, b):
+            x, y = find(a.id), find(b.id)
+            if x == y or not self._near(a, b):
+                return
+            few, many = (a.tokens, b.tokens) if len(a.tokens) < len(b.tokens) else (b.tokens, a.tokens)
+            at = np.minimum(np.searchsorted(many, few), len(many) - 1)
+            shared = int((many[at] == few).sum())
+            if 100 * shared >= percent * (len(few) + len(many) - shared):
+                parent[max(x, y)] = min(x, y)
+                found.append((min(a.id, b.id), max(a.id, b.id)))
+
+        def settled(x, y):
+            one = same(x)
+            return one is not None and (x is y or one == same(y))
+
+        head = max(self.members, key=lambda m: (m.degree, -m.id))
+        for other in self.members:
+            if other is not head:
+                test(head, other)
+        self._traverse(test, settled)
+        return found
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, list]]:
@@ -320,70 +346,115 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[s
         yield made()
 
 
-def _candidates(groups: DataFrame, forest: bool, percent: int) -> DataFrame:
-    """Pairs (a, b) from the trees over ``groups``: token, row, component, n, place, bits, members (rows of the token)."""
-    blocks = F.ceil(F.col("members") / GROUP).cast("int")
+def _blocks(entries: DataFrame) -> DataFrame:
+    """Entries of a group (group, row, ..., members, total) dealt to pairs of blocks (x, y) of the group."""
+    blocks = F.ceil(F.greatest(F.col("members") / GROUP, F.col("total") / TOKENS)).cast("int")
     own = F.pmod(F.xxhash64("row"), blocks).cast("int")
-    cut = groups.withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
-    cut = cut.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")}).drop("other", "members")
-    # Both blocks of a pair go to one task, and only there.
-    sorted_rows = cut.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y", "row")
+    cut = entries.withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
+    return cut.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")}).drop("other", "members", "total")
+
+
+def _sized(entries: DataFrame) -> DataFrame:
+    """Entries with the members and the shingles of their group; groups of one are left out."""
+    sizes = entries.groupBy("group").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("total")).where("members > 1")
+    return entries.join(sizes.hint("merge"), "group")
+
+
+def _with_like_sizes(entries: DataFrame, percent: int) -> DataFrame:
+    """Sized entries whose row has a set size near that of another row of the group.
+
+    In the order of sizes the nearest others are the neighbours. Groups above ``GROUP`` rows pass as they are.
+    """
+    order = Window.partitionBy("group").orderBy("n", "row")
+    smaller, larger = F.lag("n").over(order), F.lead("n").over(order)
+    near = (100 * smaller >= percent * F.col("n")) | (100 * F.col("n") >= percent * larger)
+    some = entries.where(F.col("members") <= GROUP).withColumn("near", near).where("near").drop("near")
+    return some.union(entries.where(F.col("members") > GROUP))
+
+
+def _partnered(entries: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The entries (group, row) whose row may have a partner in its group."""
+    like = _with_like_sizes(_sized(entries), percent)
+    cut = _blocks(like.join(rows.select("row", "bits").hint("merge"), "row"))
+    sorted_rows = cut.repartition("group", "x", "y").sortWithinPartitions("group", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: set[tuple[int, int]] = set()
-        for group in _runs(batches, ["token", "x", "y"]):
-            if len(group["row"]) > 1:
-                columns = (group[c] for c in ("row", "component", "n", "place", "bits", "own"))
-                tree = SignatureTree([_Member(*values) for values in zip(*columns)], percent)
-                found.update(tree.candidates(forest, sides=group["x"][0] != group["y"][0]))
-                if len(found) > 100_000:
-                    yield _pairs(found)
-                    found = set()
-        if found:
-            yield _pairs(found)
+        names: tuple[list[int], list[int]] = ([], [])
+        for run in _runs(batches, ["group", "x", "y"]):
+            if len(run["row"]) > 1:
+                columns = (run[c] for c in ("row", "n", "place", "bits", "own"))
+                members = [_Member(*values) for values in zip(*columns)]
+                kept = SignatureTree(members, percent, run["x"][0] != run["y"][0]).with_partners()
+                names[0].extend(run["group"][:1] * len(kept))
+                names[1].extend(kept)
+                if len(names[0]) > 50_000:
+                    yield _pairs(*names, "group", "row")
+                    names = ([], [])
+        if names[0]:
+            yield _pairs(*names, "group", "row")
 
-    return sorted_rows.mapInArrow(run, "a long, b long").distinct()
+    return sorted_rows.mapInArrow(run, "group long, row long").distinct()
 
 
-def _pairs(found) -> pa.RecordBatch:
-    a, b = zip(*found)
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+def _pairs(a: list[int], b: list[int], *names: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=list(names))
 
 
-def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, doc: str, text: str, width: int, percent: int) -> DataFrame:
-    """The pairs that link, by an exact count on the full sets of both texts.
+def _families(entries: DataFrame) -> DataFrame:
+    """(group, row, n, degree, place): rows that possible partners connect as one group, each row once.
 
-    Each pair's texts meet under its smaller row, whose set is held while those of its partners pass by.
+    ``degree`` is the number of groups a row was in; the places of single shingles bound nothing here.
     """
-    asked = pairs.select("a", F.col("b").alias("row")).union(pairs.select("a", F.col("a").alias("row")).distinct())
-    asked = materialise(asked.join(reps.select("row", "doc", "digest"), "row"), "asked")
+    heads = entries.groupBy("group").agg(F.min("row").alias("head"))
+    known = components(entries.join(heads.hint("merge"), "group"), "row", "head")
+    rows = entries.groupBy("row").agg(F.min("n").alias("n"), F.count(F.lit(1)).alias("degree"))
+    rows = rows.join(known.select(F.col("node").alias("row"), F.col("component").alias("group")).hint("merge"), "row")
+    return materialise(rows.withColumn("place", F.lit(0)), "families")
+
+
+def _links(entries: DataFrame, rows: DataFrame, docs: DataFrame, doc: str, text: str, width: int, percent: int) -> DataFrame:
+    """Links (a, b) among the rows of each family, on the full sets of their texts."""
+    asked = _sized(_families(entries)).join(rows.select("row", "doc", "digest").hint("merge"), "row")
+    asked = materialise(_blocks(asked), "asked")
     texts = docs.select(F.col(doc).alias("id"), F.col(text).alias("t"))
     texts = may_hold(texts, sieve(asked, "doc"), F.col("id"))
-    met = asked.join(texts, F.col("doc").eqNullSafe(F.col("id"))).select("a", "row", (F.col("a") != F.col("row")).alias("partner"), "digest", "t")
-    met = met.repartition("a").sortWithinPartitions("a", "partner", "row")
+    met = texts.join(asked.hint("merge"), F.col("doc").eqNullSafe(F.col("id"))).drop("id", "doc")
+    met = met.repartition("group", "x", "y").sortWithinPartitions("group", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, held = None, None
-        for batch in batches:
-            good = set()
-            columns = (batch.column(c).to_pylist() for c in ("a", "row", "partner", "digest"))
-            sets = shingle_sets(encoded(batch.column("t").to_pylist(), lower=True), width)
-            for a, row, partner, known, tokens in zip(*columns, sets):
-                if digest(tokens) != known:
-                    continue  # another text under the same id
-                if not partner:
-                    head, held = a, tokens
-                elif head == a:
-                    at = np.minimum(np.searchsorted(held, tokens), len(held) - 1)
-                    shared = int((held[at] == tokens).sum())
-                    if 100 * shared >= percent * (len(held) + len(tokens) - shared):
-                        good.add((a, row))
-            if good:
-                yield _pairs(good)
+        for run in _runs(batches, ["group", "x", "y"]):
+            sets = shingle_sets(encoded(run["t"], lower=True), width)
+            members, seen = [], set()
+            for row, n, place, side, degree, known, tokens in zip(*(run[c] for c in ("row", "n", "place", "own", "degree", "digest")), sets):
+                # Another text under the same id, or the same text once more.
+                if row not in seen and digest(tokens) == known:
+                    seen.add(row)
+                    # Wide bitmaps cost no shuffle here and leave little to count exactly.
+                    members.append(_Member(row, n, place, bitmap(tokens, 16, 1 << 20), side, degree, tokens))
+            if len(members) > 1:
+                found = SignatureTree(members, percent, run["x"][0] != run["y"][0]).links()
+                if found:
+                    yield _pairs(*map(list, zip(*found)), "a", "b")
 
     return met.mapInArrow(run, "a long, b long")
 
 
+def _entries(reps: DataFrame) -> DataFrame:
+    """(group, row, n, place): groups of rows that share a shingle of their first ones, each set of members once."""
+    spread = reps.select("row", "n", F.posexplode("prefix").alias("place", "token"))
+    shared = spread.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("token")
+    shared = materialise(shared, "shared")
+    members = may_hold(spread, sieve(shared, "token", expected=shared.count()), "token").join(shared.hint("merge"), "token")
+    members = materialise(members, "members")
+    # Shingles held by the same rows: two hashes over the rows and their number tell them.
+    who = members.groupBy("token").agg(
+        F.bit_xor(F.xxhash64("row")).alias("h"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("k"), F.count(F.lit(1)).alias("c")
+    )
+    first = who.groupBy("h", "k", "c").agg(F.min("token").alias("group"))
+    named = materialise(who.join(first.hint("merge"), ["h", "k", "c"]).select("token", "group"), "named")
+    return members.join(named.hint("merge"), "token").groupBy("group", "row").agg(F.min("n").alias("n"), F.min("place").alias("place"))
+
+
 def join(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc, sha, n_shingles, component, group): one row per row of ``docs``.
 
@@ -398,33 +469,10 @@ def join(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", width: int
     again = may_hold(full, held, "digest").join(classes.select(F.col("node").alias("row")), "row", "left_semi")
     reps = may_not_hold(full, held, "digest").union(again.select(*full.columns))
 
-    spread = reps.select("row", "n", F.posexplode("prefix").alias("place", "token"))
-    shared = materialise(spread.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "shared")
-    members = may_hold(spread, sieve(shared, "token"), "token").join(shared, "token")
-    members = materialise(members.select("token", "row", "n", "place", "members"), "members")
-
-    links = None
-    known = None
-    for step in (1, 2, 3):
-        if known is None:
-            now = members.withColumn("component", F.col("row"))
-        else:
-            now = members.join(known, members["row"] == known["node"], "left").select(
-                *members.columns, F.coalesce("component", "row").alias("component")
-            )
-        if step == 1:
-            first = members.groupBy("row").agg(F.min("place").alias("place"))
-            now = now.join(first, ["row", "place"])
-        # Groups that still hold several components, with the rows they have now.
-        now = materialise(now, "groups")
-        open_ = now.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"))
-        open_ = materialise(open_.where("low < high").select("token", "members"), "open")
-        groups = may_hold(now.drop("members"), sieve(open_, "token"), "token").join(open_, "token")
-        groups = groups.join(reps.select("row", "bits"), "row")
-        pairs = materialise(_candidates(groups, step < 3, percent), "pairs")
-        found = materialise(_linked(pairs, reps, docs, doc, text, width, percent), "links")
-        links = found if links is None else links.union(found)
-        known = materialise(components(links), "components")
+    entries = materialise(_entries(reps), "entries")
+    partnered = materialise(_partnered(entries, reps, percent), "partnered")
+    left = materialise(entries.join(partnered.hint("merge"), ["group", "row"], "left_semi"), "left")
+    known = materialise(components(_links(left, reps, docs, doc, text, width, percent)), "components")
 
     named = classes.join(known, classes["node"] == known["node"], "left").select(
         classes["digest"], "least", F.coalesce("component", classes["node"]).alias("group")

@@ -1,39 +1,54 @@
-"""A bitmap of fixed size over keys, to keep rows that can't match out of a shuffle.
+"""A bitmap over keys, to keep rows that can't match out of a shuffle.
 
-``sieve`` sets one bit of 2**22 per key; ``may_hold`` keeps the rows whose bit is set, through a join with the
-at most 65,536 words of the bitmap (1 MB), which may always be broadcast. It lets some other rows pass, so an
-exact join follows; with very many keys it passes everything and costs a look-up.
+``sieve`` sets one bit per key; ``may_hold`` keeps the rows whose bit is set, through a join with the words of the
+bitmap, which may always be broadcast: it has 2**22 bits (65,536 words, 1 MB), or about 16 per key where
+their number is given, 2**25 at most. It lets some other rows pass, so an exact join follows; with very many
+keys it passes everything and costs a look-up.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialise
 
-WORDS = 1 << 16
+LEAST_WORDS, MOST_WORDS = 1 << 16, 1 << 19
+
+
+@dataclass(frozen=True)
+class Sieve:
+    table: DataFrame
+    words: int
 
 
-def _place(*key: Column | str) -> tuple[Column, Column]:
+def _place(words: int, *key: Column | str) -> tuple[Column, Column]:
     h = F.xxhash64(F.lit("sieve"), *key)
-    return F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(WORDS - 1)), h.bitwiseAND(F.lit(63)).cast("int")
+    return F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(words - 1)), h.bitwiseAND(F.lit(63)).cast("int")
 
 
-def sieve(rows: DataFrame, *key: str) -> DataFrame:
-    word, bit = _place(*key)
+def sieve(rows: DataFrame, *key: str, expected: int = 0) -> Sieve:
+    """``expected`` is the number of different keys, where known."""
+    words = min(MOST_WORDS, max(LEAST_WORDS, 1 << (expected // 4).bit_length()))
+    word, bit = _place(words, *key)
     bits = rows.select(word.alias("sieve_word"), F.expr("1L").alias("one"), bit.alias("bit"))
-    return materialise(bits.groupBy("sieve_word").agg(F.bit_or(F.call_function("shiftleft", "one", "bit")).alias("sieve_bits")), "sieve")
+    table = bits.groupBy("sieve_word").agg(F.bit_or(F.call_function("shiftleft", "one", "bit")).alias("sieve_bits"))
+    return Sieve(materialise(table, "sieve"), words)
+
+
+def _tested(rows: DataFrame, held: Sieve, how: str, *key: Column | str) -> DataFrame:
+    word, bit = _place(held.words, *key)
+    return rows.withColumns({"sieve_word": word, "sieve_bit": bit}).join(F.broadcast(held.table), "sieve_word", how)
 
 
-def may_hold(rows: DataFrame, held: DataFrame, *key: Column | str) -> DataFrame:
-    word, bit = _place(*key)
-    tested = rows.withColumns({"sieve_word": word, "sieve_bit": bit}).join(F.broadcast(held), "sieve_word")
+def may_hold(rows: DataFrame, held: Sieve, *key: Column | str) -> DataFrame:
+    tested = _tested(rows, held, "inner", *key)
     return tested.where(F.call_function("bit_get", "sieve_bits", "sieve_bit") == 1).select(*rows.columns)
 
 
-def may_not_hold(rows: DataFrame, held: DataFrame, *key: Column | str) -> DataFrame:
+def may_not_hold(rows: DataFrame, held: Sieve, *key: Column | str) -> DataFrame:
     """The rows that ``may_hold`` leaves out."""
-    word, bit = _place(*key)
-    tested = rows.withColumns({"sieve_word": word, "sieve_bit": bit}).join(F.broadcast(held), "sieve_word", "left")
+    tested = _tested(rows, held, "left", *key)
     clear = F.coalesce(F.call_function("bit_get", "sieve_bits", "sieve_bit"), F.lit(0)) == 0
     return tested.where(clear).select(*rows.columns)
