@@ -39,22 +39,21 @@ MASK = WORD - 1
 BIT = [1 << i for i in range(1 << 14)]  # for ranks up to 2**22
 # Rank files are vocabularies of at most this size (a broadcast of some tens of MB).
 VOCABULARY_BYTES = 64 << 20
-CACHED = 1 << 20  # blank-delimited pieces that a Python worker remembers, by their hashes
-WORDS = 200_000  # and pre-tokens
+CACHED = 1 << 19  # blank-delimited pieces that a Python worker remembers, by their hashes
+WORDS = 150_000  # and pre-tokens
 WORD_CHARS = 64  # longer ones are merged each time
 TOGETHER = 1 << 18  # characters looked up at a time
 LONG = 16 << 20  # longer texts go pre-token by pre-token
-BATCH_BYTES = 8 << 20  # of text encoded and returned at a time
+BATCH_BYTES = 3 << 20  # of text encoded and returned at a time
 
 
 class PairTable:
     """Ranks of pairs of ids, for many pairs at once: open addressing in numpy."""
 
-    def __init__(self, pairs: dict[int, int]):
-        self.shift = 64 - max(8, (2 * len(pairs)).bit_length())
+    def __init__(self, keys: np.ndarray, ranks: np.ndarray):
+        self.shift = 64 - max(8, (2 * len(keys)).bit_length())
         self.keys = np.full(1 << (64 - self.shift), -1, np.int64)
         self.ranks = np.full(len(self.keys), -1, np.int32)
-        keys, ranks = np.fromiter(pairs, np.int64, len(pairs)), np.fromiter(pairs.values(), np.int32, len(pairs))
         at = self._place(keys)
         while len(keys):
             free = np.flatnonzero(self.keys[at] == -1)
@@ -95,13 +94,13 @@ class Encoder:
         for piece, rank in ranks.items():
             self.bytes_of[rank] = piece
         # Rank of two neighbours by their ids: every cut of a vocabulary entry into two others.
-        self.pairs = {
-            ranks[piece[:i]] << 32 | ranks[piece[i:]]: rank
-            for piece, rank in ranks.items() for i in range(1, len(piece)) if piece[:i] in ranks and piece[i:] in ranks
-        }
-        self.single = [ranks.get(bytes([b]), -1) for b in range(256)]
+        cuts = ((p[:i], p[i:], rank) for p, rank in ranks.items() for i in range(1, len(p)) if p[:i] in ranks and p[i:] in ranks)
+        pairs = np.fromiter(((ranks[a] << 32 | ranks[b], rank) for a, b, rank in cuts), np.dtype("i8,i4"))
+        if any(bytes([b]) not in ranks for b in range(256)):
+            raise ValueError("a byte-level vocabulary holds every byte")
+        self.single = [ranks[bytes([b])] for b in range(256)]
         self.single_ids = np.array(self.single, np.int32)
-        self.table_of_pairs = PairTable(self.pairs)
+        self.pairs = PairTable(pairs["f0"], pairs["f1"])
         self.leaf = [0] * (size // WORD + 1)
         self.words: dict[str, bytes] = {}
 
@@ -114,13 +113,17 @@ class Encoder:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        single, rank_of, leaf, bit = self.single, self.pairs.get, self.leaf, BIT
+        single, leaf, bit, known, name = self.single, self.leaf, BIT, self.ranks.get, self.bytes_of
+
+        def rank_of(left, right):
+            return known(name[left] + name[right])
+
         parts = [single[b] for b in piece]
         n = len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         bucket: dict[int, int | list[int]] = {}
         top = 0
-        fresh = [(rank_of(parts[i] << 32 | parts[i + 1]), i) for i in range(n - 1)]
+        fresh = [(rank_of(parts[i], parts[i + 1]), i) for i in range(n - 1)]
         while True:
             for rank, i in fresh:
                 if rank is None:
@@ -154,7 +157,7 @@ class Encoder:
                     top ^= bit[word]
             fresh = ()
             left, j = parts[i], after[i]
-            if left < 0 or j >= n or rank_of(left << 32 | parts[j]) != rank:
+            if left < 0 or j >= n or parts[j] < 0 or rank_of(left, parts[j]) != rank:
                 continue  # stale: a part is gone or has grown
             parts[i], parts[j] = rank, -1
             j = after[i] = after[j]
@@ -162,11 +165,11 @@ class Encoder:
             if j < n:
                 before[j] = i
                 if h >= 0:
-                    fresh = ((rank_of(rank << 32 | parts[j]), i), (rank_of(parts[h] << 32 | rank), h))
+                    fresh = ((rank_of(rank, parts[j]), i), (rank_of(parts[h], rank), h))
                 else:
-                    fresh = ((rank_of(rank << 32 | parts[j]), i),)
+                    fresh = ((rank_of(rank, parts[j]), i),)
             elif h >= 0:
-                fresh = ((rank_of(parts[h] << 32 | rank), h),)
+                fresh = ((rank_of(parts[h], rank), h),)
 
     def merge_all(self, words: list[bytes]) -> list[bytes]:
         """Ids of many pre-tokens as 32-bit integers, by one queue over all of them."""
@@ -185,7 +188,7 @@ class Encoder:
         after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         after[ends - 1] = n
         before[ends - sizes] = -1
-        find, leaf, bit = self.table_of_pairs.find, self.leaf, BIT
+        find, leaf, bit = self.pairs.find, self.leaf, BIT
         bucket: dict[int, list[np.ndarray]] = {}
         again: set[int] = set()
 
