@@ -132,35 +132,36 @@ def _links(signatures: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
     some = may_hold(lines.select("key", "line"), sieve(degrees, "key"), "key").join(degrees, "key", "left_semi")
     texts = some.dropDuplicates(["key"]).select("key", F.encode("line", "UTF-16BE").alias("units"))
     texts = materialise(texts, "texts")
-    members = materialise(members.join(degrees, "key").withColumn("open", F.lit(True)), "members")
+    members = members.join(degrees, "key").withColumns({"open": F.lit(True), "family": F.col("key")})
+    members = materialise(members, "members")
     done, heads_at_once, known = None, 1, None
     while True:
         rank = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("degree"), "key"))
         heads = members.where("open").withColumn("rank", rank).where(F.col("rank") <= heads_at_once)
-        heads = materialise(heads.select("band", F.col("key").alias("head"), F.col("marks").alias("head_marks")), "heads")
-        led = members.join(heads, "band").where(F.col("key") != F.col("head"))
+        heads = heads.select("band", *(F.col(c).alias(f"head_{c}") for c in ("key", "marks", "family")))
+        heads = materialise(heads, "heads")
+        # Lines of one family are connected already.
+        led = members.join(heads, "band").where(F.col("family") != F.col("head_family"))
         led = led.where(_agreeing("marks", "head_marks") >= AGREEING)
-        led = led.select("band", "key", F.least("head", "key").alias("a"), F.greatest("head", "key").alias("b"))
-        if known is not None:  # lines that the first round has connected
-            left, right = (known.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in")) for c in "ab")
-            led = led.join(left, "a", "left").join(right, "b", "left")
-        else:
-            led = led.withColumns({"a_in": F.lit(None).cast("binary"), "b_in": F.lit(None).cast("binary")})
-        led = materialise(led.withColumn("one", F.coalesce(F.col("a_in") == F.col("b_in"), F.lit(False))).drop("a_in", "b_in"), "led")
-        pairs = led.where("not one").select("a", "b").distinct()
+        led = led.select("band", "key", F.least("head_key", "key").alias("a"), F.greatest("head_key", "key").alias("b"))
+        led = materialise(led, "led")
+        pairs = led.select("a", "b").distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         tested = materialise(_verified(pairs, texts, percent), "tested")
         done = tested if done is None else done.union(tested)
-        if known is None:
-            known = materialise(components(done.where("alike")), "known")
-        found = led.where("not one").join(done.where("alike").select("a", "b"), ["a", "b"]).select("band", "key")
-        found = found.union(led.where("one").select("band", "key"))
-        settled = found.union(heads.select("band", F.col("head").alias("key"))).distinct().withColumn("settled", F.lit(True))
+        found = led.join(done.where("alike").select("a", "b"), ["a", "b"]).select("band", "key")
+        same = heads.select("band", F.col("head_family").alias("family")).distinct()
+        found = found.union(members.where("open").join(same, ["band", "family"], "left_semi").select("band", "key"))
+        settled = found.union(heads.select("band", F.col("head_key").alias("key"))).distinct().withColumn("settled", F.lit(True))
         # A pair is settled by one test; larger groups go on while a line in them is like no head.
         still = F.col("open") & F.col("settled").isNull() & (F.col("size") > 2)
         now = members.join(settled, ["band", "key"], "left").withColumn("open", still).drop("settled")
-        now = materialise(now, "members")
+        if known is None:  # most families are known after the first round
+            known = materialise(components(done.where("alike")), "known")
+            now = now.drop("family").join(known.withColumnRenamed("node", "key").withColumnRenamed("component", "family"), "key", "left")
+            now = now.withColumn("family", F.coalesce("family", "key"))
+        now = materialise(now.select(*members.columns), "members")
         members = now.join(now.where("open").select("band").distinct(), "band", "left_semi")
         heads_at_once *= 2
         if now.where("open").isEmpty():
