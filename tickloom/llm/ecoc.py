@@ -230,8 +230,10 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     def run(batches):
         model = shared.value
         for batch in batches:
-            named, score = model.predict(batch.column(text).to_pylist())
-            made = [pa.array(named, pa.string()), pa.array(score), pa.array(score < AMBIGUOUS)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *added])
+            for at in range(0, batch.num_rows, 512):  # some MB of text at a time
+                part = batch.slice(at, 512)
+                named, score = model.predict(part.column(text).to_pylist())
+                made = [pa.array(named, pa.string()), pa.array(score), pa.array(score < AMBIGUOUS)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, *added])
 
     return docs.mapInArrow(run, schema)
