@@ -221,6 +221,26 @@ def test_many_lines_like_one_another_give_one_pair_each(spark):
     assert sum(r.text != "" for r in line_dedup.dedup_lines(rows).collect()) == sum(t != "" for t in brute_lines(docs))
 
 
+def test_bridges_between_families_of_other_heads_are_found(spark, monkeypatch):
+    def one_group(lines):
+        keys = lines.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        marks = F.array(*[F.lit(0).cast("tinyint")] * (line_dedup.BANDS * line_dedup.ROWS))
+        return keys.select("key", "n", F.array(F.lit(1)).cast("array<bigint>").alias("bands"), marks.alias("marks"))
+
+    monkeypatch.setattr(line_dedup, "_signatures", one_group)
+    monkeypatch.setattr(line_dedup, "BRIDGING", 2)
+    rng = random.Random(6)
+    docs = []
+    for _ in range(4):  # every line is like its neighbours only
+        line = "".join(rng.choice("abcdefghij") for _ in range(220))
+        for i in range(10):
+            docs.append((len(docs), line))
+            line = line[: 20 * i + 5] + "Z" + line[20 * i + 6 : 20 * i + 15] + "Z" + line[20 * i + 16 :]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = [r.text for r in line_dedup.dedup_lines(rows).orderBy("doc_id").collect()]
+    assert got == brute_lines(docs)
+
+
 def test_native_plan(spark):
     rows = spark.createDataFrame([(1, "a\nb")], "doc_id long, text string")
     plan = line_dedup.dedup_lines(rows)._jdf.queryExecution().toString()

@@ -14,8 +14,11 @@ sets is at least ``PERCENT`` / 100.
    before head the next round, against all lines of the group, until every line is like a head or has been one.
    So a group of lines that are alike, or like one of them, takes one pair per line; only lines that are
    like none of the others are held against each other.
-4. Verified pairs are edges; components come from a distributed union-find. Of each component, the first line
-   in the order of (document id, line number) stays and the others go.
+4. Verified pairs are edges; components come from a distributed union-find. Two lines of a group that are
+   each like another head may still bridge two components: as long as lines of a group that have not been heads
+   lie in several components, those outside its largest one head further rounds. In the end any two lines
+   of a group have been tested, agree in too few hashes or are in one component.
+5. Of each component, the first line in the order of (document id, line number) stays and the others go.
 
 At a similarity of 0.8 a pair shares a band with a probability of 98.6 %, at 0.9 of 99.96 %; it then has fewer
 than ``AGREEING`` hashes in common with one of 0.4 % and 0.0004 %.
@@ -41,6 +44,7 @@ BANDS = 6
 ROWS = 3
 AGREEING = 10  # of BANDS * ROWS
 STRIDE = 4  # shingles hashed per exploded row
+BRIDGING = 16  # lines of a group that first look for bridges; four times as many in each further round
 
 
 def _probes(count: int) -> list[int]:
@@ -120,8 +124,37 @@ def _agreeing(x: str, y: str) -> Column:
     return F.aggregate(F.zip_with(x, y, lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, e: n + e)
 
 
-def _links(signatures: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
-    """Verified pairs (a, b) of different lines, enough to connect what is alike."""
+def _tested(led: DataFrame, done: DataFrame | None, texts: DataFrame, percent: int) -> DataFrame:
+    """``done`` and the verified pairs of ``led`` that are not in it yet."""
+    pairs = led.select("a", "b").distinct()
+    if done is not None:
+        pairs = pairs.join(done, ["a", "b"], "left_anti")
+    tested = materialise(_verified(pairs, texts, percent), "tested")
+    return tested if done is None else done.union(tested)
+
+
+def _led(members: DataFrame, heads: DataFrame) -> DataFrame:
+    """(band, key, a, b): lines and heads of one group that may be alike; those of one family are connected already."""
+    led = members.join(heads, "band").where(F.col("family") != F.col("head_family"))
+    led = led.where(_agreeing("marks", "head_marks") >= AGREEING)
+    return led.select("band", "key", F.least("head_key", "key").alias("a"), F.greatest("head_key", "key").alias("b"))
+
+
+def _heads(rows: DataFrame, order: list, count: int) -> DataFrame:
+    """The first ``count`` of ``rows`` in each group."""
+    rank = F.row_number().over(Window.partitionBy("band").orderBy(*order))
+    heads = rows.withColumn("rank", rank).where(F.col("rank") <= count)
+    return materialise(heads.select("band", *(F.col(c).alias(f"head_{c}") for c in ("key", "marks", "family"))), "heads")
+
+
+def _with_families(members: DataFrame, known: DataFrame) -> DataFrame:
+    families = known.withColumnRenamed("node", "key").withColumnRenamed("component", "family")
+    named = members.drop("family").join(families, "key", "left")
+    return named.withColumn("family", F.coalesce("family", "key")).select(*members.columns)
+
+
+def _families(signatures: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of the different lines that are like another one."""
     banded = signatures.select("key", "marks", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = materialise(shared, "bands")
@@ -133,47 +166,60 @@ def _links(signatures: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
     texts = some.dropDuplicates(["key"]).select("key", F.encode("line", "UTF-16BE").alias("units"))
     texts = materialise(texts, "texts")
     members = members.join(degrees, "key").withColumns({"open": F.lit(True), "family": F.col("key")})
-    members = materialise(members, "members")
-    done, heads_at_once, known = None, 1, None
+    members = every = materialise(members, "members")
+    order = [F.desc("degree"), "key"]
+    done, heads_at_once, been, known = None, 1, None, None
     while True:
-        rank = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("degree"), "key"))
-        heads = members.where("open").withColumn("rank", rank).where(F.col("rank") <= heads_at_once)
-        heads = heads.select("band", *(F.col(c).alias(f"head_{c}") for c in ("key", "marks", "family")))
-        heads = materialise(heads, "heads")
-        # Lines of one family are connected already.
-        led = members.join(heads, "band").where(F.col("family") != F.col("head_family"))
-        led = led.where(_agreeing("marks", "head_marks") >= AGREEING)
-        led = led.select("band", "key", F.least("head_key", "key").alias("a"), F.greatest("head_key", "key").alias("b"))
-        led = materialise(led, "led")
-        pairs = led.select("a", "b").distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        tested = materialise(_verified(pairs, texts, percent), "tested")
-        done = tested if done is None else done.union(tested)
+        heads = _heads(members.where("open"), order, heads_at_once)
+        named = heads.select("band", F.col("head_key").alias("key"))
+        been = named if been is None else been.union(named)
+        led = materialise(_led(members, heads), "led")
+        done = _tested(led, done, texts, percent)
         found = led.join(done.where("alike").select("a", "b"), ["a", "b"]).select("band", "key")
         same = heads.select("band", F.col("head_family").alias("family")).distinct()
         found = found.union(members.where("open").join(same, ["band", "family"], "left_semi").select("band", "key"))
-        settled = found.union(heads.select("band", F.col("head_key").alias("key"))).distinct().withColumn("settled", F.lit(True))
+        settled = found.union(named).distinct().withColumn("settled", F.lit(True))
         # A pair is settled by one test; larger groups go on while a line in them is like no head.
         still = F.col("open") & F.col("settled").isNull() & (F.col("size") > 2)
         now = members.join(settled, ["band", "key"], "left").withColumn("open", still).drop("settled")
         if known is None:  # most families are known after the first round
             known = materialise(components(done.where("alike")), "known")
-            now = now.drop("family").join(known.withColumnRenamed("node", "key").withColumnRenamed("component", "family"), "key", "left")
-            now = now.withColumn("family", F.coalesce("family", "key"))
+            now = _with_families(now, known)
         now = materialise(now.select(*members.columns), "members")
         members = now.join(now.where("open").select("band").distinct(), "band", "left_semi")
         heads_at_once *= 2
         if now.where("open").isEmpty():
-            return done.where("alike").select("a", "b")
+            break
+    return _bridged(every.where("size > 2").join(been, ["band", "key"], "left_anti"), done, texts, percent, order)
+
+
+def _bridged(members: DataFrame, done: DataFrame, texts: DataFrame, percent: int, order: list) -> DataFrame:
+    """(node, component) after lines that have not been heads met those of other components in their groups."""
+    heads_at_once = BRIDGING
+    while True:
+        known = materialise(components(done.where("alike")), "known")
+        named = _with_families(members, known)
+        parts = named.groupBy("band", "family").agg(F.count(F.lit(1)).alias("n"))
+        apart = parts.groupBy("band").agg(
+            F.max_by("family", F.struct("n", "family")).alias("largest"), F.count(F.lit(1)).alias("parts")
+        )
+        members = materialise(named.join(apart.where("parts > 1").drop("parts"), "band"), "members")
+        if members.isEmpty():
+            return known
+        # Lines of the largest family need not lead: all others meet them.
+        heads = _heads(members.where("family <> largest"), order, heads_at_once)
+        led = materialise(_led(members, heads), "led")
+        done = _tested(led, done, texts, percent)
+        been = heads.select("band", F.col("head_key").alias("key"))
+        members = members.join(been, ["band", "key"], "left_anti").drop("largest")
+        heads_at_once *= 4
 
 
 def removed_lines(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc, sha, gone): for each document that loses lines, their numbers from 0."""
     lines = _lines(docs, doc, text)
     signatures = materialise(_signatures(lines), "signatures")
-    links = _links(signatures, lines, percent)
-    joined = materialise(components(links), "components")
+    joined = _families(signatures, lines, percent)
     copies = signatures.where("n > 1").select("key")
     affected = joined.select(F.col("node").alias("key"), "component").union(
         copies.join(joined, copies["key"] == joined["node"], "left_anti").select("key", F.col("key").alias("component"))
