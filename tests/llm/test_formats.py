@@ -11,7 +11,7 @@ import public_tokenizers as P
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, chat, records, warc
+from tickloom.llm import bpe, chat, pieces, records, warc
 from tickloom.session import new_path
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
@@ -109,6 +109,22 @@ def test_word_ids_equal_the_library_on_any_text(text):
 _WORDS = {}
 
 
+@pytest.mark.parametrize("limit", [1, 8, 64])
+def test_texts_with_more_pieces_than_a_table_holds(spark, reference, limit):
+    repeated = " ".join(f"{i % 40}" for i in range(300))
+    texts = ["a b", " ".join(map(str, range(100))), repeated, None, "x7 " * 50 + repeated, " ".join(f"w{i}" for i in range(90))]
+    encoder = bpe.SpacedEncoder(bpe.read_ranks(spark, RANKS), P.PATTERN)
+    encoder.table = pieces.PieceTable("<i4", limit)
+    words = records.WordEncoder(open(WORDS).read())
+    words.table = pieces.PieceTable(words.kind, limit)
+    for some in ([t] for t in texts), [texts], [texts]:
+        for part in some:
+            got = [np.frombuffer(ids, "<i4").tolist() for ids in encoder.encode_all(part)]
+            assert got == [reference.encode_ordinary(t or "") for t in part]
+            expected = [words.tokenizer.encode(t or "", add_special_tokens=False).ids for t in part]
+            assert [np.frombuffer(ids, words.kind).tolist() for ids in words.encode_all(part)] == expected
+
+
 def test_records_read_back(spark):
     docs = [(i, t) for i, t in enumerate(ODD)] + [(3, "again"), (None, "null key"), (99, None)]
     random.Random(4).shuffle(docs)

@@ -1,7 +1,8 @@
 """Ids of text pieces remembered in numpy arrays: many pieces are looked up and put together at once.
 
 A piece is known by two 64-bit hashes of its code points and its length. Tables hold up to ``limit`` pieces; a
-full one is emptied, so a Python worker's memory is bounded.
+full one is emptied, so a Python worker's memory is bounded. A group with more different pieces than that is
+encoded in runs of at most ``limit`` pieces, one after another.
 """
 
 from __future__ import annotations
@@ -115,6 +116,8 @@ def encode(table: PieceTable, codes: np.ndarray, start: np.ndarray, end: np.ndar
         _, one, which = np.unique(b[missing], return_index=True, return_inverse=True)
         if not table.room(len(one)):
             table.clear()
+            if len(start) > table.limit:  # in runs that fit whatever is in them
+                return _in_runs(table, codes, start, end, make)
             if len(one) < len(start):  # everything is looked up anew, as new pieces
                 return encode(table, codes, start, end, make)
         rows = missing[one]
@@ -127,6 +130,18 @@ def encode(table: PieceTable, codes: np.ndarray, start: np.ndarray, end: np.ndar
     return table.ids(found, lengths), lengths
 
 
+def _in_runs(table: PieceTable, codes: np.ndarray, start: np.ndarray, end: np.ndarray, make) -> tuple[np.ndarray, np.ndarray]:
+    """``encode`` of ``limit`` consecutive pieces at a time."""
+    ids, lengths = [], []
+    for at in range(0, len(start), table.limit):
+        s, e = start[at : at + table.limit], end[at : at + table.limit]
+        low, high = int(s.min()), int(e.max())
+        made = encode(table, codes[low:high], s - low, e - low, make)
+        ids.append(made[0])
+        lengths.append(made[1])
+    return np.concatenate(ids), np.concatenate(lengths)
+
+
 def encode_groups(table: PieceTable, groups: list[tuple], make) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """``encode`` for several (codes, start, end), whose unknown pieces go to ``make`` in one call."""
     known = [hashes(*group) for group in groups]
