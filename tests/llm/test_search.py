@@ -65,6 +65,18 @@ def test_nothing_is_hit_without_passages_or_documents(spark):
     assert wu_manber.find_passages(docs.limit(0), some).count() == 0
 
 
+@pytest.mark.parametrize("block", [1 << 20, 5])
+def test_passages_without_an_id_are_hit_but_name_no_item(spark, block):
+    docs = [(1, "x rain falls y"), (2, "sun and moon"), (3, "rain falls, sun and moon"), (4, "rain")]
+    items = [(None, "Rain falls"), (7, "sun and"), (None, "sun and"), (None, None)]
+    left = spark.createDataFrame(docs, "doc_id long, text string")
+    right = spark.createDataFrame(items, "item_id int, text string")
+    found = wu_manber.hit_summary(wu_manber.find_passages(left, right, passage_bytes=block))
+    got = sorted((r.doc, r.n_hit, r.n_items, r.contaminated) for r in found.collect())
+    assert got == [(1, 2, 0, True), (2, 2, 1, True), (3, 4, 1, True), (4, 0, 0, False)]
+    assert [r.doc_id for r in wu_manber.clean_documents(left, right).collect()] == [4]
+
+
 def test_overlapping_and_repeated_windows():
     tables = wu_manber.compile_passages([("1", b"a a a")], 2)
     assert wu_manber.hits(b"a a a a b a", tables) == (6, [(0, 4)], {"1"})

@@ -10,7 +10,8 @@ from the end; a text block that no window holds allows a skip of m - B + 1 bytes
 block is a suffix of the first m bytes of the windows in its bucket, which are compared directly.
 
 Edge cases: a null or wordless text has n_words 0 and nothing is hit; a null or wordless passage has no
-window and never occurs; repeated passages all count in n_items, repeated item_ids once; documents with equal
+window and never occurs; a passage with a null item_id is searched for like any other (its words are hit words),
+but names no item; repeated passages all count in n_items, repeated item_ids once; documents with equal
 or null ids keep one row each; an empty table gives an empty result and an empty benchmark hits nothing.
 """
 
@@ -71,7 +72,7 @@ class Patterns:
             at += 1
 
 
-def compile_passages(items: list[tuple[str, bytes]], width: int = WIDTH) -> list[Patterns]:
+def compile_passages(items: list[tuple[str | None, bytes]], width: int = WIDTH) -> list[Patterns]:
     """Search tables of (item, passage): whole windows together, shorter passages by their number of words."""
     classes: dict[int, dict[bytes, list[str]]] = {}
     for item, passage in items:
@@ -79,7 +80,7 @@ def compile_passages(items: list[tuple[str, bytes]], width: int = WIDTH) -> list
         for i in range(max(1, len(words) - width + 1) if words else 0):
             taken = words[i : i + width]
             holders = classes.setdefault(len(taken), {}).setdefault(b" " + b" ".join(taken) + b" ", [])
-            if item not in holders:
+            if item is not None and item not in holders:
                 holders.append(item)
     return [Patterns(w) for _, w in sorted(classes.items())]
 
@@ -114,12 +115,12 @@ def hits(text: bytes, tables: list[Patterns]) -> tuple[int, list[tuple[int, int]
     return len(words), merged(found), items
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> list[list[tuple[str, bytes]]]:
+def _blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> list[list[tuple[str | None, bytes]]]:
     """Passages in blocks of at most ``limit`` bytes, read one block at a time through a row iterator."""
-    made: list[list[tuple[str, bytes]]] = [[]]
+    made: list[list[tuple[str | None, bytes]]] = [[]]
     size = 0
     for row in benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).toLocalIterator():
-        if row.t is None or row.i is None:
+        if row.t is None:
             continue
         data = row.t.encode("utf-8", "surrogatepass")
         if made[-1] and size + len(data) > limit:
