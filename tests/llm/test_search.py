@@ -208,6 +208,37 @@ def test_pooling_equals_a_plain_convolution():
     assert np.allclose(net.chunk_maxima(codes), np.maximum(np.array(chunks) + net.bias, 0), atol=1e-4)
 
 
+def test_fitting_pools_whole_texts_as_scoring_does():
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(32, 127, n).astype(np.uint8)) for n in (10, 300, 9_000, 40_000)]
+    examples, labels, weight = [convnet.stretches(t) for t in texts], np.array([1.0, 0, 1, 0]), np.ones(4)
+    net = convnet.train(examples, labels, epochs=1)
+
+    def loss():
+        p = net.score(texts)
+        return -np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p))
+
+    grads = dict(zip(("filters", "bias", "hidden", "hidden_bias", "out", "out_bias"), convnet._gradients(net, examples, labels, weight)))
+    for name in ("bias", "hidden", "hidden_bias", "out", "out_bias"):
+        value, grad = getattr(net, name).reshape(-1), grads[name].reshape(-1)
+        for i in range(0, len(value), 7):
+            held, seen = value[i], []
+            for move in (1e-5, -1e-5):
+                value[i] = held + move
+                seen.append(loss())
+            value[i] = held
+            assert abs((seen[0] - seen[1]) / 2e-5 - grad[i]) < 1e-4
+
+
+def test_every_byte_of_a_training_text_counts():
+    rng = random.Random(4)
+    words = ["rain", "falls", "on", "plain", "hills"]
+    made = [" ".join(rng.choice(words) for _ in range(1300)).encode()[:6000] for _ in range(60)]
+    texts = [t if i % 2 else t[:500] + b"#$%" * 30 + t[590:] for i, t in enumerate(made)]
+    net = convnet.train([convnet.stretches(t) for t in texts[:40]], [i % 2 for i in range(40)])
+    assert [p > 0.5 for p in net.score(texts[40:])] == [bool(i % 2) for i in range(20)]
+
+
 def test_network_without_both_labels():
     assert convnet.train([convnet.stretches(b"a")], [0]).score([b"x"]).tolist() == [0.0]
     assert convnet.train([], []).score([b"x"]).tolist() == [1.0]

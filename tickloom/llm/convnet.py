@@ -7,9 +7,9 @@ vectors go through one hidden layer into one probability. A filter bank over cla
 byte, so a text costs a few additions per byte and filter, whatever its length.
 
 The network is fitted on the driver by Adam, on at most ``SAMPLE`` labelled texts, half of each label where
-there are enough, chosen by a hash over all labelled rows; of a training text at most ``TRAIN_CHUNKS`` evenly
-spaced stretches over its whole length are used, cut out where the text lies. Scoring covers every byte of every
-text.
+there are enough, chosen by a hash over all labelled rows. Fitting and scoring pool alike, over all chunks of
+the whole text. The classes of the training texts, a byte each, lie on the driver. Both labels weigh the same in
+the loss, whatever their shares among the rows.
 
 Edge cases: a null or empty text is scored as a text of blanks; texts shorter than a chunk are padded with
 blanks; rows with a null label train nothing; if all labels agree, or there are none, every score is that
@@ -34,7 +34,7 @@ HIDDEN = 12
 CHUNK = 256
 STEP = CHUNK // 2
 SAMPLE = 3000
-TRAIN_CHUNKS = 8
+BLOCK = 512  # steps convolved at a time
 EPOCHS = 24
 RATE = 0.01
 THRESHOLD = 0.7
@@ -102,7 +102,7 @@ class Network:
         two = codes[:-1] * CLASSES + codes[1:]
         steps = []
         tables = self.pairs()
-        block = 512 * STEP  # bytes convolved at a time
+        block = BLOCK * STEP
         for start in range(0, n, block):
             stop = min(n, start + block)
             total = tables[0][two[start:stop]]
@@ -127,12 +127,9 @@ class Network:
 
 
 def stretches(text: bytes) -> np.ndarray:
-    """Classes of at most TRAIN_CHUNKS evenly spaced chunks of a text with the filters' overhang, as rows."""
-    codes = _padded(text)
-    last = len(codes) - WIDTH + 1 - CHUNK
-    count = min(TRAIN_CHUNKS, last // STEP + 1)
-    starts = (np.arange(count) * (last / max(1, count - 1))).astype(np.int64)
-    return codes[starts[:, None] + np.arange(CHUNK + WIDTH - 1)]
+    """Classes of all steps of a text with the filters' overhang, as rows; two neighbouring ones are a chunk."""
+    codes = _padded(text).astype(np.uint8)
+    return np.lib.stride_tricks.sliding_window_view(codes, STEP + WIDTH - 1)[::STEP].copy()
 
 
 def train(examples: Sequence[np.ndarray], labels: Sequence[int], seed: int = 7, epochs: int = EPOCHS) -> Network:
@@ -146,7 +143,6 @@ def train(examples: Sequence[np.ndarray], labels: Sequence[int], seed: int = 7,
     if not len(labels) or labels.min() == labels.max():
         net.constant = float(labels[0]) if len(labels) else 1.0
         return net
-    # Both labels weigh the same in the loss; the prior is put back into the last bias at the end.
     weight = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
     names = ("filters", "bias", "hidden", "hidden_bias", "out", "out_bias")
     moments = {n: (np.zeros_like(getattr(net, n)), np.zeros_like(getattr(net, n))) for n in names}
@@ -166,24 +162,39 @@ def train(examples: Sequence[np.ndarray], labels: Sequence[int], seed: int = 7,
                 v += 0.01 * grad * grad
                 value = getattr(net, name)
                 value -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    net.__post_init__()
+            net.__post_init__()
     return net
 
 
+def _step_maxima(net: Network, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The largest filter answers of each step, and where in it they stand."""
+    tables = net.pairs()
+    best = np.zeros((len(rows), FILTERS), np.float32)
+    place = np.zeros((len(rows), FILTERS), np.int64)
+    for at in range(0, len(rows), BLOCK):
+        codes = rows[at : at + BLOCK].astype(np.int64)
+        two = codes[:, :-1] * CLASSES + codes[:, 1:]
+        answers = tables[0][two[:, :STEP]]
+        for k in range(1, len(tables)):
+            answers += tables[k][two[:, 2 * k : 2 * k + STEP]]
+        place[at : at + BLOCK] = answers.argmax(1)
+        best[at : at + BLOCK] = answers.max(1)
+    return best, place
+
+
 def _gradients(net: Network, examples: list[np.ndarray], labels: np.ndarray, weight: np.ndarray):
     rows = np.concatenate(examples)
-    owner = np.repeat(np.arange(len(examples)), [len(e) for e in examples])
-    counts = np.bincount(owner, minlength=len(examples))
-    answers = net.filters[0].astype(np.float32)[rows[:, :CHUNK]]
-    for k in range(1, WIDTH):
-        answers += net.filters[k].astype(np.float32)[rows[:, k : k + CHUNK]]
-    place = answers.argmax(1)  # chunk x filter
-    top = np.take_along_axis(answers, place[:, None, :], 1)[:, 0, :] + net.bias
+    best, place = _step_maxima(net, rows)
+    lengths = np.array([len(e) for e in examples])
+    counts = lengths - 1
+    owner = np.repeat(np.arange(len(examples)), counts)
+    left = np.delete(np.arange(len(rows)), np.cumsum(lengths) - 1)  # the first step of each chunk
+    step = left[:, None] + (best[left + 1] > best[left])  # chunk x filter
+    place = np.take_along_axis(place, step, 0)
+    top = np.take_along_axis(best, step, 0) + net.bias
     chunks = np.maximum(top, 0)
-    mean = np.zeros((len(examples), FILTERS))
-    np.add.at(mean, owner, chunks)
-    mean /= counts[:, None]
     first = np.concatenate([[0], np.cumsum(counts)[:-1]])
+    mean = np.add.reduceat(chunks, first) / counts[:, None]
     largest = np.maximum.reduceat(chunks, first)
     pooled = np.concatenate([mean, largest], 1)
     inner = np.maximum(pooled @ net.hidden + net.hidden_bias, 0)
@@ -192,12 +203,14 @@ def _gradients(net: Network, examples: list[np.ndarray], labels: np.ndarray, wei
     d_inner = (error[:, None] * net.out) * (inner > 0)
     d_pooled = d_inner @ net.hidden.T
     d_chunks = d_pooled[owner, :FILTERS] / counts[owner, None]
-    d_chunks += np.where(chunks == largest[owner], d_pooled[owner, FILTERS:], 0)
+    # Neighbouring chunks share a step, so the largest answer is often in two of them.
+    at_most = chunks == largest[owner]
+    d_chunks += at_most * (d_pooled[:, FILTERS:] / np.add.reduceat(at_most, first, dtype=np.int64))[owner]
     d_chunks *= top > 0
     d_filters = np.zeros_like(net.filters)
     filters = np.broadcast_to(np.arange(FILTERS), place.shape)
     for k in range(WIDTH):
-        np.add.at(d_filters[k], (np.take_along_axis(rows, place + k, 1), filters), d_chunks)
+        np.add.at(d_filters[k], (rows[step, place + k], filters), d_chunks)
     return d_filters, d_chunks.sum(0), pooled.T @ d_inner, d_inner.sum(0), inner.T @ error, np.array([error.sum()])
 
 
@@ -216,13 +229,13 @@ def fit(
 
     def cut(batches):
         for batch in batches:
-            made = [stretches(t).astype(np.uint8).tobytes() for t in encoded(batch.column("t").to_pylist())]
+            made = [stretches(t).tobytes() for t in encoded(batch.column("t").to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary()), batch.column("y")], names=["x", "y"])
 
     texts = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(drawn), "k").select("t", "y")
     found = sorted((bytes(r.x), r.y) for r in texts.mapInArrow(cut, "x binary, y int").limit(4 * sample).collect())
-    wide = CHUNK + WIDTH - 1
-    return train([np.frombuffer(x, np.uint8).reshape(-1, wide).astype(np.int64) for x, _ in found], [y for _, y in found])
+    wide = STEP + WIDTH - 1
+    return train([np.frombuffer(x, np.uint8).reshape(-1, wide) for x, _ in found], [y for _, y in found])
 
 
 def score(docs: DataFrame, network: Network, *, text: str = "text", into: str = "score") -> DataFrame:
