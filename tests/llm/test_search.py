@@ -164,6 +164,19 @@ def test_languages(spark):
     assert mixed[0] < model.predict(["le la des que avec"])[1][0]
 
 
+def test_copies_of_texts_neither_fill_the_sample_nor_empty_it(spark, monkeypatch):
+    rows = [(f"der und die nicht {i}", "de") for i in range(4)] * 500 + [(f"the and of {i}", "en") for i in range(200)]
+    rows += [("the and of that", "en")] * 2000 + [(None, "fr"), ("x", None)]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    drawn = [tuple(r) for r in ecoc.sample(docs, text="text", lang="lang", per_language=40).collect()]
+    assert sorted(t for k, t in drawn if k == "de") == sorted({t for t, k in rows if k == "de"})
+    assert 10 < sum(k == "en" for k, _ in drawn) < 80 and len(set(drawn)) == len(drawn)
+    assert ecoc.fit(docs, per_language=40).languages == ["de", "en"]
+    monkeypatch.setattr(ecoc, "MAX_LANGUAGES", 1)
+    with pytest.raises(ValueError):
+        ecoc.fit(docs)
+
+
 def test_languages_without_training(spark):
     none = spark.createDataFrame([], "text string, lang string")
     model = ecoc.fit(none)

@@ -10,11 +10,12 @@ is flagged as ambiguous.
 Codes: with up to five languages all distinct two-way splits (the exhaustive code, distance half its length),
 beyond that random bits from a fixed seed, 12 per doubling of the number of languages.
 
-The model is fitted on a bounded sample: at most about ``per_language`` texts of each language, chosen by a
-hash over all training rows. What comes to the driver is counts, of languages x buckets.
+The model is fitted on a bounded sample: about ``per_language`` different texts of each language at most, chosen by
+a hash over all training rows; of a language with fewer, all. Copies of a text count once. What comes to the driver
+is counts, of languages x buckets; more than ``MAX_LANGUAGES`` languages raise.
 
 Edge cases: a null text, and one without a letter, is ``und`` with score 0; rows whose language is null train
-nothing; repeated rows are ordinary rows; with no training row, or an empty table, everything is ``und``; with
+nothing; copies of a row train once and are told one by one; with no training row, or an empty table, everything is ``und``; with
 a single language every text with a letter gets it with score 1.
 """
 
@@ -150,14 +151,22 @@ class Model:
 
 
 def sample(rows: DataFrame, *, text: str, lang: str, per_language: int) -> DataFrame:
-    """(lang, text): about ``per_language`` rows of each language at most, by a hash of the text over all rows."""
+    """(lang, text): about ``per_language`` different texts of each language at most, all where there are no more.
+
+    Copies of a text have one hash, so they are drawn together and collapse before texts are compared.
+    """
     rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    shares = sizes.select("lang", (F.lit(float(per_language)) / F.col("count")).alias("share"))
-    draw = F.pmod(F.xxhash64("text", F.lit("draw")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rows.join(F.broadcast(shares), "lang").where(draw < F.col("share")).select("lang", "text")
+    rows = rows.withColumn("hash", F.xxhash64("text", F.lit("draw")))
+    sizes = rows.select("lang", "hash").distinct().groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    shares = [(r["lang"], per_language / r["count"]) for r in sizes]
+    shares = rows.sparkSession.createDataFrame(shares, "lang string, share double")
+    draw = F.pmod(F.col("hash"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = rows.join(F.broadcast(shares), "lang").where(draw < F.col("share"))
+    return drawn.select("lang", "text").distinct()
 
 
 def fit(rows: DataFrame, *, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
