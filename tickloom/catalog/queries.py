@@ -22,6 +22,8 @@ from tickloom.sources import payloads, readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+# Results that no closed form in SQL gives; tested against numpy.
+WITHOUT_SQL: dict[str, Query] = {}
 
 KEY = ["series_key", "date"]
 # Prices by time; a daily price series has at most one row per calendar day.
@@ -39,6 +41,11 @@ def query(make: Query) -> Query:
     return make
 
 
+def query_without_sql(make: Query) -> Query:
+    WITHOUT_SQL[make.__name__] = make
+    return make
+
+
 def rounded(df: DataFrame, places: dict[str, int]) -> DataFrame:
     return df.withColumns({c: F.round(c, n) for c, n in places.items()})
 
@@ -701,11 +708,17 @@ def walk_forward_long(spark, folder):
 
 @query
 def walk_forward_lr(spark, folder):
-    """Two lags, whose least squares have a closed form; the library's default is the whole sequence of 30."""
+    """Two lags, whose least squares have a closed form; the whole sequence of 30 is ``walk_forward_lr_whole``."""
     made = forecast.walk_forward_lr(t.price_series_keyed(spark, folder), DAILY_PRICES, rows=2)
     return rounded(made, {"predicted": 4})
 
 
+@query_without_sql
+def walk_forward_lr_whole(spark, folder):
+    """The library's default: least squares on the whole sequence of 30."""
+    return rounded(forecast.walk_forward_lr(t.price_series_keyed(spark, folder), DAILY_PRICES), {"predicted": 4})
+
+
 @query
 def forecast_error(spark, folder):
     return rounded(forecast.forecast_error(_forecasts(spark, folder)), {"predicted": 4, "error": 4})
