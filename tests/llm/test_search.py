@@ -77,6 +77,26 @@ def test_passages_without_an_id_are_hit_but_name_no_item(spark, block):
     assert [r.doc_id for r in wu_manber.clean_documents(left, right).collect()] == [4]
 
 
+def test_blocks_of_passages_are_read_when_they_are_broadcast(spark, monkeypatch):
+    read, sent, own, send = [], [], wu_manber._blocks, type(spark.sparkContext).broadcast
+
+    def blocks(*args):
+        for block in own(*args):
+            read.append(block)
+            yield block
+
+    def broadcast(context, value):
+        sent.append(len(read))
+        return send(context, value)
+
+    monkeypatch.setattr(wu_manber, "_blocks", blocks)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    docs = spark.createDataFrame([(1, "w3 x")], "doc_id long, text string")
+    items = spark.createDataFrame([(i, f"w{i}") for i in range(6)], "item_id int, text string")
+    found = wu_manber.find_passages(docs, items, passage_bytes=2)
+    assert sent == [2, 2, 3, 4, 5, 6] and [r["items"] for r in found.collect()] == [["3"]]
+
+
 def test_overlapping_and_repeated_windows():
     tables = wu_manber.compile_passages([("1", b"a a a")], 2)
     assert wu_manber.hits(b"a a a a b a", tables) == (6, [(0, 4)], {"1"})

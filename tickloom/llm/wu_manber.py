@@ -17,6 +17,7 @@ or null ids keep one row each; an empty table gives an empty result and an empty
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -115,20 +116,26 @@ def hits(text: bytes, tables: list[Patterns]) -> tuple[int, list[tuple[int, int]
     return len(words), merged(found), items
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> list[list[tuple[str | None, bytes]]]:
-    """Passages in blocks of at most ``limit`` bytes, read one block at a time through a row iterator."""
-    made: list[list[tuple[str | None, bytes]]] = [[]]
+def _blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> Iterator[list[tuple[str | None, bytes]]]:
+    """Passages in blocks of at most ``limit`` bytes, one at least, each read from the rows when it is asked for."""
+    made: list[tuple[str | None, bytes]] = []
     size = 0
     for row in benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).toLocalIterator():
         if row.t is None:
             continue
         data = row.t.encode("utf-8", "surrogatepass")
-        if made[-1] and size + len(data) > limit:
-            made.append([])
-            size = 0
-        made[-1].append((row.i, data))
+        if made and size + len(data) > limit:
+            yield made
+            made, size = [], 0
+        made.append((row.i, data))
         size += len(data)
-    return made
+    yield made
+
+
+def _drained(held: list) -> Iterator:
+    """The elements of ``held``, which lets go of each."""
+    while held:
+        yield held.pop(0)
 
 
 def find_passages(
@@ -144,7 +151,8 @@ def find_passages(
     """
     spark = docs.sparkSession
     blocks = _blocks(benchmark, item, passage, passage_bytes)
-    single = len(blocks) == 1
+    ahead = list(itertools.islice(blocks, 2))
+    single = len(ahead) == 1
     # Equal ids hold equal rows only if their texts are equal, so several passes are joined on a digest too.
     sha = F.lit("") if single else F.sha2(F.coalesce(text, F.lit("")), 256)
     source = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text"), sha.alias("sha"))
@@ -169,7 +177,7 @@ def find_passages(
 
         return source.mapInPandas(run, schema)
 
-    passes = [searched(block).withColumn("pass", F.lit(i)) for i, block in enumerate(blocks)]
+    passes = [searched(block).withColumn("pass", F.lit(i)) for i, block in enumerate(itertools.chain(_drained(ahead), blocks))]
     if single:
         return passes[0].drop("sha", "pass")
     every = passes[0]
