@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import new_path
-from . import bpe, chat, convnet, ecoc, line_dedup, ngram_join, records, rules, warc, wu_manber
+from . import bpe, chat, convnet, ecoc, line_dedup, ngram_join, ranked_search, records, rules, warc, wu_manber
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -120,6 +120,13 @@ def op10_wu_manber(spark: SparkSession, folder: str) -> DataFrame:
     return wu_manber.hit_summary(found).withColumnRenamed("doc", "doc_id")
 
 
+@query
+def op13_mask_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    found = ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
 SQL["op1_ngram_join"] = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -228,3 +235,26 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)
 """
+
+SQL["op13_mask_search"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+p AS (
+  SELECT item_id, row_number() OVER () AS q,
+    list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS words FROM benchmark),
+a AS (SELECT count(*) AS n, CAST(sum(len(words)) AS BIGINT) AS total FROM d WHERE len(words) > 0),
+t AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM d) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM f, a),
+m AS (SELECT r, doc_id, 50 + (50 * len(words) * n) // total AS m FROM d, a WHERE len(words) > 0),
+s AS (
+  SELECT q, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM (SELECT q, unnest(words) AS term FROM p) JOIN w USING (term) JOIN t USING (term) JOIN m USING (r) GROUP BY q, r),
+k AS (
+  SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST) AS rank
+  FROM s JOIN m USING (r) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k JOIN p USING (q) WHERE rank <= 50
+"""
