@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..session import new_path
-from . import bpe, chat, convnet, ecoc, line_dedup, ngram_join, ranked_search, records, rules, warc, wu_manber
+from ..session import materialise, new_path
+from . import bpe, chat, convnet, ecoc, lattice, line_dedup, ngram_join, prefix_trie, ranked_search, records, rules, warc, wu_manber
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -120,6 +120,32 @@ def op10_wu_manber(spark: SparkSession, folder: str) -> DataFrame:
     return wu_manber.hit_summary(found).withColumnRenamed("doc", "doc_id")
 
 
+@query
+def op11_subword_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probability of every text over all segmentations of its words, and that of its words by smoothed counts."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    tenth = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(10))
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    scored = lattice.score_documents(docs, path, train=tenth != 0)
+    return scored.select(
+        F.col("doc").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The prefix trie of conversations that begin like the first of every five."""
+    turns = materialise(prefix_trie.numbered_turns(table(spark, folder, "conversations")), "turns")
+    h = F.crc32(F.col("conv").cast("string").cast("binary")) % 9
+    begun = turns.where("pos = 1").select(F.col("conv").alias("c"), h.alias("h"), (F.col("conv") - F.col("conv") % 5).alias("conv"))
+    heads = turns.where((F.col("pos") < 9) & (F.col("conv") % 5 == 0)).join(begun, "conv").where(F.col("pos") <= F.col("h"))
+    own = turns.where(F.col("pos") > h)
+    parts = heads.select(F.col("c").alias("conv"), F.lit(1).alias("part"), "pos", "key", "bytes").union(
+        own.select("conv", F.lit(2).alias("part"), "pos", "key", "bytes")
+    )
+    return prefix_trie.trie(prefix_trie.steps_of(turns, parts))
+
+
 @query
 def op13_mask_search(spark: SparkSession, folder: str) -> DataFrame:
     """The 50 best documents of every benchmark item."""
@@ -236,6 +262,41 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)
 """
 
+SQL["op12_conversation_trie"] = r"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+      sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT conv_id AS c, CAST(conv_id AS VARCHAR) AS s FROM t),
+crc AS (
+  SELECT c, s, 0 AS i, CAST(4294967295 AS BIGINT) AS v FROM ids
+  UNION ALL
+  SELECT c, s, i + 1, CASE WHEN i % 9 = 0 THEN xor(v, CAST(ascii(substr(s, i // 9 + 1, 1)) AS BIGINT))
+    ELSE xor(v >> 1, CASE WHEN v % 2 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END) END
+  FROM crc WHERE i < 9 * length(s)),
+h AS (SELECT c, xor(v, CAST(4294967295 AS BIGINT)) % 9 AS h, c - c % 5 AS base FROM crc WHERE i = 9 * length(s)),
+r AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS d, role, text FROM (
+    SELECT c, 1 AS part, pos, role, text FROM h JOIN t ON conv_id = base AND pos <= h
+    UNION ALL SELECT c, 2, pos, role, text FROM h JOIN t ON conv_id = c AND pos > h)),
+p AS (
+  SELECT c, d, CAST(octet_length(encode(text)) AS BIGINT) AS bytes,
+    string_agg(sha256(octet_length(encode(role)) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY d) AS path FROM r
+  UNION ALL SELECT c, 0, 0, '' FROM ids),
+n AS (SELECT path, d AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes FROM p GROUP BY path, d),
+last AS (SELECT c, max(d) AS d FROM p GROUP BY c),
+e AS (SELECT path, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ends FROM p JOIN last USING (c, d) GROUP BY path),
+ch AS (SELECT left(path, 64 * (depth - 1)) AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children, coalesce(ends, '') AS ends FROM n LEFT JOIN ch USING (path) LEFT JOIN e USING (path)),
+x AS (
+  SELECT left(path, 64 * k) AS path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * bytes) AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM m) GROUP BY 1)
+SELECT m.conv_id, m.depth, q.conv_id AS parent_conv_id, m.n_convs, m.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN x USING (path) LEFT JOIN n AS q ON m.depth > 0 AND q.path = left(m.path, 64 * (m.depth - 1))
+"""
+
 SQL["op13_mask_search"] = r"""
 WITH d AS (
   SELECT doc_id, row_number() OVER () AS r,
