@@ -1,17 +1,18 @@
 """Ids of text pieces remembered in numpy arrays: many pieces are looked up and put together at once.
 
-A piece is known by two 64-bit hashes of its code points and its length. Tables hold up to ``limit`` pieces; a
+A piece is known by two 64-bit hashes of its code points and its length, a long one by a digest of as many bits. Tables hold up to ``limit`` pieces; a
 full one is emptied, so a Python worker's memory is bounded. A group with more different pieces than that is
 encoded in runs of at most ``limit`` pieces, one after another.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 
-from .text import mix, powers
+from .text import LONGEST, mix, powers
 
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -25,7 +26,7 @@ def string(codes: np.ndarray) -> str:
 
 
 def hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of each piece: its code points as digits of an odd base, moved to position 0."""
+    """Two hashes of each piece: its code points as digits of an odd base, moved to position 0; of long ones a digest."""
     made = []
     wide = codes.astype(np.uint64) + np.uint64(1)
     length = (end - start).astype(np.uint64)
@@ -34,6 +35,9 @@ def hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
         np.cumsum(wide * powers(base, len(codes)), out=total[1:])
         value = (total[end] - total[start]) * powers(pow(base, -1, 1 << 64), len(codes) + 1)[start]
         made.append(mix(value + length * np.uint64(0xD6E8FEB86659FD93)))
+    for i in np.flatnonzero(length > LONGEST).tolist():
+        digest = hashlib.blake2b(np.ascontiguousarray(codes[start[i] : end[i]]).tobytes(), digest_size=16).digest()
+        made[0][i], made[1][i] = np.frombuffer(digest, np.uint64)
     return made[0] | np.uint64(1), made[1]
 
 
@@ -149,8 +153,10 @@ def encode_groups(table: PieceTable, groups: list[tuple], make) -> Iterator[tupl
     def unknown() -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Hashes of the different unknown pieces, and the pieces."""
         rows = [np.flatnonzero(table.find(a, b) < 0) for a, b in known]
-        second = np.concatenate([b[r] for (_, b), r in zip(known, rows)] or [np.zeros(0, np.uint64)])
-        second, one = np.unique(second, return_index=True)
+        both = [np.concatenate([pair[k][r] for pair, r in zip(known, rows)] or [np.zeros(0, np.uint64)]) for k in (0, 1)]
+        second, one, which = np.unique(both[1], return_index=True, return_inverse=True)
+        if (both[0] != both[0][one][which]).any():
+            raise ValueError("two pieces with equal hashes")
         order = np.argsort(one)
         second, one = second[order], one[order]
         cuts = np.searchsorted(one, np.cumsum([0, *map(len, rows)]))

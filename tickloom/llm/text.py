@@ -6,6 +6,7 @@ or long the texts of a batch are; a single longer text is a buffer of its own.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -17,6 +18,9 @@ BLANKS = np.zeros(256, bool)
 BLANKS[[32, 9, 10, 11, 12, 13]] = True
 
 CHUNK = 1 << 20
+# Polynomial hashes modulo 2**64 are told apart by construction only up to some hundred places; what is longer
+# than this goes by a cryptographic digest.
+LONGEST = 256
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
@@ -72,13 +76,15 @@ class Words:
         self.codes = codes
 
     def hashes(self) -> np.ndarray:
-        """One 64-bit hash per word: the word's bytes as digits of an odd base, moved to position 0."""
+        """One 64-bit hash per word: the word's bytes as digits of an odd base, moved to position 0; of long words a digest."""
         codes, n = self.codes, len(self.codes)
         if not len(self.start):
             return np.zeros(0, np.uint64)
         total = np.zeros(n + 1, np.uint64)
         np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * powers(_BASE, n), out=total[1:])
         value = (total[self.end] - total[self.start]) * powers(_INVERSE, n)[self.start]
+        for i in np.flatnonzero(self.end - self.start > LONGEST).tolist():
+            value[i] = int.from_bytes(hashlib.blake2b(self.joined[self.start[i] : self.end[i]], digest_size=8).digest(), "little")
         return mix(value)
 
 
@@ -93,6 +99,19 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
+def slices(batch, column: str, limit: int = 4 * CHUNK) -> Iterator:
+    """Slices of an Arrow batch with at most ``limit`` bytes in a column, or of one row."""
+    import pyarrow.compute as pc
+
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        done = sizes[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, done + limit, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def encoded(texts, lower: bool = False) -> list[bytes]:
     """UTF-8 of the texts; a missing text is empty."""
     made = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
