@@ -8,8 +8,8 @@ response), the others name it (revisits).
 On the way back each payload's length, SHA-256 and SHA-1 are computed anew and held against the store's key
 and the record's header; a difference raises.
 
-Edge cases: a null payload is an empty one; a null url has no WARC-Target-URI line, and line ends in a url are
-percent-encoded; a null page id has no WARC-Page-ID line and comes back as null (it counts as the smallest id);
+Edge cases: a null payload is an empty one; a null url has no WARC-Target-URI line, and controls and line or
+paragraph separators in a url are percent-encoded, so no url makes a header line; a null page id has no WARC-Page-ID line and comes back as null (it counts as the smallest id);
 rows that repeat id and payload are records of their own, of which one is the response; an empty table
 makes an empty archive.
 """
@@ -31,6 +31,18 @@ def base32_sha1(data: Column) -> Column:
     return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
+# What may end a line for some reader: C0 and C1 controls and the two separators.
+_SEPARATORS = [*map(chr, range(32)), *map(chr, range(127, 160)), "\u2028", "\u2029"]
+
+
+def _plain_url(url: Column) -> Column:
+    """The url with its controls and separators percent-encoded."""
+    encoded = url
+    for sign in _SEPARATORS:
+        encoded = F.replace(encoded, F.lit(sign), F.lit("".join(f"%{b:02X}" for b in sign.encode())))
+    return F.when(url.rlike("[\\x00-\\x1F\\x7F-\\x9F\\u2028\\u2029]"), encoded).otherwise(url)
+
+
 def _record_id(row: Column) -> Column:
     h = F.md5(row.cast("string").cast("binary"))
     parts = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
@@ -70,7 +82,7 @@ def write_archive(
         F.concat(F.lit("WARC-Type: "), F.when(F.col("revisit"), "revisit").otherwise("response")),
         F.concat(F.lit("WARC-Record-ID: "), _record_id(F.col("row"))),
         F.lit(f"WARC-Date: {date}"),
-        F.concat(F.lit("WARC-Target-URI: "), F.replace(F.replace("url", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))),
+        F.concat(F.lit("WARC-Target-URI: "), _plain_url(F.col("url"))),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("sha1")),
         F.when(F.col("revisit"), f"WARC-Profile: {REVISIT_PROFILE}"),
         F.when(F.col("revisit"), F.concat(F.lit("WARC-Refers-To: "), _record_id(F.col("holder.row")))),
@@ -122,7 +134,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 def header_field(name: str) -> Column:
     """A header's value, or null where the record has none."""
-    found = F.regexp_extract("header", rf"(?m)^{name}: (.*?)\r?$", 1)
+    found = F.regexp_extract("header", rf"(?md)^{name}: (.*?)\r?$", 1)
     return F.when(F.col("header").contains(f"\n{name}: "), found)
 
 
