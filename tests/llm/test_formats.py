@@ -11,7 +11,7 @@ import public_tokenizers as P
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, chat, pieces, records, warc
+from tickloom.llm import bpe, chat, line_dedup, ngram_join, pieces, records, rules, warc
 from tickloom.session import new_path
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
@@ -252,3 +252,52 @@ def test_escapes_are_undone(spark):
         text = texts[int(r.tree)]
         assert chat.parse(r.formatted) == [("system", text), ("user", text), ("assistant", text), ("other", text)]
         assert chat.masked_text(r.formatted, [(s.start, s.end) for s in r.loss]) == text
+
+
+def _thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+@pytest.mark.parametrize("n", [256, 1024, 4096])
+def test_words_made_to_collide_are_told_apart(reference, encoder, n):
+    """Such a word and its complement have equal polynomial hashes modulo 2**64, whatever the base."""
+    one = _thue_morse(n)
+    other = one.translate(str.maketrans("ab", "ba"))
+    for text in (one, other, f"x {one} y {other}"):
+        assert encoder.encode(text) == reference.encode_ordinary(text)
+        test_word_ids_equal_the_library_on_any_text.hypothesis.inner_test(text)
+    a, b = ngram_join.shingle_sets([one.encode(), other.encode()])
+    assert a[0] != b[0]
+    window = "a b c d e f g"
+    assert rules.n_repeat_words([f"{window} {one} {window} {other}".encode()])[0] == 0
+    assert rules.n_repeat_words([f"{window} {one} {window} {one}".encode()])[0] == 16
+
+
+HELPERS = ["sieve_word", "sieve_bit", "sieve_bits", "__sha", "__doc", "__other", "sha", "doc", "n_lines", "n_removed", "gone", "line"]
+
+
+def test_columns_named_like_helpers_stay(spark):
+    texts = ["a b c d e f g", "a b c d e f g", "x y z", None, "one two three four\nx y z"]
+    rows = [(i, t, *(10 * i + k for k in range(len(HELPERS)))) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *HELPERS])
+    plain = docs.select("doc_id", "text")
+    for clean in (ngram_join.keep_one, line_dedup.clean_documents):
+        got = clean(docs)
+        assert got.columns == docs.columns
+        expected = {r.doc_id: r.text for r in clean(plain).collect()}
+        assert {r.doc_id: r.text for r in got.collect()} == expected
+        kept = {r.doc_id: r[2:] for r in got.collect()}
+        assert kept == {i: row[2:] for i, row in ((r[0], r) for r in rows) if i in expected}
+
+
+def test_an_url_cannot_forge_a_header(spark):
+    signs = ["\n", "\r\n", "\x85", "\u2028", "\u2029", "\x0b", "\x00"]
+    rows = [(i, f"http://a/{c}WARC-Page-ID: 99{c}WARC-Type: none{c}WARC-Refers-To-Page-ID: 98", "same") for i, c in enumerate(signs)]
+    path = new_path(spark, "archive")
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), path)
+    got = warc.read_archive(spark, path).select(*(warc.header_field(n).alias(n.replace("-", "")) for n in ("WARC-Page-ID", "WARC-Type", "WARC-Refers-To-Page-ID")))
+    last = str(len(signs) - 1)
+    assert sorted(map(tuple, got.collect())) == sorted((str(i), "response" if str(i) == last else "revisit", None if str(i) == last else last) for i, _, _ in rows)

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialise
 from .components import components
-from .sieve import may_hold, may_not_hold, sieve
+from .sieve import fresh, may_hold, may_not_hold, sieve
 
 SHINGLE = 10
 PERCENT = 80
@@ -233,12 +233,15 @@ def removed_lines(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", p
     return gone.groupBy("doc", "sha").agg(F.collect_set("at").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, *, doc: str = "doc_id", text: str = "text", percent: int = PERCENT, counts: tuple[str, str] = ("n_lines", "n_removed")
+) -> DataFrame:
     """``docs`` with the lines that repeat another line, or nearly so, taken out of ``text``; two counts are added.
 
-    Only documents that may lose a line are shuffled.
+    Only documents that may lose a line are shuffled. Columns that are named like the counts already raise.
     """
-    clash = [c for c in ("n_lines", "n_removed") if c in docs.columns]
+    n_lines, n_removed = counts
+    clash = [c for c in counts if c in docs.columns]
     if clash:
         raise ValueError(f"the documents have columns {clash} already")
     gone = materialise(removed_lines(docs, doc=doc, text=text, percent=percent), "gone")
@@ -247,7 +250,7 @@ def dedup_lines(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", per
     count = F.coalesce(F.size(split), F.lit(0)).cast("long")
     count = F.when(F.col(text).isNull(), F.lit(0).cast("long")).otherwise(count)
     key = (F.col(doc), F.xxhash64(F.col(text)))
-    whole = may_not_hold(docs, held, *key).withColumns({"n_lines": count, "n_removed": F.lit(0).cast("long")})
+    whole = may_not_hold(docs, held, *key).withColumns({n_lines: count, n_removed: F.lit(0).cast("long")})
     some = may_hold(docs, held, *key).alias("d").join(
         gone.alias("g"), F.col(f"d.{doc}").eqNullSafe(F.col("g.doc")) & (F.xxhash64(F.col(f"d.{text}")) == F.col("g.sha")), "left"
     )
@@ -256,13 +259,14 @@ def dedup_lines(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", per
     count = F.when(F.col(f"d.{text}").isNull(), F.lit(0)).otherwise(F.size(split)).cast("long")
     texts = F.when(F.col("g.gone").isNull(), F.col(f"d.{text}")).otherwise(left)
     columns = [texts.alias(c) if c == text else F.col(f"d.`{c}`") for c in docs.columns]
-    cut = some.select(*columns, count.alias("n_lines"), F.coalesce(F.size("g.gone"), F.lit(0)).cast("long").alias("n_removed"))
+    cut = some.select(*columns, count.alias(n_lines), F.coalesce(F.size("g.gone"), F.lit(0)).cast("long").alias(n_removed))
     return whole.union(cut)
 
 
 def clean_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without repeated lines; documents of which no line with a character is left go, those that had none stay."""
     text = options.get("text", "text")
-    cut = dedup_lines(docs, **options)
+    counts = tuple(fresh(docs.columns, "n_lines", "n_removed"))
+    cut = dedup_lines(docs, counts=counts, **options)
     bare = F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(" \t\r\n\x0b\x0c")) == ""
-    return cut.where((F.col("n_removed") == 0) | ~bare).select(*docs.columns)
+    return cut.where((F.col(counts[1]) == 0) | ~bare).select(*docs.columns)

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialise
 from .components import components
-from .sieve import may_hold, may_not_hold, sieve
+from .sieve import fresh, may_hold, may_not_hold, sieve
 from .text import Words, buffers, encoded, mix, windows
 
 WIDTH = 4
@@ -414,11 +414,12 @@ def _families(entries: DataFrame) -> DataFrame:
 
 def _links(entries: DataFrame, rows: DataFrame, docs: DataFrame, doc: str, text: str, width: int, percent: int) -> DataFrame:
     """Links (a, b) among the rows of each family, on the full sets of their texts."""
-    asked = _sized(_families(entries)).join(rows.select("row", "doc", "digest").hint("merge"), "row")
+    asked = _sized(_families(entries)).join(rows.select("row", "doc", "sha", "digest").hint("merge"), "row")
     asked = materialise(_blocks(asked), "asked")
-    texts = docs.select(F.col(doc).alias("id"), F.col(text).alias("t"))
-    texts = may_hold(texts, sieve(asked, "doc"), F.col("id"))
-    met = texts.join(asked.hint("merge"), F.col("doc").eqNullSafe(F.col("id"))).drop("id", "doc")
+    texts = docs.select(F.col(doc).alias("id"), F.xxhash64(F.col(text)).alias("of"), F.col(text).alias("t"))
+    texts = may_hold(texts, sieve(asked, "doc", "sha"), F.col("id"), F.col("of"))
+    # Rows of one id are told apart by their text's hash before they meet.
+    met = texts.join(asked.hint("merge"), F.col("doc").eqNullSafe(F.col("id")) & (F.col("sha") == F.col("of"))).drop("id", "doc", "of", "sha")
     met = met.repartition("group", "x", "y").sortWithinPartitions("group", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -496,16 +497,17 @@ def keep_one(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", width:
     stays = F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("sha") == F.col("first.sha"))
     told = materialise(found.join(first, "group").select("doc", "sha", "n", stays.alias("stays")), "told")
     gone, repeated = told.where("not stays"), told.where("stays and n > 1")
-    named = docs.withColumn("__sha", F.xxhash64(F.col(text)))
+    sha, one, other = fresh(docs.columns, "__sha", "__doc", "__other")
+    named = docs.withColumn(sha, F.xxhash64(F.col(text)))
 
     def within(rows: DataFrame, others: DataFrame, how: str) -> DataFrame:
-        o = others.select(F.col("doc").alias("__doc"), F.col("sha").alias("__other"))
-        return rows.join(o, F.col(doc).eqNullSafe(F.col("__doc")) & (F.col("__sha") == F.col("__other")), how)
+        o = others.select(F.col("doc").alias(one), F.col("sha").alias(other))
+        return rows.join(o, F.col(doc).eqNullSafe(F.col(one)) & (F.col(sha) == F.col(other)), how)
 
     held = sieve(gone, "doc", "sha")
-    key = (F.col(doc), F.col("__sha"))
+    key = (F.col(doc), F.col(sha))
     kept = may_not_hold(named, held, *key).union(within(may_hold(named, held, *key), gone, "left_anti"))
     if not repeated.isEmpty():
-        twice = within(kept, repeated, "left_semi").dropDuplicates([doc, "__sha"])
+        twice = within(kept, repeated, "left_semi").dropDuplicates([doc, sha])
         kept = within(kept, repeated, "left_anti").union(twice)
     return kept.select(*docs.columns)

@@ -23,6 +23,17 @@ class Sieve:
     words: int
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """``names``, longer by as many underscores as it takes to be none of ``columns``."""
+    taken, made = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        made.append(name)
+    return made
+
+
 def _place(words: int, *key: Column | str) -> tuple[Column, Column]:
     h = F.xxhash64(F.lit("sieve"), *key)
     return F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(words - 1)), h.bitwiseAND(F.lit(63)).cast("int")
@@ -37,18 +48,22 @@ def sieve(rows: DataFrame, *key: str, expected: int = 0) -> Sieve:
     return Sieve(materialise(table, "sieve"), words)
 
 
-def _tested(rows: DataFrame, held: Sieve, how: str, *key: Column | str) -> DataFrame:
-    word, bit = _place(held.words, *key)
-    return rows.withColumns({"sieve_word": word, "sieve_bit": bit}).join(F.broadcast(held.table), "sieve_word", how)
+def _tested(rows: DataFrame, held: Sieve, how: str, *key: Column | str) -> tuple[DataFrame, Column]:
+    """Rows joined with their word of the bitmap, and whether their bit is set."""
+    # The rows keep their own columns, whatever their names.
+    word, bit, bits = fresh(rows.columns, "sieve_word", "sieve_bit", "sieve_bits")
+    at, place = _place(held.words, *key)
+    table = held.table.withColumnsRenamed({"sieve_word": word, "sieve_bits": bits})
+    tested = rows.withColumns({word: at, bit: place}).join(F.broadcast(table), word, how)
+    return tested, F.coalesce(F.call_function("bit_get", bits, bit), F.lit(0)) == 1
 
 
 def may_hold(rows: DataFrame, held: Sieve, *key: Column | str) -> DataFrame:
-    tested = _tested(rows, held, "inner", *key)
-    return tested.where(F.call_function("bit_get", "sieve_bits", "sieve_bit") == 1).select(*rows.columns)
+    tested, on = _tested(rows, held, "inner", *key)
+    return tested.where(on).select(*rows.columns)
 
 
 def may_not_hold(rows: DataFrame, held: Sieve, *key: Column | str) -> DataFrame:
     """The rows that ``may_hold`` leaves out."""
-    tested = _tested(rows, held, "left", *key)
-    clear = F.coalesce(F.call_function("bit_get", "sieve_bits", "sieve_bit"), F.lit(0)) == 0
-    return tested.where(clear).select(*rows.columns)
+    tested, on = _tested(rows, held, "left", *key)
+    return tested.where(~on).select(*rows.columns)
