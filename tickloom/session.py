@@ -17,6 +17,8 @@ SETTINGS = {
     # The JVM never compiles methods above 8000 bytecodes; wide feature projections that would exceed it
     # in one generated stage are split into smaller methods instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Rows go to Python some megabytes at a time, however long they are: a task's memory follows the batch.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 # Settings fixed when a session starts.
