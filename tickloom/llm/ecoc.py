@@ -26,11 +26,11 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .text import buffers, encoded
+from .text import buffers, encoded, slices
 
 BUCKETS = 1 << 15
 ORDERS = (2, 3, 4)
@@ -173,16 +173,22 @@ def fit(rows: DataFrame, *, text: str = "text", lang: str = "lang", per_language
     """A model from rows of texts with their languages."""
     drawn = sample(rows, text=text, lang=lang, per_language=per_language)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, np.ndarray] = {}
         for batch in batches:
-            for name, part in batch.groupby("lang"):
-                found[name] = found.get(name, 0) + count_grams(encoded(part["text"]))
+            for part in slices(batch, "text"):
+                texts: dict[str, list[str]] = {}
+                for name, value in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
+                    texts.setdefault(name, []).append(value)
+                for name, some in texts.items():
+                    found[name] = found.get(name, 0) + count_grams(encoded(some))
         for name, total in found.items():
             at = np.flatnonzero(total)
-            yield pd.DataFrame({"lang": name, "bucket": at, "n": total[at]})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(at)), pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["lang", "bucket", "n"]
+            )
 
-    counted = drawn.mapInPandas(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counted = drawn.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     table = counted.toPandas()  # at most languages x buckets rows, whatever the input
     names = sorted(table["lang"].unique())
     totals = np.zeros((len(names), BUCKETS))
@@ -204,19 +210,24 @@ def _reliability(drawn: DataFrame, model: Model) -> np.ndarray:
     """Share of the sample's texts of each language that each bit classifier gets right, normalised per language."""
     shared = drawn.sparkSession.sparkContext.broadcast(model)
 
-    def right(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         place = {n: i for i, n in enumerate(model.languages)}
         good, seen = np.zeros(model.code.shape, np.int64), np.zeros(len(place), np.int64)
         for batch in batches:
-            at = batch["lang"].map(place).to_numpy(np.int64)
-            np.add.at(good, at, (model.bits(encoded(batch["text"])) * model.code[at] > 0).astype(np.int64))
-            np.add.at(seen, at, 1)
+            for part in slices(batch, "text"):
+                at = np.array([place[n] for n in part.column("lang").to_pylist()], np.int64)
+                bits = model.bits(encoded(part.column("text").to_pylist()))
+                np.add.at(good, at, (bits * model.code[at] > 0).astype(np.int64))
+                np.add.at(seen, at, 1)
         used = np.flatnonzero(seen)
         if len(used):
-            yield pd.DataFrame({"i": used, "seen": seen[used], "good": good[used].tolist()})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(used, pa.int32()), pa.array(seen[used], pa.int64()), pa.array(good[used].tolist(), pa.list_(pa.int64()))],
+                ["i", "seen", "good"],
+            )
 
-    parts = drawn.mapInPandas(right, "i int, seen long, good array<long>")
+    parts = drawn.mapInArrow(right, "i int, seen long, good array<long>")
     parts = parts.select("i", "seen", F.posexplode("good").alias("bit", "good"))
     table = parts.groupBy("i", "bit").agg(F.sum("good").alias("good"), F.sum("seen").alias("seen")).toPandas()
     share = np.full(model.code.shape, 0.5)
@@ -226,7 +237,6 @@ def _reliability(drawn: DataFrame, model: Model) -> np.ndarray:
 
 def predict(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     """All columns of ``docs`` with lang_pred, score and ambiguous."""
-    import pyarrow as pa
     from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
     added = {"lang_pred": StringType(), "score": DoubleType(), "ambiguous": BooleanType()}
@@ -239,8 +249,7 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     def run(batches):
         model = shared.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):  # some MB of text at a time
-                part = batch.slice(at, 512)
+            for part in slices(batch, text):
                 named, score = model.predict(part.column(text).to_pylist())
                 made = [pa.array(named, pa.string()), pa.array(score), pa.array(score < AMBIGUOUS)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, *added])

@@ -329,6 +329,22 @@ def fit(docs: DataFrame, path: str, *, passes: int = PASSES) -> Model:
     return Model(lattice, scored, ends, tokens + ends, distinct + (ends > 0))
 
 
+def _frequent(words: DataFrame, most: int) -> DataFrame:
+    """The words of the highest counts, at most ``most``: those above a count that leaves no more.
+
+    Counts are binned by quarters of a power of two, so that only the bins' sizes come to the driver.
+    """
+    level = F.floor(4 * F.log2("every"))
+    sizes = words.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("level")).collect()
+    total, least = 0, None
+    for row in sizes:
+        total += row.n
+        if total > most:
+            break
+        least = row.level
+    return words.where(level >= least if least is not None else F.lit(False))
+
+
 def score(docs: DataFrame, model: Model, *, head: int = HEAD) -> DataFrame:
     """The columns of ``docs`` but its text, with n_tokens, n_known, base_score and score, all in log10.
 
@@ -337,8 +353,9 @@ def score(docs: DataFrame, model: Model, *, head: int = HEAD) -> DataFrame:
     spark = docs.sparkSession
     base = model.base(F.col("train"))
     words = model.words.select("key", (F.col("train") > 0).cast("long").alias("known"), base.alias("base"), "score", "every")
-    frequent = words.orderBy(F.desc("every"), "key").limit(head)
-    shared = spark.sparkContext.broadcast({bytes(r.key): (r.known, r.base, r.score) for r in frequent.collect()})
+    shared = spark.sparkContext.broadcast(
+        {bytes(r.key): (r.known, r.base, r.score) for r in _frequent(words, head).collect()}  # at most ``head`` rows
+    )
     kept = [n for n in docs.columns if n != "text"]
     fields = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in kept)
 
