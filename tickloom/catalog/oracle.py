@@ -147,6 +147,21 @@ def _ewm(bars: str, columns: dict[str, str], spans: dict[str, int], macd: bool,
     return f"with recursive {_recursion(bars, spans, macd)} select {key}, {_rounded(columns)} from ew"
 
 
+def _ewm_gaps(source: str, column: str, spans: dict[str, int]) -> str:
+    """Recursion over rows: each mean, and the weight (relative to a new value's) that is left of it."""
+    start = ", ".join(f"x as {n}, cast(1 as double) as w_{n}" for n in spans)
+    steps = []
+    for n, span in spans.items():
+        q = 1 - 2 / (span + 1)
+        steps.append(f"""case when s.x is null then e.{n} when e.{n} is null then s.x
+            else (e.w_{n} * {q!r} * e.{n} + {1 - q!r} * s.x) / (e.w_{n} * {q!r} + {1 - q!r}) end,
+            case when s.x is null and e.{n} is not null then e.w_{n} * {q!r} else 1 end""")
+    return f"""with recursive src as (select series_key, date, {column} as x,
+    row_number() over (partition by series_key order by date) as rn from ({source})),
+ew as (select series_key, date, rn, {start} from src where rn = 1
+union all select s.series_key, s.date, s.rn, {', '.join(steps)} from ew e join src s on s.series_key = e.series_key and s.rn = e.rn + 1)"""
+
+
 CHANGES = f"""select *, close - lag(close) {W} as delta, lag(close) {W} as prev,
 case when lag(close) {W} = 0 then null else close / lag(close) {W} - 1 end as ret from src"""
 STEPS = f"""select *, coalesce(case when delta > 0 then delta end, 0) as gain,
@@ -255,13 +270,13 @@ def _sequences(prices: str, t: int = 30) -> str:
 lead(timestamp, {t}) {w} as label_time from ({_numbered(prices)}) qualify rn + {t} < n"""
 
 
-def _folds(prices: str, t: int = 30, folds: int = 5) -> str:
+def _folds(prices: str, t: int = 30, folds: int = 5, step: int = 1) -> str:
     """CTEs ``num``, ``pairs``, ``fold`` (start of each) and ``scaler``."""
     w = "over (partition by series_key order by timestamp)"
     return f"""num as ({_numbered(prices)}),
 pairs as (select series_key, rn - {t - 1} as seq, price as x, lead(price) {w} as y, lead(timestamp) {w} as y_time from num),
-fold as (select series_key, f as fold, max(n) - {t} - {folds + 1} + f as start from num, range({folds}) r(f) group by 1, 2
-         having max(n) - {t} - {folds + 1} + f >= 1),
+fold as (select series_key, f as fold, max(n) - {t + 2} - ({folds - 1} - f) * {step} as start from num, range({folds}) r(f) group by 1, 2
+         having max(n) - {t + 2} - ({folds - 1} - f) * {step} >= 1),
 scaler as (select fold.series_key, fold, start, min(price) as price_min, max(price) as price_max
            from fold join num on num.series_key = fold.series_key and rn <= start + {t - 2} group by 1, 2, 3)"""
 
@@ -274,10 +289,10 @@ round((price - price_min) / case when price_max = price_min then 1 else price_ma
 from scaler s join num on num.series_key = s.series_key and rn - start - {t} in (0, 1)"""
 
 
-def _lr2(prices: str) -> str:
+def _lr2(prices: str, folds: int = 5, step: int = 1) -> str:
     """Least squares on two lags in closed form, per series and fold."""
     w = "over (partition by series_key order by timestamp)"
-    return f"""with {_folds(prices, 2)},
+    return f"""with {_folds(prices, 2, folds, step)},
 q as (select series_key, rn - 1 as seq, lag(price) {w} as a, price as b, lead(price) {w} as y, lead(timestamp) {w} as time from num),
 g as (select s.series_key, s.fold, var_pop(a) as vaa, var_pop(b) as vbb, covar_pop(a, b) as vab, covar_pop(a, y) as vay,
   covar_pop(b, y) as vby, avg(a) as ma, avg(b) as mb, avg(y) as my
@@ -288,9 +303,9 @@ round(my + (vay * vbb - vby * vab) / (vaa * vbb - vab * vab) * (q.a - ma)
 from scaler s join g using (series_key, fold) join q on q.series_key = s.series_key and q.seq = s.start + 1"""
 
 
-def _ar1(prices: str) -> str:
+def _ar1(prices: str, folds: int = 5, step: int = 1) -> str:
     """CTE list ending in ``forecasts``."""
-    return f"""{_folds(prices)},
+    return f"""{_folds(prices, 30, folds, step)},
 scaled as (select s.series_key, s.fold, s.start, p.seq, p.y_time, p.y as actual, price_min, price_max,
   (p.x - price_min) / (price_max - price_min) as x, (p.y - price_min) / (price_max - price_min) as y
   from scaler s join pairs p on p.series_key = s.series_key and p.seq between 0 and s.start + 1),
@@ -395,6 +410,10 @@ def oracle_sql() -> dict[str, str]:
         "where": _over(KEYED, {"gain": f"round(case when close > lag(close) {W} then close - lag(close) {W} else 0 end, 6)"}),
         # Indicators
         "sma": _over(KEYED, SMA),
+        "ewm_mean_gappy": _ewm_gaps(f"""select * replace (case when dayofyear(date) % 7 <> 0 and month(date) <> 5 then close end as close)
+            from ({KEYED})""", "close", {"ewm_5": 5, "ewm_26": 26})
+        + " select series_key, date, round(ewm_5, 4) as ewm_5, round(ewm_26, 4) as ewm_26 from ew",
+        "ewm_mean_gappy_long": _ewm_gaps(TICKS, "patchy", {"ewm_12": 12}) + " select date, round(ewm_12, 6) as ewm_12 from ew",
         "ema": _ewm(KEYED, EMA, EMA_SPANS, False),
         "rsi": f"{_rsi_source(KEYED)} select series_key, date, {_rounded(RSI)} from means",
         "macd": _ewm(KEYED, MACD, EMA_SPANS, True),
@@ -528,6 +547,26 @@ def oracle_sql() -> dict[str, str]:
             select series_key, fold, time, actual, round(predicted, 4) as predicted from forecasts""",
         "walk_forward_long": f"""with {_ar1(TICK_PRICES)}
             select series_key, fold, time, actual, round(predicted, 6) as predicted from forecasts""",
+        "walk_forward_folds_stride": f"""select * from (select series_key, seq, cast(f as integer) as fold,
+            unnest(list_filter([case when seq < sequences - 2 - (6 - f) * 20 then 'train' end,
+            case when seq = sequences - 2 - (6 - f) * 20 then 'test' end,
+            case when seq = sequences - 1 - (6 - f) * 20 then 'validation' end], lambda x: x is not null)) as role
+            from ({_sequences(KEYED_PRICES)}), range(7) r(f) where sequences - 2 - (6 - f) * 20 >= 1)""",
+        "fold_spans": f"""with s as (select series_key, seq, sequences, f, sequences - 2 - (6 - f) * 20 as start
+            from ({_sequences(KEYED_PRICES)}), range(7) r(f))
+            select series_key, seq, cast(min(f) filter (start >= 1 and seq < start) as integer) as train_from,
+            cast(min(f) filter (start >= 1 and seq = start) as integer) as test_fold,
+            cast(min(f) filter (start >= 1 and seq = start + 1) as integer) as validation_fold from s group by 1, 2""",
+        "sequence_blocks": f"""with num as ({_numbered(TICK_PRICES)}),
+            b as (select series_key, rn, price, timestamp, n - 30 as sequences, unnest([rn // 500, rn // 500 - 1]) as block, rn % 500 as off,
+            rn // 500 as home from num)
+            select block * 500 as first, cast(least(500, max(sequences) - block * 500) as integer) as count, max(sequences) as sequences,
+            cast(count(*) as integer) as stored, round(sum(price), 4) as total, max(timestamp) as newest
+            from b where block = home or (off < 30 and block >= 0) group by series_key, block having block * 500 < max(sequences)""",
+        "walk_forward_stride": f"""with {_ar1(KEYED_PRICES, 7, 20)}
+            select series_key, fold, time, actual, round(predicted, 4) as predicted from forecasts""",
+        "walk_forward_lr_stride": _lr2(KEYED_PRICES, 12, 25),
+        "walk_forward_lr_long": f"select * exclude (series_key) from ({_lr2(TICK_PRICES, 40, 30)})",
         "walk_forward_lr": _lr2(KEYED_PRICES),
         "walk_forward_by_supplier": f"""with {_ar1(_prices(SUPPLIER))}
             select series_key, fold, time, actual, round(predicted, 3) as predicted from forecasts""",

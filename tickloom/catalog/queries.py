@@ -307,6 +307,21 @@ def ewm_mean(spark, folder):
     return rounded(made, {"ewm_5": 4}).select(*KEY, "ewm_5")
 
 
+@query
+def ewm_mean_gappy(spark, folder):
+    """Means over closes of which every seventh day and a whole month a year are missing."""
+    bars, day = t.bars_keyed(spark, folder), F.dayofyear("date")
+    bars = bars.withColumn("close", F.when((day % 7 != 0) & (F.month("date") != 5), F.col("close")))
+    made = ema.ewm_mean(bars, {"ewm_5": ("close", 5), "ewm_26": ("close", 26)}, DAILY, gaps=True)
+    return rounded(made, {"ewm_5": 4, "ewm_26": 4}).select(*KEY, "ewm_5", "ewm_26")
+
+
+@query
+def ewm_mean_gappy_long(spark, folder):
+    made = ema.ewm_mean(t.ticks(spark, folder).select(*KEY, "patchy"), {"ewm_12": ("patchy", 12)}, SPLIT, gaps=True)
+    return rounded(made, {"ewm_12": 6}).select("date", "ewm_12")
+
+
 def _indicator(operator, columns: list[str]) -> Query:
     def run(spark, folder):
         made = operator(t.bars_keyed(spark, folder), series=DAILY).select(*KEY, *columns)
@@ -691,6 +706,50 @@ def walk_forward_folds(spark, folder):
     return forecast.walk_forward_folds(sequences).select("series_key", "seq", "fold", "role")
 
 
+@query
+def walk_forward_folds_stride(spark, folder):
+    """Seven folds, twenty sequences apart."""
+    sequences = forecast.make_sequences(t.price_series_keyed(spark, folder), DAILY_PRICES)
+    return forecast.walk_forward_folds(sequences, 7, 20).select("series_key", "seq", "fold", "role")
+
+
+@query
+def fold_spans(spark, folder):
+    """The same folds as intervals, a row per sequence."""
+    sequences = forecast.make_sequences(t.price_series_keyed(spark, folder), DAILY_PRICES)
+    spans = forecast.fold_spans(sequences, 7, 20)
+    return spans.select("series_key", "seq", "train_from", "test_fold", "validation_fold")
+
+
+@query
+def sequence_blocks(spark, folder):
+    """What the blocks of one long series hold."""
+    made = forecast.sequence_blocks(_tick_prices(spark, folder), SPLIT_PRICES, block=500)
+    total = F.aggregate("prices", F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
+    return made.select(
+        "first", "count", "sequences", F.size("prices").alias("stored"), F.round(total, 4).alias("total"), F.array_max("times").alias("newest")
+    )
+
+
+@query
+def walk_forward_stride(spark, folder):
+    made = forecast.walk_forward_ar1(t.price_series_keyed(spark, folder), DAILY_PRICES, folds=7, step=20)
+    return rounded(made, {"predicted": 4})
+
+
+@query
+def walk_forward_lr_stride(spark, folder):
+    made = forecast.walk_forward_lr(t.price_series_keyed(spark, folder), DAILY_PRICES, rows=2, folds=12, step=25)
+    return rounded(made, {"predicted": 4})
+
+
+@query
+def walk_forward_lr_long(spark, folder):
+    """Forty folds over blocks of one long series."""
+    made = forecast.walk_forward_lr(_tick_prices(spark, folder), SPLIT_PRICES, rows=2, folds=40, step=30, block=300)
+    return rounded(made.drop("series_key"), {"predicted": 4})
+
+
 def _forecasts(spark, folder):
     return forecast.walk_forward_ar1(t.price_series_keyed(spark, folder), DAILY_PRICES)
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.rolling import finite
+from tickloom.operators.ema_gaps import ewm_mean_gaps
 from tickloom.plans.series import Lane, Series, over_series
 from tickloom.plans.stages import Levels, add_levels
 from tickloom.schema import EMA_SPANS
@@ -94,7 +95,7 @@ def mean_levels(lane: Lane, means: dict[str, tuple[str, float]], cell: int, orig
         earlier[f"_carry_{name}"] = F.max_by(f"_sum_{name}", "_rn").over(one_cell_back)
         carried = F.coalesce(F.col(f"_carry_{name}"), F.lit(0.0)) * (q**cell)
         mean = F.pow(F.lit(q), place) * (F.col(f"_sum_{name}") + carried)
-        gap = F.raise_error(F.lit(f"{name}: {source} has a gap after its first value; interpolate it first"))
+        gap = F.raise_error(F.lit(f"{name}: {source} has a gap after its first value; interpolate it first, or ask for gaps"))
         result[name] = F.when(x.isNotNull(), mean).when(F.col(_before(origin)).isNotNull(), gap.cast("double"))
     return [weighted, sums, earlier, result]
 
@@ -117,10 +118,17 @@ def add_ewm(df: DataFrame, lane: Lane, means: dict[str, tuple[str, float]]) -> D
     return df
 
 
-def ewm_mean(df: DataFrame, means: dict[str, tuple[str, float]], series: Series = Series()) -> DataFrame:
+def ewm_mean(df: DataFrame, means: dict[str, tuple[str, float]], series: Series = Series(), gaps: bool = False) -> DataFrame:
+    """Add one column per ``name: (source, span)``.
+
+    Without ``gaps`` a source must have none after its first value (a gap raises when the query runs); with it a gap
+    re-normalises the weights, see operators.ema_gaps.
+    """
+    if gaps:
+        return ewm_mean_gaps(df, means, series)
     reach = max(look_back(span) for _, span in means.values())
     return over_series(df, series, lambda d, lane: add_ewm(d, lane, means), back=reach, number=True)
 
 
-def ema(df: DataFrame, spans: tuple[int, ...] = EMA_SPANS, series: Series = Series()) -> DataFrame:
-    return ewm_mean(df, {f"ema_{n}": ("close", n) for n in spans}, series)
+def ema(df: DataFrame, spans: tuple[int, ...] = EMA_SPANS, series: Series = Series(), gaps: bool = False) -> DataFrame:
+    return ewm_mean(df, {f"ema_{n}": ("close", n) for n in spans}, series, gaps)

@@ -1,74 +1,37 @@
-"""Sequences, scaling and walk-forward forecasting.
+"""Scaling and walk-forward forecasting over the folds of operators.sequences.
 
-With N prices and sequences of T there are M = N - T sequences; sequence s covers rows s..s+T-1 and its
-label is row s+T. Fold f of n trains on sequences before ``i = M - (n+1) + f``, tests on i and validates
-on i+1. Only positions matter, so all folds of all series come out of one aggregate.
+Only positions matter, so all folds of all series come out of one aggregate.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.operators.regression import walk_forward_lr
+from tickloom.operators.sequences import (
+    FOLDS,
+    PRICES_BY_TIME,
+    SEQUENCE_ROWS,
+    fold_spans,
+    fold_start,
+    lag_columns,
+    make_sequences,
+    sequence_blocks,
+    sequence_windows,
+    walk_forward_folds,
+)
 from tickloom.plans.series import Lane, Series, over_series
 
-PRICES_BY_TIME = Series(order="timestamp")
-SEQUENCE_ROWS = 30
-FOLDS = 5
+__all__ = [
+    "FOLDS", "PRICES_BY_TIME", "SEQUENCE_ROWS", "error_summary", "fold_scalers", "fold_spans", "forecast_error", "inverse_minmax",
+    "lag_columns", "make_sequences", "minmax", "quote_deviation", "scale_held_out", "sequence_blocks", "sequence_windows",
+    "walk_forward_ar1", "walk_forward_folds", "walk_forward_lr",
+]
 
 
-def make_sequences(
-    df: DataFrame, series: Series = PRICES_BY_TIME, rows: int = SEQUENCE_ROWS, price: str = "price"
-) -> DataFrame:
-    """One row per sequence: ``seq``, its prices, the price that follows and that row's time.
-
-    A missing price keeps its place in ``features`` as NULL.
-    """
-
-    def build(d: DataFrame, lane: Lane) -> DataFrame:
-        made = d.withColumns(
-            {
-                "seq": F.col("_rn"),
-                "sequences": F.col("_n") - rows,
-                # A struct is never NULL, so a list of them keeps the place of a missing price.
-                "features": F.collect_list(F.struct(price)).over(lane.window.rowsBetween(0, rows - 1))[price],
-                "label": F.lead(price, rows).over(lane.window),
-                "label_time": F.lead(series.order, rows).over(lane.window),
-            }
-        )
-        return made.filter(F.col("_rn") + rows < F.col("_n"))
-
-    made = over_series(df, series, build, ahead=rows, number=True)
-    return made.select(*series.keys, "seq", "sequences", "features", "label", "label_time")
-
-
-def lag_columns(sequences: DataFrame, rows: int = SEQUENCE_ROWS) -> DataFrame:
-    """The sequence as scalar columns ``lag_T .. lag_1``, oldest first."""
-    lags = [F.col("features")[k].alias(f"lag_{rows - k}") for k in range(rows)]
-    return sequences.select(*[c for c in sequences.columns if c != "features"], *lags)
-
-
-def walk_forward_folds(sequences: DataFrame, folds: int = FOLDS) -> DataFrame:
-    """Fold membership by arithmetic on positions: ``fold``, ``role`` and the sequence's key columns.
-
-    A training sequence belongs to every fold, so the result has up to ``folds`` rows per sequence. The
-    fitting operators do not use this table; they evaluate the same conditions inside one aggregate.
-    """
-    fold = F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))
-    start = F.col("sequences") - (folds + 1) + F.col("fold")
-    role = (
-        F.when(F.col("seq") < start, "train")
-        .when(F.col("seq") == start, "test")
-        .when(F.col("seq") == start + 1, "validation")
-    )
-    spread = sequences.withColumn("fold", fold)
-    return spread.withColumn("role", role).filter(F.col("role").isNotNull() & (start >= 1))
-
-
-def _fold_start(fold: int, folds: int, rows: int) -> Column:
-    return F.col("_n") - rows - (folds + 1) + fold
+def _fold_start(fold: int, folds: int, rows: int, step: int) -> Column:
+    return fold_start(fold, F.col("_n") - rows, folds, step)
 
 
 def _pairs(df: DataFrame, series: Series, price: str) -> DataFrame:
@@ -89,9 +52,9 @@ def _pairs(df: DataFrame, series: Series, price: str) -> DataFrame:
     return made.withColumnsRenamed({"rn": "_rn", "n": "_n"})
 
 
-def _scaler_of(fold: int, folds: int, rows: int, price: str) -> list[Column]:
+def _scaler_of(fold: int, folds: int, rows: int, step: int, price: str) -> list[Column]:
     """Smallest and largest price among the rows the fold's training sequences cover."""
-    seen = F.when(F.col("_rn") <= _fold_start(fold, folds, rows) + rows - 2, F.col(price))
+    seen = F.when(F.col("_rn") <= _fold_start(fold, folds, rows, step) + rows - 2, F.col(price))
     return [F.min(seen).alias("price_min"), F.max(seen).alias("price_max")]
 
 
@@ -101,14 +64,15 @@ def fold_scalers(
     rows: int = SEQUENCE_ROWS,
     folds: int = FOLDS,
     price: str = "price",
+    step: int = 1,
 ) -> DataFrame:
     """Per series and fold: where training ends and the price range it has seen."""
     numbered = _pairs(df, series, price)
     per_fold = [
         F.struct(
             F.lit(f).alias("fold"),
-            F.max(_fold_start(f, folds, rows)).alias("start"),
-            *_scaler_of(f, folds, rows, "x"),
+            F.max(_fold_start(f, folds, rows, step)).alias("start"),
+            *_scaler_of(f, folds, rows, step, "x"),
         )
         for f in range(folds)
     ]
@@ -135,20 +99,21 @@ def scale_held_out(
     rows: int = SEQUENCE_ROWS,
     folds: int = FOLDS,
     price: str = "price",
+    step: int = 1,
 ) -> DataFrame:
     """Labels of the test and validation sequences of every fold on the scale of its training rows."""
     numbered = _pairs(df, series, price)
     per_fold = []
     for f in range(folds):
-        start = _fold_start(f, folds, rows)
-        for step, role in enumerate(("test", "validation")):
-            here = F.col("_rn") == start + step + rows
+        start = _fold_start(f, folds, rows, step)
+        for on, role in enumerate(("test", "validation")):
+            here = F.col("_rn") == start + on + rows
             per_fold.append(
                 F.struct(
                     F.lit(f).alias("fold"),
                     F.lit(role).alias("role"),
-                    F.max(start + step).alias("seq"),
-                    *_scaler_of(f, folds, rows, "x"),
+                    F.max(start + on).alias("seq"),
+                    *_scaler_of(f, folds, rows, step, "x"),
                     F.max(F.when(here, F.col("x"))).alias("label"),
                 )
             )
@@ -163,6 +128,7 @@ def walk_forward_ar1(
     rows: int = SEQUENCE_ROWS,
     folds: int = FOLDS,
     price: str = "price",
+    step: int = 1,
 ) -> DataFrame:
     """Forecast each fold's validation row by least squares of the label on the last price of a sequence.
 
@@ -172,7 +138,7 @@ def walk_forward_ar1(
     seq = F.col("_rn") - (rows - 1)
     per_fold = []
     for f in range(folds):
-        start = _fold_start(f, folds, rows)
+        start = _fold_start(f, folds, rows, step)
         # A pair counts for the fit only if both its prices are known.
         train = (seq >= 0) & (seq < start) & F.col("x").isNotNull() & F.col("y").isNotNull()
         x, y = F.when(train, F.col("x")), F.when(train, F.col("y"))
@@ -181,7 +147,7 @@ def walk_forward_ar1(
             F.struct(
                 F.lit(f).alias("fold"),
                 F.max(start).alias("start"),
-                *_scaler_of(f, folds, rows, "x"),
+                *_scaler_of(f, folds, rows, step, "x"),
                 F.covar_pop(x, y).alias("cov"),
                 F.var_pop(x).alias("var"),
                 F.avg(x).alias("mean_x"),
@@ -202,76 +168,6 @@ def walk_forward_ar1(
     )
 
 
-def walk_forward_lr(
-    df: DataFrame,
-    series: Series = PRICES_BY_TIME,
-    rows: int = SEQUENCE_ROWS,
-    folds: int = FOLDS,
-    price: str = "price",
-) -> DataFrame:
-    """The same folds with least squares on the whole sequence, one model per series and fold.
-
-    Sums of products of (1, lags, label) are all a fit needs: every batch of sequences is reduced to one matrix
-    per series and fold, and the matrices are added up. What is solved is a table of a row per series and fold.
-    Prediction is the same on scaled and on plain prices, so nothing is scaled. Of a rank-deficient system
-    the shortest solution is taken. Sequences with a missing price train nothing; a held-out one has no forecast.
-    """
-    keys = list(series.keys)
-    sequences = make_sequences(df, series, rows, price)
-    start = F.col("sequences") - (folds + 1)
-    key_types = ", ".join(f"`{k}` {sequences.schema[k].dataType.simpleString()}" for k in keys)
-    width = rows + 2
-
-    def reduce_batches(batches):
-        for batch in batches:
-            whole = np.array([len(f) == rows and None not in f for f in map(list, batch["features"])], bool)
-            batch = batch[whole & batch["label"].notna().to_numpy()]
-            for key, part in batch.groupby(keys, dropna=False, sort=False):
-                z = np.column_stack([np.ones(len(part)), np.stack(part["features"].to_list()).astype(float), part["label"]])
-                first, seq = part["sequences"].to_numpy() - (folds + 1), part["seq"].to_numpy()
-                made = []
-                for f in range(folds):
-                    train = z[(seq < first + f) & (first + f >= 1)]
-                    if len(train):
-                        made.append((*key, f, (train.T @ train).ravel().tolist()))
-                if made:
-                    yield pd.DataFrame(made, columns=[*keys, "fold", "products"])
-
-    parts = sequences.select(*keys, "seq", "sequences", "features", "label").mapInPandas(
-        reduce_batches, f"{key_types}, fold int, products array<double>"
-    )
-    cells = parts.select(*keys, "fold", F.posexplode("products").alias("at", "x")).groupBy(*keys, "fold", "at").agg(F.sum("x").alias("x"))
-    products = F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda c: c["x"]).alias("products")
-    fits = cells.groupBy(*keys, "fold").agg(products)
-    fold = (F.col("seq") - 1 - start).cast("int")
-    held = sequences.filter((fold >= 0) & (fold < folds) & (start + fold >= 1)).withColumn("fold", fold)
-    held = held.select(*keys, "fold", F.col("label_time").alias("time"), F.col("label").alias("actual"), "features")
-    known = fits.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("fold").alias("_fold"), "products")
-    same = F.col("fold") == F.col("_fold")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    ready = held.join(known, same, "left").drop("_fold", *[f"_{k}" for k in keys])
-    out = ready.drop("features", "products").schema
-
-    def solve(batches):
-        for batch in batches:
-            predicted = []
-            for lags, sums in zip(batch["features"], batch["products"]):
-                if sums is None or None in list(lags):
-                    predicted.append(None)
-                    continue
-                g = np.array(sums, float).reshape(width, width)
-                mean = g[0] / g[0, 0]
-                spread = g / g[0, 0] - np.outer(mean, mean)
-                slope = np.linalg.pinv(spread[1:-1, 1:-1], rcond=1e-11, hermitian=True) @ spread[1:-1, -1]
-                predicted.append(float(mean[-1] + slope @ (np.array(list(lags), float) - mean[1:-1])))
-            made = batch.drop(columns=["features", "products"])
-            made["predicted"] = pd.Series(predicted, index=made.index, dtype="float64")
-            yield made
-
-    return ready.mapInPandas(solve, out.add("predicted", "double"))
-
-
 def forecast_error(forecasts: DataFrame) -> DataFrame:
     return forecasts.withColumn("error", F.col("actual") - F.col("predicted"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom import schema as S
 from tickloom.functions.scalars import numeric_columns
-from tickloom.plans.series import Series, arrange
+from tickloom.operators.selection import exact_median
 from tickloom.session import materialise
 
 
@@ -122,19 +122,6 @@ def volatility_stats(df: DataFrame, keys: Iterable[str] = ()) -> DataFrame:
     return df.groupBy(*keys).agg(*[F.avg(f"volatility_{n}").alias(f"mean_volatility_{n}") for n in S.VOLATILITY_ROWS])
 
 
-def exact_median(df: DataFrame, column: str, keys: Iterable[str] = (), block_rows: int = 1_000_000) -> DataFrame:
-    """Median per key (or overall) without gathering a group: values are counted, then ranked across tasks."""
-    keys = tuple(keys)
-    grouped = keys or ("_all",)
-    table = df if keys else df.withColumn("_all", F.lit(0))
-    counted = table.filter(F.col(column).isNotNull()).groupBy(*grouped, column).agg(_rows().alias("_copies"))
-    order = Series(grouped, column, block_rows=block_rows)
-    ranked = arrange(counted, order, weight="_copies").df
-    low, high = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
-    middle = ranked.filter((F.col("_rn") <= high) & (F.col("_rn") + F.col("_copies") > low))
-    return middle.groupBy(*grouped).agg(((F.min(column) + F.max(column)) / 2).alias("median")).drop("_all")
-
-
 def target_profile(df: DataFrame, block_rows: int = 1_000_000, keys: Iterable[str] = ()) -> DataFrame:
     """Up/down counts (missing labels in neither) and the spread of the percent target.
 

@@ -140,7 +140,7 @@ def long_series(df: DataFrame, series: Series) -> DataFrame:
     return df.groupBy(*series.keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > series.block_rows)
 
 
-def _list_long(df: DataFrame, series: Series) -> tuple[DataFrame, int, int]:
+def list_long(df: DataFrame, series: Series) -> tuple[DataFrame, int, int]:
     """The long series, their number and their rows, from one count over ``df``."""
     found = long_series(df, series)
     listed = found.limit(LISTED_SERIES + 1).toArrow()
@@ -159,7 +159,7 @@ def arrange(df: DataFrame, series: Series, weight: str | None = None, number: bo
     series has to be split, for operators that need only the ordering.
     """
     if not series.bounded:
-        long, count, rows = _list_long(df, series)
+        long, count, rows = list_long(df, series)
         if count:
             if series.materialise:
                 df = materialise(df, "series")
