@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegralType, TimestampType
 
-from tickloom.plans.series import Series, arrange
+from tickloom.operators.selection import ordered_bits, select_by_bits
+from tickloom.plans.series import Series, arrange, list_long, lookup
 from tickloom.schema import LABEL, NOT_FEATURES
 from tickloom.session import materialise
 
@@ -39,7 +43,38 @@ def reference_prices(df: DataFrame, series: Series = Series()) -> DataFrame:
 
 
 def temporal_split(df: DataFrame, series: Series = Series(), share: float = 0.8) -> DataFrame:
-    """Add ``split``: the first ``int(n * share)`` rows of each series are train, the rest test."""
+    """Add ``split``: the first ``int(n * share)`` rows of each series are train, the rest test.
+
+    Series that fit a task are numbered. Of a longer one only the boundary is searched, by counts over the bits of the order
+    column; its rows are neither numbered nor shuffled, but for those at the boundary itself where ties order them.
+    """
+    order = df.schema[series.order].dataType
+    if series.bounded or not isinstance(order, (DateType, TimestampType, IntegralType)):
+        return _numbered_split(df, series, share)
+    keys = list(series.keys)
+    long, count, _ = list_long(df, series)
+    if not count:
+        return _numbered_split(df, replace(series, fits=True), share)
+    if series.materialise:
+        df = materialise(df, "series")
+    marked = lookup(df, long.select(*keys, F.lit(True).alias("_long")), keys, count)
+    # Rows without an order value come last.
+    bits = F.coalesce(ordered_bits(F.col(series.order), order), F.lit(2**63 - 1))
+    rows = materialise(marked.filter("_long").withColumn("_bits", bits).drop("_long"), "bits")
+    first = F.floor(F.col("_n") * F.lit(float(share)))
+    edge = select_by_bits(rows.select(*keys, "_bits"), keys, count, {"edge": first})
+    placed = lookup(rows, edge, keys, count)
+    # Without a boundary all rows are train.
+    train = F.coalesce(F.col("_bits") < F.col("edge_low"), F.lit(True))
+    cut = (F.col("_bits") == F.col("edge_low")) & (F.col("edge_rank") > 0)
+    whole = placed.filter(~F.coalesce(cut, F.lit(False))).withColumn("split", F.when(train, "train").otherwise("test"))
+    at_edge = arrange(placed.filter(cut), series).df
+    at_edge = at_edge.withColumn("split", F.when(F.col("_rn") < F.col("edge_rank"), "train").otherwise("test"))
+    short = _numbered_split(marked.filter("_long is null").select(*df.columns), replace(series, fits=True), share)
+    return whole.select(*df.columns, "split").union(at_edge.select(*df.columns, "split")).union(short)
+
+
+def _numbered_split(df: DataFrame, series: Series, share: float) -> DataFrame:
     numbered = arrange(df, series).df
     train = F.col("_rn") < F.floor(F.col("_n") * F.lit(float(share)))
     return numbered.withColumn("split", F.when(train, "train").otherwise("test")).select(*df.columns, "split")

@@ -8,9 +8,11 @@ values left are equal, and after all 64 bits at the latest.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, IntegralType
+from pyspark.sql.types import DataType, DateType, DecimalType, DoubleType, FloatType, IntegralType, TimestampType
 
 from tickloom.plans.series import Series, list_long, lookup
 from tickloom.session import materialise
@@ -24,6 +26,10 @@ def ordered_bits(x: Column, kind: DataType) -> Column:
     """A LONG in the order of the values; equal values, and both zeros, have equal ones. NaN comes last."""
     if isinstance(kind, IntegralType):
         return x.cast("long")
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(x)
+    if isinstance(kind, DateType):
+        return F.unix_date(x).cast("long")
     if isinstance(kind, DecimalType) and kind.precision <= 18:
         return (x * F.lit(10**kind.scale).cast("decimal(19,0)")).cast("long")
     if not isinstance(kind, (DoubleType, FloatType)):
@@ -49,6 +55,10 @@ def from_bits(bits: Column, kind: DataType) -> Column:
     """The value of a LONG made by ``ordered_bits``."""
     if isinstance(kind, IntegralType):
         return bits.cast(kind)
+    if isinstance(kind, TimestampType):
+        return F.timestamp_micros(bits)
+    if isinstance(kind, DateType):
+        return F.date_from_unix_date(bits.cast("int"))
     if isinstance(kind, DecimalType):
         return (bits.cast("decimal(19,0)") / F.lit(10**kind.scale).cast("decimal(19,0)")).cast(kind)
     size = F.abs(bits)
@@ -82,29 +92,42 @@ def _chosen(counts: DataFrame, keys: list[str], sides: dict[str, Column]) -> Dat
     )
 
 
-def middle_by_bits(df: DataFrame, column: str, keys: list[str], groups: int, bits: int = BITS) -> DataFrame:
-    """keys, ``low`` and ``high``: the values on both sides of the middle of every group, equal where its size is odd.
+def select_by_bits(rows: DataFrame, keys: list[str], groups: int, ranks: dict[str, Column], bits: int = BITS) -> DataFrame:
+    """Per group, the values at some ranks (from 0): ``<side>_low``, its bits, and ``<side>_rank``, how many equal ones lie before.
 
-    ``df`` holds no NULL in the column; ``groups`` is the number of groups, or an upper bound.
+    ``rows`` has the keys and ``_bits`` and is read once per pass; ``ranks`` are expressions of ``_n``, the size of the group, and
+    a rank outside gives NULL. ``groups`` is the number of groups, or an upper bound.
     """
-    kind = df.schema[column].dataType
-    rows = materialise(df.select(*keys, ordered_bits(F.col(column), kind).alias("_bits")), "bits")
-    shift = 64 - bits
-    sides = ["a", "b"]
+    shift, sides = 64 - bits, list(ranks)
     ends = [F.count(F.lit(1)).alias("_rows"), F.min("_bits").alias("_low"), F.max("_bits").alias("_high")]
     first = rows.groupBy(*keys, F.shiftright("_bits", shift).alias("_next")).agg(*ends).withColumn("_before", F.lit(0))
-    total = F.sum("_rows").over(Window.partitionBy(*keys))
-    first = first.withColumn("_n", total)
-    known = materialise(_chosen(first, keys, {"a": F.floor((F.col("_n") - 1) / 2), "b": F.floor(F.col("_n") / 2)}), "ranks")
-    while shift and not known.where("a_low <> a_high or b_low <> b_high").isEmpty():
+    first = first.withColumn("_n", F.sum("_rows").over(Window.partitionBy(*keys)))
+    known = materialise(_chosen(first, keys, ranks), "ranks")
+    apart = " or ".join(f"{s}_low <> {s}_high" for s in sides)
+    while shift and not known.where(apart).isEmpty():
         done, shift = shift, max(0, shift - bits)
-        wanted = lookup(rows, known.select(*keys, *[f"{s}_bits" for s in sides]), keys, groups)
-        before = F.shiftright("_bits", done)
-        # Values of a group whose ranks are both found come along; they are few.
-        wanted = wanted.withColumn("_before", before).where((F.col("_before") == F.col("a_bits")) | (F.col("_before") == F.col("b_bits")))
+        # Groups whose ranks are found need no further look.
+        still = known.where(apart)
+        wanted = lookup(rows, still.select(*keys, *[f"{s}_bits" for s in sides]), keys, groups)
+        wanted = wanted.withColumn("_before", F.shiftright("_bits", done))
+        any_side = [F.col("_before") == F.col(f"{s}_bits") for s in sides]
+        wanted = wanted.where(reduce(Column.__or__, any_side))
         counts = wanted.groupBy(*keys, "_before", F.shiftright("_bits", shift).alias("_next")).agg(*ends)
-        counts = lookup(counts, known.select(*keys, *[f"{s}_{p}" for s in sides for p in ("bits", "rank")]), keys, groups)
-        known = materialise(_chosen(counts, keys, {s: F.col(f"{s}_rank") for s in sides}), "ranks")
+        counts = lookup(counts, still.select(*keys, *[f"{s}_{p}" for s in sides for p in ("bits", "rank")]), keys, groups)
+        found = _chosen(counts, keys, {s: F.col(f"{s}_rank") for s in sides})
+        known = materialise(known.where(f"not coalesce({apart}, false)").unionByName(found), "ranks")
+    return known.select(*keys, *[f"{s}_{p}" for s in sides for p in ("low", "rank")])
+
+
+def middle_by_bits(df: DataFrame, column: str, keys: list[str], groups: int, bits: int = BITS) -> DataFrame:
+    """keys, ``low`` and ``high``: the values on both sides of the middle of every group, equal where its size is odd.
+
+    ``df`` holds no NULL in the column.
+    """
+    kind = df.schema[column].dataType
+    rows = materialise(df.select(*keys, ordered_bits(F.col(column), kind).alias("_bits")), "bits")
+    n = F.col("_n")
+    known = select_by_bits(rows, keys, groups, {"a": F.floor((n - 1) / 2), "b": F.floor(n / 2)}, bits)
     return known.select(*keys, from_bits(F.col("a_low"), kind).alias("low"), from_bits(F.col("b_low"), kind).alias("high"))
 
 

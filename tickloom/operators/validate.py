@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import replace
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,34 +68,105 @@ def _is_outlier(before: Column, now: Column) -> Column:
 
 
 def val_date_gap(df: DataFrame, series: Series = Series()) -> DataFrame:
-    """``violations`` is the widest gap between neighbouring dates, in whole days."""
-    order = series.order
-
-    def build(d: DataFrame, lane: Lane) -> DataFrame:
-        return d.withColumn("gap", _gap(df, order, lane))
+    """``violations`` is the widest gap between neighbouring dates, in whole days.
 
-    # Copies of a date leave the gaps as they are and collapse map-side.
-    dates = df.select(*series.keys, order).distinct()
-    gaps = over_series(dates, replace(series, ties=()), build, back=1)
+    Rows of a day collapse map-side to the first and the last moment of it, as no gap inside a day is a whole one. So a series of
+    any length has at most a row per calendar day when it is looked at in order.
+    """
+    order = series.order
+    kind = df.schema[order].dataType
+    if not isinstance(kind, (T.DateType, T.TimestampType)):
+        raise TypeError(f"{order} is no date")
+    moment = F.unix_micros(F.col(order).cast("timestamp"))
+    days = df.groupBy(*series.keys, F.floor(moment / MICROS_PER_DAY).alias("_day")).agg(
+        F.min(moment).alias("_first"), F.max(moment).alias("_last")
+    )
+    earlier = F.lag("_last").over(Window.partitionBy(*series.keys).orderBy(F.col("_day").asc_nulls_last()))
+    gaps = days.withColumn("gap", F.floor((F.col("_first") - earlier) / MICROS_PER_DAY))
     return _rule(gaps, series, "date_gap", "warning", F.max("gap"), MAX_GAP_DAYS)
 
 
 def val_outlier_change(df: DataFrame, series: Series = Series()) -> DataFrame:
     """Changes above 50 % between neighbouring known closes; missing closes repeat the one before, so they never count.
 
-    Closes of the same date follow each other by size, copies among them counting once.
+    Closes of the same date follow each other by size, copies among them counting once. Where a series may be longer than a block,
+    rows are dealt to tasks by range, once, and every task reduces its stretch of a series to its first and last close and
+    its count; stretches are then joined in order (``_stretches``).
     """
-
-    def build(d: DataFrame, lane: Lane) -> DataFrame:
-        return d.withColumn("outlier", _is_outlier(shift(F.col("close"), 1, lane), F.col("close")))
-
-    known = df.select(*series.keys, series.order, "close").filter(F.col("close").isNotNull()).distinct()
-    flagged = over_series(known, replace(series, ties=("close",)), build, back=1)
-    found = _rule(flagged, series, "outlier_change", "warning", F.count_if("outlier"), 0)
+    known = df.select(*series.keys, series.order, "close").filter(F.col("close").isNotNull())
+    if series.bounded:
+        def build(d: DataFrame, lane: Lane) -> DataFrame:
+            return d.withColumn("outlier", _is_outlier(shift(F.col("close"), 1, lane), F.col("close")))
+
+        flagged = over_series(known.distinct(), replace(series, ties=("close",)), build, back=1)
+        found = _rule(flagged, series, "outlier_change", "warning", F.count_if("outlier"), 0)
+    else:
+        before = F.lag("last").over(Window.partitionBy(*series.keys).orderBy("slice"))
+        joined = _stretches(known, series).withColumn("between", _is_outlier(before, F.col("first")))
+        found = _rule(joined, series, "outlier_change", "warning", F.sum("inside") + F.count_if("between"), 0)
     silent = df.groupBy(*series.keys).agg(F.count("close").alias("known")).filter("known = 0")
     return found.unionByName(_rule(silent, series, "outlier_change", "warning", F.lit(0), 0))
 
 
+def _stretches(known: DataFrame, series: Series) -> DataFrame:
+    """keys, slice, first and last close and the outliers inside, of every stretch of a series that lies in one task.
+
+    Changes are independent of where stretches are cut: the two sides of a cut are the last close of one and the first of the next.
+    """
+    keys = list(series.keys)
+    kinds = "".join(f"`{k}` {known.schema[k].dataType.simpleString()}, " for k in keys)
+    names = [*keys, "slice", "first", "last", "inside"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, types = TaskContext.get().partitionId(), []
+        now, first, last, inside = None, 0.0, 0.0, 0
+
+        def row() -> pa.RecordBatch:
+            values = [*now, place, first, last, inside]
+            made = [*types, pa.int32(), pa.float64(), pa.float64(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, made)], names)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            types = [batch.schema.field(k).type for k in keys]
+            close = batch.column("close").to_numpy()
+            cuts = _changes([batch.column(k) for k in keys], len(close))
+            total = np.concatenate([[0], np.cumsum(_jumps(close[:-1], close[1:]))])
+            for low, high in zip(cuts, cuts[1:]):
+                key = tuple(batch.column(k)[low].as_py() for k in keys)
+                if now != key:
+                    if now is not None:
+                        yield row()
+                    now, first, inside = key, float(close[low]), 0
+                else:
+                    inside += int(_jumps(np.array([last]), close[low : low + 1])[0])
+                inside += int(total[high - 1] - total[low])
+                last = float(close[high - 1])
+        if now is not None:
+            yield row()
+
+    order = [*map(F.col, keys), *replace(series, ties=("close",)).ordering]
+    dealt = known.repartitionByRange(*order).sortWithinPartitions(*order)
+    stored = dealt.select(*keys, F.col("close").cast("double").alias("close"))
+    return stored.mapInArrow(run, f"{kinds}slice int, first double, last double, inside long")
+
+
+def _jumps(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """``_is_outlier`` of arrays; what is no number counts, as it does there."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(before == 0, after != 0, ~(np.abs(after / before - 1) <= MAX_CHANGE))
+
+
+def _changes(columns: list[pa.Array], rows: int) -> list[int]:
+    """0, the places where any of the columns differs from the row before (nulls are equal), and ``rows``."""
+    differs = np.zeros(max(0, rows - 1), bool)
+    for c in columns:
+        codes = c.dictionary_encode(null_encoding="encode").indices.to_numpy()
+        differs |= codes[1:] != codes[:-1]
+    return [0, *(np.flatnonzero(differs) + 1).tolist(), rows]
+
+
 def validate_bars(df: DataFrame, series: Series = Series()) -> DataFrame:
     """All rules, from one read of the rows.
 
