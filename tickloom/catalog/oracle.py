@@ -348,6 +348,8 @@ def oracle_sql() -> dict[str, str]:
         "scan_parquet": "select o_orderkey, o_totalprice, o_orderdate from orders",
         "sink_parquet": f"{STAMPED} from ({KEYED})",
         "scan_latest_snapshot": f"{STAMPED} from ({KEYED})",
+        "scan_latest_partition": f"{STAMPED} from ({KEYED})",
+        "sma_bucketed": _over(KEYED, SMA),
         "sink_csv": KEYED_PRICES,
         "scan_csv": DAILY_PRICES,
         "sink_json_quote": "select ts as timestamp, value * 1000 as price_usd from events",

@@ -81,6 +81,23 @@ def scan_latest_snapshot(spark, folder):
     return readers.scan_latest_snapshot(spark, place, "bars_historical", S.BAR_SCHEMA)
 
 
+@query
+def scan_latest_partition(spark, folder):
+    """The newest of two days that are partitions of one table."""
+    place = new_path(spark, "snapshots")
+    writers.sink_snapshot_partition(t.bars_daily(spark, folder), place, "bars_historical", "20240101")
+    writers.sink_snapshot_partition(t.bars_keyed(spark, folder), place, "bars_historical", "20240102")
+    return readers.scan_latest_snapshot(spark, place, "bars_historical", S.BAR_SCHEMA)
+
+
+@query
+def sma_bucketed(spark, folder):
+    """Moving means over a table bucketed by series, without a shuffle of its rows."""
+    path = new_path(spark, "bucketed")
+    table = writers.sink_bucketed(t.bars_keyed(spark, folder), path.rsplit("/", 1)[1].replace("-", "_"), path, DAILY, buckets=16)
+    return rounded(technical.sma(spark.table(table), series=DAILY).select(*KEY, *SMA), {c: PLACES[c] for c in SMA})
+
+
 @query
 def sink_csv(spark, folder):
     path = writers.sink_csv(t.price_series_keyed(spark, folder), new_path(spark, "prices"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import schema as S
@@ -63,15 +63,26 @@ class FeatureRun:
     features: DataFrame
     prepared: DataFrame
     bundle: dict[str, str]
+    # What the write of the clean bars saw: rows_in, rows_out, rows_removed, first_date, last_date, mean_close.
+    counts: dict[str, object]
 
 
 def run_features(raw: DataFrame, path: str, series: Series = Series(), seq: str = "seq") -> FeatureRun:
-    """Clean, build features, split and write the bundle. The clean and the feature table are each written once and reused."""
-    clean = materialise(clean_bars(raw, series, seq), "clean")
+    """Clean, build features, split and write the bundle. The clean and the feature table are each written once and reused.
+
+    Counts and the summary of the clean bars are observed as they are written; no job is run for them.
+    """
+    read, kept = Observation(), Observation()
+    raw = raw.observe(read, F.count(F.lit(1)).alias("rows_in"))
+    seen = [F.min(series.order).alias("first_date"), F.max(series.order).alias("last_date"), F.avg("close").alias("mean_close")]
+    clean = clean_bars(raw, series, seq).observe(kept, F.count(F.lit(1)).alias("rows_out"), *seen)
+    clean = materialise(clean, "clean")
+    counts = {**read.get, **kept.get}
+    counts["rows_removed"] = counts["rows_in"] - counts["rows_out"]
     series = series.measured(clean)
     features = materialise(feature_table(clean, series), "features")
     prepared = prepare_dataset(features, series)
-    return FeatureRun(features, prepared, write_bundle(prepared, path, series))
+    return FeatureRun(features, prepared, write_bundle(prepared, path, series), counts)
 
 
 @dataclass(frozen=True)

@@ -14,6 +14,8 @@ from tickloom.functions.scalars import nan_to_null
 
 CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 CSV_TIME_READ = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+# Partition column of snapshot tables, a number YYYYMMDD.
+SNAPSHOT_DAY = "snapshot_date"
 
 
 def scan_parquet(
@@ -32,7 +34,13 @@ def scan_parquet(
     files for every type (a NaN counts as larger than any number there). ``ingest_order`` names a column to be
     added that orders all rows: by file name, then by place in the file.
     """
-    table = spark.read.parquet(path)
+    return _conform(spark.read.parquet(path), path, schema, where, optional, ingest_order)
+
+
+def _conform(
+    table: DataFrame, path: str, schema: T.StructType | None, where: str | Column | None = None, optional: Iterable[str] = (),
+    ingest_order: str | None = None,
+) -> DataFrame:
     if ingest_order:
         place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
         table = table.withColumn(ingest_order, place)
@@ -94,9 +102,30 @@ def latest_snapshot(spark: SparkSession, folder: str, prefix: str) -> str:
 
 
 def scan_latest_snapshot(spark: SparkSession, folder: str, prefix: str, schema: T.StructType | None = None) -> DataFrame:
+    """The newest snapshot, whether days are files (or folders) of their own or partitions of one table."""
+    if _has_partitions(spark, f"{folder}/{prefix}"):
+        return scan_latest_partition(spark, f"{folder}/{prefix}", schema)
     return scan_parquet(spark, latest_snapshot(spark, folder, prefix), schema)
 
 
+def _has_partitions(spark: SparkSession, path: str) -> bool:
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.exists(top) and any(s.getPath().getName().startswith(f"{SNAPSHOT_DAY}=") for s in system.listStatus(top))
+
+
+def scan_latest_partition(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The newest day of a table partitioned by ``snapshot_date``.
+
+    The newest day is found by a subquery over the partition column alone; its answer prunes the partitions of the scan when
+    the query runs, so files of other days are not read. A table without a row gives none.
+    """
+    days = spark.read.parquet(path)
+    newest = days.agg(F.max(SNAPSHOT_DAY))
+    table = days.where(F.col(SNAPSHOT_DAY) == newest.scalar()).drop(SNAPSHOT_DAY)
+    return _conform(table, path, schema)
+
+
 def scan_csv(spark: SparkSession, path: str, series_key: str | None = None) -> DataFrame:
     """Price series with a header line: timestamp and price, and the key unless ``series_key`` gives it.
 
@@ -135,10 +164,23 @@ def scan_json_quotes(spark: SparkSession, path: str, lines: bool = False) -> Dat
 
 def rejected_json_quotes(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """``file`` and text of the documents that do not parse."""
+    return rejected_documents(parsed_documents(spark.read.text(path, wholetext=not lines)))
+
+
+def parsed_documents(texts: DataFrame) -> DataFrame:
+    """Quote documents of text files: ``file``, ``quote`` (a struct of strings and numbers) and, where one does not parse, its ``document``."""
     schema = T.StructType([*quote_text_schema().fields, T.StructField("document", T.StringType())])
-    rows = spark.read.text(path, wholetext=not lines).select(F.col("_metadata.file_name").alias("file"), "value")
-    parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": "document"})
-    return rows.withColumn("document", parsed["document"]).filter(F.col("document").isNotNull()).select("file", "document")
+    quote = F.from_json("value", schema, {"columnNameOfCorruptRecord": "document"})
+    rows = texts.select(F.col("_metadata.file_name").alias("file"), quote.alias("quote"))
+    return rows.withColumn("document", F.col("quote.document"))
+
+
+def rejected_documents(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col("document").isNotNull()).select("file", "document")
+
+
+def accepted_quotes(parsed: DataFrame) -> DataFrame:
+    return quotes_from_text(parsed.filter(F.col("document").isNull()).select("quote.*"))
 
 
 def require_non_empty(df: DataFrame, what: str = "input") -> DataFrame:
