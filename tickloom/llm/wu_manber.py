@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +29,9 @@ from pyspark.sql import DataFrame, functions as F
 from .text import buffers, encoded
 
 WIDTH = 10
-# Bytes of passages that are searched for in one pass; a larger benchmark takes several passes.
-PASSAGE_BYTES = 32 << 20
+# Bytes of passages that are searched for in one pass; a larger benchmark takes several passes. A megabyte of passages
+# makes about 150 MB of search tables, so this bounds a worker's memory.
+PASSAGE_BYTES = 2 << 20
 
 _TO_WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -86,6 +88,18 @@ def compile_passages(items: list[tuple[str | None, bytes]], width: int = WIDTH)
     return [Patterns(w) for _, w in sorted(classes.items())]
 
 
+_MADE: dict[str, list[Patterns]] = {}
+
+
+def _tables(key: str, shared) -> list[Patterns]:
+    """The search tables of a block of passages, made once per Python worker; those of another block are dropped."""
+    if key not in _MADE:
+        _MADE.clear()
+        passages, words = shared.value
+        _MADE[key] = compile_passages(passages, words)
+    return _MADE[key]
+
+
 def merged(found) -> list[tuple[int, int]]:
     """Spans that overlap or touch, as one."""
     spans: list[tuple[int, int]] = []
@@ -160,11 +174,10 @@ def find_passages(
     schema = f"doc {kind}, sha string, n_words long, spans array<struct<first:int,last:int>>, items array<string>"
 
     def searched(block) -> DataFrame:
-        shared = spark.sparkContext.broadcast((block, width))
+        key, shared = uuid.uuid4().hex, spark.sparkContext.broadcast((block, width))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            passages, words = shared.value
-            tables = compile_passages(passages, words)
+            tables = _tables(key, shared)
             for batch in batches:
                 rows = [hits(t, tables) for t in encoded(batch["text"])]
                 yield pd.DataFrame({
@@ -220,13 +233,12 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFra
     blocks = _blocks(benchmark, options.get("item", "item_id"), options.get("passage", "text"), PASSAGE_BYTES)
     spark, width = docs.sparkSession, options.get("width", WIDTH)
     for block in blocks:
-        shared = spark.sparkContext.broadcast((block, width))
+        key, shared = uuid.uuid4().hex, spark.sparkContext.broadcast((block, width))
 
-        def run(batches, shared=shared):
+        def run(batches, key=key, shared=shared):
             import pyarrow as pa
 
-            passages, words = shared.value
-            tables = compile_passages(passages, words)
+            tables = _tables(key, shared)
             for batch in batches:
                 texts = encoded(batch.column(text).to_pylist())
                 yield batch.filter(pa.array([not hits(t, tables)[1] for t in texts], pa.bool_()))
