@@ -184,6 +184,11 @@ class WordEncoder:
 _MADE: dict[str, WordEncoder] = {}
 
 
+# A file is read as one value, which may have 2 GB: texts of about so many bytes, and at most so many records, go to one.
+FILE_BYTES = 64 << 20
+FILE_RECORDS = 1 << 16
+
+
 def _encoder(shared) -> WordEncoder:
     json = shared.value
     key = hashlib.sha256(json.encode()).hexdigest()
@@ -202,7 +207,11 @@ def write_records(docs: DataFrame, tokenizer: str, path: str, *, key: str = "doc
     shared = spark.sparkContext.broadcast(json)
     order = [F.col("k").asc_nulls_first(), F.col("t").asc_nulls_first()]
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    rows = rows.repartitionByRange(F.col("k").asc_nulls_first()).sortWithinPartitions(*order)
+    # As many stretches as make files of about FILE_BYTES, rows of one key dealt by the beginnings of their texts.
+    size = rows.agg(F.sum(F.octet_length("t").cast("long"))).first()[0] or 0
+    stretches = max(size // FILE_BYTES + 1, 4 * spark.sparkContext.defaultParallelism)
+    start = F.substring("t", 1, 64).asc_nulls_first()
+    rows = rows.repartitionByRange(stretches, F.col("k").asc_nulls_first(), start).sortWithinPartitions(*order)
     rows = rows.select(F.col("k").cast("string").alias("k"), "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +226,9 @@ def write_records(docs: DataFrame, tokenizer: str, path: str, *, key: str = "doc
                 yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], names=["frame"])
 
     framed = rows.mapInArrow(run, "frame binary")
-    framed.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{path}/data")
+    framed.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", "\n").option("maxRecordsPerFile", FILE_RECORDS).text(
+        f"{path}/data"
+    )
     _index(spark, path)
 
 
