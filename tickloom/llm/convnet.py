@@ -6,7 +6,7 @@ overlapping chunks of ``CHUNK`` bytes, a step of half a chunk apart. The mean an
 vectors go through one hidden layer into one probability. A filter bank over classes is a table look-up per
 byte, so a text costs a few additions per byte and filter, whatever its length.
 
-The network is fitted on the driver by Adam, on at most ``SAMPLE`` labelled texts, half of each label where
+The network is fitted on the driver by Adam, on at most ``SAMPLE`` labelled texts of ``SAMPLE_BYTES`` together (a text that does not fit is left out), half of each label where
 there are enough, chosen by a hash over all labelled rows. Fitting and scoring pool alike, over all chunks of
 the whole text. The classes of the training texts, a byte each, lie on the driver. Both labels weigh the same in
 the loss, whatever their shares among the rows.
@@ -34,6 +34,7 @@ HIDDEN = 12
 CHUNK = 256
 STEP = CHUNK // 2
 SAMPLE = 3000
+SAMPLE_BYTES = 64 << 20
 BLOCK = 512  # steps convolved at a time
 EPOCHS = 24
 RATE = 0.01
@@ -220,20 +221,37 @@ def fit(
     """A network from labelled texts. ``labels`` are all training rows; the sample is drawn from them, by a hash of
     the key, before any text is read, so what is sent to the texts is bounded."""
     rows = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("k").isNotNull())
+    rows = rows.distinct()
     sizes = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
     draw = F.pmod(F.xxhash64("k", F.lit("draw")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = F.lit(0.0)
     for y, n in sizes.items():
         share = F.when(F.col("y") == y, F.lit(sample / 2 / n)).otherwise(share)
-    drawn = rows.where(draw < share).limit(2 * sample)
+    order = [draw, "k", "y"]
+    drawn = rows.where(draw < share).orderBy(*order).limit(2 * sample)
+    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.xxhash64(F.col(text)).alias("sha"))
+    # Sizes first: whole texts are taken in a fixed order while they fit, so what comes to the driver is bounded in bytes too.
+    sized = texts.join(F.broadcast(drawn), "k").select("k", "y", "sha", F.coalesce(F.octet_length("t"), F.lit(0)).alias("size")).distinct()
+    taken, total = [], 0
+    for r in sized.orderBy(*order, "sha").limit(4 * sample).collect():
+        if total + r.size <= SAMPLE_BYTES:
+            taken.append((r.k, r.y, r.sha))
+            total += r.size
+    if not taken:
+        return train([], [])
+    chosen = docs.sparkSession.createDataFrame(taken, sized.select("k", "y", "sha").schema)
 
     def cut(batches):
         for batch in batches:
             made = [stretches(t).tobytes() for t in encoded(batch.column("t").to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary()), batch.column("y")], names=["x", "y"])
-
-    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(drawn), "k").select("t", "y")
-    found = sorted((bytes(r.x), r.y) for r in texts.mapInArrow(cut, "x binary, y int").limit(4 * sample).collect())
+            columns = [batch.column(c) for c in ("k", "sha", "y")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(made, pa.binary())], names=["k", "sha", "y", "x"])
+
+    kind = chosen.schema["k"].dataType.simpleString()
+    wanted = texts.join(F.broadcast(chosen), ["k", "sha"]).select("k", "sha", "y", "t")
+    # Rows repeated in the documents were sized once and are taken once.
+    once = wanted.dropDuplicates(["k", "sha", "y"]).mapInArrow(cut, f"k {kind}, sha long, y int, x binary")
+    found = sorted((bytes(r.x), r.y) for r in once.select("x", "y").collect())
     wide = STEP + WIDTH - 1
     return train([np.frombuffer(x, np.uint8).reshape(-1, wide) for x, _ in found], [y for _, y in found])
 
