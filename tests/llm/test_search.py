@@ -1,5 +1,6 @@
 """Passage search, rules, language codes and the quality network against plain versions."""
 
+import itertools
 import random
 import re
 import zlib
@@ -275,3 +276,61 @@ def test_every_byte_of_a_training_text_counts():
 def test_network_without_both_labels():
     assert convnet.train([convnet.stretches(b"a")], [0]).score([b"x"]).tolist() == [0.0]
     assert convnet.train([], []).score([b"x"]).tolist() == [1.0]
+
+
+def _plain_buckets(text):
+    """Buckets of all n-grams of a text, one n-gram at a time in whole numbers."""
+    data = [c + 32 if 65 <= c <= 90 else 32 if c < 32 else c for c in text.encode()]
+    made = []
+    for k, n in enumerate(ecoc.ORDERS):
+        for i in range(len(data) - n + 1):
+            value = 1 + k
+            for c in data[i : i + n]:
+                value = (value * 0x01000193 + c) % (1 << 32)
+            value ^= value >> 15
+            made.append((value * 0x2C1B3C6D % (1 << 32)) >> (32 - ecoc.BUCKETS.bit_length() + 1))
+    return made
+
+
+def test_language_query_equals_a_plain_fit_and_decoding(spark):
+    from collections import Counter
+    from math import exp, log
+
+    from tickloom.llm import catalog
+
+    folder = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    grams = {t: _plain_buckets(t) for _, t, _ in docs}
+    train = sorted({(lang, t) for d, t, lang in docs if zlib.crc32(str(d).encode()) % 4 != 2 and lang is not None})
+    names = sorted({lang for lang, _ in train})
+    code = [[c[i] for c in itertools.product((1, 0), repeat=len(names)) if c[0] == 1 and 0 in c] for i in range(len(names))]
+    bits = range(len(code[0]))
+    counts = {lang: Counter() for lang in names}
+    for lang, t in train:
+        counts[lang].update(grams[t])
+    total = {lang: counts[lang].total() + ecoc.SMOOTHING * ecoc.BUCKETS for lang in names}
+
+    def share(bucket, bit, side):
+        some = [(counts[lang][bucket] + ecoc.SMOOTHING) / total[lang] for lang, c in zip(names, code) if c[bit] == side]
+        return sum(some) / len(some)
+
+    weight = {}
+    for bucket in {b for g in grams.values() for b in g}:
+        weight[bucket] = [log(share(bucket, bit, 1) / share(bucket, bit, 0)) for bit in bits]
+    answers = {t: [sum(weight[b][bit] for b in g) / max(1, len(g)) for bit in bits] for t, g in grams.items()}
+    sign = [[2 * c - 1 for c in row] for row in code]
+    trust = []
+    for i, lang in enumerate(names):
+        own = [t for name, t in train if name == lang]
+        right = [(sum(answers[t][bit] * sign[i][bit] > 0 for t in own) + 1) / (len(own) + 2) for bit in bits]
+        trust.append([r / sum(right) for r in right])
+    expected = {}
+    for d, t, _ in docs:
+        loss = [sum(trust[i][bit] * exp(-min(20, max(-20, ecoc.SHARPNESS * answers[t][bit] * sign[i][bit]))) for bit in bits) for i in range(len(names))]
+        near = [exp(-4 * (x - min(loss))) for x in loss]
+        best = max(range(len(names)), key=near.__getitem__)
+        told = any(c.isalpha() for c in t)
+        expected[d] = (names[best], near[best] / sum(near)) if told else (ecoc.UNKNOWN, 0.0)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in catalog.QUERIES["op9_language_codes"](spark, folder).collect()}
+    assert {d: n for d, (n, _) in got.items()} == {d: n for d, (n, _) in expected.items()}
+    assert {d: s for d, (_, s) in got.items()} == pytest.approx({d: s for d, (_, s) in expected.items()}, rel=1e-4)
