@@ -245,3 +245,31 @@ def test_native_plan(spark):
     rows = spark.createDataFrame([(1, "a\nb")], "doc_id long, text string")
     plan = line_dedup.dedup_lines(rows)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_recall_of_the_bands(spark):
+    """Share of pairs just above the threshold that share a band and agree in enough marks."""
+    rng = random.Random(12)
+    pairs = []
+    while len(pairs) < 1200:
+        n = rng.choice([14, 20, 40, 90, 250])
+        one = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n)).strip()
+        other = one
+        for _ in range(40):
+            at = rng.randrange(len(other))
+            changed = other[:at] + rng.choice("ABCDEFGH").lower() + other[at + rng.choice([0, 1]) :]
+            a, b = line_shingles(one), line_shingles(changed)
+            if 100 * len(a & b) < 80 * len(a | b):
+                break
+            other = changed
+        a, b = line_shingles(one), line_shingles(other)
+        if one != other and 80 <= 100 * len(a & b) / len(a | b) < 86:
+            pairs.append((one, other))
+    lines = spark.createDataFrame([(2 * i + k, p[k]) for i, p in enumerate(pairs) for k in (0, 1)], "at long, line string")
+    signed = line_dedup._signatures(lines.select(F.col("at").cast("string").cast("binary").alias("key"), "line"))
+    held = {int(bytes(r.key).decode()): (set(r.bands), r.marks) for r in signed.collect()}
+    found = 0
+    for i in range(len(pairs)):
+        (bands, marks), (others, more) = held[2 * i], held[2 * i + 1]
+        found += bool(bands & others) and sum(x == y for x, y in zip(marks, more)) >= line_dedup.AGREEING
+    assert found >= 0.95 * len(pairs)
