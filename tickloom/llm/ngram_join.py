@@ -5,7 +5,7 @@ A text's set holds the hashes of its distinct shingles of ``WIDTH`` words. Two t
 connected.
 
 Where trees stand: texts with equal sets are one class. All sets are ordered alike, shingles that very many
-texts hold last, others by their hash; two sets that link must share one of their first
+texts hold last, others by a table of counts, rare ones first, and by their hash; two sets that link must share one of their first
 n - ceil(PERCENT * n / 100) + 1 shingles. So classes meet in groups, one per such shingle; shingles with the same
 members are one group. Over the members of a group stands a signature tree: members sorted by set size, leaves of
 a few of them, nodes holding the OR of their members' bitmaps, their range of sizes and the most shingles any
@@ -23,8 +23,8 @@ shingle's places in the order. Groups are traversed twice:
 
 Either pass gives at most a row per member of a group, never its pairs.
 
-At scale: the order's last shingles (``HOT`` texts or more, at most ``HOT_MOST`` of them, 8 bytes each) are the only
-thing broadcast beside the sieves of fixed size. Groups of more than ``GROUP`` rows or ``TOKENS`` shingles are cut
+At scale: the order's last shingles (``HOT`` texts or more, at most ``HOT_MOST`` of them, 8 bytes each), the table of
+counts and the sieves, both of fixed size, are the only things broadcast. Groups of more than ``GROUP`` rows or ``TOKENS`` shingles are cut
 into blocks, and blocks meet in pairs of tasks. Counts are combined before shuffles. Tables whose size depends on
 the data are joined by shuffles.
 
@@ -52,6 +52,7 @@ PERCENT = 85
 HOT = 64
 HOT_MOST = 200_000
 COUNTED = 1 << 22  # shingles counted together before the frequent ones are reported
+TABLE, PARTS = 1 << 21, 64  # counters that order the others by how rare they are
 LEAST_BITS, MOST_BITS = 256, 1 << 16
 GROUP = 4000
 TOKENS = 1 << 21
@@ -75,13 +76,16 @@ def shingle_sets(texts: list[bytes], width: int = WIDTH) -> Iterator[np.ndarray]
                 yield np.zeros(0, np.uint64)
 
 
-def ordered(tokens: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """Sorted hashes with the hot ones moved behind the others."""
-    if not len(hot) or not len(tokens):
-        return tokens
-    at = np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)
-    late = hot[at] == tokens
-    return np.concatenate([tokens[~late], tokens[late]])
+def ordered(tokens: np.ndarray, hot: np.ndarray, counts: np.ndarray | None = None) -> np.ndarray:
+    """Sorted hashes with the rare ones, as far as ``counts`` tell, before the others and the hot ones last."""
+    late = np.zeros(len(tokens), bool)
+    if len(hot) and len(tokens):
+        at = np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)
+        late = hot[at] == tokens
+    first = tokens[~late]
+    if counts is not None:
+        first = first[np.argsort(counts[first & np.uint64(len(counts) - 1)], kind="stable")]
+    return np.concatenate([first, tokens[late]])
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -100,41 +104,84 @@ def digest(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-def frequent(docs: DataFrame, text: str, width: int, least: int = 5) -> np.ndarray:
-    """Sorted hashes of the most frequent shingles: at most HOT_MOST, each in HOT texts or more.
+def _counts(docs: DataFrame, text: str, width: int, least: int) -> DataFrame:
+    """(token, n) of shingles in ``least`` texts or more of every stretch, and (part, counts) of the stretch's table of counts.
 
-    Every task counts the shingles of some millions at a time and reports those in ``least`` texts or more; the
-    reports are summed. A shingle rare in every such stretch may be missed, which costs time only: any set of
-    shingles may go last, as long as it is the same for all texts.
+    Every task counts the shingles of some millions at a time. A table has ``TABLE`` counters of a byte, each shared by the shingles
+    of equal last bits; it is cut into parts, so that tables are summed part by part.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def report():
-            found, n = np.unique(np.concatenate(held), return_counts=True)
+            every = np.concatenate(held)
+            found, n = np.unique(every, return_counts=True)
             often = n >= least
-            return pa.RecordBatch.from_arrays([pa.array(found[often].view(np.int64)), pa.array(n[often])], names=["token", "n"])
+            table = np.minimum(np.bincount((every & np.uint64(TABLE - 1)).astype(np.int64), minlength=TABLE), 255).astype(np.uint8)
+            parts = [p.tobytes() for p in np.split(table, PARTS)]
+            some = int(often.sum())
+            yield pa.RecordBatch.from_arrays([
+                pa.concat_arrays([pa.array(found[often].view(np.int64)), pa.nulls(PARTS, pa.int64())]),
+                pa.concat_arrays([pa.array(n[often], pa.int64()), pa.nulls(PARTS, pa.int64())]),
+                pa.concat_arrays([pa.nulls(some, pa.int32()), pa.array(range(PARTS), pa.int32())]),
+                pa.concat_arrays([pa.nulls(some, pa.binary()), pa.array(parts, pa.binary())]),
+            ], names=["token", "n", "part", "counts"])
 
         for batch in batches:
             for tokens in shingle_sets(encoded(batch.column("t").to_pylist(), lower=True), width):
                 held.append(tokens)
                 size += len(tokens)
                 if size >= COUNTED:
-                    yield report()
+                    yield from report()
                     held, size = [], 0
-        if held:
-            yield report()
+        if size:
+            yield from report()
+
+    found = docs.select(F.col(text).alias("t")).mapInArrow(count, "token long, n long, part int, counts binary")
+    return materialise(found, "counts")
+
 
-    found = docs.select(F.col(text).alias("t")).mapInArrow(count, "token long, n long")
-    found = found.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT)
+def _hot(counts: DataFrame) -> np.ndarray:
+    found = counts.where("token is not null").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT)
     rows = found.orderBy(F.desc("n"), "token").limit(HOT_MOST).select("token").toPandas()
     return np.sort(rows["token"].to_numpy(np.int64).view(np.uint64))
 
 
+def _table(counts: DataFrame) -> np.ndarray:
+    """The sum of all tables of counts: of a fixed size, whatever the input."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, data in zip(batch.column("part").to_pylist(), batch.column("counts")):
+                table = np.frombuffer(data.as_buffer(), np.uint8).astype(np.uint32)
+                sums[part] = sums[part] + table if part in sums else table
+        if sums:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(sums), pa.int32()), pa.array([t.tobytes() for t in sums.values()], pa.binary())], names=["part", "counts"]
+            )
+
+    dealt = counts.where("part is not null").select("part", "counts").repartition("part")
+    made = np.zeros((PARTS, TABLE // PARTS), np.uint32)
+    for row in dealt.mapInArrow(add, "part int, counts binary").collect():
+        made[row.part] = np.frombuffer(row.counts, np.uint32)
+    return made.ravel()
+
+
+def frequent(docs: DataFrame, text: str, width: int, least: int = 5) -> np.ndarray:
+    """Sorted hashes of the most frequent shingles: at most HOT_MOST, each in HOT texts or more.
+
+    The reports of all stretches are summed. A shingle rare in every stretch may be missed, which costs time only: any set of
+    shingles may go last, as long as it is the same for all texts.
+    """
+    return _hot(_counts(docs, text, width, least))
+
+
 def signatures(docs: DataFrame, doc: str, text: str, width: int, percent: int) -> DataFrame:
     """(row, doc, sha, n, digest, prefix, bits) of every row, written to the shared folder."""
-    hot = docs.sparkSession.sparkContext.broadcast(frequent(docs, text, width))
+    counts = _counts(docs, text, width, least=5)
+    shared = docs.sparkSession.sparkContext.broadcast((_hot(counts), _table(counts)))
     source = docs.select(F.col(doc).alias("doc"), F.col(text).alias("t"), F.xxhash64(F.col(text)).alias("sha"))
     kind = source.schema["doc"].dataType.simpleString()
 
@@ -146,7 +193,7 @@ def signatures(docs: DataFrame, doc: str, text: str, width: int, percent: int) -
                 for tokens in shingle_sets(encoded(part.column("t").to_pylist(), lower=True), width):
                     sizes.append(len(tokens))
                     digests.append(digest(tokens))
-                    prefixes.append(ordered(tokens, hot.value)[: prefix_length(len(tokens), percent)].view(np.int64))
+                    prefixes.append(ordered(tokens, *shared.value)[: prefix_length(len(tokens), percent)].view(np.int64))
                     bits.append(bitmap(tokens))
                 made = [
                     part.column("doc"), part.column("sha"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
