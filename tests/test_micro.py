@@ -1,6 +1,8 @@
 """Edge rules on hand-made rows."""
 
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -214,3 +216,26 @@ def test_quotes_and_series_without_a_partner_stay(spark):
     quotes = spark.createDataFrame([("A", 2.0), ("Z", 1.0)], "series_key string, price_usd double")
     made = {r["series_key"]: (r["sign"], r["mean_close"]) for r in profile.quote_vs_mean(quotes, closes(spark, [1, 1])).collect()}
     assert made == {"A": ("+", 1.0), "Z": (None, None)}
+
+
+@pytest.mark.parametrize("places", [0, 4, 6, 12])
+def test_cheap_rounding_is_that_of_decimals(spark, places):
+    rng = random.Random(places)
+    values = [None, 0.0, -0.0, float("nan"), float("inf"), -1e300, 2.0**53 + 2, 1.005, 2.675, -2.5, 0.5, -0.49999999999999994, 1e-300]
+    values += [(rng.randrange(-(10**9), 10**9) + 0.5) / 10**places for _ in range(500)]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randrange(-14, 15) for _ in range(3000)]
+    rows = spark.createDataFrame([(v,) for v in values], "x double")
+    made = rows.select(scalars.round_half_up(F.col("x"), places).alias("made"), F.round("x", places).alias("wanted"))
+    assert all(repr(r.made) == repr(r.wanted) for r in made.collect())
+
+
+def test_short_frames_are_no_sliding_aggregates(spark):
+    bars = closes(spark, range(30)).selectExpr("*", "close as open", "close as high", "close as low", "close as volume")
+    plan = technical.technical_features(bars, DAILY)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and not re.search(r"RowFrame, -\d+, currentrow", plan)
+
+
+def test_a_spread_of_equal_values_is_zero(spark):
+    bars = closes(spark, [0.1] * 25 + [None] + [0.3] * 25)
+    made = column(technical.bollinger(bars), "bb_width")
+    assert made[:19] == [None] * 19 and made[19:25] == [0.0] * 6 and made[25:45] == [None] * 20 and made[45:] == [0.0] * 6

@@ -47,7 +47,8 @@ def query_without_sql(make: Query) -> Query:
 
 
 def rounded(df: DataFrame, places: dict[str, int]) -> DataFrame:
-    return df.withColumns({c: F.round(c, n) for c, n in places.items()})
+    kinds = dict(df.dtypes)
+    return df.withColumns({c: scalars.round_half_up(F.col(c), n) if kinds[c] == "double" else F.round(c, n) for c, n in places.items()})
 
 
 def features(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +16,8 @@ SHORT_FRAME = 32
 # Piece lengths tried first, so that frames of 14, 20, 21, 30, 50 or 200 rows share their pieces.
 SHARED_PIECES = (10, 7)
 MAX_SHARED = 20
+# Frames up to this many rows are added up from looks at their rows, which cost less than a sliding aggregate.
+LOOKED = 10
 
 
 def finite(x: Column) -> Column:
@@ -71,36 +76,65 @@ def _earlier(name: str, back: int, lane: Lane) -> dict[str, Column]:
     return {f"{name}_{back}": F.lag(name, back).over(lane.framed)} if back else {}
 
 
+def _looks(column: str, rows: int, lane: Lane) -> dict[str, Column]:
+    """Looks at the earlier rows of a short frame; frames over one column share them."""
+    x = finite(F.col(column).cast("double"))
+    return {f"_at_{column}_{k}": F.lag(x, k).over(lane.framed) for k in range(1, rows)} if rows <= LOOKED else {}
+
+
+def _values(column: str, rows: int) -> list[Column]:
+    """The rows of a short frame, oldest first."""
+    return [*(F.col(f"_at_{column}_{k}") for k in range(rows - 1, 0, -1)), finite(F.col(column).cast("double"))]
+
+
+def _total(column: str, rows: int, lane: Lane) -> Column:
+    """Sum over a frame; NULL if one of its rows is missing."""
+    return reduce(add, _values(column, rows)) if rows <= LOOKED else rolling_sum(F.col(column), rows, lane)
+
+
+def _variance(column: str, rows: int, lane: Lane) -> Column:
+    """Population variance over a frame."""
+    if rows > LOOKED or rows == 1:
+        return F.var_pop(finite(F.col(column))).over(lane.last_rows(rows))
+    # Values are taken relative to the newest, as the means of pieces below.
+    *others, newest = _values(column, rows)
+    offsets = [x - newest for x in others]
+    shifted = reduce(add, offsets)
+    return (reduce(add, [o * o for o in offsets]) - shifted * shifted / rows) / rows
+
+
 def rolling_mean_levels(column: str, means: dict[str, int], lane: Lane) -> list[dict[str, Column]]:
-    """Three levels, frames, earlier frames and results, for means of ``name: rows``.
+    """Four levels, looks, frames, earlier frames and results, for means of ``name: rows``.
 
     Means that need the same piece share it.
     """
-    frames, earlier, results = {}, {}, {}
+    looks, frames, earlier, results = {}, {}, {}, {}
     for name, n in means.items():
         total = F.lit(0.0)
         for rows, back in frame_pieces(n):
             piece = f"_sum_{column}_{rows}"
-            frames[piece] = rolling_sum(F.col(column), rows, lane)
+            looks |= _looks(column, rows, lane)
+            frames[piece] = _total(column, rows, lane)
             earlier |= _earlier(piece, back, lane)
             total = total + _piece(piece, back)
         results[name] = total / n
-    return [frames, earlier, results]
+    return [looks, frames, earlier, results]
 
 
 def rolling_std_levels(column: str, deviations: dict[str, int], lane: Lane) -> list[dict[str, Column]]:
-    """Three levels, as above, for sample deviations of ``name: rows``.
+    """Four levels, as above, for sample deviations of ``name: rows``.
 
     A frame is merged from frames of equal length by their means and variances, which keeps the
     precision of a direct pass: the spread inside the pieces plus the spread of their means.
     """
-    frames, earlier, results = {}, {}, {}
+    looks, frames, earlier, results = {}, {}, {}, {}
     for name, n in deviations.items():
         divisors = [c for c in range(2, n + 1) if n % c == 0]
         rows = _shared_piece(n) or min(divisors, key=lambda c: 2 * c + 2 * (n // c), default=n)
         total, spread = f"_sum_{column}_{rows}", f"_var_{column}_{rows}"
-        frames[total] = rolling_sum(F.col(column), rows, lane)
-        frames[spread] = F.var_pop(finite(F.col(column))).over(lane.last_rows(rows))
+        looks |= _looks(column, rows, lane)
+        frames[total] = _total(column, rows, lane)
+        frames[spread] = _variance(column, rows, lane)
         backs = range(0, n, rows)
         for back in backs:
             earlier |= _earlier(total, back, lane) | _earlier(spread, back, lane)
@@ -113,7 +147,7 @@ def rolling_std_levels(column: str, deviations: dict[str, int], lane: Lane) -> l
             between = between - shift_sum * shift_sum / len(backs)
         inside = sum((_piece(spread, back) for back in backs[1:]), F.col(spread))
         results[name] = F.when(F.col(total).isNotNull(), F.sqrt((inside + between) * rows / (n - 1)))
-    return [frames, earlier, results]
+    return [looks, frames, earlier, results]
 
 
 def shift(x: Column, k: int, lane: Lane) -> Column:

@@ -21,6 +21,19 @@ def round_price(x: Column, places: int = 2) -> Column:
     return F.rint(x * scale) / scale
 
 
+def round_half_up(x: Column, places: int) -> Column:
+    """``F.round`` of a double, which goes through text and decimals only where its scaled value is large or nearly a tie.
+
+    Elsewhere the scaled value is off by less than the margin, so the nearest whole number is certain, and its quotient by a
+    power of ten is the double next to that decimal.
+    """
+    scale = float(10**places)
+    scaled = x * scale
+    whole = F.floor(scaled + 0.5)
+    certain = (F.abs(scaled) < 2.0**40) & (F.abs(scaled - whole) < 0.499)
+    return F.when(certain, whole.cast("double") / scale).otherwise(F.round(x, places))
+
+
 def cast_datetime(x: Column) -> Column:
     return x.cast("timestamp")
 
