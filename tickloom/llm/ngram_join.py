@@ -503,6 +503,15 @@ def _entries(reps: DataFrame) -> DataFrame:
     return members.join(named.hint("merge"), "token").groupBy("group", "row").agg(F.min("n").alias("n"), F.min("place").alias("place"))
 
 
+def _representatives(full: DataFrame, classes: DataFrame) -> DataFrame:
+    """One row for each class; only rows that may be of a class with copies are looked up."""
+    held = sieve(classes.where("copies > 1"), "digest")
+    first = may_hold(classes, held, "digest").select(F.col("node").alias("row"))
+    # Spark would move a semi join in front of the sieve, and so shuffle every row.
+    again = may_hold(full, held, "digest").join(first.hint("merge"), "row")
+    return may_not_hold(full, held, "digest").union(again.select(*full.columns))
+
+
 def join(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc, sha, n_shingles, component, group): one row per row of ``docs``.
 
@@ -512,10 +521,7 @@ def join(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", width: int
     rows = signatures(docs, doc, text, width, percent)
     full = rows.where("n > 0")
     classes = materialise(full.groupBy("digest").agg(F.min("row").alias("node"), F.min("doc").alias("least"), F.count(F.lit(1)).alias("copies")), "classes")
-    # One row stands for each class; only rows of classes with copies are looked up.
-    held = sieve(classes.where("copies > 1"), "digest")
-    again = may_hold(full, held, "digest").join(classes.select(F.col("node").alias("row")), "row", "left_semi")
-    reps = may_not_hold(full, held, "digest").union(again.select(*full.columns))
+    reps = _representatives(full, classes)
 
     entries = materialise(_entries(reps), "entries")
     partnered = materialise(_partnered(entries, reps, percent), "partnered")
@@ -553,7 +559,9 @@ def keep_one(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", width:
 
     held = sieve(gone, "doc", "sha")
     key = (F.col(doc), F.col(sha))
-    kept = may_not_hold(named, held, *key).union(within(may_hold(named, held, *key), gone, "left_anti"))
+    # Not an anti join, which Spark would move in front of the sieve.
+    asked = within(may_hold(named, held, *key), gone, "left").where(F.col(other).isNull()).select(*named.columns)
+    kept = may_not_hold(named, held, *key).union(asked)
     if not repeated.isEmpty():
         twice = within(kept, repeated, "left_semi").dropDuplicates([doc, sha])
         kept = within(kept, repeated, "left_anti").union(twice)
