@@ -273,3 +273,29 @@ def test_recall_of_the_bands(spark):
         (bands, marks), (others, more) = held[2 * i], held[2 * i + 1]
         found += bool(bands & others) and sum(x == y for x, y in zip(marks, more)) >= line_dedup.AGREEING
     assert found >= 0.95 * len(pairs)
+
+
+def test_only_rows_that_pass_the_sieve_are_shuffled(spark, monkeypatch):
+    """A semi or anti join over the sieve's join would be moved in front of it, and every row shuffled."""
+    seen = {}
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    def entries(reps, made=ngram_join._entries):
+        seen["reps"] = plan(reps)
+        return made(reps)
+
+    def materialise(df, name="stage", made=line_dedup.materialise):
+        seen.setdefault(name, plan(df))
+        return made(df, name)
+
+    monkeypatch.setattr(ngram_join, "_entries", entries)
+    monkeypatch.setattr(line_dedup, "materialise", materialise)
+    base = [f"{' '.join(random.Random(i).choices(WORDS, k=40))} {i}" for i in range(6)]
+    rows = spark.createDataFrame([(i, base[i % 6]) for i in range(8)], "doc_id long, text string")
+    kept = ngram_join.keep_one(rows)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(6))
+    assert line_dedup.clean_documents(rows).count() == 6
+    for text in (seen["reps"], seen["texts"], plan(kept)):
+        assert "sieve_bits" in text and not re.search("Left(Semi|Anti)", text)

@@ -162,7 +162,8 @@ def _families(signatures: DataFrame, lines: DataFrame, percent: int) -> DataFram
     members = materialise(members, "members")
     # Lines with the most partners lead: what many lines are copies of is met by all of them at once.
     degrees = materialise(members.groupBy("key").agg(F.sum("size").alias("degree")), "degrees")
-    some = may_hold(lines.select("key", "line"), sieve(degrees, "key"), "key").join(degrees, "key", "left_semi")
+    # Spark would move a semi join in front of the sieve, and so shuffle every line.
+    some = may_hold(lines.select("key", "line"), sieve(degrees, "key"), "key").join(degrees, "key")
     texts = some.dropDuplicates(["key"]).select("key", F.encode("line", "UTF-16BE").alias("units"))
     texts = materialise(texts, "texts")
     members = members.join(degrees, "key").withColumns({"open": F.lit(True), "family": F.col("key")})
