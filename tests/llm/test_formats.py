@@ -11,7 +11,7 @@ import public_tokenizers as P
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, chat, line_dedup, ngram_join, pieces, records, rules, warc
+from tickloom.llm import bpe, chat, line_dedup, ngram_join, pieces, records, rules, text, warc, wu_manber
 from tickloom.session import new_path
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
@@ -301,3 +301,17 @@ def test_an_url_cannot_forge_a_header(spark):
     got = warc.read_archive(spark, path).select(*(warc.header_field(n).alias(n.replace("-", "")) for n in ("WARC-Page-ID", "WARC-Type", "WARC-Refers-To-Page-ID")))
     last = str(len(signs) - 1)
     assert sorted(map(tuple, got.collect())) == sorted((str(i), "response" if str(i) == last else "revisit", None if str(i) == last else last) for i, _, _ in rows)
+
+
+def test_a_worker_keeps_the_tables_of_one_stage():
+    """What was made last is kept, by whatever operator; a stage that keeps nothing lets go of it."""
+    made = []
+    text.let_go()
+    assert [text.held((k,), lambda: made.append(k) or k) for k in "aabba"] == list("aabba") and made == list("aba")
+    shared = type("Shared", (), {"value": ([("i", b"one two")], 10)})
+    tables = wu_manber._tables("key", shared)
+    assert list(text._HELD.values()) == [tables] and wu_manber._tables("key", shared) is tables
+    encoder = bpe._encoder("key", type("Shared", (), {"value": ({bytes([b]): b for b in range(256)}, "x")}))
+    assert list(text._HELD.values()) == [encoder]
+    text.let_go()
+    assert not text._HELD and not text._POWERS

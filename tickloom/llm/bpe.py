@@ -32,6 +32,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import pieces
+from .text import held
 
 SHIFT = 8
 WORD = 1 << SHIFT  # ranks of a bitmap
@@ -346,15 +347,10 @@ def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
     return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, data.splitlines()) if piece}
 
 
-_MADE: dict[tuple[str, str], SpacedEncoder] = {}
-
-
 def _encoder(key: str, shared) -> SpacedEncoder:
-    """The encoder of this Python worker; workers live on from task to task."""
+    """The encoder of this Python worker."""
     ranks, pattern = shared.value
-    if (key, pattern) not in _MADE:
-        _MADE[key, pattern] = SpacedEncoder(ranks, pattern)
-    return _MADE[key, pattern]
+    return held(("bpe", key, pattern), lambda: SpacedEncoder(ranks, pattern))
 
 
 def _shared(spark: SparkSession, path: str, pattern: str):

@@ -30,7 +30,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .text import buffers, encoded, slices
+from .text import buffers, encoded, let_go, slices
 
 BUCKETS = 1 << 15
 ORDERS = (2, 3, 4)
@@ -247,6 +247,7 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        let_go()
         model = shared.value
         for batch in batches:
             for part in slices(batch, text):

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..session import materialise
 from .components import components
 from .sieve import fresh, may_hold, may_not_hold, sieve
-from .text import Words, buffers, encoded, mix, windows
+from .text import Words, buffers, encoded, let_go, mix, windows
 
 WIDTH = 4
 PERCENT = 85
@@ -112,6 +112,7 @@ def _counts(docs: DataFrame, text: str, width: int, least: int) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         held, size = [], 0
 
         def report():

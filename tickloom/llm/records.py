@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from . import pieces
+from .text import held
 
 MASK_DELTA = 0xA282EAD8
 VOCABULARY_BYTES = 64 << 20
@@ -181,9 +182,6 @@ class WordEncoder:
         return out
 
 
-_MADE: dict[str, WordEncoder] = {}
-
-
 # A file is read as one value, which may have 2 GB: texts of about so many bytes, and at most so many records, go to one.
 FILE_BYTES = 64 << 20
 FILE_RECORDS = 1 << 16
@@ -192,9 +190,7 @@ FILE_RECORDS = 1 << 16
 def _encoder(shared) -> WordEncoder:
     json = shared.value
     key = hashlib.sha256(json.encode()).hexdigest()
-    if key not in _MADE:
-        _MADE[key] = WordEncoder(json)
-    return _MADE[key]
+    return held(("records", key), lambda: WordEncoder(json))
 
 
 def write_records(docs: DataFrame, tokenizer: str, path: str, *, key: str = "doc_id", text: str = "text", end_id: int | None = None) -> None:

@@ -7,7 +7,7 @@ or long the texts of a batch are; a single longer text is a buffer of its own.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 
@@ -26,6 +26,23 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
 
 
+_HELD: dict[tuple, object] = {}
+
+
+def held(key: tuple, make: Callable[[], object]):
+    """``make()``, kept by a Python worker from task to task until it is asked for something else."""
+    if key not in _HELD:
+        let_go()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def let_go() -> None:
+    """Workers live on from stage to stage: without this, idle ones would hold the tables of every stage they were in."""
+    _HELD.clear()
+    _POWERS.clear()
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 ... base ** (n - 1), modulo 2**64."""
     have = _POWERS.get(base)

@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .text import buffers, encoded
+from .text import buffers, encoded, held
 
 WIDTH = 10
 # Bytes of passages that are searched for in one pass; a larger benchmark takes several passes. A megabyte of passages
@@ -88,16 +88,9 @@ def compile_passages(items: list[tuple[str | None, bytes]], width: int = WIDTH)
     return [Patterns(w) for _, w in sorted(classes.items())]
 
 
-_MADE: dict[str, list[Patterns]] = {}
-
-
 def _tables(key: str, shared) -> list[Patterns]:
-    """The search tables of a block of passages, made once per Python worker; those of another block are dropped."""
-    if key not in _MADE:
-        _MADE.clear()
-        passages, words = shared.value
-        _MADE[key] = compile_passages(passages, words)
-    return _MADE[key]
+    """The search tables of a block of passages, made once per Python worker."""
+    return held(("wu_manber", key), lambda: compile_passages(*shared.value))
 
 
 def merged(found) -> list[tuple[int, int]]:
