@@ -299,3 +299,35 @@ def test_only_rows_that_pass_the_sieve_are_shuffled(spark, monkeypatch):
     assert line_dedup.clean_documents(rows).count() == 6
     for text in (seen["reps"], seen["texts"], plan(kept)):
         assert "sieve_bits" in text and not re.search("Left(Semi|Anti)", text)
+
+
+def test_all_pairs_of_a_small_group_are_tested_at_once(spark, monkeypatch):
+    """Lines that share a band but are not alike took a round of heads for every doubling of the heads."""
+    names = []
+
+    def one_group(lines):
+        marks = F.array(*[F.lit(0).cast("tinyint")] * (line_dedup.BANDS * line_dedup.ROWS))
+        keys = lines.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        return keys.select("key", "n", F.array(F.lit(1)).cast("array<bigint>").alias("bands"), marks.alias("marks"))
+
+    def materialise(df, name="stage", made=line_dedup.materialise):
+        names.append(name)
+        return made(df, name)
+
+    monkeypatch.setattr(line_dedup, "_signatures", one_group)
+    monkeypatch.setattr(line_dedup, "materialise", materialise)
+    rng = random.Random(21)
+    lines = ["".join(rng.choice("abcdefghij ") for _ in range(rng.choice([3, 60, 150]))) for _ in range(18)]
+    lines += [lines[2] + "x" * 5, lines[3][:-2], "\U0001f600" * 40, "\U0001f600" * 44 + "b"]
+    docs = list(enumerate(lines))
+    rows = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = [r.text for r in line_dedup.dedup_lines(rows).orderBy("doc_id").collect()]
+    assert got == brute_lines(docs)
+    assert names.count("tested") == 1 and "led" not in names
+
+
+def test_lines_are_hashed_without_a_shuffle_of_their_texts(spark):
+    lines = line_dedup._lines(spark.createDataFrame([(1, "a\nb\na"), (2, " a ")], "doc_id long, text string"), "doc_id", "text")
+    signed = line_dedup._signatures(lines)
+    assert "SortAggregate" not in signed._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.n for r in signed.collect()) == [1, 3]

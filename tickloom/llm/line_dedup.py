@@ -4,21 +4,22 @@ Lines are compared in lower case, without blanks at their ends. Their features a
 characters (UTF-16 units; a shorter line is one run). Two lines are alike if the Jaccard similarity of these
 sets is at least ``PERCENT`` / 100.
 
-1. Equal lines collapse to one row with a count.
-2. Every different line is blown up into its shingles' 64-bit hashes; for each of ``BANDS * ROWS`` fixed random
+1. Equal lines collapse to one row with a count, by their digest.
+2. Every line is blown up into its shingles' 64-bit hashes; for each of ``BANDS * ROWS`` fixed random
    words, the hash nearest to that word (smallest exclusive-or) is kept. Two lines keep the same hash with a
    probability equal to their similarity, as with random permutations. ``ROWS`` of them make a band.
-3. Lines sharing a band are candidates. In each band group, every line is held against one head: the line with
-   the most partners over all its bands. If at least ``AGREEING`` of all kept hashes agree, the two are compared by
-   exact Jaccard on the full shingle sets. While some lines are like no head yet, twice as many of them as
-   before head the next round, against all lines of the group, until every line is like a head or has been one.
-   So a group of lines that are alike, or like one of them, takes one pair per line; only lines that are
-   like none of the others are held against each other.
-4. Verified pairs are edges; components come from a distributed union-find. Two lines of a group that are
+3. Lines sharing a band are candidates. If at least ``AGREEING`` of all kept hashes agree, the two are compared by
+   exact Jaccard on the full shingle sets. In a band group of ``SMALL`` lines at most, all pairs are candidates.
+4. In a larger group, every line is held against one head: the line with the most partners over all its
+   bands. While some lines are like no head yet, ``FASTER`` times as many of them as before head the next round,
+   against all lines of the group, until every line is like a head or has been one. So a group of lines
+   that are alike, or like one of them, takes one pair per line; only lines that are like none of the
+   others are held against each other.
+5. Verified pairs are edges; components come from a distributed union-find. Two lines of a larger group that are
    each like another head may still bridge two components: as long as lines of a group that have not been heads
    lie in several components, those outside its largest one head further rounds. In the end any two lines
    of a group have been tested, agree in too few hashes or are in one component.
-5. Of each component, the first line in the order of (document id, line number) stays and the others go.
+6. Of each component, the first line in the order of (document id, line number) stays and the others go.
 
 At a similarity of 0.8 a pair shares a band with a probability of 98.6 %, at 0.9 of 99.96 %; it then has fewer
 than ``AGREEING`` hashes in common with one of 0.4 % and 0.0004 %.
@@ -32,6 +33,8 @@ result. Further columns pass through.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialise
@@ -43,7 +46,9 @@ PERCENT = 80
 BANDS = 6
 ROWS = 3
 AGREEING = 10  # of BANDS * ROWS
-STRIDE = 4  # shingles hashed per exploded row
+STRIDE = 16  # shingles hashed per exploded row
+SMALL = 32  # lines of a band group that are all held against each other
+FASTER = 4
 BRIDGING = 16  # lines of a group that first look for bridges; four times as many in each further round
 
 
@@ -59,7 +64,10 @@ def _probes(count: int) -> list[int]:
 
 
 def _normal(line: Column) -> Column:
-    return F.lower(F.btrim(line, F.lit(" \t\r\x0b\x0c")))
+    blanks = " \t\r\x0b\x0c"
+    # Few lines have blanks at their ends, and looking there is far cheaper than trimming.
+    ends = [end(line, F.lit(b)) for b in blanks for end in (F.startswith, F.endswith)]
+    return F.lower(F.when(reduce(Column.__or__, ends), F.btrim(line, F.lit(blanks))).otherwise(line))
 
 
 def _lines(docs: DataFrame, doc: str, text: str) -> DataFrame:
@@ -68,7 +76,7 @@ def _lines(docs: DataFrame, doc: str, text: str) -> DataFrame:
     rows = docs.where(F.col(text).isNotNull()).select(
         F.col(doc).alias("doc"), sha.alias("sha"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("at", "line")
     )
-    rows = rows.withColumn("line", _normal(F.col("line"))).where(F.col("line") != "")
+    rows = rows.select("doc", "sha", "at", _normal(F.col("line")).alias("line")).where(F.col("line") != "")
     return rows.select("doc", "sha", "at", F.unhex(F.md5(F.col("line").cast("binary"))).alias("key"), "line")
 
 
@@ -76,52 +84,62 @@ def _shingle_count(units: Column) -> Column:
     return F.greatest(F.lit(1), (F.octet_length(units) / 2).cast("int") - SHINGLE + 1)
 
 
-def _shingle(units: str, at: Column) -> Column:
-    return F.xxhash64(F.substring(F.col(units), 2 * at + 1, F.lit(2 * SHINGLE)))
+def _hashed(lines: DataFrame) -> DataFrame:
+    """(key, first, h0, h1, ...): hashes of ``STRIDE`` shingles a row; the last row of a line repeats its last one."""
+    def shingle(at: Column) -> Column:
+        return F.xxhash64(F.substring(F.col("units"), 2 * at + 1, F.lit(2 * SHINGLE)))
+
+    spread = lines.select("key", "units", (_shingle_count(F.col("units")) - 1).alias("last"))
+    spread = spread.select("key", "units", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(STRIDE))).alias("i"))
+    hashes = [shingle(F.least(F.col("i") + j, F.col("last"))).alias(f"h{j}") for j in range(STRIDE)]
+    return spread.select("key", (F.col("i") == 0).alias("first"), *hashes)
 
 
 def _signatures(lines: DataFrame) -> DataFrame:
     """(key, n, bands, marks): copies, band hashes and the last bits of the kept hashes of every different line."""
-    # The copies of a line meet by its digest; what follows needs no further shuffle.
-    different = lines.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.first("line").alias("line"))
-    units = F.encode("line", "UTF-16BE")
-    spread = different.select("key", "n", units.alias("units")).select(
-        "key", "n", "units", (_shingle_count(F.col("units")) - 1).alias("last")
-    )
-    spread = spread.select("key", "n", "units", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(STRIDE))).alias("i"))
-    hashes = [_shingle("units", F.least(F.col("i") + j, F.col("last"))).alias(f"h{j}") for j in range(STRIDE)]
-    hashed = spread.select("key", "n", *hashes)
-    probes = _probes(BANDS * ROWS)
+    # Copies keep the same hashes, so they meet after hashing: texts are neither sorted nor shuffled.
+    hashed = _hashed(lines.select("key", F.encode("line", "UTF-16BE").alias("units")))
     nearest = [
-        F.min(F.least(*(F.col(f"h{j}").bitwiseXOR(F.lit(p)) for j in range(STRIDE)))).alias(f"m{i}") for i, p in enumerate(probes)
+        F.min(F.least(*(F.col(f"h{j}").bitwiseXOR(F.lit(p)) for j in range(STRIDE)))).alias(f"m{i}")
+        for i, p in enumerate(_probes(BANDS * ROWS))
     ]
-    signed = hashed.groupBy("key").agg(F.max("n").alias("n"), *nearest)
+    signed = hashed.groupBy("key").agg(F.sum(F.col("first").cast("long")).alias("n"), *nearest)
     bands = [F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)]
     marks = F.array(*(F.col(f"m{i}").bitwiseAND(F.lit(127)).cast("tinyint") for i in range(BANDS * ROWS)))
     return signed.select("key", "n", F.array(*bands).alias("bands"), marks.alias("marks"))
 
 
-def _shingle_set(units: str) -> Column:
-    """Hashes of all shingles; ``units`` is a column of UTF-16 units, so nothing is encoded inside the lambda."""
-    places = F.sequence(F.lit(0), _shingle_count(F.col(units)) - 1)
-    return F.array_distinct(F.transform(places, lambda i: _shingle(units, i)))
+def _shingle_hashes(units: str) -> Column:
+    """Hashes of all shingles of a column of UTF-16 units, with repeats."""
+    # A column is copied whole each time a lambda reads it, a lambda's own variable is not: hence the array of one.
+    def hashes(u: Column) -> Column:
+        at = F.sequence(F.lit(1), 2 * _shingle_count(u) - 1, F.lit(2))
+        return F.transform(at, lambda i: F.xxhash64(F.substring(u, i, F.lit(2 * SHINGLE))))
+
+    return F.get(F.transform(F.array(units), hashes), F.lit(0))
+
+
+def _texts(lines: DataFrame) -> DataFrame:
+    """(key, units, size): UTF-16 units and number of different shingles of every different line."""
+    texts = lines.dropDuplicates(["key"]).select("key", F.encode("line", "UTF-16BE").alias("units"))
+    return texts.withColumn("size", F.size(F.array_distinct(_shingle_hashes("units"))))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """``pairs`` (a, b) with ``alike``, by exact Jaccard of full shingle sets."""
-    left = texts.select(F.col("key").alias("a"), F.col("units").alias("ua"))
-    right = texts.select(F.col("key").alias("b"), F.col("units").alias("ub"))
+    left = texts.select(F.col("key").alias("a"), F.col("units").alias("ua"), F.col("size").alias("na"))
+    right = texts.select(F.col("key").alias("b"), F.col("units").alias("ub"), F.col("size").alias("nb"))
     both = pairs.join(left, "a").join(right, "b")
-    sets = both.select("a", "b", _shingle_set("ua").alias("sa"), _shingle_set("ub").alias("sb"))
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return sets.select("a", "b", "sa", "sb", shared.alias("shared")).select(
-        "a", "b", (100 * F.col("shared") >= percent * (F.size("sa") + F.size("sb") - F.col("shared"))).alias("alike")
-    )
+    # Sets of too different sizes can't be alike, whatever they share.
+    near = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    shared = F.size(F.array_intersect(_shingle_hashes("ua"), _shingle_hashes("ub")))
+    alike = (100 + percent) * shared >= percent * (F.col("na") + F.col("nb"))
+    return both.select("a", "b", F.when(near, alike).otherwise(F.lit(False)).alias("alike"))
 
 
 def _agreeing(x: str, y: str) -> Column:
-    """How many of the kept hashes of two lines agree, as far as their last bytes tell."""
-    return F.aggregate(F.zip_with(x, y, lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, e: n + e)
+    """How many of the kept hashes of two lines agree, as far as their last bits tell."""
+    return reduce(Column.__add__, ((F.get(x, F.lit(i)) == F.get(y, F.lit(i))).cast("int") for i in range(BANDS * ROWS)))
 
 
 def _tested(led: DataFrame, done: DataFrame | None, texts: DataFrame, percent: int) -> DataFrame:
@@ -153,23 +171,31 @@ def _with_families(members: DataFrame, known: DataFrame) -> DataFrame:
     return named.withColumn("family", F.coalesce("family", "key")).select(*members.columns)
 
 
-def _families(signatures: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
-    """(node, component) of the different lines that are like another one."""
+def _pairs(members: DataFrame) -> DataFrame:
+    """(a, b): all lines of one group that agree in enough hashes."""
+    left = members.select("band", F.col("key").alias("a"), F.col("marks").alias("ma"))
+    right = members.select("band", F.col("key").alias("b"), F.col("marks").alias("mb"))
+    return left.join(right, "band").where(F.col("a") < F.col("b")).where(_agreeing("ma", "mb") >= AGREEING).select("a", "b")
+
+
+def _members(signatures: DataFrame) -> DataFrame:
+    """(band, key, marks, size): lines of groups of two and more."""
     banded = signatures.select("key", "marks", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = materialise(shared, "bands")
-    members = may_hold(banded, sieve(shared, "band"), "band").join(shared, "band")
-    members = materialise(members, "members")
+    return materialise(may_hold(banded, sieve(shared, "band"), "band").join(shared, "band"), "members")
+
+
+def _families(members: DataFrame, degrees: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of the different lines that are like another one."""
+    done = _tested(_pairs(members.where(F.col("size") <= SMALL)), None, texts, percent)
     # Lines with the most partners lead: what many lines are copies of is met by all of them at once.
-    degrees = materialise(members.groupBy("key").agg(F.sum("size").alias("degree")), "degrees")
-    # Spark would move a semi join in front of the sieve, and so shuffle every line.
-    some = may_hold(lines.select("key", "line"), sieve(degrees, "key"), "key").join(degrees, "key")
-    texts = some.dropDuplicates(["key"]).select("key", F.encode("line", "UTF-16BE").alias("units"))
-    texts = materialise(texts, "texts")
-    members = members.join(degrees, "key").withColumns({"open": F.lit(True), "family": F.col("key")})
+    members = members.where(F.col("size") > SMALL).join(degrees, "key").withColumns({"open": F.lit(True), "family": F.col("key")})
     members = every = materialise(members, "members")
+    if members.isEmpty():
+        return components(done.where("alike"))
     order = [F.desc("degree"), "key"]
-    done, heads_at_once, been, known = None, 1, None, None
+    heads_at_once, been, known = 1, None, None
     while True:
         heads = _heads(members.where("open"), order, heads_at_once)
         named = heads.select("band", F.col("head_key").alias("key"))
@@ -180,18 +206,16 @@ def _families(signatures: DataFrame, lines: DataFrame, percent: int) -> DataFram
         same = heads.select("band", F.col("head_family").alias("family")).distinct()
         found = found.union(members.where("open").join(same, ["band", "family"], "left_semi").select("band", "key"))
         settled = found.union(named).distinct().withColumn("settled", F.lit(True))
-        # A pair is settled by one test; larger groups go on while a line in them is like no head.
-        still = F.col("open") & F.col("settled").isNull() & (F.col("size") > 2)
-        now = members.join(settled, ["band", "key"], "left").withColumn("open", still).drop("settled")
+        now = members.join(settled, ["band", "key"], "left").withColumn("open", F.col("open") & F.col("settled").isNull()).drop("settled")
         if known is None:  # most families are known after the first round
             known = materialise(components(done.where("alike")), "known")
             now = _with_families(now, known)
         now = materialise(now.select(*members.columns), "members")
         members = now.join(now.where("open").select("band").distinct(), "band", "left_semi")
-        heads_at_once *= 2
+        heads_at_once *= FASTER
         if now.where("open").isEmpty():
             break
-    return _bridged(every.where("size > 2").join(been, ["band", "key"], "left_anti"), done, texts, percent, order)
+    return _bridged(every.join(been, ["band", "key"], "left_anti"), done, texts, percent, order)
 
 
 def _bridged(members: DataFrame, done: DataFrame, texts: DataFrame, percent: int, order: list) -> DataFrame:
@@ -220,14 +244,19 @@ def removed_lines(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", p
     """(doc, sha, gone): for each document that loses lines, their numbers from 0."""
     lines = _lines(docs, doc, text)
     signatures = materialise(_signatures(lines), "signatures")
-    joined = _families(signatures, lines, percent)
+    members = _members(signatures)
+    degrees = materialise(members.groupBy("key").agg(F.sum("size").alias("degree")), "degrees")
     copies = signatures.where("n > 1").select("key")
+    # Lines that share a band or repeat are cut once more, with their texts; only these are shuffled from here on.
+    # Spark would move a semi join in front of the sieve, and so shuffle every line.
+    rows = materialise(may_hold(lines, sieve(copies.union(degrees.select("key")), "key"), "key"), "texts")
+    texts = materialise(_texts(rows.select("key", "line").join(degrees, "key").select("key", "line")), "units")
+    joined = _families(members, degrees, texts, percent)
     affected = joined.select(F.col("node").alias("key"), "component").union(
         copies.join(joined, copies["key"] == joined["node"], "left_anti").select("key", F.col("key").alias("component"))
     )
     affected = materialise(affected, "affected")
-    found = may_hold(lines.drop("line"), sieve(affected, "key"), "key").join(affected, "key").select("component", "doc", "sha", "at")
-    found = materialise(found, "occurrences")
+    found = materialise(rows.join(affected, "key").select("component", "doc", "sha", "at"), "occurrences")
     first = found.groupBy("component").agg(F.min(F.struct("doc", "at", "sha")).alias("first"))
     kept = F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("at") == F.col("first.at")) & (F.col("sha") == F.col("first.sha"))
     gone = found.join(first, "component").where(~kept)
