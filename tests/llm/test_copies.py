@@ -331,3 +331,80 @@ def test_lines_are_hashed_without_a_shuffle_of_their_texts(spark):
     signed = line_dedup._signatures(lines)
     assert "SortAggregate" not in signed._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.n for r in signed.collect()) == [1, 3]
+
+
+def test_lines_of_a_large_group_that_cannot_be_alike_are_not_compared_exactly(spark, monkeypatch):
+    """All pairs of a group that agree in enough hashes were compared by their texts, their number growing as its square."""
+    tested = []
+
+    def one_group(lines):
+        marks = F.array(*[F.lit(0).cast("tinyint")] * (line_dedup.BANDS * line_dedup.ROWS))
+        keys = lines.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        return keys.select("key", "n", F.array(F.lit(1)).cast("array<bigint>").alias("bands"), marks.alias("marks"))
+
+    def materialise(df, name="stage", made=line_dedup.materialise):
+        made = made(df, name)
+        if name == "tested":
+            tested.append(made.count())
+        return made
+
+    monkeypatch.setattr(line_dedup, "_signatures", one_group)
+    monkeypatch.setattr(line_dedup, "materialise", materialise)
+    rng = random.Random(31)
+    base = "".join(rng.choice("abcdefghij ") for _ in range(300))
+    lines = []
+    for i in range(45):  # two of them share about half of their shingles
+        own = list(base)
+        for at in rng.sample(range(300), 6):
+            own[at] = "XYZ"[i % 3]
+        lines.append("".join(own))
+    lines += [lines[7] + "x" * 5, lines[9][:-4], "\U0001f600" * 40, "\U0001f600" * 44 + "b"]
+    rows = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    got = [r.text for r in line_dedup.dedup_lines(rows).orderBy("doc_id").collect()]
+    assert got == brute_lines(list(enumerate(lines)))
+    assert sum(tested) <= 0.1 * len(lines) * (len(lines) - 1) / 2
+
+
+def test_bitmaps_keep_every_pair_that_is_alike(spark):
+    rng = random.Random(14)
+    lines = []
+    for n in [1, 4, 12, 30, 120, 400, 3000, 9000]:
+        line = "".join(rng.choice("abcde é") for _ in range(n)) + "."
+        for _ in range(4):
+            lines.append(line)
+            line = line[: len(line) // 2] + rng.choice("QRS") + line[len(line) // 2 + rng.choice([0, 1]) :] + "w" * rng.randrange(n // 20 + 1)
+    sets = [line_shingles(line) for line in lines]
+    rows = spark.createDataFrame(list(enumerate(lines)), "at long, line string")
+    texts = line_dedup._texts(rows.select(F.col("at").cast("string").cast("binary").alias("key"), "line"))
+    assert {int(bytes(r.key)): r.shingles for r in texts.collect()} == {i: len(s) for i, s in enumerate(sets)}
+    drawn = line_dedup._sketches(texts)
+    pairs = drawn.toDF("a", "na", "sa").crossJoin(drawn.toDF("b", "nb", "sb")).where("a < b")
+    near = {frozenset((int(bytes(r.a)), int(bytes(r.b)))) for r in pairs.where(line_dedup._near("na", "nb", "sa", "sb", 80)).select("a", "b").collect()}
+    alike = {frozenset((i, j)) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert alike and alike <= near and len(near) < 0.5 * len(sets) * (len(sets) - 1) / 2
+
+
+def test_packed_marks_agree_as_often_as_the_marks(spark):
+    rng = random.Random(15)
+    count = line_dedup.BANDS * line_dedup.ROWS
+    rows = []
+    for _ in range(200):
+        one = [rng.choice([0, 1, 64, 126, 127, rng.randrange(128)]) for _ in range(count)]
+        rows.append((one, [m if rng.random() < 0.5 else rng.choice([0, 1, 127, rng.randrange(128)]) for m in one]))
+    df = spark.createDataFrame(rows, "a array<tinyint>, b array<tinyint>")
+    for k in "ab":
+        df = df.withColumns({f"{k}_{p}": word for p, word in zip(line_dedup.PACKED, line_dedup._packed(k))})
+    got = df.select("a", "b", line_dedup._agreeing("a_", "b_").alias("n")).collect()
+    assert len(got) == 200 and all(r.n == sum(x == y for x, y in zip(r.a, r.b)) for r in got)
+
+
+def test_components_grow_as_if_made_anew(spark):
+    rng = random.Random(16)
+    first = [(rng.randrange(200), rng.randrange(200)) for _ in range(70)]
+    first = [(a, b) for a, b in first if a != b]
+    for more in ([(a, b) for a, b in ((rng.randrange(260), rng.randrange(260)) for _ in range(50)) if a != b], first[:5], [(300, 301)], []):
+        known = components(spark.createDataFrame(first, "a long, b long"))
+        links = spark.createDataFrame(more, "a long, b long")
+        expected = union_find(310, first + more)
+        touched = {x for link in first + more for x in link}
+        assert dict(map(tuple, line_dedup._merged(known, links).collect())) == {i: expected[i] for i in touched}

@@ -39,16 +39,21 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialise
 from .components import components
-from .sieve import fresh, may_hold, may_not_hold, sieve
+from .sieve import fresh, holds, may_hold, may_not_hold, sieve
 
 SHINGLE = 10
 PERCENT = 80
 BANDS = 6
 ROWS = 3
 AGREEING = 10  # of BANDS * ROWS
-STRIDE = 16  # shingles hashed per exploded row
+STRIDE = 32  # shingles hashed per exploded row
 SMALL = 32  # lines of a band group that are all held against each other
 FASTER = 4
+SPARE = 8  # comparisons per line that a round of heads may take, as far as the one before tells
+SKETCH = 64  # 64-bit words of the bitmap of a line's shingles
+SKETCHED = 16  # shingles drawn per exploded row
+LANES = 7  # marks of a packed word, a byte each
+PACKED = [f"p{i}" for i in range(-(-BANDS * ROWS // LANES))]
 BRIDGING = 16  # lines of a group that first look for bridges; four times as many in each further round
 
 
@@ -84,21 +89,21 @@ def _shingle_count(units: Column) -> Column:
     return F.greatest(F.lit(1), (F.octet_length(units) / 2).cast("int") - SHINGLE + 1)
 
 
-def _hashed(lines: DataFrame) -> DataFrame:
-    """(key, first, h0, h1, ...): hashes of ``STRIDE`` shingles a row; the last row of a line repeats its last one."""
+def _hashed(lines: DataFrame, stride: int) -> DataFrame:
+    """(key, first, h0, h1, ...): hashes of ``stride`` shingles a row; the last row of a line repeats its last one."""
     def shingle(at: Column) -> Column:
         return F.xxhash64(F.substring(F.col("units"), 2 * at + 1, F.lit(2 * SHINGLE)))
 
     spread = lines.select("key", "units", (_shingle_count(F.col("units")) - 1).alias("last"))
-    spread = spread.select("key", "units", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(STRIDE))).alias("i"))
-    hashes = [shingle(F.least(F.col("i") + j, F.col("last"))).alias(f"h{j}") for j in range(STRIDE)]
+    spread = spread.select("key", "units", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(stride))).alias("i"))
+    hashes = [shingle(F.least(F.col("i") + j, F.col("last"))).alias(f"h{j}") for j in range(stride)]
     return spread.select("key", (F.col("i") == 0).alias("first"), *hashes)
 
 
 def _signatures(lines: DataFrame) -> DataFrame:
     """(key, n, bands, marks): copies, band hashes and the last bits of the kept hashes of every different line."""
     # Copies keep the same hashes, so they meet after hashing: texts are neither sorted nor shuffled.
-    hashed = _hashed(lines.select("key", F.encode("line", "UTF-16BE").alias("units")))
+    hashed = _hashed(lines.select("key", F.encode("line", "UTF-16BE").alias("units")), STRIDE)
     nearest = [
         F.min(F.least(*(F.col(f"h{j}").bitwiseXOR(F.lit(p)) for j in range(STRIDE)))).alias(f"m{i}")
         for i, p in enumerate(_probes(BANDS * ROWS))
@@ -120,41 +125,83 @@ def _shingle_hashes(units: str) -> Column:
 
 
 def _texts(lines: DataFrame) -> DataFrame:
-    """(key, units, size): UTF-16 units and number of different shingles of every different line."""
+    """(key, units, shingles): UTF-16 units and number of different shingles of every different line."""
     texts = lines.dropDuplicates(["key"]).select("key", F.encode("line", "UTF-16BE").alias("units"))
-    return texts.withColumn("size", F.size(F.array_distinct(_shingle_hashes("units"))))
+    return texts.withColumn("shingles", F.size(F.array_distinct(_shingle_hashes("units"))))
+
+
+def _sketches(texts: DataFrame) -> DataFrame:
+    """(key, shingles, sketch): number of different shingles, and a bitmap of the hashes of all, of every line of ``texts``."""
+    hashed = _hashed(texts, SKETCHED)
+    words = [F.shiftrightunsigned(f"h{j}", 6).bitwiseAND(F.lit(SKETCH - 1)).cast("int").alias(f"w{j}") for j in range(SKETCHED)]
+    bits = [F.call_function("shiftleft", F.expr("1L"), F.col(f"h{j}").bitwiseAND(F.lit(63)).cast("int")).alias(f"b{j}") for j in range(SKETCHED)]
+    hashed = hashed.select("key", *words, *bits)
+
+    def word(w: int) -> Column:
+        return reduce(Column.bitwiseOR, (F.call_function("if", F.col(f"w{j}") == w, F.col(f"b{j}"), F.expr("0L")) for j in range(SKETCHED)))
+
+    drawn = hashed.groupBy("key").agg(*(F.bit_or(word(w)).alias(f"s{w}") for w in range(SKETCH)))
+    drawn = drawn.select("key", F.array(*(f"s{w}" for w in range(SKETCH))).alias("sketch"))
+    return texts.select("key", "shingles").join(drawn, "key")
+
+
+def _near(na: str, nb: str, sa: str, sb: str, percent: int) -> Column:
+    """False only for lines that can't be alike, by the sizes and bitmaps of their sets."""
+    # A bit that only one of them has stands for a shingle, at least, that the other hasn't.
+    apart = reduce(Column.__add__, (F.bit_count(F.get(sa, F.lit(w)).bitwiseXOR(F.get(sb, F.lit(w)))) for w in range(SKETCH)))
+    return _near_sizes(na, nb, percent) & ((100 + percent) * apart <= (100 - percent) * (F.col(na) + F.col(nb)))
+
+
+def _near_sizes(na: str, nb: str, percent: int) -> Column:
+    """False only for sets of too different sizes to be alike, whatever they share."""
+    return 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """``pairs`` (a, b) with ``alike``, by exact Jaccard of full shingle sets."""
-    left = texts.select(F.col("key").alias("a"), F.col("units").alias("ua"), F.col("size").alias("na"))
-    right = texts.select(F.col("key").alias("b"), F.col("units").alias("ub"), F.col("size").alias("nb"))
+    left = texts.select(F.col("key").alias("a"), F.col("units").alias("ua"), F.col("shingles").alias("na"))
+    right = texts.select(F.col("key").alias("b"), F.col("units").alias("ub"), F.col("shingles").alias("nb"))
     both = pairs.join(left, "a").join(right, "b")
-    # Sets of too different sizes can't be alike, whatever they share.
-    near = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     shared = F.size(F.array_intersect(_shingle_hashes("ua"), _shingle_hashes("ub")))
     alike = (100 + percent) * shared >= percent * (F.col("na") + F.col("nb"))
-    return both.select("a", "b", F.when(near, alike).otherwise(F.lit(False)).alias("alike"))
+    return both.select("a", "b", F.when(_near_sizes("na", "nb", percent), alike).otherwise(F.lit(False)).alias("alike"))
+
+
+def _packed(marks: str) -> list[Column]:
+    """The marks as words of ``LANES`` bytes; places behind the last mark are the same in all lines."""
+    def word(first: int) -> Column:
+        places = range(first, min(first + LANES, BANDS * ROWS))
+        return reduce(Column.bitwiseOR, (F.shiftleft(F.get(marks, F.lit(i)).cast("long"), 8 * (i - first)) for i in places))
+
+    return [word(first).alias(f"p{first // LANES}") for first in range(0, BANDS * ROWS, LANES)]
 
 
 def _agreeing(x: str, y: str) -> Column:
-    """How many of the kept hashes of two lines agree, as far as their last bits tell."""
-    return reduce(Column.__add__, ((F.get(x, F.lit(i)) == F.get(y, F.lit(i))).cast("int") for i in range(BANDS * ROWS)))
+    """How many of the kept hashes of two lines agree, as far as their last bits tell; ``x`` and ``y`` are prefixes of the packed marks."""
+    low, high = (sum(b << 8 * lane for lane in range(LANES)) for b in (0x7F, 0x80))
+    # A byte of 7 bits, not zero, reaches its eighth bit when 127 is added.
+    differ = [
+        F.bit_count((F.col(f"{x}p{i}").bitwiseXOR(F.col(f"{y}p{i}")) + F.lit(low)).bitwiseAND(F.lit(high)))
+        for i in range(len(PACKED))
+    ]
+    return F.lit(BANDS * ROWS) - reduce(Column.__add__, differ)
 
 
 def _tested(led: DataFrame, done: DataFrame | None, texts: DataFrame, percent: int) -> DataFrame:
-    """``done`` and the verified pairs of ``led`` that are not in it yet."""
+    """The verified pairs of ``led`` that are not in ``done`` yet."""
     pairs = led.select("a", "b").distinct()
     if done is not None:
         pairs = pairs.join(done, ["a", "b"], "left_anti")
-    tested = materialise(_verified(pairs, texts, percent), "tested")
-    return tested if done is None else done.union(tested)
+    pairs = materialise(pairs, "pairs")
+    # Only texts of these pairs are shuffled.
+    texts = may_hold(texts, sieve(pairs.select(F.explode(F.array("a", "b")).alias("key")), "key"), "key")
+    return materialise(_verified(pairs, texts, percent), "tested")
 
 
-def _led(members: DataFrame, heads: DataFrame) -> DataFrame:
+def _led(members: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
     """(band, key, a, b): lines and heads of one group that may be alike; those of one family are connected already."""
     led = members.join(heads, "band").where(F.col("family") != F.col("head_family"))
-    led = led.where(_agreeing("marks", "head_marks") >= AGREEING)
+    led = led.where((_agreeing("", "head_") >= AGREEING) & _near("shingles", "head_shingles", "sketch", "head_sketch", percent))
     return led.select("band", "key", F.least("head_key", "key").alias("a"), F.greatest("head_key", "key").alias("b"))
 
 
@@ -162,7 +209,8 @@ def _heads(rows: DataFrame, order: list, count: int) -> DataFrame:
     """The first ``count`` of ``rows`` in each group."""
     rank = F.row_number().over(Window.partitionBy("band").orderBy(*order))
     heads = rows.withColumn("rank", rank).where(F.col("rank") <= count)
-    return materialise(heads.select("band", *(F.col(c).alias(f"head_{c}") for c in ("key", "marks", "family"))), "heads")
+    names = ("key", *PACKED, "family", "shingles", "sketch")
+    return materialise(heads.select("band", *(F.col(c).alias(f"head_{c}") for c in names)), "heads")
 
 
 def _with_families(members: DataFrame, known: DataFrame) -> DataFrame:
@@ -173,56 +221,82 @@ def _with_families(members: DataFrame, known: DataFrame) -> DataFrame:
 
 def _pairs(members: DataFrame) -> DataFrame:
     """(a, b): all lines of one group that agree in enough hashes."""
-    left = members.select("band", F.col("key").alias("a"), F.col("marks").alias("ma"))
-    right = members.select("band", F.col("key").alias("b"), F.col("marks").alias("mb"))
-    return left.join(right, "band").where(F.col("a") < F.col("b")).where(_agreeing("ma", "mb") >= AGREEING).select("a", "b")
+    left, right = (members.select("band", F.col("key").alias(k), *(F.col(p).alias(f"{k}_{p}") for p in PACKED)) for k in "ab")
+    return left.join(right, "band").where(F.col("a") < F.col("b")).where(_agreeing("a_", "b_") >= AGREEING).select("a", "b")
 
 
 def _members(signatures: DataFrame) -> DataFrame:
-    """(band, key, marks, size): lines of groups of two and more."""
-    banded = signatures.select("key", "marks", F.explode("bands").alias("band"))
+    """(band, key, p0, p1, ..., size): lines of groups of two and more, with their packed marks."""
+    banded = signatures.select("key", *_packed("marks"), F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = materialise(shared, "bands")
     return materialise(may_hold(banded, sieve(shared, "band"), "band").join(shared, "band"), "members")
 
 
-def _families(members: DataFrame, degrees: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """(node, component) of the different lines that are like another one."""
-    done = _tested(_pairs(members.where(F.col("size") <= SMALL)), None, texts, percent)
+def _faster(led: DataFrame, members: DataFrame) -> int:
+    """How many times the heads of this round lead the next: more where they met few lines that may be like them."""
+    return max(FASTER, min(FASTER**2, SPARE * members.count() // max(1, led.count())))
+
+
+def _merged(known: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component): ``known`` after further ``links`` (a, b)."""
+    family = known.withColumnRenamed("component", "family")
+    named = links.join(family.withColumnsRenamed({"node": "a", "family": "fa"}), "a", "left")
+    named = named.join(family.withColumnsRenamed({"node": "b", "family": "fb"}), "b", "left")
+    named = named.select(F.coalesce("fa", "a").alias("a"), F.coalesce("fb", "b").alias("b")).where("a <> b").distinct()
+    named = materialise(named, "links")
+    if named.isEmpty():
+        return known
+    # Only the components that the links join are gone through again, each as one node: its smallest.
+    grown = materialise(components(named), "grown").select(F.col("node").alias("family"), F.col("component").alias("larger"))
+    moved = family.join(grown, "family", "left").select("node", F.coalesce("larger", "family").alias("component"))
+    others = grown.join(known, grown["family"] == known["node"], "left_anti")
+    return materialise(moved.union(others.select(F.col("family").alias("node"), F.col("larger").alias("component"))), "known")
+
+
+def _families(members: DataFrame, degrees: DataFrame, small: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of the different lines that are like another one; ``members`` are those of larger groups."""
+    alike = materialise(_verified(small, texts, percent), "tested").where("alike").select("a", "b")
+    # All lines of such a group may meet: bitmaps spare most of those that are not alike the exact comparison.
+    sketches = _sketches(may_hold(texts, sieve(degrees, "key"), "key"))
     # Lines with the most partners lead: what many lines are copies of is met by all of them at once.
-    members = members.where(F.col("size") > SMALL).join(degrees, "key").withColumns({"open": F.lit(True), "family": F.col("key")})
+    members = members.join(degrees, "key").join(sketches, "key").withColumns({"open": F.lit(True), "family": F.col("key")})
     members = every = materialise(members, "members")
     if members.isEmpty():
-        return components(done.where("alike"))
+        return components(alike)
     order = [F.desc("degree"), "key"]
-    heads_at_once, been, known = 1, None, None
+    heads_at_once, been, known, done, later = 1, None, None, None, None
     while True:
         heads = _heads(members.where("open"), order, heads_at_once)
         named = heads.select("band", F.col("head_key").alias("key"))
         been = named if been is None else been.union(named)
-        led = materialise(_led(members, heads), "led")
-        done = _tested(led, done, texts, percent)
+        led = materialise(_led(members, heads, percent), "led")
+        tested = _tested(led, done, texts, percent)
+        done = tested if done is None else done.union(tested)
         found = led.join(done.where("alike").select("a", "b"), ["a", "b"]).select("band", "key")
         same = heads.select("band", F.col("head_family").alias("family")).distinct()
         found = found.union(members.where("open").join(same, ["band", "family"], "left_semi").select("band", "key"))
         settled = found.union(named).distinct().withColumn("settled", F.lit(True))
         now = members.join(settled, ["band", "key"], "left").withColumn("open", F.col("open") & F.col("settled").isNull()).drop("settled")
+        tested = tested.where("alike").select("a", "b")
         if known is None:  # most families are known after the first round
-            known = materialise(components(done.where("alike")), "known")
+            known = materialise(components(alike.union(tested)), "known")
             now = _with_families(now, known)
+        else:
+            later = tested if later is None else later.union(tested)
         now = materialise(now.select(*members.columns), "members")
+        heads_at_once *= _faster(led, members)
         members = now.join(now.where("open").select("band").distinct(), "band", "left_semi")
-        heads_at_once *= FASTER
         if now.where("open").isEmpty():
             break
-    return _bridged(every.join(been, ["band", "key"], "left_anti"), done, texts, percent, order)
+    known = known if later is None else _merged(known, later)
+    return _bridged(every.join(been, ["band", "key"], "left_anti"), known, done, texts, percent, order)
 
 
-def _bridged(members: DataFrame, done: DataFrame, texts: DataFrame, percent: int, order: list) -> DataFrame:
+def _bridged(members: DataFrame, known: DataFrame, done: DataFrame, texts: DataFrame, percent: int, order: list) -> DataFrame:
     """(node, component) after lines that have not been heads met those of other components in their groups."""
     heads_at_once = BRIDGING
     while True:
-        known = materialise(components(done.where("alike")), "known")
         named = _with_families(members, known)
         parts = named.groupBy("band", "family").agg(F.count(F.lit(1)).alias("n"))
         apart = parts.groupBy("band").agg(
@@ -233,11 +307,12 @@ def _bridged(members: DataFrame, done: DataFrame, texts: DataFrame, percent: int
             return known
         # Lines of the largest family need not lead: all others meet them.
         heads = _heads(members.where("family <> largest"), order, heads_at_once)
-        led = materialise(_led(members, heads), "led")
-        done = _tested(led, done, texts, percent)
+        led = materialise(_led(members, heads, percent), "led")
+        tested = _tested(led, done, texts, percent)
+        known, done = _merged(known, tested.where("alike").select("a", "b")), done.union(tested)
+        heads_at_once *= _faster(led, members)
         been = heads.select("band", F.col("head_key").alias("key"))
         members = members.join(been, ["band", "key"], "left_anti").drop("largest")
-        heads_at_once *= 4
 
 
 def removed_lines(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -245,13 +320,18 @@ def removed_lines(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", p
     lines = _lines(docs, doc, text)
     signatures = materialise(_signatures(lines), "signatures")
     members = _members(signatures)
-    degrees = materialise(members.groupBy("key").agg(F.sum("size").alias("degree")), "degrees")
+    small = materialise(_pairs(members.where(F.col("size") <= SMALL)).distinct(), "small")
+    degrees = members.groupBy("key").agg(F.sum("size").alias("degree"), F.max("size").alias("largest"))
+    degrees = materialise(degrees.where(F.col("largest") > SMALL).select("key", "degree"), "degrees")
+    met = small.select(F.explode(F.array("a", "b")).alias("key")).union(degrees.select("key"))
     copies = signatures.where("n > 1").select("key")
-    # Lines that share a band or repeat are cut once more, with their texts; only these are shuffled from here on.
-    # Spark would move a semi join in front of the sieve, and so shuffle every line.
-    rows = materialise(may_hold(lines, sieve(copies.union(degrees.select("key")), "key"), "key"), "texts")
-    texts = materialise(_texts(rows.select("key", "line").join(degrees, "key").select("key", "line")), "units")
-    joined = _families(members, degrees, texts, percent)
+    # Lines that may be compared or repeat are cut once more, the former with their texts; only these are shuffled from
+    # here on. Spark would move a semi join in front of the sieve, and so shuffle every line.
+    rows = may_hold(lines, sieve(copies.union(met), "key"), "key")
+    rows = holds(rows, sieve(met, "key"), "met", "key").withColumn("line", F.when(F.col("met"), F.col("line"))).drop("met")
+    rows = materialise(rows, "texts")
+    texts = materialise(_texts(rows.where(F.col("line").isNotNull()).select("key", "line")), "units")
+    joined = _families(members.where(F.col("size") > SMALL), degrees, small, texts, percent)
     affected = joined.select(F.col("node").alias("key"), "component").union(
         copies.join(joined, copies["key"] == joined["node"], "left_anti").select("key", F.col("key").alias("component"))
     )

@@ -63,6 +63,12 @@ def may_hold(rows: DataFrame, held: Sieve, *key: Column | str) -> DataFrame:
     return tested.where(on).select(*rows.columns)
 
 
+def holds(rows: DataFrame, held: Sieve, name: str, *key: Column | str) -> DataFrame:
+    """All rows, with whether ``may_hold`` keeps them as the column ``name``."""
+    tested, on = _tested(rows, held, "left", *key)
+    return tested.withColumn(name, on).select(*rows.columns, name)
+
+
 def may_not_hold(rows: DataFrame, held: Sieve, *key: Column | str) -> DataFrame:
     """The rows that ``may_hold`` leaves out."""
     tested, on = _tested(rows, held, "left", *key)
