@@ -10,15 +10,17 @@ sets is at least ``PERCENT`` / 100.
    probability equal to their similarity, as with random permutations. ``ROWS`` of them make a band.
 3. Lines sharing a band are candidates. If at least ``AGREEING`` of all kept hashes agree, the two are compared by
    exact Jaccard on the full shingle sets. In a band group of ``SMALL`` lines at most, all pairs are candidates.
+   In a larger one, a bitmap of all shingles of each line comes first: two of them differ in no more bits than the sets
+   in shingles, so pairs whose bitmaps differ in too many can't be alike and are left out.
 4. In a larger group, every line is held against one head: the line with the most partners over all its
-   bands. While some lines are like no head yet, ``FASTER`` times as many of them as before head the next round,
-   against all lines of the group, until every line is like a head or has been one. So a group of lines
+   bands. While some lines are like no head yet, ``FASTER`` times as many of them as before head the next round (or
+   more, to ``FASTER ** 2``, where lines met few heads they may be like), against all lines of the group, until every line is like a head or has been one. So a group of lines
    that are alike, or like one of them, takes one pair per line; only lines that are like none of the
    others are held against each other.
 5. Verified pairs are edges; components come from a distributed union-find. Two lines of a larger group that are
    each like another head may still bridge two components: as long as lines of a group that have not been heads
    lie in several components, those outside its largest one head further rounds. In the end any two lines
-   of a group have been tested, agree in too few hashes or are in one component.
+   of a group have been tested, are ruled out by step 3 or are in one component.
 6. Of each component, the first line in the order of (document id, line number) stays and the others go.
 
 At a similarity of 0.8 a pair shares a band with a probability of 98.6 %, at 0.9 of 99.96 %; it then has fewer
@@ -46,12 +48,11 @@ PERCENT = 80
 BANDS = 6
 ROWS = 3
 AGREEING = 10  # of BANDS * ROWS
-STRIDE = 32  # shingles hashed per exploded row
+STRIDE = 16  # shingles hashed per exploded row
 SMALL = 32  # lines of a band group that are all held against each other
 FASTER = 4
 SPARE = 8  # comparisons per line that a round of heads may take, as far as the one before tells
 SKETCH = 64  # 64-bit words of the bitmap of a line's shingles
-SKETCHED = 16  # shingles drawn per exploded row
 LANES = 7  # marks of a packed word, a byte each
 PACKED = [f"p{i}" for i in range(-(-BANDS * ROWS // LANES))]
 BRIDGING = 16  # lines of a group that first look for bridges; four times as many in each further round
@@ -89,21 +90,21 @@ def _shingle_count(units: Column) -> Column:
     return F.greatest(F.lit(1), (F.octet_length(units) / 2).cast("int") - SHINGLE + 1)
 
 
-def _hashed(lines: DataFrame, stride: int) -> DataFrame:
-    """(key, first, h0, h1, ...): hashes of ``stride`` shingles a row; the last row of a line repeats its last one."""
+def _hashed(lines: DataFrame) -> DataFrame:
+    """(key, first, h0, h1, ...): hashes of ``STRIDE`` shingles a row; the last row of a line repeats its last one."""
     def shingle(at: Column) -> Column:
         return F.xxhash64(F.substring(F.col("units"), 2 * at + 1, F.lit(2 * SHINGLE)))
 
     spread = lines.select("key", "units", (_shingle_count(F.col("units")) - 1).alias("last"))
-    spread = spread.select("key", "units", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(stride))).alias("i"))
-    hashes = [shingle(F.least(F.col("i") + j, F.col("last"))).alias(f"h{j}") for j in range(stride)]
+    spread = spread.select("key", "units", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(STRIDE))).alias("i"))
+    hashes = [shingle(F.least(F.col("i") + j, F.col("last"))).alias(f"h{j}") for j in range(STRIDE)]
     return spread.select("key", (F.col("i") == 0).alias("first"), *hashes)
 
 
 def _signatures(lines: DataFrame) -> DataFrame:
     """(key, n, bands, marks): copies, band hashes and the last bits of the kept hashes of every different line."""
     # Copies keep the same hashes, so they meet after hashing: texts are neither sorted nor shuffled.
-    hashed = _hashed(lines.select("key", F.encode("line", "UTF-16BE").alias("units")), STRIDE)
+    hashed = _hashed(lines.select("key", F.encode("line", "UTF-16BE").alias("units")))
     nearest = [
         F.min(F.least(*(F.col(f"h{j}").bitwiseXOR(F.lit(p)) for j in range(STRIDE)))).alias(f"m{i}")
         for i, p in enumerate(_probes(BANDS * ROWS))
@@ -132,15 +133,10 @@ def _texts(lines: DataFrame) -> DataFrame:
 
 def _sketches(texts: DataFrame) -> DataFrame:
     """(key, shingles, sketch): number of different shingles, and a bitmap of the hashes of all, of every line of ``texts``."""
-    hashed = _hashed(texts, SKETCHED)
-    words = [F.shiftrightunsigned(f"h{j}", 6).bitwiseAND(F.lit(SKETCH - 1)).cast("int").alias(f"w{j}") for j in range(SKETCHED)]
-    bits = [F.call_function("shiftleft", F.expr("1L"), F.col(f"h{j}").bitwiseAND(F.lit(63)).cast("int")).alias(f"b{j}") for j in range(SKETCHED)]
-    hashed = hashed.select("key", *words, *bits)
-
-    def word(w: int) -> Column:
-        return reduce(Column.bitwiseOR, (F.call_function("if", F.col(f"w{j}") == w, F.col(f"b{j}"), F.expr("0L")) for j in range(SKETCHED)))
-
-    drawn = hashed.groupBy("key").agg(*(F.bit_or(word(w)).alias(f"s{w}") for w in range(SKETCH)))
+    places = [F.expr(f"cast(shiftrightunsigned(h{j}, 6) & {SKETCH - 1}L as int) as w{j}") for j in range(STRIDE)]
+    bits = [F.expr(f"shiftleft(1L, cast(h{j} & 63L as int)) as b{j}") for j in range(STRIDE)]
+    words = [F.expr(f"bit_or({' | '.join(f'if(w{j} = {w}, b{j}, 0L)' for j in range(STRIDE))}) as s{w}") for w in range(SKETCH)]
+    drawn = _hashed(texts).select("key", *places, *bits).groupBy("key").agg(*words)
     drawn = drawn.select("key", F.array(*(f"s{w}" for w in range(SKETCH))).alias("sketch"))
     return texts.select("key", "shingles").join(drawn, "key")
 
@@ -148,7 +144,7 @@ def _sketches(texts: DataFrame) -> DataFrame:
 def _near(na: str, nb: str, sa: str, sb: str, percent: int) -> Column:
     """False only for lines that can't be alike, by the sizes and bitmaps of their sets."""
     # A bit that only one of them has stands for a shingle, at least, that the other hasn't.
-    apart = reduce(Column.__add__, (F.bit_count(F.get(sa, F.lit(w)).bitwiseXOR(F.get(sb, F.lit(w)))) for w in range(SKETCH)))
+    apart = F.expr(" + ".join(f"bit_count(get({sa}, {w}) ^ get({sb}, {w}))" for w in range(SKETCH)))
     return _near_sizes(na, nb, percent) & ((100 + percent) * apart <= (100 - percent) * (F.col(na) + F.col(nb)))
 
 
@@ -277,7 +273,8 @@ def _families(members: DataFrame, degrees: DataFrame, small: DataFrame, texts: D
         same = heads.select("band", F.col("head_family").alias("family")).distinct()
         found = found.union(members.where("open").join(same, ["band", "family"], "left_semi").select("band", "key"))
         settled = found.union(named).distinct().withColumn("settled", F.lit(True))
-        now = members.join(settled, ["band", "key"], "left").withColumn("open", F.col("open") & F.col("settled").isNull()).drop("settled")
+        # Groups that no line is open in have no head any more.
+        now = members.join(named.select("band").distinct(), "band", "left_semi").join(settled, ["band", "key"], "left").withColumn("open", F.col("open") & F.col("settled").isNull()).drop("settled")
         tested = tested.where("alike").select("a", "b")
         if known is None:  # most families are known after the first round
             known = materialise(components(alike.union(tested)), "known")
@@ -286,7 +283,7 @@ def _families(members: DataFrame, degrees: DataFrame, small: DataFrame, texts: D
             later = tested if later is None else later.union(tested)
         now = materialise(now.select(*members.columns), "members")
         heads_at_once *= _faster(led, members)
-        members = now.join(now.where("open").select("band").distinct(), "band", "left_semi")
+        members = now
         if now.where("open").isEmpty():
             break
     known = known if later is None else _merged(known, later)
